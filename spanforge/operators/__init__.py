@@ -1,0 +1 @@
+"""operators of the interval and sequence engine."""

@@ -1,0 +1 @@
+"""plans of the interval and sequence engine."""

@@ -1,0 +1 @@
+"""sources of the interval and sequence engine."""

@@ -1,0 +1 @@
+"""streaming of the interval and sequence engine."""
