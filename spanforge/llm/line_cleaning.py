@@ -8,16 +8,17 @@ columns beyond ``text`` pass through, and the columns added replace input column
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm.shared import let
 
-WHITE = " \t\n\x0b\f\r"
 WHITE_RUN = r"[ \t\n\x0B\f\r]+"
 SYMBOLS = "#*$%&|<>"
 #: A line fails if it holds one of these phrases (lower case) and is shorter than BOILERPLATE_WORDS.
-BOILERPLATE = r"all rights reserved|privacy policy|terms of (use|service)|cookie policy|accept (all )?cookies|click here|sign up|log ?in to|subscribe (now|to)|read more|share (this|on)|powered by|skip to (main )?content|enable javascript|lorem ipsum"
+BOILERPLATE = ("all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "accept cookies", "click here", "sign up", "log in to", "subscribe", "read more", "share this", "powered by", "skip to content", "enable javascript", "lorem ipsum")
 BOILERPLATE_WORDS = 40
 #: Navigation: separators per word. Punctuation: a line this short needs an end mark; runs of ! per word; symbols per word.
 SEPARATORS_PER_WORD, FRAGMENT_WORDS, SHOUTS_PER_WORD, SYMBOLS_PER_WORD = 0.2, 5, 0.5, 0.5
@@ -27,40 +28,44 @@ REPEAT_WORDS, DISTINCT_SHARE = 10, 0.3
 MAX_LOSS = 0.3
 
 
-def count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
-def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(text, WHITE_RUN), "")
+def holds(text: Column, characters: str) -> Column:
+    return reduce(lambda a, b: a | b, [text.contains(x) for x in characters])
 
 
-def line_verdict(line: Column) -> Column:
-    """The first rule that a line with words fails: navigation, punctuation, boilerplate, repetition; null if it passes."""
+def count_of(text: Column, characters: str) -> Column:
+    """Occurrences of any of the characters; plain searches pass over the many texts that have none."""
+    return F.when(holds(text, characters), F.length(text) - F.length(F.translate(text, characters, ""))).otherwise(0)
 
-    def judged(words: Column) -> Column:
-        n = F.size(words)
-        ends = line.rlike(r"[.!?…:;\"'”’»)\]][ \t\x0B\f\r]*$")
-        return (
-            F.when(count_of(line, "|»›•·") >= F.greatest(F.lit(2), n * SEPARATORS_PER_WORD), "navigation")
-            .when(~ends & (n < FRAGMENT_WORDS), "punctuation")
-            .when(count_of(line, "!") > n * SHOUTS_PER_WORD, "punctuation")
-            .when(count_of(line, SYMBOLS) > n * SYMBOLS_PER_WORD, "punctuation")
-            .when((n < BOILERPLATE_WORDS) & F.lower(line).rlike(BOILERPLATE), "boilerplate")
-            .when((n >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) < n * DISTINCT_SHARE), "repetition")
-        )
 
-    return let(words_of(line), judged)
+def words_of(text: Column) -> Column:
+    """Words of a text without line feeds; the plain split serves where a space is the only white space."""
+    return F.array_remove(F.when(holds(text, "\t\x0b\f\r"), F.split(text, WHITE_RUN)).otherwise(F.split(text, " ")), "")
+
+
+def characters(words: Column) -> Column:
+    return F.length(F.array_join(words, ""))
+
+
+def line_verdict(line: Column, words: Column, suspect: Column) -> Column:
+    """The first rule that a line with words fails: navigation, punctuation, boilerplate, repetition; null if it passes.
+    suspect: whether the whole text holds a boilerplate phrase at all."""
+    n = F.size(words)
+    phrase = F.exists(F.array(*map(F.lit, BOILERPLATE)), lambda x: F.lower(line).contains(x))
+    return (
+        F.when(count_of(line, "|»›•·") >= F.greatest(F.lit(2), n * SEPARATORS_PER_WORD), "navigation")
+        .when((n < FRAGMENT_WORDS) & ~line.rlike(r"[.!?…:;\"'”’»)\]][ \t\x0B\f\r]*$"), "punctuation")
+        .when(line.contains("!") & (count_of(line, "!") > n * SHOUTS_PER_WORD), "punctuation")
+        .when(count_of(line, SYMBOLS) > n * SYMBOLS_PER_WORD, "punctuation")
+        .when((n < BOILERPLATE_WORDS) & suspect & phrase, "boilerplate")
+        .when((n >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) < n * DISTINCT_SHARE), "repetition")
+    )
 
 
 def repeated_words(words: str) -> Column:
     """Words covered by 3-word windows that occur twice or more in the array column named."""
     w = F.col(words)
     n = F.size(w)
-    windows = F.when(
-        n >= 3,
-        F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i"))),
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(F.array().cast("array<bigint>"))
 
     def covered(at: Column) -> Column:
         gaps = F.transform(at, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - x, F.lit(3))))
@@ -71,8 +76,8 @@ def repeated_words(words: str) -> Column:
         return F.transform(F.filter(ordered, lambda e, k: same(e, k - 1) | same(e, k + 1)), lambda e: e["i"])
 
     def counted(found: Column) -> Column:
-        some = F.size(F.array_distinct(F.transform(found, lambda e: e["h"]))) < F.size(found)
-        return F.when(some, let(F.sort_array(let(F.sort_array(found), starts)), covered)).otherwise(0)
+        placed = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(found)) < F.size(found), let(F.sort_array(let(placed, starts)), covered)).otherwise(0)
 
     return let(windows, counted)
 
@@ -85,21 +90,27 @@ def clean_lines(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     ``max_loss`` of the word characters. Lines without a word neither fail nor count.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    worded = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
-    out = docs.withColumns({"_words": words_of(text), "_lines": worded, "_judged": F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), line_verdict(x).alias("rule")))})
-    removed = F.filter("_judged", lambda x: x["rule"].isNotNull())
+    suspect = let(F.lower(text), lambda low: F.exists(F.array(*map(F.lit, BOILERPLATE)), lambda x: low.contains(x)))
+    out = docs.withColumn("_lines", F.transform(F.split(text, "\n"), lambda x: F.struct(x.alias("line"), words_of(x).alias("words"))))
+
+    def judged(flag: Column) -> Column:
+        rule = lambda x: F.when(F.size(x["words"]) > 0, line_verdict(x["line"], x["words"], flag))
+        return F.transform("_lines", lambda x: F.struct(x["line"].alias("line"), characters(x["words"]).alias("chars"), rule(x).alias("rule")))
+
+    out = out.withColumns({"_words": F.flatten(F.transform("_lines", lambda x: x["words"])), "_judged": let(suspect, judged)})
+    worded = F.transform(F.filter("_judged", lambda x: x["chars"] > 0), lambda x: x["line"])
     out = out.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.translate(text, WHITE, "")).cast("long"),
+            "word_chars": F.aggregate("_judged", F.lit(0), lambda total, x: total + x["chars"]).cast("long"),
             "n_symbols": count_of(text, SYMBOLS).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_dup_lines": let(worded, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
             "n_repeat_words": repeated_words("_words").cast("long"),
-            "lines_removed": F.filter(removed, lambda x: F.length(F.translate(x["line"], WHITE, "")) > 0),
-            "cleaned_text": F.array_join(F.transform(F.filter("_judged", lambda x: x["rule"].isNull() | (F.length(F.translate(x["line"], WHITE, "")) == 0)), lambda x: x["line"]), "\n"),
+            "lines_removed": F.filter("_judged", lambda x: x["rule"].isNotNull()),
+            "cleaned_text": F.array_join(F.transform(F.filter("_judged", lambda x: x["rule"].isNull()), lambda x: x["line"]), "\n"),
         }
     )
-    lost = F.aggregate("lines_removed", F.lit(0), lambda total, x: total + F.length(F.translate(x["line"], WHITE, "")))
+    lost = F.aggregate("lines_removed", F.lit(0), lambda total, x: total + x["chars"])
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumns({"base_failed": failed, "kept": ~failed & (lost <= max_loss * F.col("word_chars"))}).drop("_words", "_lines", "_judged")
 
@@ -113,7 +124,7 @@ _VERDICT = rf"""
   CASE WHEN seps >= greatest(2, n * {SEPARATORS_PER_WORD}) THEN 'navigation'
        WHEN NOT regexp_matches(line, '[.!?…:;"''”’»)\]][ \t\x0B\f\r]*$') AND n < {FRAGMENT_WORDS} THEN 'punctuation'
        WHEN shouts > n * {SHOUTS_PER_WORD} OR syms > n * {SYMBOLS_PER_WORD} THEN 'punctuation'
-       WHEN n < {BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{BOILERPLATE}') THEN 'boilerplate'
+       WHEN n < {BOILERPLATE_WORDS} AND regexp_matches(lower(line), '{'|'.join(BOILERPLATE)}') THEN 'boilerplate'
        WHEN n >= {REPEAT_WORDS} AND len(list_distinct(w)) < n * {DISTINCT_SHARE} THEN 'repetition' END"""
 
 #: Rows of `clean_lines` over a table named by the first field, as DuckDB sees them; the CTEs end in `judged`.
