@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from spanforge.llm import hilbert_shards, line_cleaning
+from spanforge.llm import arrow_tokens, factorisation, hilbert_shards, hyperdimensional, line_cleaning, soft_mixing, spaced_seeds
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {
+        "op1_factorisation": factorisation.op1_factorisation,
+        "op3_arrow_tokens": arrow_tokens.op3_arrow_tokens,
         "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
+        "op6_spaced_seeds": spaced_seeds.op6_spaced_seeds,
         "op8_line_cleaning": line_cleaning.op8_line_cleaning,
+        "op9_hyperdimensional": hyperdimensional.op9_hyperdimensional,
+        "op10_soft_mixing": soft_mixing.op10_soft_mixing,
     }
 
 

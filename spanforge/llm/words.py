@@ -35,7 +35,7 @@ def _powers(n: int) -> np.ndarray:
 
 
 class Chunk(NamedTuple):
-    """Documents first..last-1 of a batch: bytes, byte offsets, and by word its start, end, hash; words[i] is where document i's words begin."""
+    """Documents first..last-1 of a batch: bytes as they came, byte offsets, and by word its start, end, hash; words[i] is where document i's words begin."""
 
     first: int
     last: int
@@ -67,8 +67,6 @@ def chunks(texts: pa.Array, lower: bool, limit: int = CHUNK, hashed: bool = True
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        if lower:
-            part = LOWER[part]
         word = ~SPACE[part]
         before = np.zeros(len(word) + 1, bool)
         before[1:] = word
@@ -79,7 +77,7 @@ def chunks(texts: pa.Array, lower: bool, limit: int = CHUNK, hashed: bool = True
         after[at] = False
         ends = np.flatnonzero(word & ~after[1:]) + 1
         words = np.searchsorted(starts, at)
-        yield Chunk(i, j, part, at, starts, ends, word_hashes(part, word, starts, ends) if hashed else np.zeros(0, np.uint64), words)
+        yield Chunk(i, j, part, at, starts, ends, word_hashes(LOWER[part] if lower else part, word, starts, ends) if hashed else np.zeros(0, np.uint64), words)
         i = j
 
 
