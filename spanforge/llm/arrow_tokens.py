@@ -11,8 +11,10 @@ the other, by text; a null id sorts first; an empty table gives no files.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,35 +24,48 @@ from pyspark.sql import functions as F
 from spanforge.llm.shared import filesystem, publish, shared_folder, written
 
 END_ID = 1
-#: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words whose ids a worker keeps.
-LENGTH, BATCH, TEXT_BYTES, CACHE_WORDS = 1024, 512, 1 << 20, 300_000
-_CACHE: dict[str, dict[bytes, bytes]] = {}
+#: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words in a generation of a worker's store.
+LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 450_000
 
 
 class WordCoder:
     """Ids of texts, word by word. In a vocabulary that drops white space and never joins over it, a text's ids are its
-    words' ids in order, so each worker codes a distinct word once (and forgets all when its store is full)."""
+    words' ids in order, so a worker codes a word once while it meets it. The store has two generations: when the young
+    one is full it becomes the old one, which gives back the words still in use and is then let go."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.kind, self.store = np.dtype(kind), _CACHE.setdefault(vocabulary + kind, {})
+        self.kind, self.young, self.old = np.dtype(kind), {}, {}
 
     def code(self, texts: list[bytes]) -> list[bytes]:
         words = [x.split() for x in texts]
-        if len(self.store) > CACHE_WORDS:
-            self.store.clear()
-        fresh = list(set().union(*words) - self.store.keys())
-        for k in range(0, len(fresh), 4096):
-            part = fresh[k : k + 4096]
+        if len(self.young) > STORE_WORDS:
+            self.young, self.old = {}, self.young
+        fresh = []
+        for word in set().union(*words) - self.young.keys():
+            ids = self.old.get(word)
+            if ids is None:
+                fresh.append(word)
+            else:
+                self.young[word] = ids
+        for k in range(0, len(fresh), 2048):
+            part = fresh[k : k + 2048]
             coded = self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)
             for word, ids in zip(part, coded, strict=True):
-                self.store[word] = np.array(ids.ids, self.kind).tobytes()
-        take = self.store.__getitem__
+                self.young[word] = np.array(ids.ids, self.kind).tobytes()
+        take = self.young.__getitem__
         return [b"".join(map(take, x)) for x in words]
 
 
+@lru_cache(1)
+def _coder(vocabulary: str, kind: str) -> WordCoder:
+    """One for a worker's life."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordCoder(vocabulary, kind)
+
+
 def _by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[bytes]]]:
     ids, texts, size = [], [], 0
     for batch in batches:
@@ -86,7 +101,7 @@ def write_arrow(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        coder, sink, held = WordCoder(vocabulary, kind), None, b""
+        coder, sink, held = _coder(vocabulary, kind), None, b""
         keys, starts, sizes, total = [], [], [], 0
         target = f"{folder}/ids-{part:06d}.arrow"
         width = np.dtype(kind).itemsize

@@ -6,20 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from spanforge.llm import arrow_tokens, factorisation, hilbert_shards, hyperdimensional, line_cleaning, soft_mixing, spaced_seeds
+import corpus_pipeline
+from spanforge.llm import arrow_tokens, factorisation, hilbert_shards, hyperdimensional, jaccard_join, line_cleaning, ngram_trie, soft_mixing, spaced_seeds, suffix_removal
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {
         "op1_factorisation": factorisation.op1_factorisation,
+        "op2_ngram_trie": ngram_trie.op2_ngram_trie,
         "op3_arrow_tokens": arrow_tokens.op3_arrow_tokens,
         "op4_hilbert_shards": hilbert_shards.op4_hilbert_shards,
+        "op5_jaccard_join": jaccard_join.op5_jaccard_join,
         "op6_spaced_seeds": spaced_seeds.op6_spaced_seeds,
+        "op7_suffix_removal": suffix_removal.op7_suffix_removal,
         "op8_line_cleaning": line_cleaning.op8_line_cleaning,
         "op9_hyperdimensional": hyperdimensional.op9_hyperdimensional,
         "op10_soft_mixing": soft_mixing.op10_soft_mixing,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_cleaning": line_cleaning.ORACLE}
+    return {
+        "op5_jaccard_join": jaccard_join.ORACLE,
+        "op6_spaced_seeds": spaced_seeds.ORACLE,
+        "op7_suffix_removal": suffix_removal.ORACLE,
+        "op8_line_cleaning": line_cleaning.ORACLE,
+    }

@@ -145,3 +145,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 def op6_spaced_seeds(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _seed_sql(words: str, mask: str) -> str:
+    return "concat_ws(' ', " + ", ".join(f"{words}[i + {k}]" for k, bit in enumerate(mask) if bit == "1") + ")"
+
+
+def _masked_sql(table: str, key: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {n} AS mask, {key}, i, {_seed_sql('w', mask)} AS seed FROM (SELECT {key}, w, unnest(range(1, len(w) - {len(mask)} + 2)) AS i FROM {table})" for n, mask in enumerate(MASKS)
+    )
+
+
+_LOWER_SQL = "list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w"
+
+#: For benchmarks whose items are no shorter than the shortest mask.
+ORACLE = f"""WITH docs AS (SELECT doc_id, {_LOWER_SQL} FROM documents), items AS (SELECT item_id, {_LOWER_SQL} FROM benchmark),
+hits AS (SELECT DISTINCT d.doc_id, t.item_id, d.i - t.i AS shift FROM ({_masked_sql("docs", "doc_id")}) d JOIN ({_masked_sql("items", "item_id")}) t USING (mask, seed)),
+diagonals AS (SELECT doc_id, item_id, shift, d.w AS dw, t.w AS tw, least({WINDOW}, len(t.w)) AS n, greatest(1, 1 - shift) AS low, least(len(t.w), len(d.w) - shift) AS high
+  FROM hits JOIN docs d USING (doc_id) JOIN items t USING (item_id)),
+places AS (SELECT *, unnest(range(low, high + 1)) AS p FROM diagonals),
+alike AS (SELECT doc_id, item_id, shift, n, p, high, CAST(dw[p + shift] = tw[p] AS INT) AS same FROM places),
+sums AS (SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS full_sum FROM alike),
+windows AS (SELECT doc_id, item_id, shift, n, p, full_sum AS words_alike FROM sums WHERE p + n - 1 <= high AND full_sum >= {SHARE} * n),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY words_alike DESC, p + shift) AS k FROM windows)
+SELECT doc_id, item_id, words_alike, n AS window_words, p + shift - 1 AS start FROM ranked WHERE k = 1"""
