@@ -63,9 +63,14 @@ def line_verdict(line: Column, words: Column, suspect: Column) -> Column:
 
 def repeated_words(words: str) -> Column:
     """Words covered by 3-word windows that occur twice or more in the array column named."""
-    w = F.col(words)
-    n = F.size(w)
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(F.array().cast("array<bigint>"))
+
+    def hashed(w: Column) -> Column:
+        n = F.size(w)
+        window = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+        return F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window)).otherwise(F.array().cast("array<bigint>"))
+
+    # Bound here too: a filter pushed below the array's projection would compute the array once a window.
+    windows = let(F.col(words), hashed)
 
     def covered(at: Column) -> Column:
         gaps = F.transform(at, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - x, F.lit(3))))
