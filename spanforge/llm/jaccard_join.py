@@ -201,9 +201,10 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     both_ways = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = written(rest.select("a", "b", "na", "nb").distinct().join(both_ways, ["a", "b"], "left_anti"), "rest-pairs")
 
-    # Bounds from hubs that both sets of a pair were compared with.
+    # Bounds from the hub most like a, where b was compared with it too: one row a pair.
     seen = tested.select(F.col("a").alias("x"), F.col("b").alias("hub"), F.col("nb").alias("nh"), F.col("both").alias("o"))
-    through = rest.join(seen.toDF("a", "hub", "nh", "oa"), "a").join(seen.select("x", "hub", "o").toDF("b", "hub", "ob"), ["b", "hub"])
+    likest = seen.groupBy(F.col("x").alias("a")).agg(F.max(F.struct("o", "hub", "nh")).alias("h")).select("a", "h.hub", "h.nh", F.col("h.o").alias("oa"))
+    through = rest.join(likest, "a").join(seen.select("x", "hub", "o").toDF("b", "hub", "ob"), ["b", "hub"])
     bounds = through.groupBy("a", "b").agg(
         F.max(F.col("oa") + F.col("ob") - F.col("nh")).alias("least"),
         F.min(F.least("oa", "ob") + F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))).alias("most"),
