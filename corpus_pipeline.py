@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from spanforge.llm import arrow_tokens, jaccard_join, line_cleaning, soft_mixing, spaced_seeds
 from spanforge.llm.shared import join_checked, shared_folder, written
 
-#: After the rules few low documents are left; a share of their own would repeat those few many times over.
-SHARES = (0.98, 0.02, 0.0)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -37,9 +35,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in as many copies as their fitted rates say, so that domain token totals meet their targets."""
+    """Documents in as many copies as their fitted rates say. The targets follow from the stage's input: clean tokens
+    stay as they are, and the other domains get their share of `soft_mixing.SHARES` beside them, but never more tokens
+    than they have, as more would only repeat them. Documents labelled clean, or judged so where no label tells, all stay."""
     labels = soft_mixing.domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rates = soft_mixing.soft_mix(docs.where("doc_id is not null"), labels, ["doc_id"], SHARES)
+    known = labels.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    rows = join_checked(docs.where("doc_id is not null"), written(known, "domains"), "doc_id", "left")
+    rates = soft_mixing.soft_mix(rows, labels, ["doc_id", "domain"], whole="domain")
     copies = written(rates.groupBy("doc_id").agg(F.min("rate").alias("rate")).select("doc_id", soft_mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies")), "copies")
     joined = join_checked(docs.select(*COLUMNS), copies, "doc_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     return joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)

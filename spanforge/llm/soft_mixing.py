@@ -5,7 +5,8 @@ are then fitted by least squares, so that the expected domain token totals sum(t
 Projected gradient, distributed: a step needs only the K totals under the present rates, and a document's rate follows
 from its posterior and the steps so far, so the driver keeps K numbers a step and no rate. Residuals are weighted by
 the domains' available tokens, and rates by tokens, which leaves a well-conditioned problem; the step is one over the
-largest eigenvalue of its K x K matrix.
+largest eigenvalue of its K x K matrix. Steps end when the targets are met or when the rates no longer move: the bounds
+then allow no better, and a warning tells the totals reached. Rates that still move after STEPS steps are an error.
 
 Defined cases: a null or empty text has no tokens and rate by its posterior; domains with no available token are left
 out of the fit; an empty table gives no rows; with no label every posterior is even.
@@ -13,7 +14,8 @@ out of the fit; an empty table gives no rows; with no label every posterior is e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,9 @@ from spanforge.llm.shared import written
 DOMAINS = ("clean", "toxic", "low")
 SHARES = (0.95, 0.04, 0.01)
 SAMPLE, EPOCHS, BATCH, RATE = 10_000, 6, 64, 0.3
-STEPS, TOLERANCE = 60, 1e-3
+STEPS, TOLERANCE = 400, 1e-3
+#: Mean change of a token's rate in a step under which the rates stand still.
+STILL = 1e-5
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -79,37 +83,58 @@ def posteriors(docs: DataFrame, weights: np.ndarray, keep: list[str]) -> DataFra
     return docs.select(*inputs).mapInArrow(judge, schema)
 
 
-def rates(posterior: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """Rates after the steps (each a vector by domain, already times the step size), from 1, kept nonnegative."""
+def rates(posterior: np.ndarray, steps: np.ndarray, least: np.ndarray | float = 0.0) -> np.ndarray:
+    """Rates after the steps (each a vector by domain, already times the step size), from 1, kept at ``least`` or more."""
     r = np.ones(len(posterior))
     for u in steps:
-        r = np.maximum(0, r - posterior @ u)
+        r = np.maximum(least, r - posterior @ u)
     return r
 
 
-def _sums(table: DataFrame, steps: np.ndarray, domains: int, squares: bool) -> np.ndarray:
-    """Totals over documents of tokens * rate * posterior, or of tokens * posterior * posterior': one row a task."""
+def _parts(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray | float]:
+    """Posteriors of a batch, and the least rates where it has them."""
+    least = batch.column("least").to_numpy() if "least" in batch.schema.names else 0.0
+    return batch.column("posterior").flatten().to_numpy().reshape(-1, domains), least
+
+
+def _sums(table: DataFrame, domains: int, size: int, tell: Callable[[np.ndarray, np.ndarray, np.ndarray | float], np.ndarray]) -> np.ndarray:
+    """Sum of tell(posteriors, tokens, least rates), a vector of that size, over the table: one row a task and number."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(domains**2 if squares else domains)
+        total = np.zeros(size)
         for batch in batches:
-            p = batch.column("posterior").flatten().to_numpy().reshape(-1, domains)
-            t = batch.column("n_tokens").to_numpy().astype(np.float64)
-            total += ((p * t[:, None]).T @ p).ravel() if squares else (t * rates(p, steps)) @ p
-        yield pa.record_batch({"k": pa.array(np.arange(len(total)), pa.int32()), "x": pa.array(total)})
+            p, least = _parts(batch, domains)
+            total += tell(p, batch.column("n_tokens").to_numpy().astype(np.float64), least)
+        yield pa.record_batch({"k": pa.array(np.arange(size), pa.int32()), "x": pa.array(total)})
 
-    out = np.zeros(domains**2 if squares else domains)
-    for row in table.select("n_tokens", "posterior").mapInArrow(add, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():
+    out = np.zeros(size)
+    used = [c for c in ("n_tokens", "posterior", "least") if c in table.columns]
+    for row in table.select(*used).mapInArrow(add, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():
         out[row.k] = row.x
     return out
 
 
-def fit_rates(table: DataFrame, shares: tuple[float, ...], budget: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(steps, targets, totals reached). Without a budget, the first domain keeps all its tokens and sets the others'."""
+def _totals(table: DataFrame, steps: np.ndarray) -> tuple[np.ndarray, float]:
+    """Totals over documents of tokens * rate * posterior after the steps, and of tokens * the last step's change of rate."""
+
+    def tell(p: np.ndarray, t: np.ndarray, least: np.ndarray | float) -> np.ndarray:
+        before = rates(p, steps[:-1], least)
+        now = np.maximum(least, before - p @ steps[-1])
+        return np.append((t * now) @ p, (t * np.abs(now - before)).sum())
+
+    got = _sums(table, steps.shape[1], steps.shape[1] + 1, tell)
+    return got[:-1], got[-1]
+
+
+def fit_rates(table: DataFrame, shares: tuple[float, ...], budget: float | None = None, capped: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(steps, targets, totals reached). Without a budget, the first domain keeps all its tokens and sets the others';
+    ``capped`` targets ask no domain for more tokens than the table has of it. Rates keep to the column ``least``, if any."""
     k = len(shares)
-    gram = _sums(table, np.zeros((0, k)), k, True).reshape(k, k)
+    gram = _sums(table, k, k * k, lambda p, t, _: ((p * t[:, None]).T @ p).ravel()).reshape(k, k)
     available = gram.sum(axis=1)
     targets = np.array(shares) * (budget if budget is not None else available[0] / max(shares[0], 1e-12))
+    if capped:
+        targets = np.minimum(targets, available)
     open_ = available > 0
     if not open_.any():
         return np.zeros((0, k)), targets, available
@@ -117,10 +142,15 @@ def fit_rates(table: DataFrame, shares: tuple[float, ...], budget: float | None
     root = np.sqrt(weight)
     step = 1 / np.linalg.eigvalsh(root[:, None] * gram * root)[-1]
     steps: list[np.ndarray] = []
-    totals = available
-    while len(steps) < STEPS and np.abs(totals - targets)[open_].max() > TOLERANCE * targets.sum():
+    totals, moved = available, np.inf
+    missed = lambda: np.abs(totals - targets)[open_].max() > TOLERANCE * targets.sum()
+    while missed() and moved > STILL * available.sum():
+        if len(steps) == STEPS:
+            raise RuntimeError(f"rates still move after {STEPS} steps: totals {totals.tolist()}, targets {targets.tolist()}")
         steps.append(step * weight * (totals - targets))
-        totals = _sums(table, np.array(steps), k, False)
+        totals, moved = _totals(table, np.array(steps))
+    if missed():
+        warnings.warn(f"targets {targets.tolist()} are out of reach of the rates' bounds: totals {totals.tolist()}", stacklevel=2)
     return np.array(steps).reshape(-1, k), targets, totals
 
 
@@ -130,17 +160,23 @@ def rated(table: DataFrame, steps: np.ndarray) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column("posterior").flatten().to_numpy().reshape(-1, steps.shape[1])
-            yield pa.record_batch({n: batch.column(n) for n in names} | {"rate": pa.array(rates(p, steps))})
+            p, least = _parts(batch, steps.shape[1])
+            yield pa.record_batch({n: batch.column(n) for n in names} | {"rate": pa.array(rates(p, steps, least))})
 
     return table.mapInArrow(apply, StructType([*table.schema.fields, StructField("rate", DoubleType())]))
 
 
-def soft_mix(docs: DataFrame, labels: DataFrame, keep: list[str], shares: tuple[float, ...] = SHARES, budget: float | None = None, limit: int = SAMPLE) -> DataFrame:
-    """keep columns of every row with n_tokens, posterior and rate."""
+def soft_mix(docs: DataFrame, labels: DataFrame, keep: list[str], shares: tuple[float, ...] = SHARES, budget: float | None = None, limit: int = SAMPLE, whole: str | None = None) -> DataFrame:
+    """keep columns of every row with n_tokens, posterior and rate. ``whole`` names a kept column with the domain that a
+    row is known to be of, or null: rows known or else judged to be of the first domain then have rates of 1 or more
+    (column least), and targets are capped at what the rows have."""
     index, value, label = labelled_sample(docs, labels, "domain", limit)
-    table = written(posteriors(docs, fit_domains(index, value, label, len(shares)), keep), "posteriors")
-    steps, _, _ = fit_rates(table, shares, budget)
+    table = posteriors(docs, fit_domains(index, value, label, len(shares)), keep)
+    if whole is not None:
+        leads = F.col("posterior")[0] >= F.array_max("posterior")
+        table = table.withColumn("least", F.coalesce(F.col(whole) == 0, leads).cast("double"))
+    table = written(table, "posteriors")
+    steps, _, _ = fit_rates(table, shares, budget, whole is not None)
     return rated(table, steps)
 
 
