@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.llm import arrow_tokens, jaccard_join, line_cleaning, soft_mixing, spaced_seeds
-from spanforge.llm.shared import join_checked, shared_folder, written
+from spanforge.llm.shared import join_checked, shared_folder, with_key, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,12 +21,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group at 0.8 or more of five-word shingles; rows without an id stay if alone."""
-    groups = jaccard_join.jaccard_components(docs)
-    first = written(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")), "survivors")
-    repeated = first.groupBy("kept_id").count().where("count > 1 and kept_id is not null").limit(1).count()
-    out = join_checked(docs.select(*COLUMNS), first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    """One row of each group at 0.8 or more of five-word shingles: that of least id, rows without an id last."""
+    return jaccard_join.least_rows(with_key(docs.select(*COLUMNS), *COLUMNS)).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +36,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     than they have, as more would only repeat them. Documents labelled clean, or judged so where no label tells, all stay."""
     labels = soft_mixing.domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     known = labels.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    rows = join_checked(docs.where("doc_id is not null"), written(known, "domains"), "doc_id", "left")
-    rates = soft_mixing.soft_mix(rows, labels, ["doc_id", "domain"], whole="domain")
-    copies = written(rates.groupBy("doc_id").agg(F.min("rate").alias("rate")).select("doc_id", soft_mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies")), "copies")
-    joined = join_checked(docs.select(*COLUMNS), copies, "doc_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    keyed = with_key(docs.select(*COLUMNS), *COLUMNS)
+    rows = join_checked(keyed, written(known, "domains"), "doc_id", "left")
+    rates = soft_mixing.soft_mix(rows, labels, ["row_key", "domain"], whole="domain")
+    # Rows of one key are alike, and so are their rates.
+    copies = written(rates.groupBy("row_key").agg(F.min("rate").alias("rate")).select("row_key", soft_mixing.copies(F.col("rate"), F.col("row_key")).alias("copies")), "copies")
+    joined = join_checked(keyed, copies, "row_key")
     return joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

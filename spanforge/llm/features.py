@@ -86,10 +86,12 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBat
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """Features and labels of at most ``limit`` labelled documents, those of least hashed id: the bound on what the
-    driver fits on. Rows without an id or label are passed over; of several labels of one id the least counts."""
+    driver fits on. Rows without an id or label are passed over; of several labels of one id the least
+    counts, and of several texts the least, so that no id sends the driver more than one row."""
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    sample = docs.join(F.broadcast(chosen), "doc_id")
+    used = ["text", *(["n_chars"] if "n_chars" in docs.columns else [])]
+    sample = docs.select("doc_id", *used).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min(F.struct(*used)).alias("_row")).select("doc_id", "_label", "_row.*")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, got in batches_of(batches):

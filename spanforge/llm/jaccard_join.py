@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
 from spanforge.llm.components import connected_components
-from spanforge.llm.shared import dropped, join_checked, written
+from spanforge.llm.shared import dropped, join_checked, with_key, written
 
 #: Buckets of the sketch that orders shingles: any order is exact, a good one is short lists.
 SKETCH_BITS = 18
@@ -66,9 +66,10 @@ def document_classes(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for chunk in W.chunks(batch.column("text"), True):
                 n, which = _classes(*sets_of(chunk, k))
-                yield pa.record_batch({"doc_id": batch.column("doc_id").slice(chunk.first, chunk.last - chunk.first), "n": pa.array(n, pa.int64()), "class": pa.array(which)})
+                own = {c: batch.column(c).slice(chunk.first, chunk.last - chunk.first) for c in ("doc_id", "row_key")}
+                yield pa.record_batch({**own, "n": pa.array(n, pa.int64()), "class": pa.array(which)})
 
-    return docs.select("doc_id", "text").mapInArrow(emit, "doc_id long, n long, class long")
+    return docs.select("doc_id", "row_key", "text").mapInArrow(emit, "doc_id long, row_key long, n long, class long")
 
 
 def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
@@ -128,9 +129,9 @@ def prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) ->
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """class and its sorted shingles, for the classes wanted; recomputed from one document of each."""
-    chosen = written(classes.join(wanted, "class", "left_semi").where("doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "set-ids")
-    own = join_checked(docs.select("doc_id", "text"), chosen, "doc_id", "left_semi", SET_ROWS)
+    """class and its sorted shingles, for the classes wanted; recomputed from one row of each, with or without an id."""
+    chosen = written(classes.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("row_key").alias("row_key")).select("row_key").distinct(), "set-keys")
+    own = join_checked(docs.select("row_key", "text"), chosen, "row_key", "left_semi", SET_ROWS)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,9 +222,24 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     return out.select(F.col("node").alias("class"), "root")
 
 
+def least_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """docs (with row_key) with one row of each component, that of least id (null last) and key; rows without words stay."""
+    classes = written(document_classes(docs, k), "classes")
+    full = classes.where("n > 0").join(linked_components(docs, classes, k, num, den), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")).select("first.row_key")
+    several = classes.where("n > 0").groupBy("row_key").count().where("count > 1").select("row_key", F.lit(True).alias("several"))
+    kept = first.join(several, "row_key", "left").unionByName(classes.where("n = 0").select("row_key", F.lit(None).cast("boolean").alias("several")).distinct())
+    kept = written(kept, "kept-rows")
+    out = join_checked(docs, kept, "row_key")
+    # Rows alike in every column share a key: where such rows are kept, one of them is.
+    if kept.where("several").isEmpty():
+        return out.select(*docs.columns)
+    return out.where("several is null").unionByName(out.where("several").dropDuplicates(["row_key"])).select(*docs.columns)
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: documents whose sets of k-word shingles reach num / den linked."""
-    docs = docs.select("doc_id", "text")
+    docs = with_key(docs.select("doc_id", "text"), "doc_id", "text")
     classes = written(document_classes(docs, k), "classes")
     roots = linked_components(docs, classes, k, num, den)
     full = classes.where("n > 0").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -46,6 +46,14 @@ def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", limit
     return big.join(F.broadcast(small) if small.count() <= limit else small, on, how)
 
 
+def with_key(docs: DataFrame, *columns: str) -> DataFrame:
+    """docs with row_key, a hash of these columns in which nulls count: the same on every reading, and equal for rows
+    alike in all of them, which every stage judges alike. A row_key that is there already stays."""
+    if "row_key" in docs.columns:
+        return docs
+    return docs.withColumn("row_key", F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))]))
+
+
 def filesystem(path: str):
     """pyarrow's file system of a shared folder, and the path in it."""
     from pyarrow import fs

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
+from spanforge.llm.shared import with_key
 
 #: Kept positions are 1. No mask is another's shift, so a substitution seldom spoils all of them.
 MASKS = ("1110110111", "11011001111", "110101011011")
@@ -138,9 +139,10 @@ def _finder(sent, window: int, share: float):
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs without the rows whose id overlaps any item; rows with a null id are judged by no one and stay."""
-    hit = contaminated(docs.where("doc_id is not null"), benchmark, **options).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    """docs without the rows that overlap any item, each judged by its own text, with or without an id."""
+    keyed = with_key(docs, "doc_id", "text")
+    hit = contaminated(keyed.select(F.col("row_key").alias("doc_id"), "text"), benchmark, **options).select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(hit, "row_key", "left_anti").select(*docs.columns)
 
 
 def op6_spaced_seeds(spark, sf_dir: str) -> DataFrame:

@@ -14,3 +14,47 @@ def test_mixing_keeps_documents_labelled_clean(spark):
     after = Counter(r.doc_id for r in corpus_pipeline.mixed(spark, docs, DATA).collect())
     assert before and before <= set(after)
     assert max(after.values()) < 10
+
+
+FIELDS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame([(k, t, None, None, None) for k, t in rows], FIELDS)
+
+
+def test_near_duplicates_keep_one_row_a_component(spark):
+    import corpus_pipeline
+
+    rows = [(1, LONG), (1, LONG), (1, "one text of its own under a shared id"), (2, LONG + " end"), (None, "null id and alone"), (None, "null id and also alone"), (None, LONG), (7, "here the copy has no id"), (None, "here the copy has no id"), (None, "both copies without id"), (None, "both copies without id"), (8, None), (9, "")]
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, _rows(spark, *rows), DATA).collect())
+    assert got == Counter(rows[k] for k in (1, 2, 4, 5, 7, 9, 11, 12))
+    plain = [x for k, x in enumerate(rows) if k != 1]
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, _rows(spark, *plain), DATA).collect()) == got
+
+
+def test_texts_without_ids_link_others(spark):
+    from spanforge.llm import jaccard_join
+
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words)), (None, " ".join(words[:-3])), (2, " ".join(words[:-6]))]
+    got = jaccard_join.jaccard_components(_rows(spark, *rows), 3, 94, 100).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (None, 1), (2, 1)}
+
+
+def test_decontamination_judges_rows_by_their_own_text(spark):
+    from spanforge.llm import spaced_seeds
+
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    rows = [(None, "x " + LONG), (5, LONG), (5, "another text under that id"), (None, "clean")]
+    got = spaced_seeds.decontaminate(_rows(spark, *rows), items).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("5", rows[2][1]), ("None", "clean")]
+
+
+def test_labelled_sample_takes_an_id_once(spark):
+    from spanforge.llm import features
+
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
+    index, _, label = features.labelled_sample(_rows(spark, *[(1, f"text {k}") for k in range(50)], (2, "b")), labels, "label", 10)
+    assert len(index) == 2 and label.tolist() == [1, 0]
