@@ -58,3 +58,39 @@ def test_labelled_sample_takes_an_id_once(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, label int")
     index, _, label = features.labelled_sample(_rows(spark, *[(1, f"text {k}") for k in range(50)], (2, "b")), labels, "label", 10)
     assert len(index) == 2 and label.tolist() == [1, 0]
+
+
+def test_masks_are_lossless():
+    from spanforge.llm import spaced_seeds as S
+
+    for window in range(1, 18):
+        for share in (0.5, 0.8, 0.9):
+            assert S.lossless(S.masks_for(window, share), window, S.allowed(window, share))
+    assert S.masks_for(S.WINDOW, S.SHARE) == S.MASKS and S.allowed(10, 0.8) == S.allowed(13, 0.8) == 2 and S.allowed(9, 0.8) == 1
+
+
+def test_spaced_seeds_against_brute_force(spark):
+    import random
+
+    from spanforge.llm import spaced_seeds as S
+
+    draw = random.Random(3)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 21)}
+    docs = {}
+    for n, words in items.items():
+        for _ in range(40):
+            own = list(words)
+            for at in draw.sample(range(n), min(n, draw.randrange(5))):
+                own[at] = f"x{at}"
+            docs[len(docs)] = ["y"] * draw.randrange(3) + own + ["z"] * draw.randrange(3)
+    want = set()
+    for d, text in docs.items():
+        for k, item in items.items():
+            n = min(S.WINDOW, len(item))
+            for i in range(len(item) - n + 1):
+                for j in range(len(text) - n + 1):
+                    if sum(a == b for a, b in zip(item[i : i + n], text[j : j + n], strict=True)) >= S.SHARE * n:
+                        want.add((d, k))
+    frame = lambda x, name: spark.createDataFrame([(k, " ".join(v)) for k, v in x.items()], f"{name} long, text string")
+    got = S.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
