@@ -7,7 +7,7 @@ Level 1 holds word hashes; a word's id is its rank. Level k holds, context after
 each. A look-up adds the context's base to the relative code and searches the sequence at that spot.
 
 Counts come from grouped Spark aggregations, one level after the other: an n-gram is counted only where its prefix and
-suffix were kept, and kept if it occurs MIN_COUNT times or more. Levels are cut into ranges of contexts; a task builds
+suffix were kept, and kept if it occurs MIN_COUNT times or more: by default all are. Levels are cut into ranges of contexts; a task builds
 one range and writes it to the shared folder, and scoring tasks map the files, so no process holds a level in memory.
 
 P(w | context) = (count - D) / count(context) + b(context) * P(w | shorter context) for kept n-grams, else the second
@@ -35,7 +35,7 @@ from spanforge.llm import words as W
 from spanforge.llm.elias_fano import encode, monotone, named, pack, unpack
 from spanforge.llm.shared import crc_of_id, dropped, filesystem, publish, shared_folder, written
 
-ORDER, MIN_COUNT, DISCOUNT, STEP = 3, 2, 0.75, 0.04
+ORDER, MIN_COUNT, DISCOUNT, STEP = 3, 1, 0.75, 0.04
 #: Hash of the end token: that of a "word" of white space, which no text has.
 END = W.mix(np.array([0x20], np.uint64))[0]
 SIGN = np.uint64(1 << 63)

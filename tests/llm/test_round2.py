@@ -94,3 +94,13 @@ def test_spaced_seeds_against_brute_force(spark):
     frame = lambda x, name: spark.createDataFrame([(k, " ".join(v)) for k, v in x.items()], f"{name} long, text string")
     got = S.contaminated(frame(docs, "doc_id"), frame(items, "item_id")).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
+
+
+def test_trie_keeps_ngrams_that_occur_once(spark):
+    from spanforge.llm import ngram_trie
+
+    texts = ["a b c d e", "a b x", "one", None]
+    trie = ngram_trie.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    lines = [[*(t or "").split(), "</s>"] for t in texts]
+    for level, shards in enumerate(trie.levels, 1):
+        assert sum(x.size for x in shards) >= len({tuple(w[k : k + level]) for w in lines for k in range(len(w) - level + 1)})
