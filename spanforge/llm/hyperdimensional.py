@@ -31,16 +31,10 @@ DIMENSIONS, SYMBOLS, GRAM, BYTES = 1024, 64, 3, 1 << 19
 def letter_table() -> np.ndarray:
     """Symbol of each code point: 0 if not alphabetic; a-z their own; others share the rest by code point."""
     out = np.zeros(0x110000, np.uint8)
-    for low, high in ((0, 0x3400), (0x3400, 0x110000)):
-        if low:
-            # Ideographs and beyond: whole planes are alphabetic or not in runs, so one test serves for 16 code points.
-            alpha = np.repeat(np.fromiter((chr(c).isalpha() for c in range(low, high, 16)), bool), 16)
-            out[low:high] = np.where(alpha, 27 + np.arange(low, high) % (SYMBOLS - 27), 0)
-        else:
-            for c in range(high):
-                if chr(c).isalpha():
-                    x = ord(chr(c).lower()[0])
-                    out[c] = x - 96 if 97 <= x <= 122 else 27 + x % (SYMBOLS - 27)
+    for c in range(len(out)):
+        if chr(c).isalpha():
+            x = ord(chr(c).lower()[0])
+            out[c] = x - 96 if 97 <= x <= 122 else 27 + x % (SYMBOLS - 27)
     return out
 
 

@@ -104,3 +104,10 @@ def test_trie_keeps_ngrams_that_occur_once(spark):
     lines = [[*(t or "").split(), "</s>"] for t in texts]
     for level, shards in enumerate(trie.levels, 1):
         assert sum(x.size for x in shards) >= len({tuple(w[k : k + level]) for w in lines for k in range(len(w) - level + 1)})
+
+
+def test_every_letter_counts_as_one():
+    from spanforge.llm import hyperdimensional
+
+    table = hyperdimensional.letter_table()
+    assert all((table[c] > 0) == chr(c).isalpha() for c in range(0x110000))
