@@ -7,8 +7,11 @@ import json
 import numpy as np
 
 _ONE, _ALL, _SIX = np.uint64(1), np.uint64(2**64 - 1), np.uint64(63)
-#: A position is kept for every so many ones, and zeros, of the upper bits.
-SAMPLE = 64
+_PAIRS, _FOURS, _BYTES, _EACH, _TOPS = (np.uint64(x * (2**64 - 1) // 255) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
+#: Place of the k-th one in a byte, by byte and k (8: it has fewer).
+_BIT = np.array([[*(i for i in range(8) if byte >> i & 1), *[8] * 8][:8] for byte in range(256)], np.int64)
+#: A position is kept for every so many ones, and zeros, of the upper bits, and their count before every so many words.
+SAMPLE, WORDS = 256, 4
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -33,24 +36,33 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
         "meta": np.array([n, low, last], np.int64),
         "low": packed,
         "upper": upper,
-        "ones": at[::SAMPLE].astype(np.int64),
-        "zeros": (zeros + np.searchsorted(highs, zeros, "right")).astype(np.int64),
+        "ones": np.append(at[::SAMPLE], n + last).astype(np.int64),
+        "zeros": np.append(zeros + np.searchsorted(highs, zeros, "right"), n + last).astype(np.int64),
+        "before": np.concatenate([[0], np.cumsum(np.bitwise_count(upper), dtype=np.int64)])[::WORDS],
     }
 
 
 class Monotone:
     def __init__(self, parts: dict[str, np.ndarray]) -> None:
         self.n, self.low, self.last = (int(x) for x in parts["meta"])
-        self.packed, self.upper, self.ones, self.zeros = (parts[k] for k in ("low", "upper", "ones", "zeros"))
+        self.packed, self.upper, self.ones, self.zeros, self.before = (parts[k] for k in ("low", "upper", "ones", "zeros", "before"))
         self.mask = _ALL >> np.uint64(64 - self.low) if self.low else np.uint64(0)
 
     def _select(self, k: np.ndarray, one: bool) -> np.ndarray:
         """Bit position of the k-th one, or zero, of the upper bits."""
-        flip = np.uint64(0) if one else _ALL
-        start = (self.ones if one else self.zeros)[k // SAMPLE]
-        left = (k % SAMPLE).astype(np.int64)
-        word = start >> 6
-        x = (self.upper[word] ^ flip) & (_ALL << (start & 63).astype(np.uint64))
+        flip, sample, size = np.uint64(0) if one else _ALL, self.ones if one else self.zeros, 64 * WORDS
+        block, last = sample[k // SAMPLE] // size, sample[k // SAMPLE + 1] // size
+        going = np.flatnonzero(block < last)
+        while len(going):
+            middle = (block[going] + last[going] + 1) >> 1
+            count = self.before[middle] if one else middle * size - self.before[middle]
+            on = count <= k[going]
+            block[going] = np.where(on, middle, block[going])
+            last[going] = np.where(on, last[going], middle - 1)
+            going = going[block[going] < last[going]]
+        left = k - (self.before[block] if one else block * size - self.before[block])
+        word = block * WORDS
+        x = self.upper[word] ^ flip
         count = np.bitwise_count(x).astype(np.int64)
         more = np.flatnonzero(left >= count)
         while len(more):
@@ -59,15 +71,14 @@ class Monotone:
             x[more] = self.upper[word[more]] ^ flip
             count[more] = np.bitwise_count(x[more])
             more = more[left[more] >= count[more]]
-        place = word * 64
-        for step in (32, 16, 8, 4, 2, 1):
-            part = x & ((_ONE << np.uint64(step)) - _ONE)
-            count = np.bitwise_count(part).astype(np.int64)
-            go = left >= count
-            left -= count * go
-            x = np.where(go, x >> np.uint64(step), part)
-            place += step * go
-        return place
+        # Within the word: prefix sums of its bytes' counts find the byte, a table the bit.
+        sums = x - ((x >> _ONE) & _PAIRS)
+        sums = (sums & _FOURS) + ((sums >> np.uint64(2)) & _FOURS)
+        sums = ((sums + (sums >> np.uint64(4))) & _BYTES) * _EACH
+        rank = left.astype(np.uint64)
+        byte = np.bitwise_count((((rank * _EACH) | _TOPS) - sums) & _TOPS).astype(np.uint64) << np.uint64(3)
+        rank -= ((sums << np.uint64(8)) >> byte) & np.uint64(255)
+        return word * 64 + byte.astype(np.int64) + _BIT[((x >> byte) & np.uint64(255)).astype(np.int64), rank.astype(np.int64)]
 
     def _lower(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
@@ -86,7 +97,7 @@ class Monotone:
         return (high << np.uint64(self.low)) | self._lower(i) if self.low < 64 else self._lower(i)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """First position of each value, or -1: a jump to the values that share its upper bits, then a search among them."""
+        """First position of each value, or -1: a jump to the values that share its upper bits, then bisection among them."""
         out = np.full(len(x), -1, np.int64)
         high = (x >> np.uint64(self.low)).astype(np.int64) if self.low < 64 else np.zeros(len(x), np.int64)
         live = np.flatnonzero((high >= 0) & (high <= self.last)) if self.n else np.zeros(0, np.int64)
@@ -96,15 +107,27 @@ class Monotone:
         bit = np.zeros(len(live), np.int64)
         later = np.flatnonzero(high > 0)
         bit[later] = self._select(high[later] - 1, False) + 1
-        at, want = bit - high, x[live] & self.mask
-        while len(live):
-            one = ((self.upper[bit >> 6] >> (bit & 63).astype(np.uint64)) & _ONE).astype(bool)
-            live, bit, at, want = live[one], bit[one], at[one], want[one]
-            got = self._lower(at)
-            hit = got == want
-            out[live[hit]] = at[hit]
-            on = got < want
-            live, bit, at, want = live[on], bit[on] + 1, at[on] + 1, want[on]
+        # The values that share the upper bits are a run of ones; one that leaves its word ends at the next zero.
+        off = bit & 63
+        rest = self.upper[bit >> 6] >> off.astype(np.uint64)
+        size = np.bitwise_count(rest & ~(rest + _ONE)).astype(np.int64)
+        long = np.flatnonzero(off + size >= 64)
+        size[long] = self._select(high[long], False) - bit[long]
+        start, want = bit - high, x[live] & self.mask
+        low, up = start, start + size
+        some = np.flatnonzero(size > 0)
+        live, want, low, up = live[some], want[some], low[some], up[some]
+        end = up.copy()
+        going = np.arange(len(live))
+        while len(going):
+            middle = (low[going] + up[going]) >> 1
+            less = self._lower(middle) < want[going]
+            low[going] = np.where(less, middle + 1, low[going])
+            up[going] = np.where(less, up[going], middle)
+            going = going[low[going] < up[going]]
+        inside = np.flatnonzero(low < end)
+        hit = inside[self._lower(low[inside]) == want[inside]]
+        out[live[hit]] = low[hit]
         return out
 
 
@@ -132,4 +155,4 @@ def named(prefix: str, parts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def monotone(prefix: str, arrays: dict[str, np.ndarray]) -> Monotone:
-    return Monotone({k: arrays[f"{prefix}.{k}"] for k in ("meta", "low", "upper", "ones", "zeros")})
+    return Monotone({k: arrays[f"{prefix}.{k}"] for k in ("meta", "low", "upper", "ones", "zeros", "before")})
