@@ -1,8 +1,9 @@
 """Exact Jaccard join of shingle sets, with set relations used to skip work, and its connected components.
 
-Equal sets are one class and answer alike. Classes are compared where their prefixes meet: a set's shingles are put in a
-global order (rarer buckets of a count sketch over all documents first, then by hash), and sets at least as similar as
-asked share one of the first n - ceil(t n) + 1.
+Equal sets are one class and answer alike. First, every shingle is counted over all documents, in packed runs that meet by
+parts of the hash space: a set with more than n - ceil(t n) shingles of its own can be like no other and is done. The sets
+that are left are compared where their prefixes meet: a set's shingles are put in a global order (fewest sets first, then
+by hash), and sets at least as similar as asked share one of the first n - ceil(t n) + 1.
 
 Skipping in the index: each shingle's list is cut into blocks by set size and by the shingle's position. A pair of
 blocks is opened only if the sizes can match and the words left after both positions could still make up the overlap
@@ -20,26 +21,27 @@ columns beyond id and text are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
 from spanforge.llm.components import connected_components
+from spanforge.llm.elias_fano import pack, unpack
 from spanforge.llm.shared import dropped, join_checked, with_key, written
 
-#: Buckets of the sketch that orders shingles: any order is exact, a good one is short lists.
-SKETCH_BITS = 18
-BLOCK, POSITIONS, SEEN = 4096, 8, 500_000
+#: Shingles that a task counts at once, bytes of text for each part of the hash space, and positions of a block of a list.
+RUN, PART, POSITIONS = 1_000_000, 8 << 20, 8
 SET_ROWS = 1_000_000
 
 
-def sets_of(chunk: W.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of a chunk's documents, sorted by document then hash, and where each document begins."""
-    docs = len(chunk.words) - 1
+def shingles_of(chunk: W.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of a chunk's documents, repeats included, and the document of each."""
     starts, doc = W.gram_starts(chunk.words, k)
     keys = W.grams(chunk.hashes, k)[starts] if len(starts) else np.zeros(0, np.uint64)
     counts = np.diff(chunk.words)
@@ -48,99 +50,168 @@ def sets_of(chunk: W.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(own):
             at = chunk.words[own]
             keys, doc = np.concatenate([keys, W.grams(chunk.hashes, n)[at] ^ np.uint64(n)]), np.concatenate([doc, own])
+    return keys, doc
+
+
+def sets_of(chunk: W.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of a chunk's documents, sorted by document then hash, and where each document begins."""
+    keys, doc = shingles_of(chunk, k)
     order = np.lexsort((keys, doc))
     keys, doc = keys[order], doc[order]
     new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]) if len(keys) else np.zeros(0, bool)
-    return keys[new], np.searchsorted(doc[new], np.arange(docs + 1))
-
+    return keys[new], np.searchsorted(doc[new], np.arange(len(chunk.words)))
+
+
+def _classes(keys: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Size and class (a hash of the whole set, in any order) of each document from its distinct shingles."""
+    n, total = np.bincount(doc, minlength=docs), np.zeros(docs, np.uint64)
+    np.add.at(total, doc, W.mix(keys ^ W._C))
+    return n, W.mix(total + n.astype(np.uint64) * W._A).view(np.int64)
+
+
+def _prefix(n: Column, num: int, den: int) -> Column:
+    """Shingles of a set's prefix: fewer of its own leave enough for a link."""
+    return n - F.ceil(n * num / F.lit(float(den)) - 1e-9) + 1
+
+
+_META = {"doc_id": pa.list_(pa.int64()), "row_key": pa.list_(pa.int64()), "n": pa.list_(pa.int64()), "class": pa.list_(pa.int64()), "shared": pa.list_(pa.int64())}
+_META_DDL = ", ".join(f"`{c}` array<long>" for c in _META)
+
+
+def _counted_runs(docs: DataFrame, k: int, bits: int) -> DataFrame:
+    """part, run, packed, and once a run its documents. packed: a run's distinct shingles of a part (32 bits of the hash
+    behind the part's), in order of the document they are in, and how many each document has; last those that several
+    documents of the run have, so that a shingle of all documents is sent once a run. Runs are numbered by task: docs must
+    read the same again."""
+    low, most = np.uint64(64 - bits - 32), np.uint64(64 - bits)
+    empty = dict.fromkeys(_META, [None])
+
+    def row(part: int, run: str, packed: bytes | None, meta: dict) -> pa.RecordBatch:
+        own = {"part": pa.array([part], pa.int32()), "run": pa.array([run]), "packed": pa.array([packed], pa.binary())}
+        return pa.record_batch(own | {c: pa.array(meta[c], kind) for c, kind in _META.items()})
+
+    def counted(held: list[tuple], run: str) -> Iterator[pa.RecordBatch]:
+        firsts = np.cumsum([0, *(size for _, _, size, _, _ in held)])
+        keys, doc = np.concatenate([x[0] for x in held]), np.concatenate([x[1] + first for x, first in zip(held, firsts, strict=False)])
+        docs, ids, row_keys = int(firsts[-1]), *([y for x in held for y in x[i]] for i in (3, 4))
+        order = np.argsort(keys)
+        keys, doc = keys[order], doc[order]
+        again = np.append(False, keys[1:] == keys[:-1])
+        again[:-1] |= again[1:]
+        # Of shingles met several times, each document counts once.
+        once, several = np.flatnonzero(~again), np.flatnonzero(again)
+        pairs = np.lexsort((doc[several], keys[several]))
+        several = several[pairs]
+        several = several[np.append(True, (keys[several][1:] != keys[several][:-1]) | (doc[several][1:] != doc[several][:-1]))] if len(several) else several
+        first = np.append(True, keys[several][1:] != keys[several][:-1])[: len(several)]
+        alone = first & np.append(first[1:], True)[: len(several)]
+        shared = np.bincount(doc[several[~alone]], minlength=docs)
+        n, which = _classes(np.concatenate([keys[once], keys[several]]), np.concatenate([doc[once], doc[several]]), docs)
+        yield row(zlib.crc32(run.encode()) % (1 << bits), run, None, {"doc_id": [ids], "row_key": [row_keys], "n": [n], "class": [which], "shared": [shared]})
+        sent = np.concatenate([once, several[first]])
+        owner = np.concatenate([doc[once], np.where(alone, doc[several], docs)[first]])
+        part = (keys[sent] >> most).astype(np.int64)
+        order = np.argsort(part * (docs + 1) + owner)
+        part, owner, short = part[order], owner[order], ((keys[sent[order]] >> low) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)) if len(part) else [0]
+        for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+            sizes = np.bincount(owner[at:end], minlength=docs + 1)
+            yield row(int(part[at]), run, pack({"short": short[at:end], "sizes": sizes.astype(np.min_scalar_type(sizes.max()))}), empty)
 
-def _classes(keys: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Size and class (a hash of the whole set) of each document."""
-    n = np.diff(begin)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(W.mix(keys ^ W._C), dtype=np.uint64)])
-    return n, W.mix(total[begin[1:]] - total[begin[:-1]] + n.astype(np.uint64) * W._A).view(np.int64)
-
-
-def document_classes(docs: DataFrame, k: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in W.chunks(batch.column("text"), True):
-                n, which = _classes(*sets_of(chunk, k))
-                own = {c: batch.column(c).slice(chunk.first, chunk.last - chunk.first) for c in ("doc_id", "row_key")}
-                yield pa.record_batch({**own, "n": pa.array(n, pa.int64()), "class": pa.array(which)})
-
-    return docs.select("doc_id", "row_key", "text").mapInArrow(emit, "doc_id long, row_key long, n long, class long")
-
+        from pyspark import TaskContext
 
-def bucket_counts(docs: DataFrame, k: int) -> np.ndarray:
-    """Documents by bucket of shingle hashes, over all documents: a table of fixed size, summed in blocks."""
-    size = 1 << SKETCH_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        held, size, number = [], 0, 0
         for batch in batches:
             for chunk in W.chunks(batch.column("text"), True):
-                keys, _ = sets_of(chunk, k)
-                total += np.bincount((keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=size)
-        blocks = [total[at : at + BLOCK].tobytes() for at in range(0, size, BLOCK)]
-        yield pa.record_batch({"block": pa.array(np.arange(len(blocks)), pa.int32()), "counts": pa.array(blocks, pa.binary())})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                totals[block] = totals.get(block, 0) + np.frombuffer(counts, np.int64)
-        yield pa.record_batch({"block": pa.array(list(totals), pa.int32()), "counts": pa.array([x.tobytes() for x in totals.values()], pa.binary())})
-
-    schema = "block int, counts binary"
-    out = np.zeros(size, np.int64)
-    for row in docs.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
-        out[row.block * BLOCK : (row.block + 1) * BLOCK] = np.frombuffer(row.counts, np.int64)
-    return out
-
-
-def prefixes(docs: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
-    """shingle, class, n, pos: the places of each set's prefix. A task leaves out classes it has just sent."""
-    rank = np.argsort(np.argsort(counts, kind="stable"), kind="stable").astype(np.uint32)
-    sent = docs.sparkSession.sparkContext.broadcast(rank)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            for chunk in W.chunks(batch.column("text"), True):
-                keys, begin = sets_of(chunk, k)
-                n, which = _classes(keys, begin)
-                fresh = np.zeros(len(n), bool)
-                for at in np.flatnonzero(n).tolist():
-                    if (c := int(which[at])) not in seen:
-                        seen.add(c)
-                        fresh[at] = True
-                if len(seen) > SEEN:
-                    seen.clear()
-                doc = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((keys, sent.value[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], doc))
-                pos = np.arange(len(keys)) - begin[:-1][doc]
-                length = n - (num * n + den - 1) // den + 1
-                take = np.flatnonzero((pos < length[doc]) & fresh[doc])
-                own = doc[take]
-                yield pa.record_batch({"shingle": pa.array(keys[order][take].view(np.int64)), "class": pa.array(which[own]), "n": pa.array(n[own], pa.int64()), "pos": pa.array(pos[take], pa.int64())})
-
-    return docs.select("text").mapInArrow(emit, "shingle long, class long, n long, pos long")
-
-
-def class_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """class and its sorted shingles, for the classes wanted; recomputed from one row of each, with or without an id."""
-    chosen = written(classes.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("row_key").alias("row_key")).select("row_key").distinct(), "set-keys")
+                keys, doc = shingles_of(chunk, k)
+                ids, row_keys = (batch.column(c).slice(chunk.first, chunk.last - chunk.first).to_pylist() for c in ("doc_id", "row_key"))
+                held.append((keys, doc, len(ids), ids, row_keys))
+                size += len(keys)
+                if size >= RUN:
+                    yield from counted(held, f"{TaskContext.get().partitionId()}-{number}")
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield from counted(held, f"{TaskContext.get().partitionId()}-{number}")
+
+    return docs.select("doc_id", "row_key", "text").mapInArrow(emit, f"part int, run string, packed binary, {_META_DDL}")
+
+
+def _shared_in_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each run of a part, its documents with shingles that another run has too, and how many; rows of documents pass."""
+    by_part: dict[int, list[tuple[str, bytes]]] = {}
+    names = ["run", "packed", *_META]
+    for batch in batches:
+        passing = batch.filter(pa.compute.is_null(batch.column("packed")))
+        if passing.num_rows:
+            yield passing.select(names)
+        rest = batch.filter(pa.compute.is_valid(batch.column("packed"))).select(["part", "run", "packed"])
+        for row in rest.to_pylist():
+            by_part.setdefault(row["part"], []).append((row["run"], row["packed"]))
+    for rows in by_part.values():
+        runs = [unpack(np.frombuffer(packed, np.uint8)) for _, packed in rows]
+        short = np.concatenate([x["short"] for x in runs])
+        order = np.argsort(short)
+        same = short[order][1:] == short[order][:-1]
+        often = np.zeros(len(short), bool)
+        often[order[1:][same]] = often[order[:-1][same]] = True
+        at = 0
+        for (run, _), x in zip(rows, runs, strict=True):
+            owner = np.repeat(np.arange(len(x["sizes"])), x["sizes"])[often[at : at + len(x["short"])]]
+            at += len(x["short"])
+            docs, counts = np.unique(owner[owner < len(x["sizes"]) - 1], return_counts=True)
+            if len(docs):
+                packed = pack({"doc": docs.astype(np.min_scalar_type(docs[-1])), "count": counts.astype(np.min_scalar_type(counts.max()))})
+                yield pa.record_batch({"run": pa.array([run]), "packed": pa.array([packed], pa.binary())} | {c: pa.array([None], kind) for c, kind in _META.items()})
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document of a run, with its counts of all parts added."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            meta = {c: batch.column(c)[at].values for c in _META}
+            shared = np.array(meta["shared"].to_numpy())
+            for packed in batch.column("packed")[at].as_py():
+                x = unpack(np.frombuffer(packed, np.uint8))
+                shared[x["doc"]] += x["count"]
+            yield pa.record_batch({**{c: meta[c] for c in ("doc_id", "row_key", "n", "class")}, "shared": pa.array(shared)})
+
+
+def document_classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """doc_id, row_key, n, class (a hash of the whole set) of every document, and alone: no other document can be like it."""
+    spark = docs.sparkSession
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(int(spark.conf.get("spark.sql.shuffle.partitions")) - 1, size // PART, 1).bit_length()
+    runs = _counted_runs(docs, k, bits).repartitionById(1 << bits, "part").mapInArrow(_shared_in_part, f"run string, packed binary, {_META_DDL}")
+    whole = runs.groupBy("run").agg(F.collect_list("packed").alias("packed"), *[F.first(c, ignorenulls=True).alias(c) for c in _META])
+    rows = whole.mapInArrow(_documents, "doc_id long, row_key long, n long, class long, shared long")
+    return rows.withColumn("alone", (F.col("n") == 0) | (F.col("n") - F.col("shared") >= _prefix(F.col("n"), num, den))).drop("shared")
+
+
+def open_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """class, n and sorted shingles of the classes that are not alone; recomputed from one row of each."""
+    chosen = written(classes.where("not alone").groupBy("class").agg(F.min("row_key").alias("row_key")).select("row_key").distinct(), "set-keys")
     own = join_checked(docs.select("row_key", "text"), chosen, "row_key", "left_semi", SET_ROWS)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch.column("text"), True):
                 keys, begin = sets_of(chunk, k)
-                _, which = _classes(keys, begin)
-                yield pa.record_batch({"class": pa.array(which), "shingles": pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(keys.view(np.int64)))})
+                n, which = _classes(keys, np.repeat(np.arange(len(begin) - 1), np.diff(begin)), len(begin) - 1)
+                yield pa.record_batch({"class": pa.array(which), "n": pa.array(n, pa.int64()), "shingles": pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(keys.view(np.int64)))})
+
+    # Rows alike in every column share a key.
+    return own.mapInArrow(emit, "class long, n long, shingles array<long>").dropDuplicates(["class"])
+
 
-    return own.mapInArrow(emit, "class long, shingles array<long>").join(wanted, "class", "left_semi").dropDuplicates(["class"])
+def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """shingle, class, n, pos: the places of each set's prefix that some other set has too. Shingles are in order of the
+    sets they are in; those of one set only come first and need no row."""
+    entries = sets.select("class", "n", F.explode("shingles").alias("shingle"))
+    often = entries.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("class")
+    placed = entries.join(often, "shingle").withColumns({"many": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "shingle"))})
+    return placed.withColumn("pos", F.col("n") - F.col("many") + F.col("rank") - 1).where(F.col("pos") < _prefix(F.col("n"), num, den)).select("shingle", "class", "n", "pos")
 
 
 def _needed(nx: Column, ny: Column, num: int, den: int) -> Column:
@@ -154,14 +225,10 @@ def _possible(n1: Column, p1: Column, n2: Column, p2: Column, num: int, den: int
     return sizes & (1 + F.least(n1 - p1 - 1, n2 - p2 - 1) >= _needed(n1, n2, num, den))
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b, na, nb) with both, the size of the sets' intersection."""
-    wanted = written(pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct(), "wanted")
-    sets = written(class_sets(docs, classes, wanted, k), "sets")
     one, two = (sets.select(F.col("class").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    out = written(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")), "overlaps")
-    dropped(wanted, sets)
-    return out
+    return written(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")), "overlaps")
 
 
 def _linked(num: int, den: int) -> Column:
@@ -170,9 +237,10 @@ def _linked(num: int, den: int) -> Column:
 
 def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """class, root of every class linked with another."""
-    places = written(prefixes(docs, k, num, den, bucket_counts(docs, k)), "prefixes")
+    sets = written(open_sets(docs, classes, k), "sets")
+    places = written(prefixes(sets, num, den), "prefixes")
     lists = places.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
-    index = written(places.join(lists.select("shingle"), "shingle", "left_semi").distinct(), "index")
+    index = written(places.join(lists.select("shingle"), "shingle", "left_semi"), "index")
     dropped(places)
 
     # Answers of hubs: the least and the greatest class of each list.
@@ -181,7 +249,7 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     hubs = hubs.select("shingle", F.explode(F.array("one", "two")).alias("hub")).select("shingle", F.col("hub.class").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("pb"))
     met = index.join(hubs, "shingle").where((F.col("class") != F.col("b")) & _possible(F.col("n"), F.col("pos"), F.col("nb"), F.col("pb"), num, den))
     pairs = written(met.select(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb").distinct(), "hub-pairs")
-    tested = overlaps(pairs, docs, classes, k)
+    tested = overlaps(pairs, sets)
     edges = tested.where(_linked(num, den)).select("a", "b")
     roots = written(connected_components(edges), "roots")
 
@@ -215,16 +283,16 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     more = judged.where("verdict").select("a", "b")
     unsure = judged.where("verdict is null").select("a", "b", "na", "nb")
     if not unsure.isEmpty():
-        more = more.unionByName(overlaps(unsure, docs, classes, k).where(_linked(num, den)).select("a", "b"))
+        more = more.unionByName(overlaps(unsure, sets).where(_linked(num, den)).select("a", "b"))
     known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     out = written(connected_components(known.unionByName(more)), "components")
-    dropped(index, pairs, placed, rest)
+    dropped(sets, index, pairs, placed, rest)
     return out.select(F.col("node").alias("class"), "root")
 
 
 def least_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs (with row_key) with one row of each component, that of least id (null last) and key; rows without words stay."""
-    classes = written(document_classes(docs, k), "classes")
+    classes = written(document_classes(docs, k, num, den), "classes")
     full = classes.where("n > 0").join(linked_components(docs, classes, k, num, den), "class", "left").withColumn("root", F.coalesce("root", "class"))
     first = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")).select("first.row_key")
     several = classes.where("n > 0").groupBy("row_key").count().where("count > 1").select("row_key", F.lit(True).alias("several"))
@@ -240,16 +308,17 @@ def least_rows(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: documents whose sets of k-word shingles reach num / den linked."""
     docs = with_key(docs.select("doc_id", "text"), "doc_id", "text")
-    classes = written(document_classes(docs, k), "classes")
+    classes = written(document_classes(docs, k, num, den), "classes")
     roots = linked_components(docs, classes, k, num, den)
     full = classes.where("n > 0").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     firsts = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # Roots by class, not by document: a hot component's documents never meet in one task.
     by_class = roots.join(firsts, "root").select("class", F.col("component_id").alias("linked_id"))
-    alone = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("own_id"))
-    ids = written(alone.join(by_class, "class", "left").select("class", F.coalesce("linked_id", "own_id").alias("component_id")), "class-ids")
-    joined = classes.join(ids, "class", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    alike = classes.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("own_id"), F.count("*").alias("rows"))
+    ids = alike.join(by_class, "class", "left").where("rows > 1 or linked_id is not null").select("class", F.coalesce("linked_id", "own_id").alias("component_id"))
+    # Classes of one row that are linked with nothing need no row here.
+    joined = join_checked(classes, written(ids, "class-ids"), "class", "left")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
