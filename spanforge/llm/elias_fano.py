@@ -96,6 +96,19 @@ class Monotone:
         high = (self._select(i, True) - i).astype(np.uint64)
         return (high << np.uint64(self.low)) | self._lower(i) if self.low < 64 else self._lower(i)
 
+    def both(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at positions i and at those after them (all within 0..n-1)."""
+        i = i.astype(np.int64)
+        place = self._select(i, True)
+        # The next one is mostly in the same word.
+        later = self.upper[place >> 6] & ((_ALL << _ONE) << (place & 63).astype(np.uint64))
+        after = (place & ~np.int64(63)) + np.bitwise_count((later & (~later + _ONE)) - _ONE).astype(np.int64)
+        beyond = np.flatnonzero(later == 0)
+        after[beyond] = self._select(i[beyond] + 1, True)
+        low = np.uint64(self.low)
+        value = lambda at, k: ((at - k).astype(np.uint64) << low) | self._lower(k) if self.low < 64 else self._lower(k)
+        return value(place, i), value(after, i + 1)
+
     def find(self, x: np.ndarray) -> np.ndarray:
         """First position of each value, or -1: a jump to the values that share its upper bits, then bisection among them."""
         out = np.full(len(x), -1, np.int64)

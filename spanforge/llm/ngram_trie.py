@@ -116,25 +116,26 @@ class Found(NamedTuple):
     begin: np.ndarray
 
 
-def find_followers(trie: Trie, level: int, context: np.ndarray, relative: np.ndarray) -> Found:
+def find_followers(trie: Trie, level: int, context: np.ndarray, relative: np.ndarray, order: int = 99) -> Found:
     """Followers at a level (2 and up); a context or relative code below 0 has none. Queries are taken in order of their
-    contexts, and what belongs to a context is read once."""
+    contexts, and what belongs to a context is read once; the first child only below level ``order``."""
     n = len(context)
     out = Found(np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64))
-    order = np.flatnonzero(context >= 0)
-    order = order[np.argsort(context[order])]
-    new = np.flatnonzero(np.append(True, np.diff(context[order]) != 0)) if len(order) else order
-    distinct, ends = context[order[new]], np.append(new, len(order))
+    by = np.flatnonzero(context >= 0)
+    by = by[np.argsort(context[by])]
+    new = np.flatnonzero(np.append(True, np.diff(context[by]) != 0)) if len(by) else by
+    distinct, ends = context[by[new]], np.append(new, len(by))
     for shard, own_at in _routed(trie.levels[level - 1], distinct):
         file, first, last = _mapped(shard.path), int(own_at[0]), int(own_at[-1]) + 1
         own = distinct[first:last] - shard.first
         last = first + int(np.searchsorted(own, len(file["backoff"])))
         own = own[: last - first]
-        at = order[ends[first] : ends[last]]
+        at = by[ends[first] : ends[last]]
         of = np.repeat(np.arange(len(own)), np.diff(ends[first : last + 1]))
         out.backoff[at] = file["backoff"][own][of]
-        out.begin[at] = (file["begin"].get(own).astype(np.int64) + shard.before)[of]
-        base, stop = file["base"].get(own), file["base"].get(own + 1)
+        if level < order:
+            out.begin[at] = (file["begin"].get(own).astype(np.int64) + shard.before)[of]
+        base, stop = file["base"].both(own)
         may = np.flatnonzero(relative[at] >= 0)
         place, of = at[may], of[may]
         key = base[of] + relative[place].astype(np.uint64)
@@ -172,7 +173,7 @@ def _pairs_at(grams: Grams, fits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, grams.at[place - 1] * np.int64(len(grams.node)) + grams.at[place]
 
 
-def _walk(trie: Trie, tokens: np.ndarray, begin: np.ndarray, upto: int):
+def _walk(trie: Trie, tokens: np.ndarray, begin: np.ndarray, upto: int, order: int = 99):
     """Counts of tokens and their places in documents, the distinct n-grams of the last level, and by level where they end and what was found."""
     seen, code = np.unique(tokens, return_inverse=True)
     ids, counts = find_words(trie, seen)
@@ -182,7 +183,7 @@ def _walk(trie: Trie, tokens: np.ndarray, begin: np.ndarray, upto: int):
         place, key = _pairs_at(grams, number >= level - 1)
         pairs, which = np.unique(key, return_inverse=True)
         context, last = np.divmod(pairs, max(1, len(grams.node)))
-        got = find_followers(trie, level, grams.node[context], np.where(grams.node[last] >= 0, grams.node[last] - grams.first[last], -1))
+        got = find_followers(trie, level, grams.node[context], np.where(grams.node[last] >= 0, grams.node[last] - grams.first[last], -1), order)
         at = np.full(len(tokens), -1, np.int64)
         at[place] = which
         levels.append((place, which, got))
@@ -446,7 +447,7 @@ def score(docs: DataFrame, trie: Trie, keep: list[str]) -> DataFrame:
         for batch in batches:
             for chunk in W.chunks(batch.column("text"), True, TEXT):
                 tokens, begin = _sequence(chunk)
-                counts, _, _, levels = _walk(t, tokens, begin, len(t.levels))
+                counts, _, _, levels = _walk(t, tokens, begin, len(t.levels), len(t.levels))
                 base = np.log10((counts + 1) / total)
                 value = base.copy()
                 for place, which, got in levels:
