@@ -9,8 +9,8 @@ Skipping in the index: each shingle's list is cut into blocks by set size and by
 blocks is opened only if the sizes can match and the words left after both positions could still make up the overlap
 needed; blocks whose sets are in one component already are passed over.
 
-Skipping by answers: every list first compares its sets with two hubs only (the least and the greatest class of the
-list), which joins most near copies, in a number of pairs linear in the list. For the pairs that are left, two sets
+Skipping by answers: every list first compares its sets with two hubs only (those of its sets with the fewest shingles of
+their own), which joins most near copies, in a number of pairs linear in the list. For the pairs that are left, two sets
 compared with one hub l bound their own overlap, |x l| + |z l| - |l| <= |x z| <= min(|x l|, |z l|) + min(|x - l|, |z - l|);
 only pairs that these bounds leave open are verified, by the whole sets.
 
@@ -205,13 +205,14 @@ def open_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """shingle, class, n, pos: the places of each set's prefix that some other set has too. Shingles are in order of the
+    """shingle, class, n, pos, own (shingles that no other set has): the places of each set's prefix that some other set has too. Shingles are in order of the
     sets they are in; those of one set only come first and need no row."""
     entries = sets.select("class", "n", F.explode("shingles").alias("shingle"))
     often = entries.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     own = Window.partitionBy("class")
     placed = entries.join(often, "shingle").withColumns({"many": F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "shingle"))})
-    return placed.withColumn("pos", F.col("n") - F.col("many") + F.col("rank") - 1).where(F.col("pos") < _prefix(F.col("n"), num, den)).select("shingle", "class", "n", "pos")
+    placed = placed.withColumn("own", F.col("n") - F.col("many")).withColumn("pos", F.col("own") + F.col("rank") - 1)
+    return placed.where(F.col("pos") < _prefix(F.col("n"), num, den)).select("shingle", "class", "n", "pos", "own")
 
 
 def _needed(nx: Column, ny: Column, num: int, den: int) -> Column:
@@ -243,10 +244,11 @@ def linked_components(docs: DataFrame, classes: DataFrame, k: int, num: int, den
     index = written(places.join(lists.select("shingle"), "shingle", "left_semi"), "index")
     dropped(places)
 
-    # Answers of hubs: the least and the greatest class of each list.
-    entry = F.struct("class", "n", "pos")
-    hubs = index.groupBy("shingle").agg(F.min(entry).alias("one"), F.max(entry).alias("two"))
-    hubs = hubs.select("shingle", F.explode(F.array("one", "two")).alias("hub")).select("shingle", F.col("hub.class").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("pb"))
+    # Answers of hubs: of each list, the two sets with the fewest shingles of their own. Copies that were edited each in
+    # its own way are like the text they come from, if like anything, and that has none.
+    hub = lambda tie: F.min(F.struct("own", tie.alias("tie"), "class", "n", "pos"))
+    hubs = index.groupBy("shingle").agg(hub(F.col("class")).alias("one"), hub(-F.col("class")).alias("two"))
+    hubs = hubs.select("shingle", F.explode(F.array(*[F.struct(*[f"{x}.{c}" for c in ("class", "n", "pos")]) for x in ("one", "two")])).alias("hub")).select("shingle", F.col("hub.class").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.pos").alias("pb"))
     met = index.join(hubs, "shingle").where((F.col("class") != F.col("b")) & _possible(F.col("n"), F.col("pos"), F.col("nb"), F.col("pb"), num, den))
     pairs = written(met.select(F.col("class").alias("a"), "b", F.col("n").alias("na"), "nb").distinct(), "hub-pairs")
     tested = overlaps(pairs, sets)
