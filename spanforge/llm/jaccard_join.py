@@ -36,7 +36,7 @@ from spanforge.llm.elias_fano import pack, unpack
 from spanforge.llm.shared import dropped, join_checked, with_key, written
 
 #: Shingles that a task counts at once, bytes of text for each part of the hash space, and positions of a block of a list.
-RUN, PART, POSITIONS = 1_000_000, 8 << 20, 8
+RUN, PART, POSITIONS = 300_000, 8 << 20, 8
 SET_ROWS = 1_000_000
 
 
