@@ -25,7 +25,7 @@ from spanforge.llm.shared import filesystem, publish, shared_folder, written
 
 END_ID = 1
 #: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words in a generation of a worker's store.
-LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 450_000
+LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 150_000
 
 
 class WordCoder:
