@@ -24,15 +24,48 @@ def count_letters(seq: Column, letters: str) -> Column:
 
 
 def upstream(seq: Column, strand: Column, tss: Column, size: Column) -> Column:
-    """Up to ``size`` bases before position ``tss`` in the direction of ``strand``, never padded and never holding tss."""
-    low = F.greatest(F.lit(1), tss - size)
-    plus = F.substring(seq, low, F.greatest(F.lit(0), tss - low))
-    minus = reverse_complement(F.substring(seq, tss + 1, size))
-    return F.when(strand == "+", plus).otherwise(minus)
-
-
-def window_status(got: Column, size: Column) -> Column:
-    return F.when(got == size, "complete").when(got > 0, "truncated_at_sequence_end").otherwise("unavailable")
+    """The window of up to ``size`` bases before position ``tss`` in the direction of ``strand``, never padded and never
+    holding tss: status (fixed vocabulary), seq, start1, end1, truncated, first (position of its first base relative to
+    +1), n_count and ambiguous. A tss outside the sequence has an empty window, as has one with no base before it."""
+
+    def cut(given: Column) -> Column:
+        text, at, k = given["seq"], given["tss"], given["size"]
+        total = F.length(text)
+        plus = strand == "+"
+        start = F.when(plus, F.greatest(F.lit(1), at - k)).otherwise(at + 1)
+        end = F.when(plus, at - 1).otherwise(F.least(total, at + k))
+        inside = (at >= 1) & (at <= total)
+        whole = F.when(inside & (end >= start), F.substring(text, start, end - start + 1)).otherwise("")
+        return let(F.struct(F.when(plus, F.upper(whole)).otherwise(reverse_complement(whole)).alias("seq"), start.alias("start"), end.alias("end"), inside.alias("inside"), k.alias("size")), told)
+
+    def told(x: Column) -> Column:
+        n = F.length(x["seq"])
+        some = n > 0
+        status = F.when(~x["inside"], "boundary_outside_reference").when(~some, "no_upstream_sequence_at_reference_edge").when(n < x["size"], "truncated_reference_edge").otherwise("complete")
+        return F.struct(
+            status.alias("status"), x["seq"].alias("seq"), F.when(some, x["start"]).alias("start1"), F.when(some, x["end"]).alias("end1"), (n < x["size"]).alias("truncated"),
+            F.when(some, -n).alias("first"), count_letters(x["seq"], "N").alias("n_count"), (n - count_letters(x["seq"], "ACGT")).alias("ambiguous"),
+        )
+
+    return let(F.struct(seq.alias("seq"), tss.alias("tss"), size.alias("size")), cut)
+
+
+def oriented(seq: Column, strand: Column, start: Column, end: Column) -> Column:
+    """Positions start..end in the direction of the strand, clipped to the sequence."""
+    low, high = F.greatest(F.lit(1), start), F.least(F.length(seq), end)
+    part = F.substring(seq, low, F.greatest(F.lit(0), high - low + 1))
+    return F.when(strand == "+", part).otherwise(reverse_complement(part))
+
+
+def related_windows(seq: Column, strand: Column, tss: Column, start: Column, end: Column, flank: int = 60) -> Column:
+    """Of a body at start..end: body, its flanked window with that window's low and high, the base at +1, and the
+    context that runs from +1 to ``flank`` bases past the body, with span, the body's bases from +1 on."""
+    plus = strand == "+"
+    return F.struct(
+        oriented(seq, strand, start, end).alias("body"), oriented(seq, strand, start - flank, end + flank).alias("flanked"), F.greatest(F.lit(1), start - flank).alias("low"), F.least(F.length(seq), end + flank).alias("high"),
+        oriented(seq, strand, tss, tss).alias("plus1"), F.when(plus, oriented(seq, strand, tss, end + flank)).otherwise(oriented(seq, strand, start - flank, tss)).alias("context"),
+        F.when(plus, end - tss + 1).otherwise(tss - start + 1).alias("span"),
+    )
 
 
 def mismatches(word: Column, motif: str) -> Column:
@@ -78,15 +111,15 @@ def position_map(query: Column, subject: Column, at: Column) -> Column:
     start = F.struct(F.lit(0).alias("q"), F.lit(0).alias("s"), F.lit(None).cast("int").alias("found"))
 
     def found(pair: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            a, b = F.substring(pair["q"], k, F.lit(1)) != "-", F.substring(pair["s"], k, F.lit(1)) != "-"
+        def step(acc: Column, c: Column) -> Column:
+            a, b = c["q"] != "-", c["s"] != "-"
             q, s = acc["q"] + a.cast("int"), acc["s"] + b.cast("int")
-            return F.struct(q.alias("q"), s.alias("s"), F.when(a & b & (q == at), s).otherwise(acc["found"]).alias("found"))
+            return F.struct(q.alias("q"), s.alias("s"), F.when(a & b & (q == pair["at"]), s).otherwise(acc["found"]).alias("found"))
 
-        columns = F.when(F.length(pair["q"]) > 0, F.sequence(F.lit(1), F.length(pair["q"]))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(columns, start, step, lambda acc: acc["found"])
+        columns = F.arrays_zip(F.split(pair["q"], "").alias("q"), F.split(pair["s"], "").alias("s"))
+        return F.aggregate(F.filter(columns, lambda c: c["q"] != ""), start, step, lambda acc: acc["found"])
 
-    return let(F.struct(query.alias("q"), subject.alias("s")), found)
+    return let(F.struct(query.alias("q"), subject.alias("s"), at.alias("at")), found)
 
 
 def longest_gap(aligned: Column) -> Column:

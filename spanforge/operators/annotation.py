@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +12,16 @@ from spanforge.operators.intervals import overlap_join
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, checkpointed to the folder of ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spanforge-"))
-    return df.checkpoint()
+    """df, written to the folder of ``spark.checkpoint.dir`` and read again, which cuts its lineage; a temporary folder
+    only where that is unset (tests)."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="spanforge-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ancestors(edges: DataFrame) -> DataFrame:

@@ -33,16 +33,18 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], names: tu
     return joined.where(meets & (F.col("_bin") == F.floor(F.greatest(s1, s2) / width))).drop("_bin")
 
 
-def best_reciprocal(hits: DataFrame, others: DataFrame, least: int = 15, share: float = 0.5) -> DataFrame:
+def best_reciprocal(hits: DataFrame, others: DataFrame, least: int = 15, share: float = 0.5, order: Column | None = None) -> DataFrame:
     """Each of hits with its best of others: at least ``least`` common positions and ``share`` of the longer of the two;
-    the largest overlap wins, then the smallest id. Hits without one keep nulls. Columns: id, seqid, strand, start1, end1."""
-    b = others.select("seqid", "strand", *[F.col(c).alias(f"other_{c}") for c in ("id", "start1", "end1")])
+    the largest overlap wins, then the first by ``order`` (of others; its id if not given). n_compatible counts all that
+    qualify. Hits without one keep nulls and 0. Columns: id, seqid, strand, start1, end1."""
+    b = others.select("seqid", "strand", *[F.col(c).alias(f"other_{c}") for c in ("id", "start1", "end1")], (F.col("id") if order is None else order).alias("_order"))
     ov = overlap_length(F.col("start1"), F.col("end1"), F.col("other_start1"), F.col("other_end1"))
     longer = F.greatest(length(F.col("start1"), F.col("end1")), length(F.col("other_start1"), F.col("other_end1")))
     pairs = overlap_join(hits, b, ["seqid", "strand"], ("start1", "end1", "other_start1", "other_end1")).withColumn("overlap", ov)
     good = pairs.where((F.col("overlap") >= least) & (F.col("overlap") >= share * longer))
-    best = good.groupBy("id").agg(F.min(F.struct((-F.col("overlap")).alias("o"), F.col("other_id").alias("i"))).alias("b"))
-    return hits.join(best.select("id", F.col("b.i").alias("other_id"), (-F.col("b.o")).alias("overlap")), "id", "left")
+    best = good.groupBy("id").agg(F.min(F.struct((-F.col("overlap")).alias("o"), "_order", F.col("other_id").alias("i"))).alias("b"), F.count("*").cast("int").alias("n_compatible"))
+    found = hits.join(best.select("id", F.col("b.i").alias("other_id"), (-F.col("b.o")).alias("overlap"), "n_compatible"), "id", "left")
+    return found.withColumn("n_compatible", F.coalesce("n_compatible", F.lit(0)))
 
 
 def unmatched(hits: DataFrame, others: DataFrame, least: int = 15, share: float = 0.5) -> DataFrame:
@@ -50,12 +52,11 @@ def unmatched(hits: DataFrame, others: DataFrame, least: int = 15, share: float
     return hits.join(best_reciprocal(hits, others, least, share).where("other_id is not null").select("id"), "id", "left_anti")
 
 
-def islands(hits: DataFrame, width: int = ISLAND_BIN) -> DataFrame:
-    """hits with island, the start of the maximal run of overlapping intervals on the same seqid and strand.
+def islands(hits: DataFrame, key: Sequence[str] = ("seqid", "strand"), width: int = ISLAND_BIN) -> DataFrame:
+    """hits with island, the start of the maximal run of overlapping intervals that agree in ``key``.
 
     A bin is scanned by itself; what reaches it from earlier bins (their greatest end, their last island start) comes
     from one row a bin, so no task scans a whole sequence."""
-    key = ["seqid", "strand"]
     binned = hits.withColumn("_bin", F.floor(F.col("start1") / width))
     before = Window.partitionBy(*key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     reach = binned.groupBy(*key, "_bin").agg(F.max("end1").alias("_end")).withColumn("_reach", F.max("_end").over(before)).drop("_end")

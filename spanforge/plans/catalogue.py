@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions import sequence as S
-from spanforge.operators import annotation, greedy, integrity, intervals, motifs, support
+from spanforge.operators import annotation, greedy, integrity, intervals, motifs, seeds, support
 from spanforge.operators import loci as L
 from spanforge.plans import oracle
 from spanforge.plans import projections as P
@@ -55,7 +55,7 @@ def q07_islands(spark, d: str) -> DataFrame:
 
 
 def q08_anchor_clusters(spark, d: str) -> DataFrame:
-    h = P.hits(spark, d).where("query <> 'other'").withColumn("seed", (F.col("query") == "family") & F.col("ga_pass"))
+    h = P.hits(spark, d).where("query <> 'other'").withColumn("seed", F.coalesce((F.col("query") == "family") & F.col("ga_pass"), F.lit(False)))
     return greedy.anchor_clusters(h)
 
 
@@ -72,14 +72,19 @@ def q11_locus_ids(spark, d: str) -> DataFrame:
     return named.select(F.format_string("TDU6L%08d", "number").alias("locus_id"), "seqid", (F.col("start1") - 1).alias("bed_start"), "end1", "strand", "legacy_grade")
 
 
-def _windows(spark, d: str) -> DataFrame:
-    seqs = P.sequences(spark, d).select("*", F.explode(F.array(F.lit(300), F.lit(500), F.lit(1000))).alias("size"))
-    return seqs.withColumn("window", S.upstream(F.col("seq"), F.col("strand"), F.col("tss"), F.col("size")))
+#: Every third boundary is moved out of its sequence or to its edge.
+BOUNDARY = "CASE id % 12 WHEN 0 THEN 0 WHEN 3 THEN length(seq) + 5 WHEN 6 THEN 1 WHEN 9 THEN length(seq) ELSE tss END"
+
+
+def _windows(spark, d: str, *sizes: int) -> DataFrame:
+    """id, size and the upstream window of each size; its struct is bound once a row."""
+    seqs = P.sequences(spark, d).withColumn("tss", F.expr(f"CAST({BOUNDARY} AS INT)"))
+    each = F.transform(F.array(*map(F.lit, sizes)), lambda k: F.struct(k.alias("size"), S.upstream(F.col("seq"), F.col("strand"), F.col("tss"), k).alias("w")))
+    return seqs.select("id", F.inline(each)).select("id", "size", "w.*")
 
 
 def q12_upstream(spark, d: str) -> DataFrame:
-    n = F.length("window")
-    return _windows(spark, d).select("id", "size", n.alias("got"), S.window_status(n, F.col("size")).alias("status"), F.md5("window").alias("window_md5"))
+    return _windows(spark, d, 300, 500, 1000).select("id", "size", "status", F.md5("seq").alias("window_md5"), "start1", "end1", "truncated", F.col("first").alias("first_position"), "n_count", "ambiguous")
 
 
 def q13_reverse_complement(spark, d: str) -> DataFrame:
@@ -91,7 +96,12 @@ def q14_composition(spark, d: str) -> DataFrame:
 
 
 def _upstream500(spark, d: str) -> DataFrame:
-    return _windows(spark, d).where("size = 500").select("id", F.col("window").alias("seq"))
+    return _windows(spark, d, 500).select("id", "seq")
+
+
+def _promoters(spark, d: str) -> DataFrame:
+    """Windows of 500 with motifs put in: invented prose seldom has real promoters."""
+    return spark.sql(P.promoters_sql("{w}"), w=_upstream500(spark, d).withColumnRenamed("seq", "w"))
 
 
 def q15_motif_hits(spark, d: str) -> DataFrame:
@@ -99,11 +109,8 @@ def q15_motif_hits(spark, d: str) -> DataFrame:
     return _upstream500(spark, d).select("id", F.explode(hits).alias("h")).select("id", F.col("h.start").alias("start"), F.col("h.mm").alias("mm"))
 
 
-WIDE = 7  # invented prose seldom has real promoters: pairs are shown up to this many mismatches
-
-
 def q16_best_pairs(spark, d: str) -> DataFrame:
-    return motifs.best_pair(motifs.motif_pairs(_upstream500(spark, d), motifs.GENERIC, WIDE))
+    return motifs.best_pair(motifs.motif_pairs(_promoters(spark, d), motifs.GENERIC))
 
 
 def q17_exact_motif(spark, d: str) -> DataFrame:
@@ -119,7 +126,10 @@ def q19_termination(spark, d: str) -> DataFrame:
 
 
 def q20_position_map(spark, d: str) -> DataFrame:
-    return P.sequences(spark, d).select("id", S.position_map(F.translate(F.substring("seq", 1, 80), "A", "-"), F.translate(F.substring("seq", 1, 80), "C", "-"), F.lit(20)).alias("position"))
+    """Position aligned to the 20th query letter, and to the middle one, of whole gapped texts."""
+    q, s = F.translate("seq", "A", "-"), F.translate("seq", "C", "-")
+    n = (F.length(F.translate(q, "-", "")) / 2).cast("int")
+    return P.sequences(spark, d).select("id", S.position_map(q, s, F.lit(20)).alias("position"), S.position_map(q, s, n).alias("middle"))
 
 
 def q21_ancestors(spark, d: str) -> DataFrame:
@@ -165,38 +175,73 @@ def q28_set_equality(spark, d: str) -> DataFrame:
 
 
 def q29_exact_evidence(spark, d: str) -> DataFrame:
-    loci = L.loci(P.hits(spark, d)).where("canonical").select(*PLACE)
-    evidence = P.hits(spark, d).where("tier in ('strong', 'moderate')").select("seqid", "strand", "start1", F.col("id").alias("evidence_id"))
-    met = loci.join(evidence, ["seqid", "strand", "start1"], "left").groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("evidence_id")), ",").alias("evidence"))
-    return met
+    place = ["seqid", "strand", "start1", "end1"]
+    bodies = L.loci(P.hits(spark, d)).where("canonical").select("id", "seqid", "strand", F.col("body_start1").alias("start1"), F.col("body_end1").alias("end1"))
+    evidence = P.hits(spark, d).where("tier in ('strong', 'moderate', 'none')").select(*place, F.col("id").alias("evidence_id"))
+    return bodies.join(evidence, place, "left").groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("evidence_id")), ",").alias("evidence"))
 
 
 def q30_nested_windows(spark, d: str) -> DataFrame:
-    w = _windows(spark, d).groupBy("id").agg(*[F.max(F.when(F.col("size") == k, F.col("window"))).alias(f"w{k}") for k in (300, 500, 1000)])
-    return w.select("id", (F.endswith("w500", "w300") & F.endswith("w1000", "w500")).alias("nested"))
+    sizes = (300, 500, 1000)
+    w = P.sequences(spark, d).withColumn("tss", F.expr(f"CAST({BOUNDARY} AS INT)"))
+    three = w.select("id", *[S.upstream(F.col("seq"), F.col("strand"), F.col("tss"), F.lit(k))["seq"].alias(f"w{k}") for k in sizes])
+    return three.select("id", (F.endswith("w500", "w300") & F.endswith("w1000", "w500")).alias("nested"))
 
 
-def _aligned(spark, d: str) -> DataFrame:
-    return P.sequences(spark, d).where("length(seq) >= 20").select("id", F.translate(F.substring("seq", 1, 110), "NA", "--").alias("aligned"))
+def _pairs(spark) -> list[tuple[int, int]]:
+    """Pairs of the one model, bounded by its columns."""
+    return [tuple(r) for r in integrity.bracket_pairs(spark.createDataFrame([("m", P.STRUCTURE)], "id string, structure string")).select("left", "right").orderBy("left").collect()]
+
+
+def _metrics(spark, d: str) -> DataFrame:
+    return integrity.alignment_metrics(P.table(spark, d, P.blocks_sql(True), "documents"), P.RF, _pairs(spark))
 
 
 def q31_integrity(spark, d: str) -> DataFrame:
-    return integrity.integrity(integrity.alignment_metrics(_aligned(spark, d))).select("id", "occupied", "gap5", "gap3", "interior_gaps", "longest_interior_gap", "reasons", "status")
+    return integrity.integrity(_metrics(spark, d)).select("id", "reasons", "status")
 
 
 def q32_priority(spark, d: str) -> DataFrame:
+    """Routing of loci: features over the body stand for the core's, and the integrity and window of every third locus are taken as faulty."""
     loci = L.loci(P.hits(spark, d))
-    counts = annotation.context_counts(loci.select(*PLACE), P.features(spark, d), ["CDS"]).select("id", F.col("n").alias("n_cds"))
-    routed = integrity.priority(F.col("canonical"), {"core_overlap": F.col("n_cds") > 0, "long_envelope": F.col("envelope_end1") - F.col("envelope_start1") > 120}, F.col("strong_queries") > 0)
+    counts = annotation.context_counts(loci.select(*PLACE), P.features(spark, d), ["CDS", "exon"]).groupBy("id").agg(F.sum("n").alias("n"))
+    third = F.col("start1") % 3
+    body = F.when(third != 0, integrity.NEAR_COMPLETE).otherwise("unresolved")
+    routed = integrity.priority(F.col("canonical"), F.col("n") > 0, body, F.col("multi_anchor_conflict"), F.when(third != 1, "complete").otherwise("truncated_reference_edge"), F.when(F.col("strong_queries") > 0, "provided_source_support").otherwise("not_tested"))
     return loci.join(counts, "id").select("id", routed.alias("r")).select("id", "r.*")
 
 
+def q33_alignment_metrics(spark, d: str) -> DataFrame:
+    return _metrics(spark, d).where("aligned is not null").drop("aligned", "seq", "pseudogene")
+
+
+#: Letters of a seed word.
+SEED = 7
+
+
 def q34_kmer_seeds(spark, d: str) -> DataFrame:
-    """Words of 11 bases that a benchmark item and a sequence share, by pair."""
-    words = lambda df: df.where("length(seq) >= 11").select("id", F.explode(F.sequence(F.lit(1), F.length("seq") - 10)).alias("at"), "seq").select("id", F.expr("substring(seq, at, 11)").alias("word")).distinct()
-    items = P.table(spark, d, P.sequences_sql(True).replace("doc_id", "item_id").replace("FROM documents", "FROM benchmark"), "benchmark")
-    found = words(P.sequences(spark, d)).join(words(items).withColumnRenamed("id", "item_id"), "word")
-    return found.groupBy("id", "item_id").agg(F.count("*").alias("n_words")).where("n_words >= 12")
+    """Words of SEED bases that a benchmark item and a sequence share, by pair."""
+    return seeds.shared_words(P.sequences(spark, d).select("id", "seq"), P.table(spark, d, P.sequences_sql(True, "benchmark", "item_id"), "benchmark").select(F.col("id").alias("item_id"), "seq"), SEED)
+
+
+def q35_motif_scan(spark, d: str) -> DataFrame:
+    return motifs.scan(_promoters(spark, d), motifs.LEGACY)
+
+
+def q36_motif_scan_generic(spark, d: str) -> DataFrame:
+    return motifs.scan(_promoters(spark, d), motifs.GENERIC)
+
+
+def q37_related_windows(spark, d: str) -> DataFrame:
+    seqs = P.sequences(spark, d).where("length(seq) >= 100")
+    start, end = F.col("tss") - 60, F.col("tss") - 10
+    w = S.related_windows(F.col("seq"), F.col("strand"), F.when(F.col("strand") == "+", start).otherwise(end), start, end)
+    return seqs.select("id", F.inline(F.array(w))).select("id", F.md5("body").alias("body_md5"), F.md5("flanked").alias("flanked_md5"), "low", "high", "plus1", F.md5("context").alias("context_md5"), "span")
+
+
+def q38_evidence_loci(spark, d: str) -> DataFrame:
+    h = P.hits(spark, d)
+    return L.evidence_loci(h, L.loci(h))
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from spanforge.operators.motifs import MSP, TATA, USE
 from spanforge.functions.sequence import BASES, COMPLEMENTS, LETTERS
+from spanforge.operators.motifs import CLASSIC, MSP, TATA, USE
 from spanforge.plans import projections as P
 
 _SEQ = P.sequences_sql(False)
-_HITS = f"hits AS ({P.RANKED})"
+_HITS = f"hits AS ({P.TIERED})"
 _FEATURES = f"features AS ({P.FEATURES})"
 _OV = "greatest(0, least({a}end1, {b}end1) - greatest({a}start1, {b}start1) + 1)"
 
 
+#: Best hit first.
+_LEVEL = "CASE tier WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 WHEN 'weak' THEN 1 ELSE 0 END"
+_RANK = f"coalesce(ga_pass, false) DESC, {_LEVEL} DESC, coalesce(score, bits, 0) DESC, coalesce(qcov, 0) DESC, coalesce(pident, 0) DESC, start1"
+_ORDER = f"{_RANK}, id"
+
+
 def _ov(a: str, b: str) -> str:
     return _OV.format(a=a, b=b)
 
@@ -21,49 +27,67 @@ def _islands(source: str) -> str:
   (SELECT *, CASE WHEN coalesce(start1 > max(end1) OVER (PARTITION BY seqid, strand ORDER BY start1, end1, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) THEN start1 END AS opened FROM {source}))"""
 
 
-_NMS = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand, method, query, island ORDER BY rank DESC, id) AS k FROM {_islands("hits")}),
-fold AS (SELECT seqid, strand, method, query, island, k, id, CAST(NULL AS VARCHAR) AS suppressed_by, [{{'id': id, 's': start1, 'e': end1}}] AS kept FROM ranked WHERE k = 1
-  UNION ALL SELECT seqid, strand, method, query, island, k, id, covered, CASE WHEN covered IS NULL THEN list_append(kept, {{'id': id, 's': start1, 'e': end1}}) ELSE kept END FROM
+#: The fold runs over whole groups: no islands.
+_NMS = f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand, method, query ORDER BY {_ORDER}) AS k FROM hits),
+fold AS (SELECT seqid, strand, method, query, k, id, CAST(NULL AS VARCHAR) AS suppressed_by, [{{'id': id, 's': start1, 'e': end1}}] AS kept FROM ranked WHERE k = 1
+  UNION ALL SELECT seqid, strand, method, query, k, id, covered, CASE WHEN covered IS NULL THEN list_append(kept, {{'id': id, 's': start1, 'e': end1}}) ELSE kept END FROM
     (SELECT r.*, f.kept, list_filter(f.kept, lambda x: greatest(0, least(r.end1, x.e) - greatest(r.start1, x.s) + 1) >= CAST(0.9 AS DOUBLE) * greatest(r.end1 - r.start1 + 1, x.e - x.s + 1))[1].id AS covered
-     FROM fold f JOIN ranked r ON f.seqid = r.seqid AND f.strand = r.strand AND f.method = r.method AND f.query = r.query AND f.island = r.island AND r.k = f.k + 1))"""
+     FROM fold f JOIN ranked r ON f.seqid = r.seqid AND f.strand = r.strand AND f.method = r.method AND f.query = r.query AND r.k = f.k + 1))"""
+_CLUSTERED = f"NOT seed, CASE WHEN seed THEN start1 END, CASE WHEN seed THEN end1 END, {_ORDER}"
 
 
-def _cluster(source: str) -> str:
-    """Fold of an island's hits: state is the list of clusters; sure and joined give each hit's anchor."""
-    return f"""placed AS (SELECT *, row_number() OVER (PARTITION BY seqid, strand, island ORDER BY NOT seed, CASE WHEN seed THEN CAST(start1 AS DOUBLE) ELSE -rank END, CASE WHEN seed THEN end1 ELSE 0 END, id) AS n FROM {_islands(source)}),
-steps AS (SELECT seqid, strand, island, n, id, id AS anchor_id, 0 AS n_compatible, [{{'id': id, 'r': rank, 's': start1, 'e': end1, 'lo': start1, 'hi': end1}}] AS c FROM placed WHERE n = 1
-  UNION ALL SELECT seqid, strand, island, n, id, coalesce(best.id, id), len(found), CASE WHEN best IS NULL THEN list_append(c, {{'id': id, 'r': rank, 's': start1, 'e': end1, 'lo': start1, 'hi': end1}})
+def _cluster(source: str, islands: bool = True) -> str:
+    """Fold of hits: state is the list of clusters; sure and joined give each hit's anchor."""
+    group, rows = ("seqid, strand, island", _islands(source)) if islands else ("seqid, strand", source)
+    same = " AND ".join(f"s.{c} = p.{c}" for c in group.split(", "))
+    return f"""placed AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {_CLUSTERED}) AS n, row_number() OVER (PARTITION BY {group} ORDER BY {_ORDER}) AS rk FROM {rows}),
+steps AS (SELECT {group}, n, id, id AS anchor_id, 0 AS n_compatible, [{{'id': id, 'r': rk, 's': start1, 'e': end1, 'lo': start1, 'hi': end1}}] AS c FROM placed WHERE n = 1
+  UNION ALL SELECT {group}, n, id, coalesce(best.id, id), len(found), CASE WHEN best IS NULL THEN list_append(c, {{'id': id, 'r': rk, 's': start1, 'e': end1, 'lo': start1, 'hi': end1}})
       ELSE list_transform(c, lambda x: CASE WHEN x.id = best.id THEN {{'id': x.id, 'r': x.r, 's': x.s, 'e': x.e, 'lo': least(x.lo, start1), 'hi': greatest(x.hi, end1)}} ELSE x END) END FROM
-    (SELECT *, list_sort(found, 'DESC')[1] AS best FROM
+    (SELECT *, list_sort(found)[1] AS best FROM
       (SELECT p.*, s.c, CASE WHEN p.seed THEN [] ELSE list_transform(list_filter(s.c, lambda x: greatest(0, least(p.end1, x.e) - greatest(p.start1, x.s) + 1) >= 15
           AND greatest(0, least(p.end1, x.e) - greatest(p.start1, x.s) + 1) >= CAST(0.5 AS DOUBLE) * least(p.end1 - p.start1 + 1, x.e - x.s + 1)
           AND greatest(x.hi, p.end1) - least(x.lo, p.start1) + 1 <= greatest(140, x.e - x.s + 1)),
-          lambda x: {{'o': greatest(0, least(p.end1, x.e) - greatest(p.start1, x.s) + 1), 'r': x.r, 'p': -list_position(s.c, x), 'id': x.id}}) END AS found
-       FROM steps s JOIN placed p ON s.seqid = p.seqid AND s.strand = p.strand AND s.island = p.island AND p.n = s.n + 1)))"""
+          lambda x: {{'o': -greatest(0, least(p.end1, x.e) - greatest(p.start1, x.s) + 1), 'r': x.r, 'id': x.id}}) END AS found
+       FROM steps s JOIN placed p ON {same} AND p.n = s.n + 1)))"""
 
 
-def _reciprocal(hits: str, others: str) -> str:
+def _reciprocal(hits: str, others: str, order: str = "b.id") -> str:
     ov = _ov("a.", "b.")
-    return f"""(SELECT id, other_id, overlap FROM (SELECT a.id, b.id AS other_id, {ov} AS overlap, row_number() OVER (PARTITION BY a.id ORDER BY {ov} DESC, b.id) AS k FROM {hits} a JOIN {others} b
+    return f"""(SELECT id, other_id, overlap, n_compatible FROM (SELECT a.id, b.id AS other_id, {ov} AS overlap, row_number() OVER (PARTITION BY a.id ORDER BY {ov} DESC, {order}) AS k, count(*) OVER (PARTITION BY a.id) AS n_compatible FROM {hits} a JOIN {others} b
   ON a.seqid = b.seqid AND a.strand = b.strand AND a.start1 <= b.end1 AND b.start1 <= a.end1 AND {ov} >= 15 AND {ov} >= 0.5 * greatest(a.end1 - a.start1 + 1, b.end1 - b.start1 + 1)) WHERE k = 1)"""
 
 
+def _pick(name: str, where: str, order: str) -> str:
+    return f"{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY {order}) AS b FROM members WHERE {where}) WHERE b = 1)"
+
+
+_COVERAGE = "qcov / 100"
 _LOCI = f"""{_HITS}, {_NMS}, left_over AS (SELECT hits.* FROM hits JOIN fold USING (id) WHERE suppressed_by IS NULL),
-family AS (SELECT *, query = 'family' AND ga_pass AS seed FROM left_over WHERE query <> 'other'), {_cluster("family")},
-anchors AS (SELECT left_over.* FROM left_over JOIN steps USING (id) WHERE anchor_id = id),
-members AS (SELECT left_over.*, anchor_id FROM left_over JOIN steps USING (id)
-  UNION ALL SELECT left_over.*, other_id FROM left_over JOIN {_reciprocal("(SELECT * FROM left_over WHERE query = 'other')", "anchors")} USING (id)),
-best AS (SELECT anchor_id, tier FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id, query ORDER BY
-  CASE tier WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END DESC, bits DESC, qcov DESC, pident DESC, start1, id DESC) AS b FROM members WHERE method = 'blastn') WHERE b = 1),
-strong AS (SELECT anchor_id, count(*) FILTER (tier = 'strong') AS k FROM best GROUP BY anchor_id),
+family AS (SELECT *, coalesce(query = 'family' AND ga_pass, false) AS seed FROM left_over WHERE query <> 'other'), {_cluster("family")},
+anchors AS (SELECT family.*, row_number() OVER (ORDER BY {_CLUSTERED}) AS place FROM family JOIN steps USING (id) WHERE anchor_id = id),
+members AS (SELECT left_over.*, anchor_id, n_compatible FROM left_over JOIN steps USING (id)
+  UNION ALL SELECT left_over.*, other_id, n_compatible FROM left_over JOIN {_reciprocal("(SELECT * FROM left_over WHERE query = 'other')", "anchors", "b.place")} USING (id)),
+best AS (SELECT anchor_id, query, tier FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id, query ORDER BY {_ORDER}) AS b FROM members WHERE method = 'blastn') WHERE b = 1),
+tiers AS (SELECT anchor_id, count(*) AS n_queries, count(*) FILTER (tier = 'strong') AS k, string_agg(query, ',' ORDER BY query) FILTER (tier = 'strong') AS names FROM best GROUP BY anchor_id),
+{_pick("rf", "query = 'family'", "score DESC, id")}, {_pick("ot", "query = 'other'", "score DESC, id")}, {_pick("top", "method = 'blastn'", _ORDER)}, {_pick("hist", "method = 'blastn' AND query = 'N'", _ORDER)},
 summary AS (SELECT anchor_id, min(start1) FILTER (query <> 'other') AS envelope_start1, max(end1) FILTER (query <> 'other') AS envelope_end1, count(*) FILTER (query <> 'other') AS n_hits,
-  max(score) FILTER (query = 'family') AS family_score, arg_max(qcov, {{'a': score, 'b': qcov}}) FILTER (query = 'family') AS cov, max(score) FILTER (query = 'other') AS other_score,
-  coalesce(bool_or(ga_pass) FILTER (query = 'family'), false) AS fg, coalesce(bool_or(ga_pass) FILTER (query = 'other'), false) AS og FROM members GROUP BY anchor_id),
-loci AS (SELECT a.id, a.seqid, a.strand, a.start1, a.end1, envelope_start1, envelope_end1, n_hits, family_score, other_score, coalesce(k, 0) AS strong_queries,
-  CASE WHEN fg AND og THEN 'U6_U6atac_ambiguous' WHEN fg THEN 'RF00026_supported' WHEN og THEN 'RF00619_supported' WHEN k >= 1 THEN 'BLAST_supported_review' WHEN family_score IS NOT NULL THEN 'below_GA_review' ELSE 'weak_evidence_review' END AS family_class,
-  CASE WHEN fg AND og THEN 'B2_clan_ambiguous' WHEN fg AND k >= 2 THEN 'A1_concordant_U6' WHEN fg THEN 'A2_CM_led_U6' WHEN og THEN 'U6atac_like' WHEN k >= 2 AND family_score IS NOT NULL THEN 'B1_subGA_supported'
-    WHEN k >= 2 THEN 'C1_BLAST_only' WHEN k >= 1 THEN 'fragment_or_weak' WHEN cov / 100 >= CAST(0.7 AS DOUBLE) THEN 'C2_lowCM_only' ELSE 'fragment_or_weak' END AS legacy_grade, fg AND NOT og AS canonical
-  FROM summary JOIN hits a ON a.id = anchor_id LEFT JOIN strong USING (anchor_id))"""
+  bool_or(n_compatible > 1) AS multi_anchor_conflict, string_agg(id, ',' ORDER BY id) AS hit_ids FROM members GROUP BY anchor_id),
+wide AS (SELECT s.*, a.seqid, a.strand, a.start1, a.end1, a.query AS anchor_source, coalesce(n_queries, 0) AS n_queries, coalesce(k, 0) AS k, coalesce(names, '') AS names, coalesce(rf.ga_pass, false) AS fg, coalesce(ot.ga_pass, false) AS og,
+  rf.id IS NOT NULL AS has_rf, rf.score AS rs, rf.evalue AS re, rf.qcov / 100 AS rc, rf.trunc AS rt, ot.score AS os, ot.evalue AS oe, top.query AS tq, top.pident AS tp, top.qcov AS tc, top.bits AS tb,
+  CASE WHEN top.qstart = 1 THEN CASE WHEN top.strand = '+' THEN top.start1 ELSE top.end1 END END AS t5, hist.id AS hid, hist.qstart AS hq, hist.tier AS ht, CASE WHEN hist.strand = '+' THEN hist.start1 - hist.qstart + 1 ELSE hist.end1 + hist.qstart - 1 END AS hp, hist.gapopen AS hg, hist.subject_length AS hl,
+  CASE WHEN coalesce(rf.qcov / 100 >= CAST(0.8 AS DOUBLE) AND rf.trunc = 'no', false) THEN 'rf' WHEN coalesce(top.qcov >= 90, false) THEN 'top' WHEN rf.id IS NOT NULL THEN 'rf' ELSE 'top' END AS choice,
+  rf.start1 AS r1, rf.end1 AS r2, rf.query AS rq, top.start1 AS t1, top.end1 AS t2
+  FROM summary s JOIN hits a ON a.id = s.anchor_id LEFT JOIN tiers USING (anchor_id) LEFT JOIN rf USING (anchor_id) LEFT JOIN ot USING (anchor_id) LEFT JOIN top USING (anchor_id) LEFT JOIN hist USING (anchor_id)),
+loci AS (SELECT anchor_id AS id, seqid, strand, start1, end1, anchor_source, envelope_start1, envelope_end1, n_hits, CASE choice WHEN 'rf' THEN r1 ELSE t1 END AS body_start1, CASE choice WHEN 'rf' THEN r2 ELSE t2 END AS body_end1,
+  CASE choice WHEN 'rf' THEN r2 - r1 ELSE t2 - t1 END + 1 AS body_length, CASE choice WHEN 'rf' THEN rq ELSE tq END AS body_source,
+  CASE WHEN fg AND og THEN 'U6_U6atac_ambiguous' WHEN fg THEN 'RF00026_supported' WHEN og THEN 'RF00619_supported' WHEN k >= 1 THEN 'BLAST_supported_review' WHEN has_rf THEN 'below_GA_review' ELSE 'weak_evidence_review' END AS family_class,
+  CASE WHEN fg AND og THEN 'B2_clan_ambiguous' WHEN fg AND k >= 2 THEN 'A1_concordant_U6' WHEN fg THEN 'A2_CM_led_U6' WHEN og THEN 'U6atac_like' WHEN k >= 2 AND has_rf THEN 'B1_subGA_supported'
+    WHEN k >= 2 THEN 'C1_BLAST_only' WHEN k >= 1 THEN 'fragment_or_weak' WHEN rc >= CAST(0.7 AS DOUBLE) AND rt = 'no' THEN 'C2_lowCM_only' ELSE 'fragment_or_weak' END AS legacy_grade, fg AND NOT og AS canonical,
+  coalesce(ht = 'strong', false) AND fg AND NOT og AS strict, tq AS best_query, t5 AS best_5p, tp AS best_pident, tc AS best_qcov, tb AS best_bits, n_queries, k AS strong_queries, names AS strong_names,
+  CASE WHEN hq = 1 OR (hg = 0 AND hp BETWEEN 1 AND hl) THEN hp END AS q1_position, hq - 1 AS q1_missing, CASE WHEN hq IS NULL THEN 'not_available' WHEN hq = 1 THEN 'direct_query_position_1' WHEN hg > 0 THEN 'gapped_HSP_requires_alignment_review'
+    WHEN hp BETWEEN 1 AND hl THEN 'provisional_linear_5prime_extrapolation' ELSE 'extrapolation_outside_reference' END AS q1_status, coalesce(hq = 1, false) AS q1_safe, hid AS historical_id,
+  rs AS family_score, fg AS family_ga, re AS family_evalue, rc AS family_coverage, rt AS family_trunc, os AS other_score, og AS other_ga, oe AS other_evalue, multi_anchor_conflict, hit_ids FROM wide)"""
 
 _RELATION = "CASE WHEN {a} IN ('+', '-') AND {b} IN ('+', '-') THEN CASE WHEN {a} = {b} THEN 'same' ELSE 'opposite' END ELSE 'unknown' END"
 _MEET = "a.seqid = f.seqid AND a.start1 <= f.end1 AND f.start1 <= a.end1"
@@ -79,18 +103,45 @@ def _counts(regions: str, kinds: list[str]) -> str:
 
 
 _REVCOMP = "reverse(translate({x}, '" + LETTERS + "', '" + COMPLEMENTS + "'))"
-_WINDOWS = f"""seqs AS ({_SEQ}), windows AS (SELECT *, CASE WHEN strand = '+' THEN substr(seq, greatest(1, tss - size), greatest(0, tss - greatest(1, tss - size))) ELSE {_REVCOMP.format(x="substr(seq, tss + 1, size)")} END AS w
-  FROM (SELECT *, unnest([300, 500, 1000]) AS size FROM seqs))"""
+_BOUNDARY = "CAST(CASE id % 12 WHEN 0 THEN 0 WHEN 3 THEN length(seq) + 5 WHEN 6 THEN 1 WHEN 9 THEN length(seq) ELSE tss END AS INT)"
+_WINDOWS = f"""seqs AS ({_SEQ}), placed_ AS (SELECT id, seq, strand, {_BOUNDARY} AS tss, unnest([300, 500, 1000]) AS size FROM seqs),
+spans AS (SELECT *, tss BETWEEN 1 AND length(seq) AS inside, CASE WHEN strand = '+' THEN greatest(1, tss - size) ELSE tss + 1 END AS s1, CASE WHEN strand = '+' THEN tss - 1 ELSE least(length(seq), tss + size) END AS e1 FROM placed_),
+windows AS (SELECT *, CASE WHEN inside AND e1 >= s1 THEN CASE WHEN strand = '+' THEN substr(seq, s1, e1 - s1 + 1) ELSE {_REVCOMP.format(x="substr(seq, s1, e1 - s1 + 1)")} END ELSE '' END AS w FROM spans)"""
+_PROMOTERS = f"{_WINDOWS}, w500 AS (SELECT id, w FROM windows WHERE size = 500), promoters AS ({P.promoters_sql('w500')})"
 
 
 def _mm(word: str, motif: str) -> str:
     return "(" + " + ".join(f"CASE WHEN substr({word}, {k}, 1) <> '' AND contains('{BASES[x]}', substr({word}, {k}, 1)) THEN 0 ELSE 1 END" for k, x in enumerate(motif, 1)) + ")"
 
 
-def _motif(name: str, motif: str, low: int, high: int, most: int) -> str:
+def _motif(name: str, motif: str, low: int, high: int, most: int, source: str = "(SELECT id, w FROM windows WHERE size = 500)") -> str:
     m = len(motif)
     return f"""{name} AS (SELECT id, p AS start, {_mm(f"substr(w, p + length(w) + 1, {m})", motif)} AS mm FROM
-  (SELECT id, w, unnest(range(greatest({low}, -length(w)), least({high}, -{m}) + 1)) AS p FROM windows WHERE size = 500) WHERE {_mm(f"substr(w, p + length(w) + 1, {m})", motif)} <= {most})"""
+  (SELECT id, w, unnest(range(greatest({low}, -length(w)), least({high}, -{m}) + 1)) AS p FROM {source}) WHERE {_mm(f"substr(w, p + length(w) + 1, {m})", motif)} <= {most})"""
+
+
+_INPUT = "(SELECT id, seq AS w FROM promoters)"
+
+
+def _scan(use: tuple[int, int], tata: tuple[int, int], legacy: bool) -> str:
+    most = 99 if legacy else 3
+    strict = "u.mm <= 1 AND t.mm <= 2 AND t.start BETWEEN -35 AND -25 AND t.start - u.start - 10 BETWEEN 24 AND 26"
+    relaxed = "u.mm <= 2 AND t.mm <= 2 AND t.start - u.start - 10 BETWEEN 21 AND 29"
+    name = "CASE pc WHEN 0 THEN 'P1_canonical_geometry' WHEN 1 THEN 'P2_near_canonical_geometry' WHEN 2 THEN 'P3_uncertain' END" if legacy else "CASE WHEN near_ AND amb = 0 THEN 'provisional_type3_like_geometry' WHEN use_start IS NOT NULL THEN 'provisional_uncertain_geometry' END"
+    basis = "CASE WHEN pc < 2 THEN 'canonical_geometry_then_minimum_mismatch' WHEN pc = 2 THEN 'algorithm_minimum_mismatch_P3_not_a_functional_best_pair' END" if legacy else "CASE WHEN use_start IS NOT NULL THEN 'provisional_Arabidopsis_motif_heuristic_not_cross_plant_calibrated' END"
+    reliable = "coalesce(pc < 2 AND amb = 0, false)" if legacy else "coalesce(near_ AND amb = 0, false)"
+    return f"""WITH {_PROMOTERS}, {_motif("u", USE, *use, 99, _INPUT)}, {_motif("t", TATA, *tata, 99, _INPUT)}, {_motif("m", MSP, -100000, -1, 0, _INPUT)},
+pairs AS (SELECT u.id, u.start AS use_start, t.start AS tata_start, u.mm AS use_mm, t.mm AS tata_mm, CASE WHEN {strict} THEN 0 WHEN {relaxed} THEN 1 ELSE 2 END AS pc, coalesce({relaxed}, false) AS near_ FROM u JOIN t ON u.id = t.id AND t.start > u.start + 10),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pc, use_mm + tata_mm, abs(tata_start - use_start - 10 - 24.5), abs(use_start + 65.5) + abs(tata_start + 31), use_start, tata_start) AS k FROM pairs WHERE use_mm <= {most} AND tata_mm <= {most}) WHERE k = 1),
+counts AS (SELECT id, count(*) FILTER (use_mm <= 3 AND tata_mm <= 3) AS n_pairs FROM pairs GROUP BY id),
+wide AS (SELECT p.id, p.seq, b.*, substr(p.seq, length(p.seq) + use_start + 1, 11) AS us, substr(p.seq, length(p.seq) + tata_start + 1, 8) AS ts, coalesce(n_pairs, 0) AS n_pairs, EXISTS (SELECT 1 FROM u WHERE u.id = p.id) AS has_u, EXISTS (SELECT 1 FROM t WHERE t.id = p.id) AS has_t
+  FROM promoters p LEFT JOIN (SELECT * EXCLUDE (k) FROM best) b USING (id) LEFT JOIN counts USING (id)),
+full_ AS (SELECT *, length(translate(concat(us, ts), 'ACGT', '')) AS amb_ FROM wide), told AS (SELECT *, CASE WHEN use_start IS NOT NULL THEN amb_ END AS amb FROM full_), final AS (SELECT *, {reliable} AS reliable FROM told),
+msps AS (SELECT f.id, string_agg(m.start || '..' || (m.start + 5), ',' ORDER BY m.start) AS hits FROM final f JOIN m USING (id) WHERE NOT reliable OR m.start + 5 < use_start GROUP BY f.id)
+SELECT id, CASE WHEN length(seq) >= {-use[0]} THEN 'complete_window' WHEN has_u AND has_t THEN 'partial_window' ELSE 'insufficient_window' END AS scan_status, CASE WHEN reliable THEN 'paired_heuristic_evidence' ELSE 'uncertain_or_no_pair_not_U6_exclusion' END AS evidence_status,
+  {name} AS pair_class, {basis} AS selection_basis, CASE WHEN use_start IS NOT NULL THEN us END AS use_sequence, use_start, use_start + 10 AS use_end, use_mm, CASE WHEN use_start IS NOT NULL THEN {_mm("us", CLASSIC)} END AS classic_mm,
+  CASE WHEN use_start IS NOT NULL THEN ts END AS tata_sequence, tata_start, tata_start + 7 AS tata_end, tata_mm, tata_start - use_start AS start_separation, tata_start - use_start - 10 AS edge_distance, tata_start - use_start - 11 AS intervening_bases, tata_start - use_start - 1.5 AS center_distance,
+  amb AS motif_ambiguous, n_pairs, coalesce(hits, '') AS msp_hits, CASE WHEN reliable THEN 'upstream_of_selected_USE' ELSE 'USE_relation_unresolved' END AS msp_relation, length(translate(seq, 'ACGT', '')) AS sequence_ambiguous FROM final LEFT JOIN msps USING (id)"""
 
 
 _EDGES = f"edges AS ({P.EDGES})"
@@ -98,39 +149,52 @@ _CLOSURE = f"{_EDGES}, closure AS (SELECT id, parent AS ancestor FROM edges UNIO
 _RUNS = f"""seqs AS ({_SEQ}), spots AS (SELECT id, seq, tss, unnest(range(1, length(seq) + 1)) AS i FROM seqs),
 ts AS (SELECT id, seq, tss, i, i - row_number() OVER (PARTITION BY id ORDER BY i) AS g FROM spots WHERE substr(seq, i, 1) = 'T'),
 runs AS (SELECT id, min(i) AS start, max(i) AS "end", max(i) = any_value(length(seq)) AS open FROM ts GROUP BY id, g HAVING count(*) >= 4)"""
-_GAPPED = f"rows_ AS (SELECT id, translate(substr(seq, 1, 110), 'NA', '--') AS a FROM ({_SEQ}) WHERE length(seq) >= 20)"
+#: Paired columns of the model, by its stems: outer and inner ends, counted inwards.
+_STEMS = [(1 + k, 20 - k) for k in range(8)] + [(26 + k, 44 - k) for k in range(6)] + [(33 + k, 55 - k) for k in range(4)]
+_KEPT = [(i, j) for i, j in _STEMS if i % 11 and j % 11]
+_M = "concat(" + ", ".join(f"substr(aligned, {11 * k + 1}, 10)" for k in range(10)) + ")"
+_INS = "concat(" + ", ".join(f"substr(aligned, {11 * k + 11}, 1)" for k in range(10)) + ")"
+_FLAT = "translate(%s, '.-_~', '----')"
+_METRICS = f"""rows_ AS ({P.blocks_sql(False)}), flat AS (SELECT *, {_FLAT % _M} AS m, translate({_INS}, '.-_~', '') AS ins, translate(upper(translate(aligned, '.-_~', '')), 'U', 'T') AS letters, {_FLAT % "translate(upper(aligned), 'T', 'U')"} AS u FROM rows_),
+pairs_ AS (SELECT *, [{", ".join(f"concat(substr(u, {i}, 1), substr(u, {j}, 1))" for i, j in _KEPT)}] AS both_ FROM flat), seen_ AS (SELECT *, list_filter(both_, lambda x: NOT contains(x, '-')) AS seen, list_filter(both_, lambda x: regexp_full_match(x, '[ACGU]{{2}}')) AS ev,
+  length(replace(m, '-', '')) AS occupied FROM pairs_), metrics AS (SELECT id, seq, pseudogene, length(letters) AS aligned_length, sha256(letters) AS aligned_sha256, 100 AS rf_columns, occupied, occupied / 100 AS occupancy, length(m) - length(ltrim(m, '-')) AS gap5,
+  CASE WHEN occupied > 0 THEN length(m) - length(rtrim(m, '-')) ELSE 0 END AS gap3, CASE WHEN occupied > 0 THEN length(trim(m, '-')) - occupied ELSE 0 END AS interior_gaps,
+  CASE WHEN occupied > 0 THEN list_max(list_transform(regexp_split_to_array(trim(m, '-'), '[^-]'), lambda x: length(x))) ELSE 0 END AS longest_interior_gap, length(ins) AS inserted, length(translate(letters, 'ACGT', '')) AS ambiguous, {len(_KEPT)} AS paired_positions,
+  len(seen) AS paired_observed, len(ev) AS paired_evaluable, len(list_filter(ev, lambda x: x IN ('AU', 'UA', 'GC', 'CG', 'GU', 'UG'))) AS paired_compatible FROM seen_), whole AS (SELECT *, CASE WHEN paired_evaluable > 0 THEN paired_compatible / paired_evaluable END AS pair_compatibility FROM metrics)"""
 _PAIR = "CASE WHEN u.mm <= 1 AND t.mm <= 2 AND t.start BETWEEN -35 AND -25 AND t.start - (u.start + 10) BETWEEN 24 AND 26 THEN 0 WHEN u.mm <= 2 AND t.mm <= 2 AND t.start - (u.start + 10) BETWEEN 21 AND 29 THEN 1 ELSE 2 END"
-_ITEMS = _SEQ.replace("doc_id", "item_id").replace("FROM documents", "FROM benchmark")
+_ITEMS = P.sequences_sql(False, "benchmark", "item_id")
 _OTHER, _REST = "(SELECT * FROM hits WHERE query = 'other')", "(SELECT * FROM hits WHERE query <> 'other')"
 
 SQL: dict[str, str] = {
     "q01_support_tier": f"SELECT tier, count(*) AS n FROM ({P.TIERED}) GROUP BY tier",
-    "q02_rank_argmax": f"""SELECT seqid, query, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY seqid, query ORDER BY coalesce(ga_pass, false) DESC, CASE tier WHEN 'strong' THEN 3 WHEN 'moderate' THEN 2 WHEN 'weak' THEN 1 ELSE 0 END DESC,
-  coalesce(score, bits) DESC, qcov DESC, pident DESC, start1, id DESC) AS k FROM ({P.TIERED})) WHERE k = 1""",
+    "q02_rank_argmax": f"SELECT seqid, query, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY seqid, query ORDER BY {_ORDER}) AS k FROM ({P.TIERED})) WHERE k = 1",
     "q03_suppress": f"WITH RECURSIVE {_HITS}, {_NMS} SELECT id, suppressed_by FROM fold",
     "q04_overlap_pairs": f"WITH {_HITS}, {_FEATURES} SELECT id, kind, f.start1 AS f_start1, f.end1 AS f_end1, {_ov('a.', 'f.')} AS overlap FROM hits a JOIN features f ON {_MEET}",
-    "q05_reciprocal": f"WITH {_HITS} SELECT * FROM {_reciprocal(_OTHER, _REST)}",
+    "q05_reciprocal": f"WITH {_HITS} SELECT id, other_id, overlap FROM {_reciprocal(_OTHER, _REST)}",
     "q06_standalone": f"WITH {_HITS} SELECT id FROM hits WHERE query = 'other' AND id NOT IN (SELECT id FROM {_reciprocal(_OTHER, _REST)})",
     "q07_islands": f"WITH {_HITS} SELECT seqid, strand, island, count(*) AS n, max(end1) AS end1 FROM {_islands('hits')} GROUP BY ALL",
-    "q08_anchor_clusters": f"WITH RECURSIVE {_HITS}, family AS (SELECT *, query = 'family' AND ga_pass AS seed FROM hits WHERE query <> 'other'), {_cluster('family')} SELECT id, anchor_id, n_compatible FROM steps",
+    "q08_anchor_clusters": f"WITH RECURSIVE {_HITS}, family AS (SELECT *, coalesce(query = 'family' AND ga_pass, false) AS seed FROM hits WHERE query <> 'other'), {_cluster('family', False)} SELECT id, anchor_id, n_compatible FROM steps",
     "q09_loci": f"WITH RECURSIVE {_LOCI} SELECT * FROM loci",
     "q10_class_counts": f"WITH RECURSIVE {_LOCI} SELECT family_class, legacy_grade, count(*) AS n, count(*) FILTER (canonical) AS canonical, min(envelope_start1) AS first, max(envelope_end1) AS last FROM loci GROUP BY ALL",
     "q11_locus_ids": f"WITH RECURSIVE {_LOCI} SELECT 'TDU6L' || lpad(CAST(row_number() OVER (ORDER BY seqid, start1, end1, strand, id) AS VARCHAR), 8, '0') AS locus_id, seqid, start1 - 1 AS bed_start, end1, strand, legacy_grade FROM loci WHERE canonical",
-    "q12_upstream": f"WITH {_WINDOWS} SELECT id, size, length(w) AS got, CASE WHEN length(w) = size THEN 'complete' WHEN length(w) > 0 THEN 'truncated_at_sequence_end' ELSE 'unavailable' END AS status, md5(w) AS window_md5 FROM windows",
+    "q12_upstream": f"""WITH {_WINDOWS} SELECT id, size, CASE WHEN NOT inside THEN 'boundary_outside_reference' WHEN w = '' THEN 'no_upstream_sequence_at_reference_edge' WHEN length(w) < size THEN 'truncated_reference_edge' ELSE 'complete' END AS status, md5(w) AS window_md5,
+  CASE WHEN w <> '' THEN s1 END AS start1, CASE WHEN w <> '' THEN e1 END AS end1, length(w) < size AS truncated, CASE WHEN w <> '' THEN -length(w) END AS first_position, length(w) - length(replace(w, 'N', '')) AS n_count, length(translate(w, 'ACGT', '')) AS ambiguous FROM windows""",
     "q13_reverse_complement": f"SELECT id, sha256({_REVCOMP.format(x='seq')}) AS sha256 FROM ({_SEQ})",
     "q14_composition": f"SELECT id, length(seq) AS length, {', '.join(f'''length(seq) - length(replace(seq, '{x}', '')) AS n_{x.lower()}''' for x in 'ACGTN')} FROM ({_SEQ})",
     "q15_motif_hits": f"WITH {_WINDOWS}, {_motif('m', TATA, -120, -15, 4)} SELECT id, start, mm FROM m",
-    "q16_best_pairs": f"""WITH {_WINDOWS}, {_motif('u', USE, -120, -40, 7)}, {_motif('t', TATA, -55, -15, 7)}, pairs AS (SELECT u.id, u.start AS use_start, t.start AS tata_start, {_PAIR} AS pair_class, u.mm AS use_mm, t.mm AS tata_mm, t.start - (u.start + 10) AS edge
+    "q16_best_pairs": f"""WITH {_PROMOTERS}, {_motif('u', USE, -120, -40, 3, _INPUT)}, {_motif('t', TATA, -55, -15, 3, _INPUT)}, pairs AS (SELECT u.id, u.start AS use_start, t.start AS tata_start, {_PAIR} AS pair_class, u.mm AS use_mm, t.mm AS tata_mm, t.start - (u.start + 10) AS edge
   FROM u JOIN t ON u.id = t.id AND t.start > u.start + 10) SELECT id, use_start, tata_start, pair_class, use_mm, tata_mm, edge FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pair_class, use_mm + tata_mm, abs(edge - 24.5), abs(use_start + 65.5) + abs(tata_start + 31), use_start, tata_start) AS k FROM pairs) WHERE k = 1""",
     "q17_exact_motif": f"WITH {_WINDOWS}, {_motif('m', MSP, -500, -1, 0)} SELECT id, start FROM m",
     "q18_runs": f'WITH {_RUNS} SELECT id, start, "end", open FROM runs',
-    "q19_termination": f"""WITH {_RUNS}, spans AS (SELECT id, seq, span, greatest(1, span - 15) AS low, span + 30 AS high FROM (SELECT *, greatest(1, tss - 40) AS span FROM seqs)),
-  met AS (SELECT s.id, r.start, r."end", s.span, r.start BETWEEN s.low AND s.high AS expected, r."end" < s.low AS internal FROM spans s JOIN runs r USING (id)),
-  sums AS (SELECT id, count(*) FILTER (expected) AS n_expected, count(*) FILTER (internal) AS n_internal, min({{'d': abs(start - span + 3), 's': start}}) FILTER (expected) AS best FROM met GROUP BY id)
-  SELECT s.id, CASE WHEN n_expected > 0 THEN 'yes' WHEN length(seq) >= high AND regexp_matches(substr(seq, low, high - low + 1), '^[ACGT]*$') THEN 'no' ELSE 'not_fully_assessable' END AS state, best.s AS terminator_start, coalesce(n_expected, 0) AS n_expected, coalesce(n_internal, 0) AS n_internal FROM spans s LEFT JOIN sums USING (id)""",
-    "q20_position_map": f"""WITH s AS (SELECT id, translate(substr(seq, 1, 80), 'A', '-') AS q, translate(substr(seq, 1, 80), 'C', '-') AS s FROM ({_SEQ})), p AS (SELECT id, q, s, unnest(range(1, length(q) + 1)) AS k FROM s),
-  c AS (SELECT id, substr(q, k, 1) <> '-' AS a, substr(s, k, 1) <> '-' AS b, sum(CAST(substr(q, k, 1) <> '-' AS INT)) OVER w AS qn, sum(CAST(substr(s, k, 1) <> '-' AS INT)) OVER w AS sn FROM p WINDOW w AS (PARTITION BY id ORDER BY k ROWS UNBOUNDED PRECEDING))
-  SELECT s.id, c.sn AS position FROM s LEFT JOIN c ON c.id = s.id AND a AND b AND qn = 20""",
+    "q19_termination": f"""WITH {_RUNS}, spans AS (SELECT id, seq, span, greatest(1, span - 15) AS low, span + 30 AS high, least(length(seq), span + 30) AS seen FROM (SELECT *, greatest(1, tss - 40) AS span FROM seqs)),
+  met AS (SELECT s.id, r.start, r."end", r.open, s.span, r.start || ':' || r."end" AS told, r.start BETWEEN s.low AND s.seen AS expected, r."end" < s.low AS internal, r.start <= s.span AS body, r."end" >= s.low AND r.start <= s.seen AS window_ FROM spans s JOIN runs r USING (id)),
+  sums AS (SELECT id, count(*) FILTER (expected) AS n, count(*) AS n_runs, bool_or(open) AS censored, min({{'d': abs(start - span + 3), 's': start, 'e': "end"}}) FILTER (expected) AS best, {", ".join(f"string_agg(told, ',' ORDER BY start) FILTER ({c}) AS l{c}" for c in ("expected", "internal", "body", "window_"))} FROM met GROUP BY id)
+  SELECT s.id, CASE WHEN n > 0 THEN 'yes' WHEN length(seq) >= high AND translate(substr(seq, low, greatest(0, seen - low + 1)), 'ACGT', '') = '' THEN 'no' ELSE 'not_fully_assessable' END AS state, best.s AS terminator_start, best.e AS terminator_end,
+  CASE WHEN length(seq) >= high THEN 'complete_window' WHEN seen >= low THEN 'partial_window' ELSE 'unavailable_window' END AS scan_status, low || '..' || high AS requested_window, length(translate(substr(seq, low, greatest(0, seen - low + 1)), 'ACGT', '')) AS ambiguous,
+  coalesce(lexpected, '') AS expected, coalesce(linternal, '') AS internal, coalesce(lbody, '') AS body_overlapping, coalesce(lwindow_, '') AS window_overlapping, coalesce(n_runs, 0) AS n_runs, coalesce(censored, false) AS right_censored FROM spans s LEFT JOIN sums USING (id)""",
+    "q20_position_map": f"""WITH s AS (SELECT id, translate(seq, 'A', '-') AS q, translate(seq, 'C', '-') AS s, CAST(floor(length(replace(translate(seq, 'A', '-'), '-', '')) / 2) AS INT) AS mid FROM ({_SEQ})), p AS (SELECT id, q, s, mid, unnest(range(1, length(q) + 1)) AS k FROM s),
+  c AS (SELECT id, mid, substr(q, k, 1) <> '-' AS a, substr(s, k, 1) <> '-' AS b, sum(CAST(substr(q, k, 1) <> '-' AS INT)) OVER w AS qn, sum(CAST(substr(s, k, 1) <> '-' AS INT)) OVER w AS sn FROM p WINDOW w AS (PARTITION BY id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+  f AS (SELECT id, max(sn) FILTER (a AND b AND qn = 20) AS position, max(sn) FILTER (a AND b AND qn = mid) AS middle FROM c GROUP BY id) SELECT s.id, position, middle FROM s LEFT JOIN f USING (id)""",
     "q21_ancestors": f"WITH RECURSIVE {_CLOSURE} SELECT id, count(*) AS n_ancestors, min(ancestor) AS first_ancestor, max(ancestor) AS last_ancestor FROM closure GROUP BY id",
     "q22_inherited": f"""WITH RECURSIVE {_CLOSURE}, own AS (SELECT 'c' || c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS value FROM customer UNION ALL SELECT 'o' || o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END FROM orders),
   passed AS (SELECT closure.id, string_agg(DISTINCT value, ',' ORDER BY value) AS v FROM closure JOIN own ON own.id = ancestor WHERE value IS NOT NULL GROUP BY closure.id),
@@ -145,17 +209,28 @@ SQL: dict[str, str] = {
     "q27_review_union": f"""WITH RECURSIVE {_LOCI} SELECT id, seqid, start1, family_class, 'noncanonical_locus' AS evidence_set FROM loci WHERE NOT canonical
   UNION ALL SELECT id, seqid, start1, NULL, 'standalone_competitor' FROM hits WHERE query = 'other' AND id NOT IN (SELECT id FROM {_reciprocal(_OTHER, _REST)})""",
     "q28_set_equality": f"WITH {_HITS}, d AS (SELECT id, start1 FROM hits EXCEPT ALL SELECT id, start1 FROM hits WHERE tier <> 'weak'), e AS (SELECT id, start1 FROM hits WHERE tier <> 'weak' EXCEPT ALL SELECT id, start1 FROM hits) SELECT side, count(*) AS n FROM (SELECT 'only_all' AS side FROM d UNION ALL SELECT 'only_part' FROM e) GROUP BY side",
-    "q29_exact_evidence": f"""WITH RECURSIVE {_LOCI} SELECT l.id, coalesce(string_agg(h.id, ',' ORDER BY h.id), '') AS evidence FROM (SELECT * FROM loci WHERE canonical) l LEFT JOIN (SELECT * FROM hits WHERE tier IN ('strong', 'moderate')) h
-  ON h.seqid = l.seqid AND h.strand = l.strand AND h.start1 = l.start1 GROUP BY l.id""",
+    "q29_exact_evidence": f"""WITH RECURSIVE {_LOCI} SELECT l.id, coalesce(string_agg(h.id, ',' ORDER BY h.id), '') AS evidence FROM (SELECT * FROM loci WHERE canonical) l LEFT JOIN (SELECT * FROM hits WHERE tier IN ('strong', 'moderate', 'none')) h
+  ON h.seqid = l.seqid AND h.strand = l.strand AND h.start1 = l.body_start1 AND h.end1 = l.body_end1 GROUP BY l.id""",
     "q30_nested_windows": f"WITH {_WINDOWS} SELECT a.id, suffix(b.w, a.w) AND suffix(c.w, b.w) AS nested FROM windows a JOIN windows b USING (id) JOIN windows c USING (id) WHERE a.size = 300 AND b.size = 500 AND c.size = 1000",
-    "q31_integrity": f"""WITH {_GAPPED}, m AS (SELECT id, a, length(replace(a, '-', '')) AS occupied, length(a) - length(ltrim(a, '-')) AS gap5, length(a) - length(rtrim(a, '-')) AS gap3 FROM rows_),
-  n AS (SELECT *, CASE WHEN occupied = 0 THEN 0 ELSE length(a) - occupied - gap5 - gap3 END AS interior_gaps, coalesce(list_max(list_transform(regexp_split_to_array(trim(a, '-'), '[^-]'), lambda x: length(x))), 0) AS longest_interior_gap FROM m),
-  r AS (SELECT *, interior_gaps > 5 OR longest_interior_gap > 3 AS r1, gap5 > 5 OR gap3 > 5 AS r2, occupied / length(a) < CAST(0.9 AS DOUBLE) AS r3, occupied NOT BETWEEN 80 AND 130 AS r4 FROM n)
-  SELECT id, occupied, gap5, gap3, interior_gaps, longest_interior_gap, concat_ws(';', CASE WHEN r1 THEN 'interior_missing' END, CASE WHEN r2 THEN 'terminal_missing' END, CASE WHEN r3 THEN 'low_occupancy' END, CASE WHEN r4 THEN 'atypical_length' END) AS reasons,
-  CASE WHEN r1 THEN 'structural_deletion_risk' WHEN r2 THEN 'terminally_incomplete_submitted_body' WHEN r3 OR r4 THEN 'atypical_alignment_requires_review' ELSE 'alignment_near_complete_not_functionally_validated' END AS status FROM r""",
-    "q32_priority": f"""WITH RECURSIVE {_LOCI}, {_FEATURES}, counts AS (SELECT id, n FROM {_counts('loci', ['CDS'])}), r AS (SELECT l.id, canonical, strong_queries, coalesce(n > 0, false) AS a, envelope_end1 - envelope_start1 > 120 AS b FROM loci l JOIN counts USING (id))
-  SELECT id, CASE WHEN NOT canonical THEN 'family_review_required' WHEN a OR b THEN 'review_before_experimental_selection' WHEN strong_queries > 0 THEN 'review_source_supported_candidate' ELSE 'candidate_for_comparison' END AS priority,
-  CASE WHEN canonical THEN concat_ws(';', CASE WHEN a THEN 'core_overlap' END, CASE WHEN b THEN 'long_envelope' END) ELSE '' END AS reasons FROM r""",
-    "q34_kmer_seeds": f"""WITH a AS (SELECT DISTINCT id, substr(seq, spot, 11) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 9)) AS spot FROM ({_SEQ}))), b AS (SELECT DISTINCT id, substr(seq, spot, 11) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 9)) AS spot FROM ({_ITEMS})))
-  SELECT a.id, b.id AS item_id, count(*) AS n_words FROM a JOIN b USING (word) GROUP BY ALL HAVING count(*) >= 12""",
+    "q31_integrity": f"""WITH {_METRICS}, body AS (SELECT *, translate(upper(seq), 'U', 'T') AS b FROM whole), why AS (SELECT *, CASE WHEN aligned_length IS NULL THEN 'structural_alignment_missing_or_incomplete' WHEN aligned_length <> length(b) THEN 'alignment_sequence_length_mismatch'
+    WHEN aligned_sha256 <> sha256(b) THEN 'alignment_sequence_checksum_mismatch' WHEN translate(b, 'ACGT', '') <> '' THEN 'ambiguous_reference_bases' END AS w,
+  interior_gaps > 5 OR longest_interior_gap > 3 AS r1, gap5 > 5 OR gap3 > 5 AS r2, occupancy < CAST(0.9 AS DOUBLE) AS r3, length(b) NOT BETWEEN 80 AND 130 AS r4, coalesce(paired_evaluable >= 5 AND pair_compatibility < CAST(0.7 AS DOUBLE), false) AS r5 FROM body)
+  SELECT id, concat_ws(';', w, CASE WHEN w IS NULL AND r1 THEN 'substantial_internal_model_column_deletion' END, CASE WHEN w IS NULL AND r2 THEN 'terminal_model_columns_missing_in_submitted_body' END, CASE WHEN w IS NULL AND r3 THEN 'RF_match_column_occupancy_below_0.90' END,
+    CASE WHEN w IS NULL AND r4 THEN 'length_outside_pilot_80_130nt_review_window' END, CASE WHEN w IS NULL AND r5 THEN 'low_canonical_wobble_pair_compatibility' END, CASE WHEN pseudogene THEN 'annotated_pseudogene_requires_review' END) AS reasons,
+  CASE WHEN w IS NOT NULL THEN 'unresolved' WHEN r1 THEN 'structural_deletion_risk' WHEN r2 THEN 'terminally_incomplete_submitted_body' WHEN r3 OR r4 OR r5 THEN 'atypical_alignment_requires_review' ELSE 'alignment_near_complete_not_functionally_validated' END AS status FROM why""",
+    "q34_kmer_seeds": f"""WITH a AS (SELECT DISTINCT id, substr(seq, spot, 7) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS spot FROM ({_SEQ}))), b AS (SELECT DISTINCT id, substr(seq, spot, 7) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS spot FROM ({_ITEMS})))
+  SELECT a.id, b.id AS item_id, count(*) AS n_words FROM a JOIN b USING (word) WHERE translate(word, 'ACGT', '') = '' GROUP BY ALL""",
+    "q32_priority": f"""WITH RECURSIVE {_LOCI}, {_FEATURES}, counts AS (SELECT id, sum(n) AS n FROM {_counts('loci', ['CDS', 'exon'])} GROUP BY id), r AS (SELECT l.id, canonical, strong_queries, coalesce(n > 0, false) AS a, start1 % 3 = 0 AS b, multi_anchor_conflict AS c, start1 % 3 = 1 AS d FROM loci l JOIN counts USING (id))
+  SELECT id, CASE WHEN NOT canonical THEN 'family_review_required' WHEN a OR b OR c OR d THEN 'review_before_experimental_selection' WHEN strong_queries > 0 THEN 'review_source_supported_candidate' ELSE 'candidate_for_comparison' END AS priority,
+  CASE WHEN NOT canonical THEN '' WHEN a OR b OR c OR d THEN concat_ws(';', CASE WHEN a THEN 'core_overlap_requires_interpretation' END, CASE WHEN b THEN 'submitted_body_integrity_review' END, CASE WHEN c THEN 'multiple_anchor_evidence_review' END, CASE WHEN d THEN 'upstream_extraction_incomplete' END)
+    WHEN strong_queries > 0 THEN 'provided_activity_source_not_independently_verified_by_pipeline' ELSE 'activity_not_tested;PCR_uniqueness_and_homeologs_not_assessed' END AS reasons FROM r""",
+    "q33_alignment_metrics": f"WITH {_METRICS} SELECT * EXCLUDE (seq, pseudogene) FROM whole WHERE aligned_length IS NOT NULL",
+    "q35_motif_scan": _scan((-90, -45), (-42, -18), True),
+    "q36_motif_scan_generic": _scan((-120, -40), (-55, -15), False),
+    "q37_related_windows": f"""WITH s AS (SELECT *, tss - 60 AS a, tss - 10 AS b FROM ({_SEQ}) WHERE length(seq) >= 100), t AS (SELECT *, CASE WHEN strand = '+' THEN a ELSE b END AS t FROM s),
+  cuts AS (SELECT id, strand, t, a, b, greatest(1, a - 60) AS low, least(length(seq), b + 60) AS high, substr(seq, a, b - a + 1) AS c1, substr(seq, greatest(1, a - 60), least(length(seq), b + 60) - greatest(1, a - 60) + 1) AS c2, substr(seq, t, 1) AS c3,
+    CASE WHEN strand = '+' THEN substr(seq, t, least(length(seq), b + 60) - t + 1) ELSE substr(seq, greatest(1, a - 60), t - greatest(1, a - 60) + 1) END AS c4 FROM t)
+  SELECT id, md5(CASE WHEN strand = '+' THEN c1 ELSE {_REVCOMP.format(x="c1")} END) AS body_md5, md5(CASE WHEN strand = '+' THEN c2 ELSE {_REVCOMP.format(x="c2")} END) AS flanked_md5, low, high, CASE WHEN strand = '+' THEN c3 ELSE {_REVCOMP.format(x="c3")} END AS plus1,
+    md5(CASE WHEN strand = '+' THEN c4 ELSE {_REVCOMP.format(x="c4")} END) AS context_md5, CASE WHEN strand = '+' THEN b - t + 1 ELSE t - a + 1 END AS span FROM cuts""",
+    "q38_evidence_loci": f"""WITH RECURSIVE {_LOCI} SELECT f.id, m.anchor_id AS locus_id FROM fold f LEFT JOIN members m ON m.id = coalesce(f.suppressed_by, f.id)""",
 }

@@ -11,28 +11,57 @@ HITS = """SELECT concat(CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS ST
   CASE WHEN l_returnflag <> 'A' THEN l_returnflag WHEN l_partkey % 3 = 0 THEN 'other' ELSE 'family' END AS query,
   CAST((l_partkey * 9973 + l_orderkey * 31) % 2000000 + 1 AS INT) AS start1, CAST((l_partkey * 9973 + l_orderkey * 31) % 2000000 + 60 + l_quantity AS INT) AS end1,
   60 + l_tax * 500 AS pident, 2 * l_quantity AS qcov, CASE WHEN l_returnflag <> 'A' THEN l_extendedprice / 300 END AS bits,
-  CASE WHEN l_returnflag = 'A' THEN l_extendedprice / 1000 END AS score, CASE WHEN l_returnflag = 'A' THEN l_extendedprice >= 30000 END AS ga_pass FROM lineitem"""
+  CASE WHEN l_returnflag = 'A' THEN l_extendedprice / 1000 END AS score, CASE WHEN l_returnflag = 'A' THEN l_extendedprice >= 30000 END AS ga_pass,
+  CASE WHEN l_returnflag <> 'A' THEN CAST(1 + l_orderkey % 3 AS INT) END AS qstart, CASE WHEN l_returnflag <> 'A' THEN CAST(l_suppkey % 2 AS INT) END AS gapopen, 2000105 AS subject_length,
+  CASE WHEN l_returnflag = 'A' THEN CASE WHEN l_orderkey % 4 = 0 THEN '5' ELSE 'no' END END AS trunc, l_tax / 1000 AS evalue FROM lineitem"""
 TIERED = f"""SELECT *, CASE WHEN method <> 'blastn' THEN 'none' WHEN pident >= 80 AND qcov >= 80 AND bits >= 80 THEN 'strong'
   WHEN pident >= 70 AND qcov >= 60 AND bits >= 50 THEN 'moderate' ELSE 'weak' END AS tier FROM ({HITS})"""
-#: One number that orders hits: passing the gate, then the tier, then score or bits.
-RANK = """CAST(CASE WHEN ga_pass THEN 1000000000 ELSE 0 END + CASE tier WHEN 'strong' THEN 3000000 WHEN 'moderate' THEN 2000000 WHEN 'weak' THEN 1000000 ELSE 0 END AS DOUBLE) + coalesce(score, bits)"""
-RANKED = f"SELECT *, {RANK} AS rank FROM ({TIERED})"
 FEATURES = """SELECT concat('c', CAST(o_custkey % 25 AS STRING)) AS seqid, CASE o_orderkey % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END AS strand,
   CAST((o_orderkey * 7919 + o_custkey * 17) % 2000000 + 1 AS INT) AS start1, CAST((o_orderkey * 7919 + o_custkey * 17) % 2000000 + 200 + o_custkey % 900 AS INT) AS end1,
   CASE WHEN o_custkey % 25 = 7 AND o_orderstatus = 'F' THEN 'repeat' WHEN o_orderstatus = 'F' THEN 'exon' WHEN o_orderstatus = 'O' THEN 'CDS' ELSE 'UTR' END AS kind FROM orders"""
 KINDS = ["CDS", "UTR", "exon", "repeat"]
 #: Letters of texts as bases; case is raised after other characters are gone, so that none of them becomes a letter.
 _MAPPED = "translate(upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', ''{g})), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACNGTACGTACGTA')"
-SEQUENCES = "SELECT doc_id AS id, {mapped} AS seq, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(length({mapped}) - length({mapped}) % 7 AS INT) AS tss FROM documents"
+_SEQUENCE = "doc_id AS id, {seq} AS seq, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(length({seq}) - length({seq}) % 7 AS INT) AS tss"
 EDGES = """SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, concat('r', CAST(n_regionkey AS STRING)) AS parent FROM nation
   UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)) FROM customer
   UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', CAST(o_custkey AS STRING)) FROM orders
   UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', CAST(o_custkey + 1 AS STRING)) FROM orders WHERE o_orderkey % 5 = 0"""
 
 
-def sequences_sql(spark: bool) -> str:
-    mapped = _MAPPED.replace("{g}", "" if spark else ", 'g'")
-    return SEQUENCES.replace("{mapped}", mapped)
+def sequences_sql(spark: bool, source: str = "documents", key: str = "doc_id") -> str:
+    """id, seq, strand and tss of each text. In Spark the letters are bound by a generator, so that they are mapped once
+    a row, however often a query uses them."""
+    mapped, row = _MAPPED.replace("{g}", "" if spark else ", 'g'"), _SEQUENCE.replace("doc_id", key)
+    if spark:
+        parts = f"'id', {key}, 'seq', s, 'strand', CASE WHEN {key} % 2 = 0 THEN '+' ELSE '-' END, 'tss', CAST(length(s) - length(s) % 7 AS INT)"
+        return f"SELECT inline(transform(array({mapped}), s -> named_struct({parts}))) FROM {source}"
+    return f"SELECT {row.replace('{seq}', 's')} FROM (SELECT {key}, {mapped} AS s FROM {source})"
+
+
+#: A model of 110 columns: inserts at every eleventh, and pairs in three stems, one of them a knot.
+RF = "".join("." if k % 11 == 0 else "x" for k in range(1, 111))
+STRUCTURE = "<" * 8 + "." * 4 + ">" * 8 + "." * 5 + "((((((.AAAA..))))))" + "." * 7 + "aaaa" + "." * 55
+
+
+def blocks_sql(spark: bool) -> str:
+    """All of every sequence in consecutive rows of 110 columns (block, from 0), with gaps put in by rule, and the body that
+    was aligned: the row's letters, or others where the alignment is to be refused."""
+    each = "explode(sequence(0, CAST((length(seq) - 1) / 110 AS INT)))" if spark else "unnest(range(0, CAST(floor((length(seq) - 1) / 110) AS INT) + 1))"
+    rows = f"SELECT id, block, rpad(substr(seq, block * 110 + 1, 110), 110, '-') AS raw FROM (SELECT id, seq, {each} AS block FROM ({sequences_sql(spark)}) WHERE length(seq) >= 1)"
+    inner = "CASE block % 4 WHEN 0 THEN translate(raw, 'N', 'A') WHEN 1 THEN translate(raw, 'N', '-') WHEN 2 THEN concat(translate(substr(raw, 1, 50), 'N', 'G'), '~.', translate(substr(raw, 53), 'N', 'C')) ELSE raw END"
+    gapped = f"SELECT id, block, concat(repeat('-', cut), substr({inner}, cut + 1)) AS aligned FROM (SELECT *, CAST((id + block) % 9 AS INT) AS cut FROM ({rows}))"
+    bare = f"SELECT *, translate(aligned, '.-_~', '') AS bare FROM ({gapped})"
+    return f"""SELECT concat(CAST(id AS STRING), '.', CAST(block AS STRING)) AS id, CASE WHEN (id + block) % 23 = 0 THEN NULL ELSE aligned END AS aligned,
+  CASE WHEN (id + block) % 17 = 0 THEN concat(bare, 'A') WHEN (id + block) % 19 = 0 THEN reverse(bare) ELSE bare END AS seq, (id + block) % 29 = 0 AS pseudogene FROM ({bare})"""
+
+
+def promoters_sql(windows: str) -> str:
+    """windows (id, w) with motifs put in at places and with faults that change with the id, where there is room."""
+    first = "CASE id % 4 WHEN 0 THEN 'GTACCACATCG' WHEN 1 THEN 'ATCCCACATCT' ELSE 'ATACCACTTNG' END"
+    second = "CASE id % 3 WHEN 0 THEN 'TTTATATA' WHEN 1 THEN 'TTTAAATA' ELSE 'TATATACA' END"
+    a, b = "(66 - id % 5)", "(30 + id % 3)"
+    return f"""SELECT id, CASE WHEN length(w) < 90 OR id % 7 = 0 THEN w ELSE concat(substr(w, 1, CAST(length(w) - {a} AS INT)), {first}, substr(w, CAST(length(w) - {a} + 12 AS INT), CAST({a} - 11 - {b} AS INT)), {second}, substr(w, CAST(length(w) - {b} + 9 AS INT))) END AS seq FROM {windows}"""
 
 
 def table(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
@@ -47,7 +76,7 @@ def _views(sql: str, names: tuple[str, ...]) -> str:
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, RANKED, "lineitem")
+    return table(spark, sf_dir, TIERED, "lineitem")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Small cases of operators, readers and writers."""
 
+import random
+
 import pytest
 
 from spanforge.functions import sequence as S
-from spanforge.operators import annotation, greedy, integrity, intervals, loci
+from spanforge.operators import annotation, greedy, integrity, intervals, loci, support
 from spanforge.sources import readers, sinks
 
 PLACE = "id string, seqid string, strand string, start1 int, end1 int"
@@ -11,7 +13,7 @@ PLACE = "id string, seqid string, strand string, start1 int, end1 int"
 
 def test_islands_cross_bins_and_ties(spark):
     rows = [("a", "s", "+", 1, 50), ("b", "s", "+", 1, 50), ("c", "s", "+", 49, 250), ("d", "s", "+", 240, 260), ("e", "s", "+", 261, 270), ("f", "s", "-", 261, 270)]
-    got = {r.id: r.island for r in intervals.islands(spark.createDataFrame(rows, PLACE), 100).collect()}
+    got = {r.id: r.island for r in intervals.islands(spark.createDataFrame(rows, PLACE), width=100).collect()}
     assert got == {"a": 1, "b": 1, "c": 1, "d": 1, "e": 261, "f": 261}
 
 
@@ -28,16 +30,40 @@ def test_reciprocal_needs_15_common_positions(spark, end, other):
     assert intervals.best_reciprocal(hits, others).first().other_id == other
 
 
-def test_suppressed_hits_suppress_nobody(spark):
+EVIDENCE = PLACE + ", score double, method string, query string, tier string, ga_pass boolean, bits double, qcov double, pident double"
+
+
+def evidence(spark, rows):
+    return spark.createDataFrame([(*r, "m", "q", "none", False, None, None, None) for r in rows], EVIDENCE)
+
+
+@pytest.mark.parametrize("fold", [64, 0])
+def test_suppressed_hits_suppress_nobody(spark, fold):
     rows = [("a", "s", "+", 1, 100, 9.0), ("b", "s", "+", 6, 105, 8.0), ("c", "s", "+", 14, 113, 7.0)]
-    hits = spark.createDataFrame(rows, PLACE + ", rank double").selectExpr("*", "'m' as method", "'q' as query")
-    assert {r.id: r.suppressed_by for r in greedy.suppress(hits).collect()} == {"a": None, "b": "a", "c": None}
+    assert {r.id: r.suppressed_by for r in greedy.suppress(evidence(spark, rows), fold=fold).collect()} == {"a": None, "b": "a", "c": None}
+
 
+@pytest.mark.parametrize("fold", [64, 0])
+def test_clusters_join_the_anchor_not_each_other(spark, fold):
+    rows = [("seed", "s", "+", 1, 100, 5.0), ("near", "s", "+", 40, 139, 4.0), ("far", "s", "+", 80, 179, 3.0)]
+    hits = evidence(spark, rows).selectExpr("*", "id = 'seed' as seed")
+    assert {r.id: r.anchor_id for r in greedy.anchor_clusters(hits, fold=fold).collect()} == {"seed": "seed", "near": "seed", "far": "far"}
 
-def test_clusters_join_the_anchor_not_each_other(spark):
-    rows = [("seed", "s", "+", 1, 100, 5.0, True), ("near", "s", "+", 40, 139, 4.0, False), ("far", "s", "+", 80, 179, 3.0, False)]
-    got = {r.id: r.anchor_id for r in greedy.anchor_clusters(spark.createDataFrame(rows, PLACE + ", rank double, seed boolean")).collect()}
-    assert got == {"seed": "seed", "near": "seed", "far": "far"}
+
+def test_rounds_give_what_the_fold_gives(spark):
+    rng = random.Random(5)
+    rows = [(f"h{k:03}", "s", "+", start := rng.randrange(1, 700), start + rng.randrange(50, 90), float(rng.randrange(30))) for k in range(40)]
+    hits = evidence(spark, rows).selectExpr("*", "score > 26 as seed").persist()
+    for op in (greedy.suppress, greedy.anchor_clusters):
+        names = ["id", "suppressed_by"] if op is greedy.suppress else ["id", "anchor_id", "n_compatible"]
+        folded, rounds = ({tuple(r) for r in op(hits, fold=n).select(*names).collect()} for n in (1000, 0))
+        assert folded == rounds and len(rounds) == 40
+
+
+def test_a_deep_pile_is_settled_in_rounds(spark):
+    pile = spark.range(3000).selectExpr("cast(id as string) as id", "'s' as seqid", "'+' as strand", "cast(1 + id % 3 as int) as start1", "cast(100 + id % 3 as int) as end1", "cast(id as double) as score", "'m' as method", "'q' as query", "'none' as tier", "false as ga_pass", "cast(null as double) as bits", "cast(null as double) as qcov", "cast(null as double) as pident")
+    got = greedy.suppress(pile).groupBy("suppressed_by").count().collect()
+    assert {(r.suppressed_by, r["count"]) for r in got} == {(None, 1), ("2999", 2999)}
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
@@ -59,18 +85,60 @@ def test_sequences(spark):
 
     row = spark.createDataFrame([("AACCGTTTTTGTTTT",)], "s string").select(
         S.reverse_complement(F.col("s")).alias("rc"), S.runs(F.col("s"), "T", 4).alias("runs"), S.mismatches(F.lit("ANG"), "RNG").alias("mm"),
-        S.position_map(F.lit("AC-GT"), F.lit("A-CGT"), F.lit(3)).alias("at"), S.upstream(F.col("s"), F.lit("+"), F.lit(4), F.lit(10)).alias("up"), S.upstream(F.col("s"), F.lit("-"), F.lit(12), F.lit(2)).alias("down"),
+        S.position_map(F.lit("AC-GT"), F.lit("A-CGT"), F.lit(3)).alias("at"), S.upstream(F.col("s"), F.lit("+"), F.lit(4), F.lit(10))["seq"].alias("up"), S.upstream(F.col("s"), F.lit("-"), F.lit(12), F.lit(2))["seq"].alias("down"),
     ).first()
     assert (row.rc, row.mm, row.at, row.up, row.down) == ("AAAACAAAAACGGTT", 1, 3, "AAC", "AA")
     assert [tuple(r) for r in row.runs] == [(6, 10, False), (12, 15, True)]
 
 
-def test_integrity_and_brackets(spark):
-    got = integrity.integrity(integrity.alignment_metrics(spark.createDataFrame([("a", "A" * 90), ("b", "A" * 40 + "----" + "A" * 50), ("c", "-" * 100)], "id string, aligned string"))).collect()
-    assert {r.id: (r.status.split("_")[0], r.reasons) for r in got} == {"a": ("alignment", ""), "b": ("structural", "interior_missing"), "c": ("terminally", "terminal_missing;low_occupancy;atypical_length")}
-    assert integrity.bracket_pairs("<.(A)>a") == [(0, 5), (2, 4), (3, 6)]
-    with pytest.raises(ValueError):
-        integrity.bracket_pairs("<<>")
+@pytest.mark.parametrize("strand, tss, size, wanted", [
+    ("+", 15, 10, ("boundary_outside_reference", "", None)), ("-", 0, 10, ("boundary_outside_reference", "", None)), ("+", 1, 5, ("no_upstream_sequence_at_reference_edge", "", None)),
+    ("-", 10, 5, ("no_upstream_sequence_at_reference_edge", "", None)), ("+", 4, 5, ("truncated_reference_edge", "ACG", 1)), ("-", 8, 5, ("truncated_reference_edge", "GT", 9)), ("+", 6, 5, ("complete", "ACGTA", 1)),
+])
+def test_upstream_states(spark, strand, tss, size, wanted):
+    from pyspark.sql import functions as F
+
+    w = spark.createDataFrame([("ACGTACGTAC",)], "s string").select(S.upstream(F.col("s"), F.lit(strand), F.lit(tss), F.lit(size)).alias("w")).first().w
+    assert (w.status, w.seq, w.start1) == wanted
+
+
+def test_brackets(spark):
+    model = lambda text: integrity.bracket_pairs(spark.createDataFrame([("m", text)], "id string, structure string"))
+    assert {(r.left, r.right) for r in model("<.(A)>a<<>>").collect()} == {(1, 6), (3, 5), (4, 7), (8, 11), (9, 10)}
+    for text in ("<<>", ">", "Aa)", "<>>"):
+        with pytest.raises(Exception, match="unbalanced"):
+            model(text).collect()
+
+
+def test_alignment_metrics_and_every_reason(spark):
+    rf, body = "x" * 90 + ".." + "x" * 10, "ACGTN"[0] * 100
+    rows = [("whole", "A" * 90 + "--" + "A" * 10, body), ("insert", "A" * 90 + "A~" + "A" * 10, "A" * 101), ("inner", "A" * 40 + "._-~" + "A" * 46 + ".." + "A" * 10, "A" * 96), ("end", "-" * 7 + "A" * 83 + ".." + "A" * 10, "A" * 93)]
+    rows += [("none", "-" * 102, ""), ("null", None, body), ("length", "A" * 90 + "--" + "A" * 10, body + "A"), ("other", "A" * 90 + "--" + "A" * 10, "C" * 100), ("letters", "N" + "A" * 89 + "--" + "A" * 10, "N" + "A" * 99), ("low", "A" * 84 + "-" * 6 + ".." + "A" * 4 + "-" * 6, "A" * 88)]
+    got = integrity.integrity(integrity.alignment_metrics(spark.createDataFrame(rows, "id string, aligned string, seq string").selectExpr("*", "id = 'whole' as pseudogene"), rf, [(k, 30 - k) for k in range(1, 7)] + [(91, 92)]))
+    by = {r.id: r for r in got.collect()}
+    pairs, deletion, terminal, occupancy, length = "low_canonical_wobble_pair_compatibility", "substantial_internal_model_column_deletion", "terminal_model_columns_missing_in_submitted_body", "RF_match_column_occupancy_below_0.90", "length_outside_pilot_80_130nt_review_window"
+    assert {k: (r.status.split("_")[0], r.reasons) for k, r in by.items()} == {
+        "whole": ("atypical", pairs + ";annotated_pseudogene_requires_review"), "insert": ("atypical", pairs), "inner": ("structural", f"{deletion};{pairs}"), "end": ("terminally", terminal), "none": ("terminally", f"{terminal};{occupancy};{length}"),
+        "null": ("unresolved", "structural_alignment_missing_or_incomplete"), "length": ("unresolved", "alignment_sequence_length_mismatch"), "other": ("unresolved", "alignment_sequence_checksum_mismatch"), "letters": ("unresolved", "ambiguous_reference_bases"),
+        "low": ("structural", f"{deletion};{terminal};{occupancy};{pairs}"),
+    }
+    assert (by["insert"].inserted, by["whole"].paired_positions, by["end"].paired_observed, by["end"].pair_compatibility) == (1, 6, 0, None)
+    assert (by["none"].gap5, by["none"].gap3, by["inner"].longest_interior_gap) == (100, 0, 4)
+
+
+def test_all_true_and_booleans(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("Yes",), ("0",)], "s string").withColumn("b", integrity.boolean(F.col("s")))
+    assert {(r.check, r.passed, r.n_failed) for r in integrity.all_true(rows, known=F.col("b").isNotNull(), yes=F.col("b")).collect()} == {("known", True, 0), ("yes", False, 1)}
+    with pytest.raises(Exception, match="not a boolean"):
+        spark.range(1).select(integrity.boolean(F.lit("maybe"))).collect()
+
+
+def test_local_hits_come_back_to_the_sequence(spark):
+    bodies = spark.createDataFrame([("p", "+", 101, 200, 41, 260), ("m", "-", 101, 200, 41, 260)], "id string, strand string, start1 int, end1 int, low int, high int")
+    hits = spark.createDataFrame([("p", 61, 160, 61), ("m", 61, 160, 61), ("p", 1, 60, None), ("m", 160, 61, 61)], "id string, sstart int, send int, position int")
+    assert {(r.id, r.g_start1, r.g_end1, r.g_position) for r in support.local_hits(hits, bodies).collect()} == {("p", 101, 200, 101), ("m", 101, 200, 200)}
 
 
 def test_readers(spark, tmp_path):
