@@ -81,3 +81,190 @@ def context_counts(regions: DataFrame, features: DataFrame, kinds: list[str]) ->
     grid = regions.select("id", "seqid", F.explode(F.array(*map(F.lit, kinds))).alias("kind"))
     out = grid.join(available, ["seqid", "kind"], "left").join(counts, ["id", "kind"], "left")
     return out.select("id", "kind", *[F.when(F.col("_there"), F.coalesce(c, F.lit(0))).alias(c) for c in ("n", "n_same", "n_opposite", "n_unknown")])
+
+
+#: Annotation categories, attributes that hold a biotype, and feature types by category.
+CATEGORIES = ("gene_span", "transcript_span", "pseudogene", "exon", "CDS", "five_prime_UTR", "three_prime_UTR", "ncRNA", "repeat", "other")
+BIOTYPE_KEYS = ("gene_biotype", "transcript_biotype", "biotype", "gene_type", "transcript_type", "ncRNA_class", "ncrna_class")
+LABEL_KEYS = ("Name", "product", "description", "Note", "gene", "gene_name", "Dbxref", "ncRNA_class", "ncrna_class", "biotype")
+ALIAS_KEYS = ("Alias", "Name", "gene_id", "transcript_id", "locus_tag")
+CONTAINERS = ("region", "chromosome", "chromosome_arm", "contig", "supercontig", "scaffold")
+RNA_TYPES = (
+    "ncrna", "lncrna", "lnc_rna", "lnc_rna_transcript", "lincrna", "snrna", "snorna", "scrna", "rrna", "trna", "mirna", "pre_mirna", "srna", "antisense_rna", "guide_rna",
+    "rnase_p_rna", "rnase_mrp_rna", "ribozyme", "telomerase_rna", "srp_rna", "u6_snrna", "u6atac_snrna",
+)
+TRANSCRIPTS = ("mrna", "transcript", "primary_transcript", "pseudogenic_transcript")
+UTR5, UTR3 = ("five_prime_utr", "5_prime_utr", "5utr", "5_utr"), ("three_prime_utr", "3_prime_utr", "3utr", "3_utr")
+REPEATS = (
+    "repeat", "repeat_region", "repeat_fragment", "transposable_element", "transposable_element_gene", "retrotransposon", "dna_transposon", "ltr_retrotransposon", "ltr",
+    "long_terminal_repeat", "tandem_repeat", "satellite_dna", "dispersed_repeat", "inverted_repeat", "mobile_element",
+)
+REJECTED, ACCEPTED = r"(?i)u6[ _-]?atac|RF00619", r"(?i)(?<![A-Za-z0-9])(?:[A-Za-z]{1,4})?U6(?![A-Za-z])|RF00026"
+#: Feature tables have n (a row's number), seqid, kind, start1, end1, strand, declared_id (null: none), parents
+#: (array<string>) and attrs (map<string, array<string>>): those of `readers.read_gff3`, with its line_number as n.
+
+
+
+def _values(keys: tuple[str, ...]) -> Column:
+    """Values of the first row's attributes under any of these keys, in key order."""
+    return F.flatten(F.array(*[F.coalesce(F.try_element_at("attrs", F.lit(k)), F.array().cast("array<string>")) for k in keys]))
+
+
+def is_gene(kind: Column) -> Column:
+    return F.lower(kind).isin("gene", "pseudogene") | F.lower(kind).endswith("_gene")
+
+
+def is_rna(kind: Column) -> Column:
+    return F.lower(kind).isin(*RNA_TYPES) | F.lower(kind).endswith("_rna")
+
+
+def own_biotypes() -> Column:
+    """Distinct biotypes of a feature's attributes in order; where there are none, an RNA type stands for itself."""
+    own = F.array_sort(F.array_distinct(_values(BIOTYPE_KEYS)))
+    return F.when(F.size(own) > 0, own).when(F.lower("kind").isin(*RNA_TYPES), F.array("kind")).otherwise(F.array().cast("array<string>"))
+
+
+def categories(kind: Column, biotypes: Column, attrs: Column) -> Column:
+    """Sorted categories of a feature, which do not exclude each other; 'other' where none fits."""
+    k = F.lower(kind)
+    any_ = lambda cond: F.exists(biotypes, lambda b: cond(F.replace(F.lower(b), F.lit("-"), F.lit("_"))))
+    pseudo = k.contains("pseudogene") | k.contains("pseudogenic") | any_(lambda b: b.contains("pseudogene")) | F.coalesce(F.exists(F.try_element_at(attrs, F.lit("pseudo")), lambda v: F.lower(v) == "true"), F.lit(False))
+    tests = {
+        "gene_span": is_gene(kind), "transcript_span": k.isin(*TRANSCRIPTS) | is_rna(kind), "pseudogene": pseudo, "exon": k.isin("exon", "pseudogenic_exon"), "CDS": k == "cds", "five_prime_UTR": k.isin(*UTR5), "three_prime_UTR": k.isin(*UTR3),
+        "ncRNA": is_rna(kind) | any_(lambda b: b.isin(*RNA_TYPES) | b.contains("noncoding") | b.contains("non_coding")), "repeat": k.isin(*REPEATS) | k.contains("transposon") | k.contains("repeat"),
+    }
+    found = F.filter(F.array(*[F.when(cond, name) for name, cond in tests.items()]), lambda x: x.isNotNull())
+    return F.array_sort(F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("other"))))
+
+
+def without_containers(features: DataFrame) -> DataFrame:
+    """features but for rows that only describe whole sequences, which would overlap everything."""
+    return features.where(~F.lower("kind").isin(*CONTAINERS))
+
+
+def feature_edges(features: DataFrame) -> DataFrame:
+    """id, parent of each row with a declared id; a row without parents has a null one."""
+    return features.where("declared_id is not null").select(F.col("declared_id").alias("id"), F.explode_outer("parents").alias("parent"))
+
+
+def lineage(features: DataFrame, closure: DataFrame) -> DataFrame:
+    """n, ancestor: the parents of each row, and theirs, without the row's own id. closure: `ancestors` of the edges."""
+    direct = features.select("n", "declared_id", F.explode("parents").alias("ancestor"))
+    further = direct.join(closure.select(F.col("id").alias("ancestor"), F.col("ancestor").alias("next")), "ancestor").select("n", "declared_id", F.col("next").alias("ancestor"))
+    return direct.unionByName(further).where(~F.col("ancestor").eqNullSafe(F.col("declared_id"))).select("n", "ancestor").distinct()
+
+
+def described(features: DataFrame) -> DataFrame:
+    """features (without containers) with biotypes (own, else all of the lineage's), categories by these, own_categories,
+    gene_ids (itself or ancestors that are genes), ancestors, and missing (ancestors that no row declares)."""
+    rows = cut(without_containers(features).withColumn("own", own_biotypes()))
+    closure = ancestors(feature_edges(rows))
+    lines = cut(lineage(rows, closure))
+    of = rows.where("declared_id is not null").select(F.col("declared_id").alias("ancestor"), F.col("own").alias("a_own"), is_gene(F.col("kind")).alias("a_gene"))
+    known = lines.join(of, "ancestor", "left")
+    gathered = known.groupBy("n").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("a_own")))).alias("passed"), F.array_sort(F.collect_set(F.when(F.col("a_gene"), F.col("ancestor")))).alias("genes"),
+        F.array_sort(F.collect_set("ancestor")).alias("ancestors"), F.array_sort(F.collect_set(F.when(F.col("a_gene").isNull(), F.col("ancestor")))).alias("missing"),
+    )
+    none = F.array().cast("array<string>")
+    full = rows.join(gathered, "n", "left").withColumns({c: F.coalesce(c, none) for c in ("passed", "genes", "ancestors", "missing")})
+    own_gene = F.when(is_gene(F.col("kind")) & F.col("declared_id").isNotNull(), F.array("declared_id")).otherwise(none)
+    full = full.withColumns({"biotypes": F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("passed")), "gene_ids": F.array_sort(F.array_union("genes", own_gene))})
+    return cut(full.withColumns({"categories": categories(F.col("kind"), F.col("biotypes"), F.col("attrs")), "own_categories": categories(F.col("kind"), F.col("own"), F.col("attrs"))}).drop("passed", "genes"))
+
+
+def resolve_ids(wanted: DataFrame, features: DataFrame) -> DataFrame:
+    """wanted (id, seqid, self_id) with resolved: the declared id that self_id is, else the one it is an alias of, if
+    exactly one of them has a row on the seqid; else null."""
+    rows = features.where("declared_id is not null")
+    alias = rows.select(F.explode(F.array_distinct(_values(ALIAS_KEYS))).alias("self_id"), F.col("declared_id").alias("candidate")).distinct()
+    declared = rows.select(F.col("declared_id").alias("self_id"), F.col("declared_id").alias("candidate")).distinct()
+    both = declared.withColumn("p", F.lit(0)).unionByName(alias.join(declared.select("self_id"), "self_id", "left_anti").withColumn("p", F.lit(1)))
+    there = rows.select(F.col("declared_id").alias("candidate"), "seqid").distinct()
+    found = wanted.join(both, "self_id").join(there, ["candidate", "seqid"]).groupBy("id", "seqid", "self_id").agg(F.collect_set("candidate").alias("c"))
+    return wanted.join(found.where(F.size("c") == 1).select("id", "seqid", "self_id", F.col("c")[0].alias("resolved")), ["id", "seqid", "self_id"], "left")
+
+
+def supporting_ids(regions: DataFrame, features: DataFrame) -> DataFrame:
+    """id, self_id: features that are a region's own by their labels. An RNA on the region's strand that overlaps it is,
+    if the labels of its row and its lineage accept it and none rejects it; a gene of its lineage at the same place is, if
+    it is not protein coding and all of its children are. features: of `described`."""
+    rna = features.where(is_rna(F.col("kind")) & F.col("declared_id").isNotNull() & F.col("strand").isin("+", "-"))
+    f = rna.select("n", "seqid", "strand", "declared_id", "kind", "ancestors", F.col("start1").alias("f_start1"), F.col("end1").alias("f_end1"), _values(LABEL_KEYS).alias("labels"))
+    met = cut(overlap_join(regions, f, ["seqid", "strand"], ("start1", "end1", "f_start1", "f_end1")).select("id", "n", "seqid", "strand", "declared_id", "kind", "ancestors", "f_start1", "f_end1", "labels"))
+    rows = features.where("declared_id is not null").select(F.col("declared_id").alias("ancestor"), F.col("seqid").alias("a_seqid"), F.col("strand").alias("a_strand"), F.col("start1").alias("a_start1"), F.col("end1").alias("a_end1"), is_gene(F.col("kind")).alias("a_gene"), _values(LABEL_KEYS).alias("a_labels"))
+    up = met.select("id", "n", "seqid", "strand", "f_start1", "f_end1", F.explode("ancestors").alias("ancestor")).join(rows, "ancestor")
+    passed = up.groupBy("id", "n").agg(F.flatten(F.collect_list("a_labels")).alias("passed"))
+    text = F.array_join(F.concat("labels", F.coalesce("passed", F.array().cast("array<string>"))), " ")
+    judged = met.join(passed, ["id", "n"], "left").withColumn("text", text)
+    own = cut(judged.where(~F.col("text").rlike(REJECTED) & ((F.lower("kind") == "u6_snrna") | F.col("text").rlike(ACCEPTED))).select("id", "n", "declared_id"))
+    same = up.join(own.select("id", "n"), ["id", "n"], "left_semi").where("a_gene and a_seqid = seqid and a_strand = strand and a_start1 = f_start1 and a_end1 = f_end1").select("id", F.col("ancestor").alias("parent")).distinct()
+    coding = features.where(F.exists("own", lambda b: F.lower(b) == "protein_coding")).select(F.col("declared_id").alias("parent")).distinct()
+    children = features.select("declared_id", F.explode("parents").alias("parent"))
+    in_ = own.select("id", "declared_id").distinct().withColumn("_in", F.lit(1))
+    all_in = same.join(coding, "parent", "left_anti").join(children, "parent").join(in_, ["id", "declared_id"], "left").groupBy("id", "parent").agg(F.min(F.coalesce("_in", F.lit(0))).alias("all"))
+    return own.select("id", F.col("declared_id").alias("self_id")).unionByName(all_in.where("all = 1").select("id", F.col("parent").alias("self_id"))).distinct()
+
+
+def self_features(features: DataFrame, resolved: DataFrame) -> DataFrame:
+    """id, n: rows that are a region's own. resolved: id, feature_id (its trusted ids). An id is its own too if each of its
+    rows has parents and all of them are: the least fixed point, by region; a row without an id is by its parents."""
+    edges = feature_edges(features)
+    own = cut(resolved.select("id", "feature_id").distinct())
+    whole = lambda rows, key: rows.groupBy("id", key).agg(F.min("_in").alias("all")).where("all = 1").select("id", key)
+    marked = lambda rows, own: rows.join(own.select("id", F.col("feature_id").alias("parent"), F.lit(1).alias("_m")), ["id", "parent"], "left").withColumn("_in", F.coalesce("_m", F.lit(0)))
+    while True:
+        children = own.join(edges.select(F.col("parent").alias("feature_id"), F.col("id").alias("child")), "feature_id").select("id", F.col("child").alias("feature_id")).distinct().join(own, ["id", "feature_id"], "left_anti")
+        rows = children.join(edges.select(F.col("id").alias("feature_id"), "parent"), "feature_id")
+        fresh = cut(whole(marked(rows, own), "feature_id"))
+        if fresh.isEmpty():
+            break
+        own = cut(own.unionByName(fresh))
+    declared = own.join(features.select(F.col("declared_id").alias("feature_id"), "n"), "feature_id").select("id", "n")
+    bare = features.where("declared_id is null").select("n", F.explode("parents").alias("parent"))
+    near = own.join(bare.select("n", F.col("parent").alias("feature_id")), "feature_id").select("id", "n").distinct().join(bare, "n")
+    return declared.unionByName(whole(marked(near, own), "n"))
+
+
+def audit_status(regions: DataFrame, features: DataFrame | None, lengths: DataFrame | None = None) -> DataFrame:
+    """regions with status and reason: context_not_assessed for want of features, of the seqid (among features, or among
+    lengths), because features of the seqid pass its end, or for a region that is none; else assessed."""
+    if features is None:
+        return regions.withColumns({"status": F.lit("context_not_assessed"), "reason": F.lit("no_gff")})
+    rows = without_containers(features)
+    empty = F.lit(rows.isEmpty())
+    ends = rows.groupBy("seqid").agg(F.max("end1").alias("_last"))
+    out = regions.join(ends, "seqid", "left")
+    out = out.withColumn("_length", F.lit(None).cast("int")) if lengths is None else out.join(lengths.select("seqid", F.col("length").alias("_length")), "seqid", "left")
+    no_seqid = F.col("_last").isNull() | (F.lit(lengths is not None) & F.col("_length").isNull())
+    bad = F.col("start1").isNull() | F.col("end1").isNull() | (F.col("start1") < 1) | (F.col("end1") < F.col("start1")) | ~F.coalesce(F.col("strand"), F.lit("")).isin("+", "-", ".", "?") | F.coalesce(F.col("end1") > F.col("_length"), F.lit(False))
+    reason = F.when(empty, "empty_gff").when(no_seqid, "seqid_mismatch").when(F.col("_last") > F.col("_length"), "gff_coordinates_out_of_bounds").when(bad, "invalid_region")
+    return out.withColumn("reason", reason).withColumn("status", F.when(F.col("reason").isNull(), "assessed").otherwise("context_not_assessed")).drop("_last", "_length")
+
+
+def audit_overlaps(assessed: DataFrame, features: DataFrame, own: DataFrame, resolved: DataFrame) -> DataFrame:
+    """id and each feature row that overlaps its region: overlap, fraction, relation, categories, gene_ids, biotype,
+    missing parents, is_self (left out of counts) and shared_with_self. features: of `described`; own: `self_features`;
+    resolved: id, feature_id."""
+    f = features.select("n", "seqid", F.col("kind").alias("feature_type"), F.coalesce("declared_id", F.concat(F.lit("line:"), F.col("n").cast("string"))).alias("feature_id"), F.col("strand").alias("f_strand"), F.col("start1").alias("f_start1"), F.col("end1").alias("f_end1"), "categories", "gene_ids", "biotypes", "ancestors", "missing")
+    met = overlap_join(assessed.where("status = 'assessed'").select("id", "seqid", "strand", "start1", "end1"), f, ["seqid"], ("start1", "end1", "f_start1", "f_end1"))
+    ids = resolved.groupBy("id").agg(F.collect_set("feature_id").alias("_self"))
+    out = met.join(own.withColumn("is_self", F.lit(True)), ["id", "n"], "left").join(ids, "id", "left")
+    same = F.least("end1", "f_end1") - F.greatest("start1", "f_start1") + 1
+    joined = lambda c: F.array_join(c, "|")
+    return out.select(
+        "id", "n", "seqid", "feature_type", "feature_id", "f_start1", "f_end1", same.alias("overlap"), (same / (F.col("end1") - F.col("start1") + 1)).alias("fraction"), strand_relation(F.col("strand"), F.col("f_strand")).alias("relation"), joined("categories").alias("categories"),
+        joined("gene_ids").alias("gene_ids"), joined("biotypes").alias("biotype"), joined("missing").alias("missing_parents"), F.coalesce("is_self", F.lit(False)).alias("is_self"), F.coalesce(F.arrays_overlap("ancestors", "_self"), F.lit(False)).alias("shared_with_self"),
+    )
+
+
+def audit_counts(assessed: DataFrame, features: DataFrame, overlaps: DataFrame) -> DataFrame:
+    """id, kind (one of CATEGORIES), n, n_same, n_opposite, n_unknown: null where the seqid shows no feature of the kind
+    by its own biotypes and the region meets none; a feature counts once in each of its categories."""
+    met = overlaps.where("not is_self").select("id", F.explode(F.split("categories", r"\|")).alias("kind"), "relation")
+    counts = met.groupBy("id", "kind").agg(F.count("*").alias("n"), *[F.count_if(F.col("relation") == r).alias(f"n_{r}") for r in ("same", "opposite", "unknown")])
+    there = features.select("seqid", F.explode("own_categories").alias("kind")).distinct().withColumn("_there", F.lit(True))
+    grid = assessed.select("id", "seqid", "status", F.explode(F.array(*map(F.lit, CATEGORIES))).alias("kind"))
+    out = grid.join(there, ["seqid", "kind"], "left").join(counts, ["id", "kind"], "left")
+    known = (F.col("status") == "assessed") & (F.col("_there") | F.col("n").isNotNull())
+    return out.select("id", "kind", *[F.when(known, F.coalesce(c, F.lit(0))).alias(c) for c in ("n", "n_same", "n_opposite", "n_unknown")])

@@ -244,6 +244,41 @@ def q38_evidence_loci(spark, d: str) -> DataFrame:
     return L.evidence_loci(h, L.loci(h))
 
 
+def _context(spark, d: str):
+    """Regions with their status, described features, and the regions' own ids."""
+    features, regions = annotation.described(P.gff(spark, d)), P.table(spark, d, P.REGIONS, "orders")
+    assessed = annotation.cut(annotation.audit_status(regions, P.gff(spark, d), P.table(spark, d, P.LENGTHS, "customer")))
+    return assessed, features, annotation.cut(annotation.supporting_ids(regions, features))
+
+
+def q39_self_ids(spark, d: str) -> DataFrame:
+    return _context(spark, d)[2]
+
+
+def q40_audit_status(spark, d: str) -> DataFrame:
+    return annotation.audit_status(P.table(spark, d, P.REGIONS, "orders"), P.gff(spark, d), P.table(spark, d, P.LENGTHS, "customer")).select("id", "status", "reason")
+
+
+def _overlaps(spark, d: str):
+    assessed, features, ids = _context(spark, d)
+    wanted = ids.join(assessed.select("id", "seqid"), "id")
+    resolved = annotation.cut(annotation.resolve_ids(wanted, features).where("resolved is not null").select("id", F.col("resolved").alias("feature_id")).distinct())
+    return assessed, features, annotation.cut(annotation.audit_overlaps(assessed, features, annotation.self_features(features, resolved), resolved))
+
+
+def q41_audit_overlaps(spark, d: str) -> DataFrame:
+    return _overlaps(spark, d)[2].drop("seqid")
+
+
+def q42_audit_counts(spark, d: str) -> DataFrame:
+    return annotation.audit_counts(*_overlaps(spark, d))
+
+
+def q43_resolve_ids(spark, d: str) -> DataFrame:
+    wanted = P.gff(spark, d).select(F.concat(F.lit("w"), "n").alias("id"), "seqid", F.coalesce(F.element_at(F.try_element_at("attrs", F.lit("Name")), 1), "declared_id", F.lit("none")).alias("self_id"))
+    return annotation.resolve_ids(wanted, annotation.without_containers(P.gff(spark, d))).select("id", "self_id", "resolved")
+
+
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
 

