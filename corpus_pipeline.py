@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.llm import arrow_tokens, jaccard_join, line_cleaning, soft_mixing, spaced_seeds
-from spanforge.llm.shared import join_checked, shared_folder, with_key, written
+from spanforge.llm.shared import join_checked, shared_folder, small_batches, with_key, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,11 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group at 0.8 or more of five-word shingles: that of least id, rows without an id last."""
+    small_batches(spark)
     return jaccard_join.least_rows(with_key(docs.select(*COLUMNS), *COLUMNS)).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
+    small_batches(spark)
     return spaced_seeds.decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -34,6 +36,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in as many copies as their fitted rates say. The targets follow from the stage's input: clean tokens
     stay as they are, and the other domains get their share of `soft_mixing.SHARES` beside them, but never more tokens
     than they have, as more would only repeat them. Documents labelled clean, or judged so where no label tells, all stay."""
+    small_batches(spark)
     labels = soft_mixing.domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     known = labels.where("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     keyed = with_key(docs.select(*COLUMNS), *COLUMNS)
@@ -47,6 +50,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents, and where each document is in them, read back from the files."""
+    small_batches(spark)
     manifest = arrow_tokens.write_arrow(docs, shared_folder(spark, "arrow-tokens"), public_tokenizers.path("word_bpe_49k.json"))
     return arrow_tokens.read_arrow(manifest)
 

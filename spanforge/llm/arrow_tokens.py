@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanforge.llm.shared import filesystem, publish, shared_folder, written
+from spanforge.llm.shared import filesystem, publish, shared_folder, small_batches, written
 
 END_ID = 1
 #: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words in a generation of a worker's store.
@@ -182,6 +182,7 @@ def _documents(path: str, index_path: str, base: int) -> Iterator[pa.RecordBatch
 
 
 def op3_arrow_tokens(spark, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     if vocabulary is None:
         import public_tokenizers

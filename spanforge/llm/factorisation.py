@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm.features import SIZE, Sparse, batches_of, labelled_sample
-from spanforge.llm.shared import crc_of_id
+from spanforge.llm.shared import crc_of_id, small_batches
 
 FACTORS, SAMPLE, EPOCHS, BATCH, RATE, DECAY, THRESHOLD = 8, 10_000, 6, 64, 0.1, 1e-5, 0.3
 
@@ -94,6 +94,7 @@ def score(docs: DataFrame, model: Machine, keep: list[str], threshold: float = T
 
 
 def op1_factorisation(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "n_chars").withColumn("held_out", F.pmod(crc_of_id(), F.lit(5)) == 0)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(F.pmod(crc_of_id(), F.lit(5)) != 0)
     return score(docs, train(docs, labels), ["doc_id", "held_out"])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
-from spanforge.llm.shared import crc_of_id
+from spanforge.llm.shared import crc_of_id, small_batches
 
 #: Dimensions of a vector; symbols that letters fall into (0 is the boundary); gram size; bytes of text at once.
 DIMENSIONS, SYMBOLS, GRAM, BYTES = 1024, 64, 3, 1 << 19
@@ -144,6 +144,7 @@ def identify(docs: DataFrame, langs: list[str], vectors: np.ndarray, keep: list[
 
 
 def op9_hyperdimensional(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", F.pmod(crc_of_id(), F.lit(5)) == 0)
     langs, vectors = prototypes(docs.where("not held_out"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from spanforge.llm import words as W
 from spanforge.llm.components import connected_components
 from spanforge.llm.elias_fano import pack, unpack
-from spanforge.llm.shared import dropped, join_checked, with_key, written
+from spanforge.llm.shared import dropped, join_checked, small_batches, with_key, written
 
 #: Shingles that a task counts at once, bytes of text for each part of the hash space, and positions of a block of a list.
 RUN, PART, POSITIONS = 300_000, 8 << 20, 8
@@ -324,6 +324,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90, 100)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
 from spanforge.llm.elias_fano import encode, monotone, named, pack, unpack
-from spanforge.llm.shared import crc_of_id, dropped, filesystem, publish, shared_folder, written
+from spanforge.llm.shared import crc_of_id, dropped, filesystem, publish, shared_folder, small_batches, written
 
 ORDER, MIN_COUNT, DISCOUNT, STEP = 3, 1, 0.75, 1 / 2048
 #: N-grams of a shard, as the ranges are meant to be; tokens that are counted, and bytes of text scored, at once.
@@ -469,5 +469,6 @@ def score(docs: DataFrame, trie: Trie, keep: list[str]) -> DataFrame:
 
 
 def op2_ngram_trie(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").withColumn("held_out", F.pmod(crc_of_id(), F.lit(7)) == 2)
     return score(docs, train(docs.where("not held_out").select("text")), ["doc_id", "held_out"])

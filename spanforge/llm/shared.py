@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
+#: Rows of an Arrow batch that Python workers are sent: texts of a few MB, also where some are very long.
+ARROW_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of the session's Python stages by ARROW_ROWS, as JVM and worker hold several at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > ARROW_ROWS or int(spark.conf.get(name)) <= 0:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)

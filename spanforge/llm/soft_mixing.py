@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from spanforge.llm.features import SIZE, batches_of, labelled_sample
-from spanforge.llm.shared import written
+from spanforge.llm.shared import small_batches, written
 
 DOMAINS = ("clean", "toxic", "low")
 SHARES = (0.95, 0.04, 0.01)
@@ -187,6 +187,7 @@ def copies(rate, key):
 
 
 def op10_soft_mixing(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "n_chars")
     labels = domain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = soft_mix(docs, labels, ["doc_id"])

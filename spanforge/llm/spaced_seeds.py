@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
-from spanforge.llm.shared import with_key
+from spanforge.llm.shared import small_batches, with_key
 
 #: Kept positions are 1. These two are lossless for 2 substitutions in 13 words.
 MASKS = ("11110011", "11010111")
@@ -177,6 +177,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
 
 def op6_spaced_seeds(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

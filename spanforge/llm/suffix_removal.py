@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.llm import words as W
-from spanforge.llm.shared import join_checked, written
+from spanforge.llm.shared import join_checked, small_batches, written
 
 WINDOW, GRAM, SHARD = 13, 5, 20_000
 #: Shared anchors that are sent to every task; beyond this the segments are joined to them by shuffle.
@@ -268,6 +268,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op7_suffix_removal(spark, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
