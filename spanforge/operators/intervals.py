@@ -68,3 +68,20 @@ def islands(hits: DataFrame, key: Sequence[str] = ("seqid", "strand"), width: in
     running = F.max("_open").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     out = opened.join(last, [*key, "_bin"]).withColumn("island", F.coalesce(running, "_carried"))
     return out.drop("_bin", "_reach", "_open", "_carried")
+
+
+def known_cases(cases: DataFrame, candidates: DataFrame) -> DataFrame:
+    """case_id, n_found and found (its id, if one alone) for each case (case_id, seqid, strand, start1, end1): candidates on
+    its strand that overlap it."""
+    c = candidates.select("seqid", "strand", F.col("id").alias("_id"), F.col("start1").alias("_s"), F.col("end1").alias("_e"))
+    met = overlap_join(cases, c, ["seqid", "strand"], ("start1", "end1", "_s", "_e")).groupBy("case_id").agg(F.count("*").alias("n_found"), F.min("_id").alias("found"))
+    out = cases.select("case_id").join(met, "case_id", "left")
+    return out.select("case_id", F.coalesce("n_found", F.lit(0)).alias("n_found"), F.when(F.col("n_found") == 1, F.col("found")).alias("found"))
+
+
+def without_seqids(rows: DataFrame, excluded: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """rows outside the excluded seqids, and how many each of these had (0 too)."""
+    out = F.col("seqid").isin(list(excluded))
+    counts = rows.where(out).groupBy("seqid").agg(F.count("*").alias("n"))
+    named = rows.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(excluded)], "seqid string")
+    return rows.where(~F.coalesce(out, F.lit(False))), named.join(counts, "seqid", "left").select("seqid", F.coalesce("n", F.lit(0)).alias("n"))

@@ -279,6 +279,33 @@ def q43_resolve_ids(spark, d: str) -> DataFrame:
     return annotation.resolve_ids(wanted, annotation.without_containers(P.gff(spark, d))).select("id", "self_id", "resolved")
 
 
+def q44_internal_checks(spark, d: str) -> DataFrame:
+    loci = L.loci(P.hits(spark, d))
+    c = F.col
+    return integrity.all_true(
+        loci, body_inside_envelope=(c("body_start1") >= c("envelope_start1")) & (c("body_end1") <= c("envelope_end1")), canonical_passes=~c("canonical") | c("family_ga"), strict_is_canonical=~c("strict") | c("canonical"),
+        length_is_span=c("body_length") == c("body_end1") - c("body_start1") + 1, one_query_at_least=c("n_queries") > 0,
+    )
+
+
+def q45_boundaries(spark, d: str) -> DataFrame:
+    """Boundary hypotheses of canonical loci: one row each, the primary first."""
+    loci = L.loci(P.hits(spark, d)).where("canonical")
+    b = support.primary_boundary(F.col("strand"), F.col("body_start1"), F.col("body_end1"), F.col("strong_queries") > 0, F.col("q1_position"))
+    told = loci.select("id", F.inline(F.array(b))).select("id", "tss", "edge", F.col("hypothesis").alias("main"), F.posexplode("hypotheses").alias("place", "hypothesis"))
+    return told.select("id", "hypothesis", (F.col("hypothesis") == F.col("main")).alias("is_primary"), F.when(F.col("place") == 0, F.col("tss")).otherwise(F.col("edge")).alias("tss"))
+
+
+def q46_known_cases(spark, d: str) -> DataFrame:
+    cases = P.features(spark, d).where("kind = 'exon' and strand <> '.'").select(F.concat_ws(":", "seqid", "strand", "start1", "end1").alias("case_id"), "seqid", "strand", "start1", "end1").distinct()
+    return intervals.known_cases(cases, P.hits(spark, d).where("tier = 'strong'"))
+
+
+def q47_activity_geometry(spark, d: str) -> DataFrame:
+    scanned = motifs.scan(_promoters(spark, d), motifs.GENERIC)
+    return scanned.groupBy(integrity.activity_geometry(F.col("id") % 3 == 0, F.col("pair_class")).alias("interpretation")).agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
 

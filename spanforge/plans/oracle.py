@@ -271,4 +271,11 @@ SQL: dict[str, str] = {
   SELECT g.id, g.kind, {", ".join(f"CASE WHEN reason IS NULL AND (t.kind IS NOT NULL OR c.n IS NOT NULL) THEN coalesce(c.{x}, 0) END AS {x}" for x in ("n", "n_same", "n_opposite", "n_unknown"))} FROM grid g LEFT JOIN there t ON t.seqid = g.seqid AND t.kind = g.kind LEFT JOIN c ON c.id = g.id AND c.kind = g.kind""",
     "q43_resolve_ids": f"""WITH RECURSIVE {_GFF}, wanted AS (SELECT 'w' || n AS id, seqid, coalesce(name, declared_id, 'none') AS self_id FROM ({P.GFF})), c AS (SELECT DISTINCT w.id, w.seqid, w.self_id, d.declared_id AS c FROM wanted w JOIN gff d ON d.seqid = w.seqid AND (d.declared_id = w.self_id OR (d.declared_id IS NOT NULL AND d.name = w.self_id AND NOT EXISTS (SELECT 1 FROM gff x WHERE x.declared_id = w.self_id)))),
   one AS (SELECT id, any_value(c) AS resolved FROM c GROUP BY id HAVING count(*) = 1) SELECT id, self_id, resolved FROM wanted LEFT JOIN one USING (id)""",
+    "q44_internal_checks": f"""WITH RECURSIVE {_LOCI}, c AS (SELECT count(*) FILTER (NOT (body_start1 >= envelope_start1 AND body_end1 <= envelope_end1)) AS a, count(*) FILTER (canonical AND NOT family_ga) AS b, count(*) FILTER (strict AND NOT canonical) AS c, count(*) FILTER (body_length <> body_end1 - body_start1 + 1) AS d,
+  count(*) FILTER (n_queries = 0) AS e FROM loci) SELECT check_ AS "check", n = 0 AS passed, n AS n_failed FROM (SELECT unnest(['body_inside_envelope', 'canonical_passes', 'strict_is_canonical', 'length_is_span', 'one_query_at_least']) AS check_, unnest([a, b, c, d, e]) AS n FROM c)""",
+    "q45_boundaries": f"""WITH RECURSIVE {_LOCI}, b AS (SELECT id, q1_position AS q, strong_queries > 0 AND q1_position IS NOT NULL AS direct, CASE WHEN strand = '+' THEN body_start1 ELSE body_end1 END AS edge FROM loci WHERE canonical)
+  SELECT id, 'aligned_historical_q1' AS hypothesis, true AS is_primary, q AS tss FROM b WHERE direct UNION ALL SELECT id, 'search_body_5prime_hypothesis', NOT direct, edge FROM b""",
+    "q46_known_cases": f"""WITH {_HITS}, {_FEATURES}, cases AS (SELECT DISTINCT concat_ws(':', seqid, strand, start1, end1) AS case_id, seqid, strand, start1, end1 FROM features WHERE kind = 'exon' AND strand <> '.')
+  SELECT case_id, count(h.id) AS n_found, CASE WHEN count(h.id) = 1 THEN min(h.id) END AS found FROM cases c LEFT JOIN (SELECT * FROM hits WHERE tier = 'strong') h ON h.seqid = c.seqid AND h.strand = c.strand AND h.start1 <= c.end1 AND c.start1 <= h.end1 GROUP BY case_id""",
+    "q47_activity_geometry": f"SELECT CASE WHEN id % 3 <> 0 THEN 'activity_not_tested' WHEN pair_class IS NOT DISTINCT FROM 'provisional_type3_like_geometry' THEN 'source_support_and_geometry_are_separate' ELSE 'experiment_supported_noncanonical_geometry' END AS interpretation, count(*) AS n FROM ({_scan((-120, -40), (-55, -15), False)}) GROUP BY ALL",
 }

@@ -7,25 +7,47 @@ from pyspark.sql import functions as F
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, n (line from 1), line. Line numbers need whole files; these tool outputs are small."""
-    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-    return text.select("file", F.posexplode(F.split("value", "\n")).alias("n", "line")).withColumn("n", F.col("n") + 1)
+    """file, n (line from 1), line. Files are read in splits: a line's number is its place in its split after the lines
+    of the splits before it, of which only the counts meet in one place. Files may be compressed."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"))
+    counts = raw.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")
+    return raw.join(counts.withColumn("_before", before), ["file", "_block"]).select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).cast("int").alias("n"), "line")
 
 
 def checked(value: Column, good: Column, message: str) -> Column:
     return F.when(good, value).otherwise(F.raise_error(F.lit(message)))
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, ids: list[str] | None = None) -> DataFrame:
     """seqid (first word of the header), seq (upper case), length; splits at record starts, so files of many records
-    are read in parallel. A repeated id raises."""
-    records = spark.read.option("lineSep", "\n>").text(path).where(F.length(F.trim("value")) > 0)
+    are read in parallel. ``ids`` keeps some records only. A repeated id raises, as does text before the first record."""
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.length(F.trim("value")) > 0)
+    if headless := records.groupBy("file").agg(F.count_if(F.col("value").startswith(">")).alias("k")).where("k = 0").take(1):
+        raise ValueError(f"text before the first record: {headless[0].file}")
     head, body = F.substring_index("value", "\n", 1), F.regexp_replace("value", r"^[^\n]*\n?", "")
     rows = records.select(F.split(F.regexp_replace(head, "^>", ""), r"\s+")[0].alias("seqid"), F.upper(F.regexp_replace(body, r"\s", "")).alias("seq"))
     rows = rows.withColumn("length", F.length("seq"))
     if twice := rows.groupBy("seqid").count().where("count > 1").select("seqid").take(1):
         raise ValueError(f"sequence id is repeated: {twice[0][0]}")
-    return rows
+    return rows if ids is None else rows.where(F.col("seqid").isin(ids))
+
+
+def audit_fasta(genome: DataFrame, letters: str = "ACGTRYSWKMBDHVN") -> DataFrame:
+    """seqid, length, n_count, ambiguous, foreign (letters outside the alphabet), sha256 of each sequence."""
+    left = lambda keep: F.length(F.translate("seq", keep, ""))
+    return genome.select("seqid", "length", (F.length("seq") - left("N")).alias("n_count"), left("ACGT").alias("ambiguous"), left(letters).alias("foreign"), F.sha2("seq", 256).alias("sha256"))
+
+
+def fetch(genome: DataFrame, regions: DataFrame, size: int = 1 << 20, overlap: int = 4096) -> DataFrame:
+    """regions (seqid, start1, end1 and others) with seq, read from `chunked` pieces: regions of up to ``overlap`` letters
+    take one piece each. A longer one, or one that leaves its sequence, raises."""
+    pieces = chunked(genome, size, overlap).withColumnRenamed("start1", "_from").withColumnRenamed("seq", "_piece")
+    met = regions.withColumn("chunk", F.floor((F.col("start1") - 1) / size).cast("int")).join(pieces, ["seqid", "chunk"], "left")
+    n = F.col("end1") - F.col("start1") + 1
+    cut = F.substring("_piece", F.col("start1") - F.col("_from") + 1, n)
+    good = F.coalesce((F.col("start1") >= 1) & (n >= 1) & (n <= overlap) & (F.length(cut) == n), F.lit(False))
+    return met.withColumn("seq", checked(cut, good, "region outside its sequence, or too long")).drop("chunk", "_from", "_piece")
 
 
 def chunked(genome: DataFrame, size: int = 1 << 20, overlap: int = 1000) -> DataFrame:
@@ -72,12 +94,21 @@ def read_model_header(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
-    """name, aligned of one alignment; blocks are joined, and the RF and SS_cons lines come as '#RF' and '#SS_cons'."""
+    """name, aligned of one alignment; blocks are joined, and the RF and SS_cons lines come as '#RF' and '#SS_cons'.
+    Raises without the closing mark, with text after it, without sequences or RF, on ragged rows and malformed lines."""
     lines = _lines(spark, path).withColumn("f", F.split(F.trim("line"), r"\s+"))
-    column = lines.where("line like '#=GC RF%' or line like '#=GC SS_cons%'").select(F.concat(F.lit("#"), F.col("f")[1]).alias("name"), "n", F.col("f")[2].alias("part"))
-    rows = lines.where("trim(line) not in ('', '//') and line not like '#%'").select(F.col("f")[0].alias("name"), "n", F.col("f")[1].alias("part"))
+    data = lines.where("trim(line) <> '' and line not like '#%'")
+    end = data.where("trim(line) = '//'").agg(F.min("n"), F.count("*")).first()
+    if end[0] is None or data.where(F.col("n") > end[0]).limit(1).count():
+        raise ValueError("expected one alignment that ends with //")
+    column = lines.where("line like '#=GC RF%' or line like '#=GC SS_cons%'").select(F.concat(F.lit("#"), F.col("f")[1]).alias("name"), "n", F.get("f", F.lit(2)).alias("part"))
+    rows = data.where("trim(line) <> '//'").select(checked(F.col("f")[0], F.size("f") == 2, "malformed alignment row").alias("name"), "n", F.get("f", F.lit(1)).alias("part"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "part"))), lambda x: x["part"]), "")
-    return rows.unionByName(column).groupBy("name").agg(joined.alias("aligned"))
+    out = rows.unionByName(column).groupBy("name").agg(joined.alias("aligned"))
+    sizes = out.agg(F.count_if(F.col("name") == "#RF").alias("rf"), F.count_if(~F.col("name").startswith("#")).alias("rows"), F.countDistinct(F.length("aligned")).alias("lengths")).first()
+    if not sizes.rf or not sizes.rows or sizes.lengths != 1:
+        raise ValueError("sequences and an RF line of one length are required")
+    return out
 
 
 def read_gff3(spark: SparkSession, path: str) -> DataFrame:
@@ -86,14 +117,39 @@ def read_gff3(spark: SparkSession, path: str) -> DataFrame:
     stop = lines.where("line like '##FASTA%'").groupBy("file").agg(F.min("n").alias("stop"))
     data = lines.join(stop, "file", "left").where("(stop is null or n < stop) and trim(line) <> '' and line not like '#%'").withColumn("f", F.split("line", "\t"))
     decode = lambda v: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B")))
-    pairs = F.transform(F.filter(F.split(F.get("f", F.lit(8)), ";"), lambda x: x.contains("=")), lambda x: F.struct(decode(F.trim(F.substring_index(x, "=", 1))).alias("k"), F.transform(F.split(F.regexp_replace(x, "^[^=]*=", ""), ","), decode).alias("v")))
+    items = F.filter(F.split(F.get("f", F.lit(8)), ";"), lambda x: ~F.trim(x).isin("", "."))
+    pairs = F.transform(items, lambda x: F.struct(checked(decode(F.trim(F.substring_index(x, "=", 1))), x.contains("="), "attribute without =").alias("k"), F.transform(F.split(F.regexp_replace(x, "^[^=]*=", ""), ","), decode).alias("v")))
+    # Values of a repeated key are one list.
+    folded = F.transform(F.array_distinct(F.transform("pairs", lambda p: p["k"])), lambda k: F.struct(k, F.flatten(F.transform(F.filter("pairs", lambda p: p["k"] == k), lambda p: p["v"]))))
     good = (F.size("f") == 9) & (F.get("f", F.lit(3)).cast("int") >= 1) & (F.get("f", F.lit(3)).cast("int") <= F.get("f", F.lit(4)).cast("int")) & F.get("f", F.lit(6)).isin("+", "-", ".", "?")
-    out = data.select(checked(F.get("f", F.lit(0)), good, "bad feature row").alias("seqid"), F.get("f", F.lit(1)).alias("source"), F.get("f", F.lit(2)).alias("kind"), F.get("f", F.lit(3)).cast("int").alias("start1"), F.get("f", F.lit(4)).cast("int").alias("end1"), F.get("f", F.lit(6)).alias("strand"), F.map_from_entries(pairs).alias("attrs"), F.col("n").alias("line_number"))
+    out = data.select(checked(F.get("f", F.lit(0)), good, "bad feature row").alias("seqid"), F.get("f", F.lit(1)).alias("source"), F.get("f", F.lit(2)).alias("kind"), F.get("f", F.lit(3)).cast("int").alias("start1"), F.get("f", F.lit(4)).cast("int").alias("end1"), F.get("f", F.lit(6)).alias("strand"), pairs.alias("pairs"), F.col("n").alias("line_number"))
+    out = out.withColumn("attrs", F.map_from_entries(folded)).drop("pairs")
     empty = F.array().cast("array<string>")
     return out.withColumns({"declared_id": F.get(F.coalesce(F.try_element_at("attrs", F.lit("ID")), empty), F.lit(0)), "parents": F.coalesce(F.try_element_at("attrs", F.lit("Parent")), empty)})
 
 
+def audit_gff(features: DataFrame, lengths: DataFrame) -> DataFrame:
+    """problem, seqid and n of features on unknown sequences, beyond their end, or with a parent that no row declares."""
+    placed = features.join(lengths.select("seqid", "length"), "seqid", "left")
+    where = F.when(F.col("length").isNull(), "unknown_seqid").when(F.col("end1") > F.col("length"), "beyond_sequence_end")
+    known = features.where("declared_id is not null").select(F.col("declared_id").alias("parent")).distinct()
+    orphan = features.select("seqid", F.explode("parents").alias("parent")).join(known, "parent", "left_anti").select(F.lit("unresolved_parent").alias("problem"), "seqid")
+    return placed.select(where.alias("problem"), "seqid").where("problem is not null").unionByName(orphan).groupBy("problem", "seqid").agg(F.count("*").alias("n"))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated rows with a header, all as text; NA and empty fields are null. A ragged row raises."""
+    return spark.read.option("sep", "\t").option("header", "true").option("nullValue", "NA").option("quote", "").option("mode", "FAILFAST").option("enforceSchema", "false").csv(path)
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256 of every file under a folder; rows of up to 2 GB each."""
+    """path, bytes, sha256 of every file under a folder, in order; files of up to 2 GB each. An empty file raises."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select("path", checked(F.col("length"), F.col("length") > 0, "empty file").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
+
+
+def preserved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """path and change (added, removed, changed) of files that differ between two manifests."""
+    both = before.select("path", F.col("sha256").alias("a")).join(after.select("path", F.col("sha256").alias("b")), "path", "full")
+    change = F.when(F.col("a").isNull(), "added").when(F.col("b").isNull(), "removed").when(F.col("a") != F.col("b"), "changed")
+    return both.select("path", change.alias("change")).where("change is not null")

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from spanforge.functions import sequence as S
 from spanforge.operators import annotation, greedy, integrity, intervals, loci, support
@@ -81,8 +82,6 @@ def test_graph_cycles_and_shared_children(spark):
 
 
 def test_sequences(spark):
-    from pyspark.sql import functions as F
-
     row = spark.createDataFrame([("AACCGTTTTTGTTTT",)], "s string").select(
         S.reverse_complement(F.col("s")).alias("rc"), S.runs(F.col("s"), "T", 4).alias("runs"), S.mismatches(F.lit("ANG"), "RNG").alias("mm"),
         S.position_map(F.lit("AC-GT"), F.lit("A-CGT"), F.lit(3)).alias("at"), S.upstream(F.col("s"), F.lit("+"), F.lit(4), F.lit(10))["seq"].alias("up"), S.upstream(F.col("s"), F.lit("-"), F.lit(12), F.lit(2))["seq"].alias("down"),
@@ -96,8 +95,6 @@ def test_sequences(spark):
     ("-", 10, 5, ("no_upstream_sequence_at_reference_edge", "", None)), ("+", 4, 5, ("truncated_reference_edge", "ACG", 1)), ("-", 8, 5, ("truncated_reference_edge", "GT", 9)), ("+", 6, 5, ("complete", "ACGTA", 1)),
 ])
 def test_upstream_states(spark, strand, tss, size, wanted):
-    from pyspark.sql import functions as F
-
     w = spark.createDataFrame([("ACGTACGTAC",)], "s string").select(S.upstream(F.col("s"), F.lit(strand), F.lit(tss), F.lit(size)).alias("w")).first().w
     assert (w.status, w.seq, w.start1) == wanted
 
@@ -127,8 +124,6 @@ def test_alignment_metrics_and_every_reason(spark):
 
 
 def test_all_true_and_booleans(spark):
-    from pyspark.sql import functions as F
-
     rows = spark.createDataFrame([("Yes",), ("0",)], "s string").withColumn("b", integrity.boolean(F.col("s")))
     assert {(r.check, r.passed, r.n_failed) for r in integrity.all_true(rows, known=F.col("b").isNotNull(), yes=F.col("b")).collect()} == {("known", True, 0), ("yes", False, 1)}
     with pytest.raises(Exception, match="not a boolean"):
@@ -159,6 +154,56 @@ def test_readers(spark, tmp_path):
     assert (cm.raw_hit_id, cm.start1, cm.end1, cm.score, cm.ga_pass, cm.model_coverage) == ("sp_RF1_000001", 31, 40, 9.5, True, 1.0)
 
 
+def test_malformed_files_raise(spark, tmp_path):
+    def put(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    with pytest.raises(ValueError, match="before the first record"):
+        readers.read_fasta(spark, put("a.fa", "ACGT\n>one\nAC\n"))
+    with pytest.raises(ValueError, match="repeated"):
+        readers.read_fasta(spark, put("b.fa", ">one\nA\n>one\nC\n"))
+    row = "s\tx\tgene\t1\t9\t.\t+\t.\t"
+    got = readers.read_gff3(spark, put("c.gff", row + "ID=g;Note=a,b;Note=c;.\n")).first()
+    assert got.attrs["Note"] == ["a", "b", "c"]
+    for text in (row + "ID=g;flag\n", row.replace("1\t9", "9\t1") + "ID=g\n", "s\tx\n"):
+        with pytest.raises(Exception, match="attribute without =|bad feature row"):
+            readers.read_gff3(spark, put(f"d{len(text)}.gff", text)).collect()
+    for text in ("a AC\n#=GC RF xx\n", "a AC\n#=GC RF xx\n//\nb AC\n", "a AC\n//\n", "a ACG\n#=GC RF xx\n//\n", "a A C\n#=GC RF xx\n//\n"):
+        with pytest.raises(Exception, match="alignment|RF"):
+            readers.read_stockholm(spark, put(f"e{abs(hash(text))}.sto", text))
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    (tmp_path / "big.tsv").write_text("# head\n" + "".join(f"q{k}\ts\t90\t20\t0\t0\t1\t20\t1\t20\t1e-5\t40\t40\t100\t50\n" for k in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        hits = readers.read_blast(spark, str(tmp_path / "big.tsv"), "sp")
+        assert spark.read.text(str(tmp_path / "big.tsv")).rdd.getNumPartitions() > 5
+        assert all(r.line == int(r.query[1:]) + 2 and r.raw_hit_id == f"sp_BLAST_{int(r.query[1:]) + 1:06}" for r in hits.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_fasta_audit_and_fetch(spark):
+    genome = spark.createDataFrame([("s", "ACGTNNRX" * 10, 80)], "seqid string, seq string, length int")
+    row = readers.audit_fasta(genome).first()
+    assert (row.n_count, row.ambiguous, row.foreign) == (20, 40, 10)
+    regions = spark.createDataFrame([("s", 1, 4), ("s", 15, 18), ("s", 77, 80)], "seqid string, start1 int, end1 int")
+    assert {(r.start1, r.seq) for r in readers.fetch(genome, regions, 16, 8).collect()} == {(1, "ACGT"), (15, "RXAC"), (77, "NNRX")}
+    with pytest.raises(Exception, match="outside"):
+        readers.fetch(genome, spark.createDataFrame([("s", 79, 82)], regions.schema), 16, 8).collect()
+
+
+def test_annotation_audits(spark):
+    features = spark.createDataFrame([("s", 1, 9, "g", []), ("s", 5, 20, None, ["g", "h"]), ("t", 1, 2, "x", [])], "seqid string, start1 int, end1 int, declared_id string, parents array<string>")
+    lengths = spark.createDataFrame([("s", 10)], "seqid string, length int")
+    assert {tuple(r) for r in readers.audit_gff(features, lengths).collect()} == {("beyond_sequence_end", "s", 1), ("unknown_seqid", "t", 1), ("unresolved_parent", "s", 1)}
+    regions = spark.createDataFrame([("r", "s", "+", 1, 5)], PLACE)
+    assert annotation.audit_status(regions, None).first().reason == "no_gff"
+    assert annotation.audit_status(regions, features.withColumn("kind", F.lit("region"))).first().reason == "empty_gff"
+
+
 def test_sinks_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("one", "ACGT" * 30), ("two", "A" * 80)], "id string, seq string")
     sinks.write_fasta(rows, str(tmp_path / "fa"))
