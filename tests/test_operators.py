@@ -204,6 +204,22 @@ def test_annotation_audits(spark):
     assert annotation.audit_status(regions, features.withColumn("kind", F.lit("region"))).first().reason == "empty_gff"
 
 
+def test_differences_exclusions_and_tables(spark, tmp_path):
+    a, b = (spark.createDataFrame(rows, "seqid string, k int") for rows in ([("s", 1), ("s", 1), ("t", 2)], [("s", 1), ("u", 3)]))
+    assert {tuple(r) for r in integrity.differences(a, b, ["seqid", "k"]).collect()} == {("s", 1, "only_a"), ("t", 2, "only_a"), ("u", 3, "only_b")}
+    kept, counts = intervals.without_seqids(a, ["s", "x"])
+    assert {r.seqid for r in kept.collect()} == {"t"} and {tuple(r) for r in counts.collect()} == {("s", 2), ("x", 0)}
+    sinks.write_tsv(a.where("k > 5"), str(tmp_path / "none"))
+    sinks.write_tsv(b.withColumn("n", F.lit(None).cast("string")), str(tmp_path / "some"))
+    assert readers.read_table(spark, str(tmp_path / "some")).where("n is null").count() == 2
+    before = readers.file_manifest(spark, str(tmp_path / "some")).where("path like '%part%'")
+    assert readers.preserved(before, before).count() == 0 and readers.preserved(before, before.limit(0)).first().change == "removed"
+    assert readers.read_table(spark, str(tmp_path / "none")).columns == ["seqid", "k"]
+    (tmp_path / "ragged.tsv").write_text("a\tb\n1\t2\n1\t2\t3\n")
+    with pytest.raises(Exception, match="Malformed|MALFORMED|FAILFAST|malformed"):
+        readers.read_table(spark, str(tmp_path / "ragged.tsv")).collect()
+
+
 def test_sinks_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("one", "ACGT" * 30), ("two", "A" * 80)], "id string, seq string")
     sinks.write_fasta(rows, str(tmp_path / "fa"))
