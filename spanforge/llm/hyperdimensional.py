@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm import words as W
 from spanforge.llm.shared import crc_of_id, small_batches
 
 #: Dimensions of a vector; symbols that letters fall into (0 is the boundary); gram size; bytes of text at once.
