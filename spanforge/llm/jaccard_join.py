@@ -96,7 +96,7 @@ def _counted_runs(docs: DataFrame, k: int, bits: int) -> DataFrame:
         docs, ids, row_keys = int(firsts[-1]), *([y for x in held for y in x[i]] for i in (3, 4))
         order = np.argsort(keys)
         keys, doc = keys[order], doc[order]
-        again = np.append(False, keys[1:] == keys[:-1])
+        again = np.append(False, keys[1:] == keys[:-1])[: len(keys)]
         again[:-1] |= again[1:]
         # Of shingles met several times, each document counts once.
         once, several = np.flatnonzero(~again), np.flatnonzero(again)
