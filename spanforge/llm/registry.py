@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 import corpus_pipeline
-from spanforge.llm import arrow_tokens, factorisation, hilbert_shards, hyperdimensional, jaccard_join, line_cleaning, ngram_trie, soft_mixing, spaced_seeds, suffix_removal
+from spanforge.llm import arrow_tokens, delta_lloyd, factorisation, hilbert_shards, hyperdimensional, jaccard_join, licence_index, line_cleaning, ngram_trie, soft_mixing, spaced_seeds, suffix_removal, voronoi_negatives
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -22,6 +22,9 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
         "op8_line_cleaning": line_cleaning.op8_line_cleaning,
         "op9_hyperdimensional": hyperdimensional.op9_hyperdimensional,
         "op10_soft_mixing": soft_mixing.op10_soft_mixing,
+        "op11_delta_lloyd": delta_lloyd.op11_delta_lloyd,
+        "op12_licence_index": licence_index.op12_licence_index,
+        "op13_voronoi_negatives": voronoi_negatives.op13_voronoi_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -32,4 +35,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_spaced_seeds": spaced_seeds.ORACLE,
         "op7_suffix_removal": suffix_removal.ORACLE,
         "op8_line_cleaning": line_cleaning.ORACLE,
+        "op11_delta_lloyd": delta_lloyd.ORACLE,
+        "op12_licence_index": licence_index.ORACLE,
+        "op13_voronoi_negatives": voronoi_negatives.ORACLE,
     }

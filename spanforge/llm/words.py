@@ -58,8 +58,9 @@ def _layout(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def chunks(texts: pa.Array, lower: bool, limit: int = CHUNK, hashed: bool = True) -> Iterator[Chunk]:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of a string array, in chunks of whole documents of about ``limit`` bytes; nulls have none."""
+def chunks(texts: pa.Array, lower: bool, limit: int = CHUNK, hashed: bool = True, space: np.ndarray = SPACE) -> Iterator[Chunk]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a string array, or the runs of bytes not in ``space``, in chunks of whole
+    documents of about ``limit`` bytes; nulls have none."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     data, offsets = _layout(texts)
@@ -67,7 +68,7 @@ def chunks(texts: pa.Array, lower: bool, limit: int = CHUNK, hashed: bool = True
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
-        word = ~SPACE[part]
+        word = ~space[part]
         before = np.zeros(len(word) + 1, bool)
         before[1:] = word
         before[at] = False
