@@ -50,6 +50,15 @@ def upstream(seq: Column, strand: Column, tss: Column, size: Column) -> Column:
     return let(F.struct(seq.alias("seq"), tss.alias("tss"), size.alias("size")), cut)
 
 
+def upstream_span(strand: Column, tss: Column, size: Column, total: Column) -> Column:
+    """status, start1 and end1 of the window that `upstream` cuts from a sequence of ``total`` bases."""
+    plus = strand == "+"
+    start, end = F.when(plus, F.greatest(F.lit(1), tss - size)).otherwise(tss + 1), F.when(plus, tss - 1).otherwise(F.least(total, tss + size))
+    inside, some = (tss >= 1) & (tss <= total), (tss >= 1) & (tss <= total) & (end >= start)
+    status = F.when(~inside, "boundary_outside_reference").when(~some, "no_upstream_sequence_at_reference_edge").when(end - start + 1 < size, "truncated_reference_edge").otherwise("complete")
+    return F.struct(status.alias("status"), F.when(some, start).alias("start1"), F.when(some, end).alias("end1"))
+
+
 def oriented(seq: Column, strand: Column, start: Column, end: Column) -> Column:
     """Positions start..end in the direction of the strand, clipped to the sequence."""
     low, high = F.greatest(F.lit(1), start), F.least(F.length(seq), end)

@@ -5,13 +5,15 @@ All of them work in bins of positions, so that a sequence with most of the rows
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Positions in a bin of a join, and of the island scan.
-JOIN_BIN, ISLAND_BIN = 1024, 65_536
+#: Positions in a bin of a join at its lowest level, longest level (some 10**9 positions), and positions in a bin of the
+#: island scan.
+JOIN_BIN, LEVELS, ISLAND_BIN = 1024, 10, 65_536
 
 
 def length(start: Column, end: Column) -> Column:
@@ -23,14 +25,40 @@ def overlap_length(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
     return F.greatest(F.lit(0), F.least(e1, e2) - F.greatest(s1, s2) + 1)
 
 
+def _level(start: str, end: str, width: int) -> Column:
+    """The level whose bins, of width * 4**level positions, are no shorter than the interval (LEVELS at most)."""
+    size = F.greatest(F.lit(1.0), (F.col(end) - F.col(start) + 1) / F.lit(float(width)))
+    return F.least(F.lit(LEVELS), F.ceil(F.log(size) / math.log(4))).cast("int")
+
+
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str], names: tuple[str, str, str, str], width: int = JOIN_BIN) -> DataFrame:
-    """Pairs that agree in ``on`` and overlap. names: start and end of left, start and end of right. A pair is made in
-    the one bin that holds the first common position, so none is repeated and none needs a distinct."""
+    """Pairs that agree in ``on`` and overlap. names: start and end of left, start and end of right.
+
+    An interval is at the level of its length, where it lies in two bins or three, and is looked up from there in the
+    bins of the longer levels that the other side has, so that a whole chromosome takes as few rows as an exon. A pair
+    meets at the level of its longer interval, in the one bin that holds its first common position, so none is repeated
+    and none needs a distinct. Bins with many rows are split by Spark's skew join."""
     s1, e1, s2, e2 = names
-    spread = lambda df, s, e: df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width))))
-    joined = spread(left, s1, e1).join(spread(right, s2, e2), [*on, "_bin"])
+    bins = lambda s, e, k: F.sequence(F.floor(F.col(s) / _bin_width(k, width)), F.floor(F.col(e) / _bin_width(k, width)))
+    a, b = left.withColumn("_own", _level(s1, e1, width)), right.withColumn("_own", _level(s2, e2, width))
+    levels = lambda df: F.broadcast(df.select(F.col("_own").alias("_level")).distinct())
+
+    def spread(df: DataFrame, other: DataFrame, s: str, e: str, own: str, longer: str) -> DataFrame:
+        """df in its own bins under one role, and under the other in those of longer levels that ``other`` has."""
+        here = df.withColumns({"_level": F.col("_own"), "_role": F.lit(own)})
+        above = F.when(F.col("_own") < LEVELS, F.sequence(F.col("_own") + 1, F.lit(LEVELS))).otherwise(F.array().cast("array<int>"))
+        far = df.withColumn("_level", F.explode(above)).join(levels(other), "_level", "left_semi").withColumn("_role", F.lit(longer))
+        return here.unionByName(far).withColumn("_bin", F.explode(bins(s, e, F.col("_level")))).drop("_own")
+
+    # left stays at its level and right comes to it (role l), or right stays and left comes to it (role r).
+    there = spread(b, a, s2, e2, "r", "l").unionByName(b.withColumns({"_level": F.col("_own"), "_role": F.lit("l")}).withColumn("_bin", F.explode(bins(s2, e2, F.col("_level")))).drop("_own"))
+    joined = spread(a, b, s1, e1, "l", "r").join(there, [*on, "_role", "_level", "_bin"])
     meets = (F.col(s1) <= F.col(e2)) & (F.col(s2) <= F.col(e1))
-    return joined.where(meets & (F.col("_bin") == F.floor(F.greatest(s1, s2) / width))).drop("_bin")
+    return joined.where(meets & (F.col("_bin") == F.floor(F.greatest(s1, s2) / _bin_width(F.col("_level"), width)))).drop("_role", "_level", "_bin")
+
+
+def _bin_width(level: Column, width: int) -> Column:
+    return F.pow(F.lit(4.0), level) * width
 
 
 def best_reciprocal(hits: DataFrame, others: DataFrame, least: int = 15, share: float = 0.5, order: Column | None = None) -> DataFrame:
@@ -85,3 +113,29 @@ def without_seqids(rows: DataFrame, excluded: Sequence[str]) -> tuple[DataFrame,
     counts = rows.where(out).groupBy("seqid").agg(F.count("*").alias("n"))
     named = rows.sparkSession.createDataFrame([(x,) for x in dict.fromkeys(excluded)], "seqid string")
     return rows.where(~F.coalesce(out, F.lit(False))), named.join(counts, "seqid", "left").select("seqid", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def union(intervals: DataFrame, key: Sequence[str] = ("seqid",)) -> DataFrame:
+    """key, start1, end1: the maximal runs of positions that intervals cover; runs that touch are one."""
+    wider = intervals.select(*key, "start1", (F.col("end1") + 1).alias("end1"))
+    return islands(wider, key).groupBy(*key, "island").agg((F.max("end1") - 1).alias("end1")).select(*key, F.col("island").alias("start1"), "end1")
+
+
+def complement(merged: DataFrame, lengths: DataFrame, width: int = ISLAND_BIN) -> DataFrame:
+    """seqid, start1, end1: the positions of each sequence (seqid, length) that no run of `union` covers. A run's
+    predecessor is in its bin, or the last of an earlier one, of which one row a bin is kept."""
+    ends = lengths.select("seqid", (F.col("length") + 1).cast("int").alias("start1"), (F.col("length") + 1).cast("int").alias("end1"))
+    binned = merged.select("seqid", "start1", "end1").unionByName(ends).withColumn("_bin", F.floor(F.col("start1") / width))
+    before = Window.partitionBy("seqid").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    reach = binned.groupBy("seqid", "_bin").agg(F.max("end1").alias("_end")).withColumn("_reach", F.max("_end").over(before)).drop("_end")
+    inside = Window.partitionBy("seqid", "_bin").orderBy("start1", "end1").rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.greatest(F.max("end1").over(inside), F.col("_reach")), F.lit(0))
+    gaps = binned.join(reach, ["seqid", "_bin"]).withColumn("_prior", prior)
+    return gaps.where("start1 > _prior + 1").select("seqid", (F.col("_prior") + 1).cast("int").alias("start1"), (F.col("start1") - 1).cast("int").alias("end1"))
+
+
+def within(rows: DataFrame, merged: DataFrame, key: str) -> DataFrame:
+    """Values of ``key`` of the rows (seqid, start1, end1) that one run of `union` holds whole."""
+    runs = merged.select("seqid", F.col("start1").alias("_s"), F.col("end1").alias("_e"))
+    met = overlap_join(rows.select(key, "seqid", "start1", "end1"), runs, ["seqid"], ("start1", "end1", "_s", "_e"))
+    return met.where("_s <= start1 and end1 <= _e").select(key).distinct()

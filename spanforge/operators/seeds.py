@@ -12,7 +12,10 @@ PIECE = 4096
 def words(sequences: DataFrame, size: int) -> DataFrame:
     """The other columns with word and at (from 1), for every place of a word without ambiguous letters."""
     rest = [c for c in sequences.columns if c != "seq"]
-    pieces = sequences.select(*rest, F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.length("seq") / PIECE).cast("int")), lambda k: F.struct((k * PIECE).alias("first"), F.substring(F.col("seq"), k * PIECE + 1, F.lit(PIECE + size - 1)).alias("part")))).alias("p"))
+    # Cut once, each piece with the first letters of the next.
+    cut = sequences.select(*rest, F.regexp_extract_all("seq", F.lit(f".{{1,{PIECE}}}"), F.lit(0)).alias("_cut"))
+    joined = lambda x, k: F.struct((k * PIECE).alias("first"), F.concat(x, F.coalesce(F.substring(F.get("_cut", k + 1), 1, size - 1), F.lit(""))).alias("part"))
+    pieces = cut.select(*rest, F.explode(F.transform("_cut", joined)).alias("p"))
     starts = F.when(F.length("p.part") >= size, F.sequence(F.lit(1), F.length("p.part") - size + 1)).otherwise(F.array().cast("array<int>"))
     placed = pieces.select(*rest, "p.first", F.explode(F.transform(starts, lambda k: F.struct(k.alias("k"), F.substring(F.col("p.part"), k, F.lit(size)).alias("word")))).alias("w"))
     return placed.select(*rest, F.col("w.word").alias("word"), (F.col("first") + F.col("w.k")).alias("at")).where(F.length(F.translate("word", "ACGT", "")) == 0)

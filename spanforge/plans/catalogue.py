@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions import sequence as S
-from spanforge.operators import annotation, greedy, integrity, intervals, motifs, seeds, support
+from spanforge.operators import annotation, curation, greedy, integrity, intervals, motifs, seeds, support
 from spanforge.operators import loci as L
 from spanforge.plans import oracle
 from spanforge.plans import projections as P
+from spanforge.sources import audits
 
 PLACE = ["id", "seqid", "strand", "start1", "end1"]
 
@@ -68,8 +69,9 @@ def q10_class_counts(spark, d: str) -> DataFrame:
 
 
 def q11_locus_ids(spark, d: str) -> DataFrame:
-    named = L.numbered(L.loci(P.hits(spark, d)).where("canonical"))
-    return named.select(F.format_string("TDU6L%08d", "number").alias("locus_id"), "seqid", (F.col("start1") - 1).alias("bed_start"), "end1", "strand", "legacy_grade")
+    """Ids and BED places of canonical loci: numbers are by body, over all loci."""
+    named = L.numbered(L.loci(P.hits(spark, d))).where("canonical")
+    return named.select(F.format_string("TDU6L%04d", "number").alias("locus_id"), "seqid", (F.col("body_start1") - 1).alias("bed_start"), F.col("body_end1").alias("bed_end"), "strand", "legacy_grade")
 
 
 #: Every third boundary is moved out of its sequence or to its edge.
@@ -201,14 +203,24 @@ def q31_integrity(spark, d: str) -> DataFrame:
     return integrity.integrity(_metrics(spark, d)).select("id", "reasons", "status")
 
 
+def _bounded(spark, d: str) -> tuple[DataFrame, DataFrame]:
+    """Loci with their number and the length of their sequence, and the best local hit of each."""
+    loci = annotation.cut(L.numbered(L.loci(P.hits(spark, d))).withColumn("total", F.lit(P.TOTAL)))
+    windows = curation.windows(loci)
+    return loci, support.best_local(support.local_hits(P.local_search(windows, P.hits(spark, d)), windows))
+
+
 def q32_priority(spark, d: str) -> DataFrame:
-    """Routing of loci: features over the body stand for the core's, and the integrity and window of every third locus are taken as faulty."""
-    loci = L.loci(P.hits(spark, d))
-    counts = annotation.context_counts(loci.select(*PLACE), P.features(spark, d), ["CDS", "exon"]).groupBy("id").agg(F.sum("n").alias("n"))
-    third = F.col("start1") % 3
-    body = F.when(third != 0, integrity.NEAR_COMPLETE).otherwise("unresolved")
-    routed = integrity.priority(F.col("canonical"), F.col("n") > 0, body, F.col("multi_anchor_conflict"), F.when(third != 1, "complete").otherwise("truncated_reference_edge"), F.when(F.col("strong_queries") > 0, "provided_source_support").otherwise("not_tested"))
-    return loci.join(counts, "id").select("id", routed.alias("r")).select("id", "r.*")
+    """Whole rows of loci. A locus takes the integrity of the first alignment of the document of its number; strong hits
+    with the very place of a body are its activity evidence."""
+    loci, best = _bounded(spark, d)
+    blocks = P.table(spark, d, P.blocks_sql(True), "documents").where("id like '%.0'")
+    status = integrity.integrity(integrity.alignment_metrics(blocks, P.RF, _pairs(spark))).select(F.col("id").alias("_alignment"), "status")
+    aligned = loci.select("id", F.concat((F.col("number") % 1000).cast("string"), F.lit(".0")).alias("_alignment")).join(status, "_alignment")
+    place = ["seqid", "strand", "start1", "end1"]
+    bodies = loci.select("id", "seqid", "strand", F.col("body_start1").alias("start1"), F.col("body_end1").alias("end1"))
+    active = bodies.join(P.hits(spark, d).where("tier = 'strong'").select(*place), place)
+    return curation.locus_rows(loci, best, P.features(spark, d), P.KINDS, aligned, active)
 
 
 def q33_alignment_metrics(spark, d: str) -> DataFrame:
@@ -233,15 +245,14 @@ def q36_motif_scan_generic(spark, d: str) -> DataFrame:
 
 
 def q37_related_windows(spark, d: str) -> DataFrame:
-    seqs = P.sequences(spark, d).where("length(seq) >= 100")
+    seqs = P.sequences(spark, d)
     start, end = F.col("tss") - 60, F.col("tss") - 10
     w = S.related_windows(F.col("seq"), F.col("strand"), F.when(F.col("strand") == "+", start).otherwise(end), start, end)
     return seqs.select("id", F.inline(F.array(w))).select("id", F.md5("body").alias("body_md5"), F.md5("flanked").alias("flanked_md5"), "low", "high", "plus1", F.md5("context").alias("context_md5"), "span")
 
 
 def q38_evidence_loci(spark, d: str) -> DataFrame:
-    h = P.hits(spark, d)
-    return L.evidence_loci(h, L.loci(h))
+    return L.evidence_loci(P.hits(spark, d))
 
 
 def _context(spark, d: str):
@@ -289,11 +300,9 @@ def q44_internal_checks(spark, d: str) -> DataFrame:
 
 
 def q45_boundaries(spark, d: str) -> DataFrame:
-    """Boundary hypotheses of canonical loci: one row each, the primary first."""
-    loci = L.loci(P.hits(spark, d)).where("canonical")
-    b = support.primary_boundary(F.col("strand"), F.col("body_start1"), F.col("body_end1"), F.col("strong_queries") > 0, F.col("q1_position"))
-    told = loci.select("id", F.inline(F.array(b))).select("id", "tss", "edge", F.col("hypothesis").alias("main"), F.posexplode("hypotheses").alias("place", "hypothesis"))
-    return told.select("id", "hypothesis", (F.col("hypothesis") == F.col("main")).alias("is_primary"), F.when(F.col("place") == 0, F.col("tss")).otherwise(F.col("edge")).alias("tss"))
+    """Boundary hypotheses of canonical loci, one row each: query position 1 where the best local hit is strong and has it aligned, and the body's edge."""
+    loci, best = _bounded(spark, d)
+    return curation.hypotheses(curation.boundaries(loci.where("canonical"), best))
 
 
 def q46_known_cases(spark, d: str) -> DataFrame:
@@ -306,6 +315,12 @@ def q47_activity_geometry(spark, d: str) -> DataFrame:
     return scanned.groupBy(integrity.activity_geometry(F.col("id") % 3 == 0, F.col("pair_class")).alias("interpretation")).agg(F.count("*").alias("n"))
 
 
+def q48_declared_regions(spark, d: str) -> DataFrame:
+    """By record: declared runs, positions that none covers, features outside all runs, and whether one covers it whole."""
+    features, lengths, declared = P.gff(spark, d), P.table(spark, d, P.LENGTHS, "customer"), P.table(spark, d, P.DECLARED, "customer")
+    return audits.declared_coverage(features.withColumn("_n", F.col("n")), declared, lengths, "_n")
+
+
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
 

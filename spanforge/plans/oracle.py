@@ -79,7 +79,7 @@ wide AS (SELECT s.*, a.seqid, a.strand, a.start1, a.end1, a.query AS anchor_sour
   CASE WHEN coalesce(rf.qcov / 100 >= CAST(0.8 AS DOUBLE) AND rf.trunc = 'no', false) THEN 'rf' WHEN coalesce(top.qcov >= 90, false) THEN 'top' WHEN rf.id IS NOT NULL THEN 'rf' ELSE 'top' END AS choice,
   rf.start1 AS r1, rf.end1 AS r2, rf.query AS rq, top.start1 AS t1, top.end1 AS t2
   FROM summary s JOIN hits a ON a.id = s.anchor_id LEFT JOIN tiers USING (anchor_id) LEFT JOIN rf USING (anchor_id) LEFT JOIN ot USING (anchor_id) LEFT JOIN top USING (anchor_id) LEFT JOIN hist USING (anchor_id)),
-loci AS (SELECT anchor_id AS id, seqid, strand, start1, end1, anchor_source, envelope_start1, envelope_end1, n_hits, CASE choice WHEN 'rf' THEN r1 ELSE t1 END AS body_start1, CASE choice WHEN 'rf' THEN r2 ELSE t2 END AS body_end1,
+loci AS MATERIALIZED (SELECT anchor_id AS id, seqid, strand, start1, end1, anchor_source, envelope_start1, envelope_end1, n_hits, CASE choice WHEN 'rf' THEN r1 ELSE t1 END AS body_start1, CASE choice WHEN 'rf' THEN r2 ELSE t2 END AS body_end1,
   CASE choice WHEN 'rf' THEN r2 - r1 ELSE t2 - t1 END + 1 AS body_length, CASE choice WHEN 'rf' THEN rq ELSE tq END AS body_source,
   CASE WHEN fg AND og THEN 'U6_U6atac_ambiguous' WHEN fg THEN 'RF00026_supported' WHEN og THEN 'RF00619_supported' WHEN k >= 1 THEN 'BLAST_supported_review' WHEN has_rf THEN 'below_GA_review' ELSE 'weak_evidence_review' END AS family_class,
   CASE WHEN fg AND og THEN 'B2_clan_ambiguous' WHEN fg AND k >= 2 THEN 'A1_concordant_U6' WHEN fg THEN 'A2_CM_led_U6' WHEN og THEN 'U6atac_like' WHEN k >= 2 AND has_rf THEN 'B1_subGA_supported'
@@ -195,6 +195,47 @@ over_ AS (SELECT s.id, f.n, f.seqid, f.kind AS feature_type, coalesce(declared_i
   f.cats, array_to_string(f.cats, '|') AS categories, array_to_string(gene_ids, '|') AS gene_ids, array_to_string(bio, '|') AS biotype, array_to_string(missing, '|') AS missing_parents, o.n IS NOT NULL AS is_self, len(list_intersect(ancestors, coalesce(t.ids, []))) > 0 AS shared_with_self
   FROM status s JOIN full_ f ON s.seqid = f.seqid AND s.start1 <= f.end1 AND f.start1 <= s.end1 LEFT JOIN own_rows o ON o.id = s.id AND o.n = f.n LEFT JOIN (SELECT id, list(self_id) AS ids FROM trusted GROUP BY id) t ON t.id = s.id WHERE reason IS NULL)"""
 
+def _clip(low: str, high: str) -> str:
+    """Positions low..high of seq, as far as it has them."""
+    return f"substr(seq, greatest(1, {low}), greatest(0, least(length(seq), {high}) - greatest(1, {low}) + 1))"
+
+
+_INTEGRITY = f"""WITH {_METRICS}, body AS (SELECT *, translate(upper(seq), 'U', 'T') AS b FROM whole), why AS (SELECT *, CASE WHEN aligned_length IS NULL THEN 'structural_alignment_missing_or_incomplete' WHEN aligned_length <> length(b) THEN 'alignment_sequence_length_mismatch'
+    WHEN aligned_sha256 <> sha256(b) THEN 'alignment_sequence_checksum_mismatch' WHEN translate(b, 'ACGT', '') <> '' THEN 'ambiguous_reference_bases' END AS w,
+  interior_gaps > 5 OR longest_interior_gap > 3 AS r1, gap5 > 5 OR gap3 > 5 AS r2, occupancy < CAST(0.9 AS DOUBLE) AS r3, length(b) NOT BETWEEN 80 AND 130 AS r4, coalesce(paired_evaluable >= 5 AND pair_compatibility < CAST(0.7 AS DOUBLE), false) AS r5 FROM body)
+  SELECT id, concat_ws(';', w, CASE WHEN w IS NULL AND r1 THEN 'substantial_internal_model_column_deletion' END, CASE WHEN w IS NULL AND r2 THEN 'terminal_model_columns_missing_in_submitted_body' END, CASE WHEN w IS NULL AND r3 THEN 'RF_match_column_occupancy_below_0.90' END,
+    CASE WHEN w IS NULL AND r4 THEN 'length_outside_pilot_80_130nt_review_window' END, CASE WHEN w IS NULL AND r5 THEN 'low_canonical_wobble_pair_compatibility' END, CASE WHEN pseudogene THEN 'annotated_pseudogene_requires_review' END) AS reasons,
+  CASE WHEN w IS NOT NULL THEN 'unresolved' WHEN r1 THEN 'structural_deletion_risk' WHEN r2 THEN 'terminally_incomplete_submitted_body' WHEN r3 OR r4 OR r5 THEN 'atypical_alignment_requires_review' ELSE 'alignment_near_complete_not_functionally_validated' END AS status FROM why"""
+#: The best local hit of each locus, from the reference's rules in coordinates of the sequence: hits of query N that share
+#: half of the shorter with the body, cut to its window of 60 bases on either side; position 1 must be in the window.
+_BOUNDED = f"""win AS MATERIALIZED (SELECT *, greatest(1, body_start1 - 60) AS low, least({P.TOTAL}, body_end1 + 60) AS high FROM loci),
+shown AS (SELECT w.id, w.body_start1 AS b1, w.body_end1 AS b2, h.strand, h.start1 AS hs, h.end1 AS he, greatest(h.start1, low) AS g1, least(h.end1, high) AS g2, h.qstart, h.bits, h.qcov, h.id AS hid, h.tier = 'strong' AS strong
+  FROM win w JOIN hits h ON h.seqid = w.seqid AND h.strand = w.strand AND h.start1 <= w.high AND w.low <= h.end1 WHERE h.method = 'blastn' AND h.query = 'N'),
+chosen AS (SELECT *, CASE WHEN qstart = 1 AND strand = '+' AND g1 = hs THEN g1 WHEN qstart = 1 AND strand = '-' AND g2 = he THEN g2 END AS q1 FROM shown WHERE greatest(0, least(g2, b2) - greatest(g1, b1) + 1) >= 0.5 * least(g2 - g1 + 1, b2 - b1 + 1)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY strong DESC, bits DESC, qcov DESC, hid) = 1),
+bounded AS MATERIALIZED (SELECT w.*, CASE WHEN c.strong THEN c.q1 END AS direct, CASE WHEN w.strand = '+' THEN body_start1 ELSE body_end1 END AS edge,
+  row_number() OVER (ORDER BY w.seqid, body_start1, body_end1, w.strand, w.id) AS number FROM win w LEFT JOIN chosen c ON c.id = w.id)"""
+
+
+def _upstream(size: int, name: str) -> str:
+    """Places of a window before tss: status, start, end under the name."""
+    s, e = f"CASE WHEN strand = '+' THEN greatest(1, tss - {size}) ELSE tss + 1 END", f"CASE WHEN strand = '+' THEN tss - 1 ELSE least({P.TOTAL}, tss + {size}) END"
+    return f"""{name} AS (SELECT id, seqid, CASE WHEN tss < 1 OR tss > {P.TOTAL} THEN 'boundary_outside_reference' WHEN e < s THEN 'no_upstream_sequence_at_reference_edge' WHEN e - s + 1 < {size} THEN 'truncated_reference_edge' ELSE 'complete' END AS status,
+  CASE WHEN tss BETWEEN 1 AND {P.TOTAL} AND e >= s THEN s END AS start1, CASE WHEN tss BETWEEN 1 AND {P.TOTAL} AND e >= s THEN e END AS end1 FROM (SELECT *, {s} AS s, {e} AS e FROM ends WHERE canonical))"""
+
+
+_OVER = "(SELECT r.id, count(f.kind) AS n FROM {0} r LEFT JOIN features f ON f.seqid = r.seqid AND f.start1 <= r.end1 AND r.start1 <= f.end1 WHERE r.start1 IS NOT NULL GROUP BY r.id)"
+_PRIORITY = f"""WITH RECURSIVE {_LOCI}, {_FEATURES}, {_BOUNDED}, ends AS MATERIALIZED (SELECT *, coalesce(direct, edge) AS tss FROM bounded),
+{_upstream(500, "promoter")}, {_upstream(120, "core")}, bodies AS (SELECT id, seqid, body_start1 AS start1, body_end1 AS end1 FROM bounded),
+states AS MATERIALIZED ({_INTEGRITY}), active AS (SELECT DISTINCT b.id FROM bounded b JOIN hits h ON h.seqid = b.seqid AND h.strand = b.strand AND h.start1 = b.body_start1 AND h.end1 = b.body_end1 WHERE h.tier = 'strong'),
+rows_ AS (SELECT e.id, tss, CASE WHEN direct IS NULL THEN 'search_body_5prime_hypothesis' ELSE 'aligned_historical_q1' END AS hypothesis, p.status AS promoter_status, p.start1 AS promoter_start1, p.end1 AS promoter_end1,
+  b.n AS body_features, q.n AS promoter_features, c.n AS core_features, coalesce(s.status, 'unresolved') AS body_integrity, CASE WHEN a.id IS NULL THEN 'not_tested' ELSE 'provided_source_support' END AS activity, canonical, multi_anchor_conflict AS conflict
+  FROM ends e LEFT JOIN promoter p ON p.id = e.id LEFT JOIN {_OVER.format("bodies")} b ON b.id = e.id LEFT JOIN {_OVER.format("promoter")} q ON q.id = e.id LEFT JOIN {_OVER.format("core")} c ON c.id = e.id
+  LEFT JOIN states s ON s.id = (number % 1000) || '.0' LEFT JOIN active a ON a.id = e.id),
+why AS (SELECT *, concat_ws(';', CASE WHEN core_features > 0 THEN 'core_overlap_requires_interpretation' END, CASE WHEN body_integrity <> 'alignment_near_complete_not_functionally_validated' THEN 'submitted_body_integrity_review' END,
+  CASE WHEN conflict THEN 'multiple_anchor_evidence_review' END, CASE WHEN promoter_status IS DISTINCT FROM 'complete' THEN 'upstream_extraction_incomplete' END) AS w FROM rows_)
+SELECT * EXCLUDE (w, canonical, conflict), CASE WHEN NOT canonical THEN 'family_review_required' WHEN w <> '' THEN 'review_before_experimental_selection' WHEN activity <> 'not_tested' THEN 'review_source_supported_candidate' ELSE 'candidate_for_comparison' END AS priority,
+  CASE WHEN NOT canonical THEN '' WHEN w <> '' THEN w WHEN activity <> 'not_tested' THEN 'provided_activity_source_not_independently_verified_by_pipeline' ELSE 'activity_not_tested;PCR_uniqueness_and_homeologs_not_assessed' END AS reasons FROM why"""
 SQL: dict[str, str] = {
     "q01_support_tier": f"SELECT tier, count(*) AS n FROM ({P.TIERED}) GROUP BY tier",
     "q02_rank_argmax": f"SELECT seqid, query, id, tier FROM (SELECT *, row_number() OVER (PARTITION BY seqid, query ORDER BY {_ORDER}) AS k FROM ({P.TIERED})) WHERE k = 1",
@@ -206,7 +247,8 @@ SQL: dict[str, str] = {
     "q08_anchor_clusters": f"WITH RECURSIVE {_HITS}, family AS (SELECT *, coalesce(query = 'family' AND ga_pass, false) AS seed FROM hits WHERE query <> 'other'), {_cluster('family', False)} SELECT id, anchor_id, n_compatible FROM steps",
     "q09_loci": f"WITH RECURSIVE {_LOCI} SELECT * FROM loci",
     "q10_class_counts": f"WITH RECURSIVE {_LOCI} SELECT family_class, legacy_grade, count(*) AS n, count(*) FILTER (canonical) AS canonical, min(envelope_start1) AS first, max(envelope_end1) AS last FROM loci GROUP BY ALL",
-    "q11_locus_ids": f"WITH RECURSIVE {_LOCI} SELECT 'TDU6L' || lpad(CAST(row_number() OVER (ORDER BY seqid, start1, end1, strand, id) AS VARCHAR), 8, '0') AS locus_id, seqid, start1 - 1 AS bed_start, end1, strand, legacy_grade FROM loci WHERE canonical",
+    "q11_locus_ids": f"""WITH RECURSIVE {_LOCI}, n AS (SELECT *, row_number() OVER (ORDER BY seqid, body_start1, body_end1, strand, id) AS k FROM loci)
+  SELECT 'TDU6L' || format('{{:04d}}', k) AS locus_id, seqid, body_start1 - 1 AS bed_start, body_end1 AS bed_end, strand, legacy_grade FROM n WHERE canonical""",
     "q12_upstream": f"""WITH {_WINDOWS} SELECT id, size, CASE WHEN NOT inside THEN 'boundary_outside_reference' WHEN w = '' THEN 'no_upstream_sequence_at_reference_edge' WHEN length(w) < size THEN 'truncated_reference_edge' ELSE 'complete' END AS status, md5(w) AS window_md5,
   CASE WHEN w <> '' THEN s1 END AS start1, CASE WHEN w <> '' THEN e1 END AS end1, length(w) < size AS truncated, CASE WHEN w <> '' THEN -length(w) END AS first_position, length(w) - length(replace(w, 'N', '')) AS n_count, length(translate(w, 'ACGT', '')) AS ambiguous FROM windows""",
     "q13_reverse_complement": f"SELECT id, sha256({_REVCOMP.format(x='seq')}) AS sha256 FROM ({_SEQ})",
@@ -242,24 +284,16 @@ SQL: dict[str, str] = {
     "q29_exact_evidence": f"""WITH RECURSIVE {_LOCI} SELECT l.id, coalesce(string_agg(h.id, ',' ORDER BY h.id), '') AS evidence FROM (SELECT * FROM loci WHERE canonical) l LEFT JOIN (SELECT * FROM hits WHERE tier IN ('strong', 'moderate', 'none')) h
   ON h.seqid = l.seqid AND h.strand = l.strand AND h.start1 = l.body_start1 AND h.end1 = l.body_end1 GROUP BY l.id""",
     "q30_nested_windows": f"WITH {_WINDOWS} SELECT a.id, suffix(b.w, a.w) AND suffix(c.w, b.w) AS nested FROM windows a JOIN windows b USING (id) JOIN windows c USING (id) WHERE a.size = 300 AND b.size = 500 AND c.size = 1000",
-    "q31_integrity": f"""WITH {_METRICS}, body AS (SELECT *, translate(upper(seq), 'U', 'T') AS b FROM whole), why AS (SELECT *, CASE WHEN aligned_length IS NULL THEN 'structural_alignment_missing_or_incomplete' WHEN aligned_length <> length(b) THEN 'alignment_sequence_length_mismatch'
-    WHEN aligned_sha256 <> sha256(b) THEN 'alignment_sequence_checksum_mismatch' WHEN translate(b, 'ACGT', '') <> '' THEN 'ambiguous_reference_bases' END AS w,
-  interior_gaps > 5 OR longest_interior_gap > 3 AS r1, gap5 > 5 OR gap3 > 5 AS r2, occupancy < CAST(0.9 AS DOUBLE) AS r3, length(b) NOT BETWEEN 80 AND 130 AS r4, coalesce(paired_evaluable >= 5 AND pair_compatibility < CAST(0.7 AS DOUBLE), false) AS r5 FROM body)
-  SELECT id, concat_ws(';', w, CASE WHEN w IS NULL AND r1 THEN 'substantial_internal_model_column_deletion' END, CASE WHEN w IS NULL AND r2 THEN 'terminal_model_columns_missing_in_submitted_body' END, CASE WHEN w IS NULL AND r3 THEN 'RF_match_column_occupancy_below_0.90' END,
-    CASE WHEN w IS NULL AND r4 THEN 'length_outside_pilot_80_130nt_review_window' END, CASE WHEN w IS NULL AND r5 THEN 'low_canonical_wobble_pair_compatibility' END, CASE WHEN pseudogene THEN 'annotated_pseudogene_requires_review' END) AS reasons,
-  CASE WHEN w IS NOT NULL THEN 'unresolved' WHEN r1 THEN 'structural_deletion_risk' WHEN r2 THEN 'terminally_incomplete_submitted_body' WHEN r3 OR r4 OR r5 THEN 'atypical_alignment_requires_review' ELSE 'alignment_near_complete_not_functionally_validated' END AS status FROM why""",
+    "q31_integrity": _INTEGRITY,
     "q34_kmer_seeds": f"""WITH a AS (SELECT DISTINCT id, substr(seq, spot, 7) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS spot FROM ({_SEQ}))), b AS (SELECT DISTINCT id, substr(seq, spot, 7) AS word FROM (SELECT id, seq, unnest(range(1, length(seq) - 5)) AS spot FROM ({_ITEMS})))
   SELECT a.id, b.id AS item_id, count(*) AS n_words FROM a JOIN b USING (word) WHERE translate(word, 'ACGT', '') = '' GROUP BY ALL""",
-    "q32_priority": f"""WITH RECURSIVE {_LOCI}, {_FEATURES}, counts AS (SELECT id, sum(n) AS n FROM {_counts('loci', ['CDS', 'exon'])} GROUP BY id), r AS (SELECT l.id, canonical, strong_queries, coalesce(n > 0, false) AS a, start1 % 3 = 0 AS b, multi_anchor_conflict AS c, start1 % 3 = 1 AS d FROM loci l JOIN counts USING (id))
-  SELECT id, CASE WHEN NOT canonical THEN 'family_review_required' WHEN a OR b OR c OR d THEN 'review_before_experimental_selection' WHEN strong_queries > 0 THEN 'review_source_supported_candidate' ELSE 'candidate_for_comparison' END AS priority,
-  CASE WHEN NOT canonical THEN '' WHEN a OR b OR c OR d THEN concat_ws(';', CASE WHEN a THEN 'core_overlap_requires_interpretation' END, CASE WHEN b THEN 'submitted_body_integrity_review' END, CASE WHEN c THEN 'multiple_anchor_evidence_review' END, CASE WHEN d THEN 'upstream_extraction_incomplete' END)
-    WHEN strong_queries > 0 THEN 'provided_activity_source_not_independently_verified_by_pipeline' ELSE 'activity_not_tested;PCR_uniqueness_and_homeologs_not_assessed' END AS reasons FROM r""",
+    "q32_priority": _PRIORITY,
     "q33_alignment_metrics": f"WITH {_METRICS} SELECT * EXCLUDE (seq, pseudogene) FROM whole WHERE aligned_length IS NOT NULL",
     "q35_motif_scan": _scan((-90, -45), (-42, -18), True),
     "q36_motif_scan_generic": _scan((-120, -40), (-55, -15), False),
-    "q37_related_windows": f"""WITH s AS (SELECT *, tss - 60 AS a, tss - 10 AS b FROM ({_SEQ}) WHERE length(seq) >= 100), t AS (SELECT *, CASE WHEN strand = '+' THEN a ELSE b END AS t FROM s),
-  cuts AS (SELECT id, strand, t, a, b, greatest(1, a - 60) AS low, least(length(seq), b + 60) AS high, substr(seq, a, b - a + 1) AS c1, substr(seq, greatest(1, a - 60), least(length(seq), b + 60) - greatest(1, a - 60) + 1) AS c2, substr(seq, t, 1) AS c3,
-    CASE WHEN strand = '+' THEN substr(seq, t, least(length(seq), b + 60) - t + 1) ELSE substr(seq, greatest(1, a - 60), t - greatest(1, a - 60) + 1) END AS c4 FROM t)
+    "q37_related_windows": f"""WITH s AS (SELECT *, tss - 60 AS a, tss - 10 AS b FROM ({_SEQ})), t AS (SELECT *, CASE WHEN strand = '+' THEN a ELSE b END AS t FROM s),
+  cuts AS (SELECT id, strand, t, a, b, greatest(1, a - 60) AS low, least(length(seq), b + 60) AS high, {_clip("a", "b")} AS c1, {_clip("a - 60", "b + 60")} AS c2, {_clip("t", "t")} AS c3,
+    CASE WHEN strand = '+' THEN {_clip("t", "b + 60")} ELSE {_clip("a - 60", "t")} END AS c4 FROM t)
   SELECT id, md5(CASE WHEN strand = '+' THEN c1 ELSE {_REVCOMP.format(x="c1")} END) AS body_md5, md5(CASE WHEN strand = '+' THEN c2 ELSE {_REVCOMP.format(x="c2")} END) AS flanked_md5, low, high, CASE WHEN strand = '+' THEN c3 ELSE {_REVCOMP.format(x="c3")} END AS plus1,
     md5(CASE WHEN strand = '+' THEN c4 ELSE {_REVCOMP.format(x="c4")} END) AS context_md5, CASE WHEN strand = '+' THEN b - t + 1 ELSE t - a + 1 END AS span FROM cuts""",
     "q38_evidence_loci": f"""WITH RECURSIVE {_LOCI} SELECT f.id, m.anchor_id AS locus_id FROM fold f LEFT JOIN members m ON m.id = coalesce(f.suppressed_by, f.id)""",
@@ -273,9 +307,16 @@ SQL: dict[str, str] = {
   one AS (SELECT id, any_value(c) AS resolved FROM c GROUP BY id HAVING count(*) = 1) SELECT id, self_id, resolved FROM wanted LEFT JOIN one USING (id)""",
     "q44_internal_checks": f"""WITH RECURSIVE {_LOCI}, c AS (SELECT count(*) FILTER (NOT (body_start1 >= envelope_start1 AND body_end1 <= envelope_end1)) AS a, count(*) FILTER (canonical AND NOT family_ga) AS b, count(*) FILTER (strict AND NOT canonical) AS c, count(*) FILTER (body_length <> body_end1 - body_start1 + 1) AS d,
   count(*) FILTER (n_queries = 0) AS e FROM loci) SELECT check_ AS "check", n = 0 AS passed, n AS n_failed FROM (SELECT unnest(['body_inside_envelope', 'canonical_passes', 'strict_is_canonical', 'length_is_span', 'one_query_at_least']) AS check_, unnest([a, b, c, d, e]) AS n FROM c)""",
-    "q45_boundaries": f"""WITH RECURSIVE {_LOCI}, b AS (SELECT id, q1_position AS q, strong_queries > 0 AND q1_position IS NOT NULL AS direct, CASE WHEN strand = '+' THEN body_start1 ELSE body_end1 END AS edge FROM loci WHERE canonical)
-  SELECT id, 'aligned_historical_q1' AS hypothesis, true AS is_primary, q AS tss FROM b WHERE direct UNION ALL SELECT id, 'search_body_5prime_hypothesis', NOT direct, edge FROM b""",
+    "q45_boundaries": f"""WITH RECURSIVE {_LOCI}, {_BOUNDED} SELECT id, 'aligned_historical_q1' AS hypothesis, true AS is_primary, direct AS tss FROM bounded WHERE canonical AND direct IS NOT NULL
+  UNION ALL SELECT id, 'search_body_5prime_hypothesis', direct IS NULL, edge FROM bounded WHERE canonical""",
     "q46_known_cases": f"""WITH {_HITS}, {_FEATURES}, cases AS (SELECT DISTINCT concat_ws(':', seqid, strand, start1, end1) AS case_id, seqid, strand, start1, end1 FROM features WHERE kind = 'exon' AND strand <> '.')
   SELECT case_id, count(h.id) AS n_found, CASE WHEN count(h.id) = 1 THEN min(h.id) END AS found FROM cases c LEFT JOIN (SELECT * FROM hits WHERE tier = 'strong') h ON h.seqid = c.seqid AND h.strand = c.strand AND h.start1 <= c.end1 AND c.start1 <= h.end1 GROUP BY case_id""",
     "q47_activity_geometry": f"SELECT CASE WHEN id % 3 <> 0 THEN 'activity_not_tested' WHEN pair_class IS NOT DISTINCT FROM 'provisional_type3_like_geometry' THEN 'source_support_and_geometry_are_separate' ELSE 'experiment_supported_noncanonical_geometry' END AS interpretation, count(*) AS n FROM ({_scan((-120, -40), (-55, -15), False)}) GROUP BY ALL",
+    "q48_declared_regions": f"""WITH features AS ({P.GFF}), lengths AS ({P.LENGTHS}), declared AS ({P.DECLARED}),
+  runs AS (SELECT seqid, min(start1) AS s, max(end1) AS e FROM (SELECT *, sum(opens) OVER (PARTITION BY seqid ORDER BY start1, end1 ROWS UNBOUNDED PRECEDING) AS run FROM
+    (SELECT *, CASE WHEN start1 <= 1 + max(end1) OVER (PARTITION BY seqid ORDER BY start1, end1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM declared)) GROUP BY seqid, run),
+  r AS (SELECT seqid, count(*) AS n_runs, sum(e - s + 1) AS covered FROM runs GROUP BY seqid), d AS (SELECT seqid, count(*) AS n FROM declared GROUP BY seqid),
+  f AS (SELECT seqid, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM runs u WHERE u.seqid = x.seqid AND u.s <= x.start1 AND x.end1 <= u.e)) AS n_outside FROM features x GROUP BY seqid)
+  SELECT l.seqid, l.length, coalesce(d.n, 0) AS n_declared, coalesce(n_runs, 0) AS n_runs, l.length - coalesce(covered, 0) AS uncovered, coalesce(covered, 0) = l.length AS covered_whole, coalesce(f.n, 0) AS n_features, coalesce(n_outside, 0) AS n_outside
+  FROM lengths l LEFT JOIN r USING (seqid) LEFT JOIN d USING (seqid) LEFT JOIN f USING (seqid)""",
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanforge.operators.intervals import overlap_join
+
 #: Places are dealt over 25 sequences of two million positions.
 HITS = """SELECT concat(CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING), '.', CAST(l_partkey AS STRING), '.', CAST(l_suppkey AS STRING), '.', CAST(CAST(l_quantity AS INT) AS STRING)) AS id,
   concat('c', CAST(l_suppkey % 25 AS STRING)) AS seqid, CASE WHEN l_linenumber % 2 = 0 THEN '+' ELSE '-' END AS strand,
@@ -30,6 +32,12 @@ EDGES = """SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, concat('r', CA
   UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), concat('c', CAST(o_custkey + 1 AS STRING)) FROM orders WHERE o_orderkey % 5 = 0"""
 
 
+#: Length of each sequence of the hits.
+TOTAL = 2_000_105
+#: Declared parts of the features' sequences: some apart, some that touch or overlap, one whole.
+DECLARED = """SELECT seqid, start1, CASE WHEN seqid = 'c7' THEN least(end1, 1000000) ELSE end1 END AS end1 FROM (SELECT concat('c', CAST(c_custkey % 25 AS STRING)) AS seqid,
+  CAST(CASE WHEN c_custkey % 25 = 3 THEN 1 ELSE (c_custkey * 7919) % 900000 + 1 END AS INT) AS start1, CAST(CASE WHEN c_custkey % 25 = 3 THEN 2100000 ELSE (c_custkey * 7919) % 900000 + 2000 + (c_custkey % 11) * 3000 END AS INT) AS end1 FROM customer)"""
+
 #: Genes of customers and what is in them, of orders: some containers, orphans, shared children and rows without an id.
 _GENE = "(c * 7919) % 2000000 + 1"
 GFF = f"""SELECT CAST(c AS BIGINT) AS n, concat('c', CAST(c % 25 AS STRING)) AS seqid, CASE c % 8 WHEN 0 THEN 'pseudogene' WHEN 1 THEN 'repeat_region' WHEN 2 THEN 'chromosome' ELSE 'gene' END AS kind, CAST({_GENE} AS INT) AS start1, CAST({_GENE} + 899 AS INT) AS end1,
@@ -60,8 +68,10 @@ STRUCTURE = "<" * 8 + "." * 4 + ">" * 8 + "." * 5 + "((((((.AAAA..))))))" + "."
 def blocks_sql(spark: bool) -> str:
     """All of every sequence in consecutive rows of 110 columns (block, from 0), with gaps put in by rule, and the body that
     was aligned: the row's letters, or others where the alignment is to be refused."""
-    each = "explode(sequence(0, CAST((length(seq) - 1) / 110 AS INT)))" if spark else "unnest(range(0, CAST(floor((length(seq) - 1) / 110) AS INT) + 1))"
-    rows = f"SELECT id, block, rpad(substr(seq, block * 110 + 1, 110), 110, '-') AS raw FROM (SELECT id, seq, {each} AS block FROM ({sequences_sql(spark)}) WHERE length(seq) >= 1)"
+    # The text is cut once: a substring at a place walks there from the text's start.
+    cut = "posexplode(regexp_extract_all(seq, '.{{1,110}}', 0)) AS (block, piece)" if spark else "unnest(range(len(pieces))) AS block, unnest(pieces) AS piece"
+    source = sequences_sql(spark) if spark else f"SELECT id, regexp_extract_all(seq, '.{{1,110}}') AS pieces FROM ({sequences_sql(spark)})"
+    rows = f"SELECT id, block, rpad(piece, 110, '-') AS raw FROM (SELECT id, {cut} FROM ({source}))"
     inner = "CASE block % 4 WHEN 0 THEN translate(raw, 'N', 'A') WHEN 1 THEN translate(raw, 'N', '-') WHEN 2 THEN concat(translate(substr(raw, 1, 50), 'N', 'G'), '~.', translate(substr(raw, 53), 'N', 'C')) ELSE raw END"
     gapped = f"SELECT id, block, concat(repeat('-', cut), substr({inner}, cut + 1)) AS aligned FROM (SELECT *, CAST((id + block) % 9 AS INT) AS cut FROM ({rows}))"
     bare = f"SELECT *, translate(aligned, '.-_~', '') AS bare FROM ({gapped})"
@@ -111,3 +121,15 @@ def gff(spark: SparkSession, sf_dir: str) -> DataFrame:
     attrs = F.map_from_entries(F.filter(F.array(entry("gene_biotype", "biotype"), entry("Name", "name")), lambda x: x.isNotNull()))
     parents = F.filter(F.array("parent1", "parent2"), lambda x: x.isNotNull())
     return rows.select("n", "seqid", "kind", "start1", "end1", "strand", "declared_id", parents.alias("parents"), attrs.alias("attrs"))
+
+
+def local_search(windows: DataFrame, hits: DataFrame) -> DataFrame:
+    """Hits of query N as a search of the windows (id, seqid, strand, low, high) would report them: in the window's own
+    direction, cut at its ends. position: where query position 1 is, if it is aligned."""
+    found = hits.where("method = 'blastn' and query = 'N'").select("seqid", "strand", F.col("start1").alias("_s"), F.col("end1").alias("_e"), F.col("id").alias("ordinal"), "qstart", "qcov", "bits", (F.col("tier") == "strong").alias("strong"))
+    met = overlap_join(windows.select("id", "seqid", "strand", "low", "high"), found, ["seqid", "strand"], ("low", "high", "_s", "_e"))
+    plus = F.col("strand") == "+"
+    lost = F.greatest(F.lit(0), F.when(plus, F.col("low") - F.col("_s")).otherwise(F.col("_e") - F.col("high")))
+    start = F.when(plus, F.greatest("_s", "low") - F.col("low")).otherwise(F.col("high") - F.least("_e", "high")) + 1
+    end = F.when(plus, F.least("_e", "high") - F.col("low")).otherwise(F.col("high") - F.greatest("_s", "low")) + 1
+    return met.select("id", start.alias("sstart"), end.alias("send"), (F.col("qstart") + lost).alias("qstart"), F.when(F.col("qstart") + lost == 1, start).alias("position"), "strong", "bits", "qcov", "ordinal")
