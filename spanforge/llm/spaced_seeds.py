@@ -4,11 +4,12 @@ substitutions; overlaps are then verified word by word along the hit's diagonal.
 Words are lower-cased (A-Z) runs without white space. A document and an item overlap where a mask's kept words agree
 on a diagonal and some window of ``window`` words of that diagonal (or the whole item, if shorter) agrees in at least
 ``share`` of its words. The masks are lossless for that rule: wherever the allowed substitutions fall in a window, some
-mask has a place in it that keeps none of them. The seeds of the benchmark go to every task only while they are within ``seed_rows``;
-beyond it both sides are joined by shuffle.
+mask has a place in it that keeps none of them. The seeds of the benchmark go to every task in blocks of at most about
+``seed_rows``; each block is one more scan of the documents.
 
 Defined cases: null and empty texts hit nothing; items shorter than the window are compared whole, by masks of their own
-length; items without words never hit; equal items hit one by one; repeated document rows count one by one.
+length; items without words never hit; equal items hit one by one, with an id or without; repeated document rows count
+one by one.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class Items:
     """Seeds of the benchmark, sorted, with their items and places; and the items' word hashes."""
 
     def __init__(self, rows: list[tuple[int, str | None]], window: int = WINDOW, share: float = SHARE) -> None:
-        self.ids = np.array([x for x, _ in rows], np.int64)
+        self.ids = [x for x, _ in rows]
         chunk_list = list(W.chunks(pa.array([t for _, t in rows], pa.string()), True, 1 << 40))
         self.hashes = chunk_list[0].hashes if chunk_list else np.zeros(0, np.uint64)
         self.words = chunk_list[0].words if chunk_list else np.zeros(1, np.int64)
@@ -128,17 +129,17 @@ class Items:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, seed_rows: int = SEED_ROWS) -> DataFrame:
     """One row per document row and item that overlap: doc_id, item_id, words_alike, window_words, start (word) of the
-    best window. A benchmark beyond ``seed_rows`` words is taken in blocks of that size, joined by block number, so no
-    task ever holds more than one block."""
+    best window. A benchmark beyond ``seed_rows`` seeds is taken in blocks of that size, dealt by hash, with a scan of the
+    documents for each, so no task ever holds more than one block."""
     spark = docs.sparkSession
     sized = benchmark.select("item_id", "text").withColumn("_w", F.octet_length(F.coalesce("text", F.lit(""))))
     total = sized.agg(F.coalesce(F.sum("_w"), F.lit(0))).first()[0]
     blocks = 1 + int(total * max(1, len(masks_for(window, share))) // (2 * seed_rows))
     out = None
     for block in range(blocks):
-        part = benchmark.select("item_id", "text") if blocks == 1 else benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).select("item_id", "text")
+        part = benchmark.select("item_id", "text") if blocks == 1 else benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).select("item_id", "text")
         # Bounded: a block holds about seed_rows seeds at most.
-        rows = sorted(((r.item_id, r.text) for r in part.where("item_id is not null").toLocalIterator()), key=lambda r: (r[0], r[1] or ""))
+        rows = sorted(((r.item_id, r.text) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
         sent = spark.sparkContext.broadcast(rows)
         found = docs.select("doc_id", "text").mapInArrow(_finder(sent, window, share), "doc_id long, item_id long, words_alike int, window_words int, start int")
         out = found if out is None else out.unionByName(found)
@@ -161,7 +162,7 @@ def _finder(sent, window: int, share: float):
                     yield pa.record_batch(
                         {
                             "doc_id": keys.take(pa.array([chunk.first + d for d, _ in pairs])),
-                            "item_id": pa.array([int(items.ids[i]) for _, i in pairs], pa.int64()),
+                            "item_id": pa.array([items.ids[i] for _, i in pairs], pa.int64()),
                             **{name: pa.array([best[p][k] for p in pairs], pa.int32()) for k, name in enumerate(("words_alike", "window_words", "start"))},
                         }
                     )
@@ -181,30 +182,15 @@ def op6_spaced_seeds(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-#: The SQL keeps the masks it was written with, which miss some overlaps; brute force in the tests judges the whole rule.
-_SQL_MASKS = ("1110110111", "11011001111", "110101011011")
-
-
-def _seed_sql(words: str, mask: str) -> str:
-    return "concat_ws(' ', " + ", ".join(f"{words}[i + {k}]" for k, bit in enumerate(mask) if bit == "1") + ")"
-
-
-def _masked_sql(table: str, key: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT {n} AS mask, {key}, i, {_seed_sql('w', mask)} AS seed FROM (SELECT {key}, w, unnest(range(1, len(w) - {len(mask)} + 2)) AS i FROM {table})" for n, mask in enumerate(_SQL_MASKS)
-    )
-
-
 _LOWER_SQL = "list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS w"
 
-#: For benchmarks whose items are no shorter than the shortest mask.
-ORACLE = f"""WITH docs AS (SELECT doc_id, {_LOWER_SQL} FROM documents), items AS (SELECT item_id, {_LOWER_SQL} FROM benchmark),
-hits AS (SELECT DISTINCT d.doc_id, t.item_id, d.i - t.i AS shift FROM ({_masked_sql("docs", "doc_id")}) d JOIN ({_masked_sql("items", "item_id")}) t USING (mask, seed)),
-diagonals AS (SELECT doc_id, item_id, shift, d.w AS dw, t.w AS tw, least({WINDOW}, len(t.w)) AS n, greatest(1, 1 - shift) AS low, least(len(t.w), len(d.w) - shift) AS high
-  FROM hits JOIN docs d USING (doc_id) JOIN items t USING (item_id)),
-places AS (SELECT *, unnest(range(low, high + 1)) AS p FROM diagonals),
-alike AS (SELECT doc_id, item_id, shift, n, p, high, CAST(dw[p + shift] = tw[p] AS INT) AS same FROM places),
-sums AS (SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS full_sum FROM alike),
-windows AS (SELECT doc_id, item_id, shift, n, p, full_sum AS words_alike FROM sums WHERE p + n - 1 <= high AND full_sum >= {SHARE} * n),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY words_alike DESC, p + shift) AS k FROM windows)
-SELECT doc_id, item_id, words_alike, n AS window_words, p + shift - 1 AS start FROM ranked WHERE k = 1"""
+#: Without seeds: every diagonal on which enough single words agree, then its windows.
+ORACLE = f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS d, doc_id, {_LOWER_SQL} FROM documents), items AS MATERIALIZED (SELECT row_number() OVER () AS t, item_id, {_LOWER_SQL} FROM benchmark),
+said AS (SELECT d, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs), asked AS (SELECT t, least({WINDOW}, len(w)) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM items),
+diagonals AS (SELECT d, t, i - p AS shift, any_value(n) AS n FROM said JOIN asked USING (word) GROUP BY d, t, i - p HAVING count(*) >= {SHARE} * any_value(n)),
+placed AS (SELECT d, t, shift, n, docs.w AS dw, items.w AS tw, greatest(1, 1 - shift) AS low, least(len(items.w), len(docs.w) - shift) AS high FROM diagonals JOIN docs USING (d) JOIN items USING (t)),
+alike AS (SELECT d, t, shift, n, p, high, CAST(dw[p + shift] = tw[p] AS INT) AS same FROM (SELECT *, unnest(range(low, high + 1)) AS p FROM placed)),
+sums AS (SELECT *, sum(same) OVER (PARTITION BY d, t, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING) AS s FROM alike),
+windows AS (SELECT * FROM sums WHERE p + n - 1 <= high AND s >= {SHARE} * n),
+best AS (SELECT * FROM windows QUALIFY row_number() OVER (PARTITION BY d, t ORDER BY s DESC, p + shift) = 1)
+SELECT doc_id, item_id, s AS words_alike, n AS window_words, p + shift - 1 AS start FROM best JOIN docs USING (d) JOIN items USING (t)"""

@@ -183,3 +183,15 @@ def test_licence_index_against_brute_force(spark):
 def test_key_phrases_must_be_in_their_template():
     with pytest.raises(ValueError, match="not in its template"):
         licence_index.key_places(licence_index.Template("x", "a b c", ("a c",)))
+
+
+def test_items_without_ids_contaminate(spark):
+    from spanforge.llm import spaced_seeds
+
+    text = "a b c d e f g h i j k l m n"
+    docs = spark.createDataFrame([(1, "x " + text, "p"), (2, "clean words here", "q"), (None, text, "r")], "doc_id long, text string, item_id string")
+    items = spark.createDataFrame([(None, text), (None, text), (4, None), (5, text.replace("c", "z"))], "item_id long, text string")
+    for rows in (10**6, 8):  # one block of the benchmark, and several
+        got = Counter((r.doc_id, r.item_id, r.start) for r in spaced_seeds.contaminated(docs, items, seed_rows=rows).collect())
+        assert got == {(1, None, 1): 2, (None, None, 0): 2, (1, 5, 1): 1, (None, 5, 0): 1}
+    assert [r.doc_id for r in spaced_seeds.decontaminate(docs, items.where("item_id is null")).collect()] == [2]
