@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +26,9 @@ def checked(value: Column, good: Column, message: str) -> Column:
 
 
 def read_fasta(spark: SparkSession, path: str, ids: list[str] | None = None) -> DataFrame:
-    """seqid (first word of the header), seq (upper case), length; splits at record starts, so files of many records
-    are read in parallel. ``ids`` keeps some records only. A repeated id raises, as does text before the first record."""
+    """seqid (first word of the header), seq (upper case), length of files of short records, one row each; splits at record
+    starts, so files of many records are read in parallel. ``ids`` keeps some records only. A repeated id raises, as does
+    text before the first record. For long records, see `genome`."""
     records = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.length(F.trim("value")) > 0)
     if headless := records.groupBy("file").agg(F.count_if(F.col("value").startswith(">")).alias("k")).where("k = 0").take(1):
         raise ValueError(f"text before the first record: {headless[0].file}")
@@ -39,32 +46,18 @@ def audit_fasta(genome: DataFrame, letters: str = "ACGTRYSWKMBDHVN") -> DataFram
     return genome.select("seqid", "length", (F.length("seq") - left("N")).alias("n_count"), left("ACGT").alias("ambiguous"), left(letters).alias("foreign"), F.sha2("seq", 256).alias("sha256"))
 
 
-def fetch(genome: DataFrame, regions: DataFrame, size: int = 1 << 20, overlap: int = 4096) -> DataFrame:
-    """regions (seqid, start1, end1 and others) with seq, read from `chunked` pieces: regions of up to ``overlap`` letters
-    take one piece each. A longer one, or one that leaves its sequence, raises."""
-    pieces = chunked(genome, size, overlap).withColumnRenamed("start1", "_from").withColumnRenamed("seq", "_piece")
-    met = regions.withColumn("chunk", F.floor((F.col("start1") - 1) / size).cast("int")).join(pieces, ["seqid", "chunk"], "left")
-    n = F.col("end1") - F.col("start1") + 1
-    cut = F.substring("_piece", F.col("start1") - F.col("_from") + 1, n)
-    good = F.coalesce((F.col("start1") >= 1) & (n >= 1) & (n <= overlap) & (F.length(cut) == n), F.lit(False))
-    return met.withColumn("seq", checked(cut, good, "region outside its sequence, or too long")).drop("chunk", "_from", "_piece")
-
-
-def chunked(genome: DataFrame, size: int = 1 << 20, overlap: int = 1000) -> DataFrame:
-    """seqid, chunk, start1, seq: long sequences in overlapping pieces, so that none is one task's work."""
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.col("length") - 1) / size)).cast("int"))
-    return genome.select("seqid", "seq", F.explode(starts).alias("chunk")).select("seqid", "chunk", (F.col("chunk") * size + 1).alias("start1"), F.expr(f"substring(seq, chunk * {size} + 1, {size + overlap})").alias("seq"))
-
-
 def read_blast(spark: SparkSession, path: str, species: str) -> DataFrame:
-    """Tabular hits of 15 or 18 columns (comments skipped); coordinates become rising, with a strand; ids number the data rows."""
+    """Tabular hits of 15 or 18 columns (comments skipped); coordinates become rising, with a strand; ids number the data
+    rows. Aligned strings (of 18 columns) must be of the length told and hold as many bases as the coordinates span."""
     names = "query seqid pident alignment_length mismatch gapopen qstart qend sstart send evalue bitscore qlen slen qcov_reported qseq sseq btop".split()
     data = _lines(spark, path).where("trim(line) <> '' and line not like '#%'").withColumn("f", F.split("line", "\t"))
     number = F.row_number().over(Window.partitionBy("file").orderBy("n"))
     cols = {x: F.get("f", F.lit(k)) for k, x in enumerate(names)}
     kinds = {x: "double" for x in ("pident", "evalue", "bitscore", "qcov_reported")} | {x: "int" for x in ("alignment_length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "qlen", "slen")}
     out = data.withColumn("ordinal", number).select("n", "ordinal", *[v.cast(kinds.get(k, "string")).alias(k) for k, v in cols.items()], F.size("f").alias("_size"))
-    good = F.col("_size").isin(15, 18) & (F.col("qstart") >= 1) & (F.col("qstart") <= F.col("qend")) & (F.col("qend") <= F.col("qlen")) & (F.least("sstart", "send") >= 1) & (F.greatest("sstart", "send") <= F.col("slen"))
+    bases = lambda x: F.length(F.replace(F.col(x), F.lit("-"), F.lit("")))
+    told = (F.length("qseq") == F.col("alignment_length")) & (F.length("sseq") == F.col("alignment_length")) & (bases("qseq") == F.col("qend") - F.col("qstart") + 1) & (bases("sseq") == F.abs(F.col("send") - F.col("sstart")) + 1)
+    good = F.col("_size").isin(15, 18) & ((F.col("_size") == 15) | F.coalesce(told, F.lit(False))) & (F.col("qstart") >= 1) & (F.col("qstart") <= F.col("qend")) & (F.col("qend") <= F.col("qlen")) & (F.least("sstart", "send") >= 1) & (F.greatest("sstart", "send") <= F.col("slen"))
     return out.select(
         checked(F.format_string(f"{species}_BLAST_%06d", "ordinal"), good, "bad tabular hit").alias("raw_hit_id"), F.lit("blastn").alias("method"), *[F.col(x) for x in names if x not in ("sstart", "send")],
         F.least("sstart", "send").alias("start1"), F.greatest("sstart", "send").alias("end1"), F.when(F.col("sstart") <= F.col("send"), "+").otherwise("-").alias("strand"),
@@ -111,18 +104,34 @@ def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
-def read_gff3(spark: SparkSession, path: str) -> DataFrame:
-    """Features (9 columns, plain or gzip) up to ##FASTA; attributes are decoded after they are split."""
+def unquoted(text: Column) -> Column:
+    """Text with %XX decoded; a per cent sign that no two hexadecimal digits follow stays, as does a plus sign."""
+    return F.url_decode(F.replace(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B")))
+
+
+def _gff_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of annotation files up to ##FASTA."""
     lines = _lines(spark, path)
     stop = lines.where("line like '##FASTA%'").groupBy("file").agg(F.min("n").alias("stop"))
-    data = lines.join(stop, "file", "left").where("(stop is null or n < stop) and trim(line) <> '' and line not like '#%'").withColumn("f", F.split("line", "\t"))
-    decode = lambda v: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B")))
+    return lines.join(stop, "file", "left").where("stop is null or n < stop")
+
+
+def read_declared_regions(spark: SparkSession, path: str) -> DataFrame:
+    """seqid, start1, end1 of the ##sequence-region lines."""
+    f = F.split(F.trim("line"), r"\s+")
+    return _gff_lines(spark, path).where("line like '##sequence-region %'").select(checked(unquoted(F.get(f, F.lit(1))), F.size(f) == 4, "bad sequence-region line").alias("seqid"), F.get(f, F.lit(2)).cast("int").alias("start1"), F.get(f, F.lit(3)).cast("int").alias("end1"))
+
+
+def read_gff3(spark: SparkSession, path: str) -> DataFrame:
+    """Features (9 columns, plain or gzip) up to ##FASTA; seqids are decoded, attributes after they are split."""
+    data = _gff_lines(spark, path).where("trim(line) <> '' and line not like '#%'").withColumn("f", F.split("line", "\t"))
+    decode = unquoted
     items = F.filter(F.split(F.get("f", F.lit(8)), ";"), lambda x: ~F.trim(x).isin("", "."))
     pairs = F.transform(items, lambda x: F.struct(checked(decode(F.trim(F.substring_index(x, "=", 1))), x.contains("="), "attribute without =").alias("k"), F.transform(F.split(F.regexp_replace(x, "^[^=]*=", ""), ","), decode).alias("v")))
     # Values of a repeated key are one list.
     folded = F.transform(F.array_distinct(F.transform("pairs", lambda p: p["k"])), lambda k: F.struct(k, F.flatten(F.transform(F.filter("pairs", lambda p: p["k"] == k), lambda p: p["v"]))))
     good = (F.size("f") == 9) & (F.get("f", F.lit(3)).cast("int") >= 1) & (F.get("f", F.lit(3)).cast("int") <= F.get("f", F.lit(4)).cast("int")) & F.get("f", F.lit(6)).isin("+", "-", ".", "?")
-    out = data.select(checked(F.get("f", F.lit(0)), good, "bad feature row").alias("seqid"), F.get("f", F.lit(1)).alias("source"), F.get("f", F.lit(2)).alias("kind"), F.get("f", F.lit(3)).cast("int").alias("start1"), F.get("f", F.lit(4)).cast("int").alias("end1"), F.get("f", F.lit(6)).alias("strand"), pairs.alias("pairs"), F.col("n").alias("line_number"))
+    out = data.select(checked(unquoted(F.get("f", F.lit(0))), good, "bad feature row").alias("seqid"), F.get("f", F.lit(1)).alias("source"), F.get("f", F.lit(2)).alias("kind"), F.get("f", F.lit(3)).cast("int").alias("start1"), F.get("f", F.lit(4)).cast("int").alias("end1"), F.get("f", F.lit(6)).alias("strand"), pairs.alias("pairs"), F.col("n").alias("line_number"))
     out = out.withColumn("attrs", F.map_from_entries(folded)).drop("pairs")
     empty = F.array().cast("array<string>")
     return out.withColumns({"declared_id": F.get(F.coalesce(F.try_element_at("attrs", F.lit("ID")), empty), F.lit(0)), "parents": F.coalesce(F.try_element_at("attrs", F.lit("Parent")), empty)})
@@ -142,10 +151,30 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", "true").option("nullValue", "NA").option("quote", "").option("mode", "FAILFAST").option("enforceSchema", "false").csv(path)
 
 
+#: Bytes of a file that are hashed at once.
+HASHED = 1 << 22
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256 of every file under a folder, in order; files of up to 2 GB each. An empty file raises."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", checked(F.col("length"), F.col("length") > 0, "empty file").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
+    """path, bytes, sha256, md5 of every file under a folder, in order. A task streams its files in pieces of HASHED
+    bytes, so that a file may be of any size. An empty file raises."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").orderBy("path")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path_, size in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True):
+                system, place = fs.FileSystem.from_uri(path_) if "://" in path_ else (fs.LocalFileSystem(), unquote(path_.removeprefix("file:")))
+                sha, md = hashlib.sha256(), hashlib.md5(usedforsecurity=False)
+                with system.open_input_stream(place) as stream:
+                    while piece := stream.read(HASHED):
+                        sha.update(piece)
+                        md.update(piece)
+                rows.append((path_, size, sha.hexdigest(), md.hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True) if rows else ((),) * 4, (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], ["path", "bytes", "sha256", "md5"])
+
+    out = files.mapInArrow(digest, "path string, bytes long, sha256 string, md5 string")
+    return out.select("path", checked(F.col("bytes"), F.col("bytes") > 0, "empty file").alias("bytes"), "sha256", "md5")
 
 
 def preserved(before: DataFrame, after: DataFrame) -> DataFrame:

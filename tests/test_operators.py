@@ -70,11 +70,19 @@ def test_a_deep_pile_is_settled_in_rounds(spark):
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_numbers_do_not_depend_on_partitions(spark, partitions):
     rows = [(f"h{k}", f"s{k % 3}", "+-"[k % 2], 1 + k * 37 % 500, 600 + k) for k in range(60)]
-    got = loci.numbered(spark.createDataFrame(rows, PLACE).repartition(partitions), 50).collect()
+    got = loci.numbered(spark.createDataFrame(rows, PLACE).repartition(partitions), "start1", "end1", 50).collect()
     wanted = sorted(rows, key=lambda r: (r[1], r[3], r[4], r[2], r[0]))
     assert [r.id for r in sorted(got, key=lambda r: r.number)] == [r[0] for r in wanted]
 
 
+def test_loci_are_numbered_by_body_not_by_anchor(spark):
+    """The anchor of a lies first and its body last; what is not canonical takes a number too."""
+    rows = [("a", "s", "+", 1, 100, 500, 600, True), ("b", "s", "+", 200, 300, 210, 290, False), ("c", "s", "-", 400, 450, 210, 290, True), ("d", "r", "-", 900, 950, 900, 950, True)]
+    fields = PLACE + ", body_start1 int, body_end1 int, canonical boolean"
+    got = {r.id: r.number for r in loci.numbered(spark.createDataFrame(rows, fields)).where("canonical").collect()}
+    assert got == {"d": 1, "c": 3, "a": 4}
+
+
 def test_graph_cycles_and_shared_children(spark):
     edges = spark.createDataFrame([("b", "a"), ("c", "b"), ("c", "x"), ("d", "b"), ("p", "q"), ("q", "p")], "id string, parent string")
     assert {(r.id, r.ancestor) for r in annotation.ancestors(edges).collect()} == {("b", "a"), ("c", "b"), ("c", "x"), ("c", "a"), ("d", "b"), ("d", "a"), ("p", "q"), ("q", "p")}
@@ -185,14 +193,9 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_fasta_audit_and_fetch(spark):
-    genome = spark.createDataFrame([("s", "ACGTNNRX" * 10, 80)], "seqid string, seq string, length int")
-    row = readers.audit_fasta(genome).first()
+def test_fasta_audit(spark):
+    row = readers.audit_fasta(spark.createDataFrame([("s", "ACGTNNRX" * 10, 80)], "seqid string, seq string, length int")).first()
     assert (row.n_count, row.ambiguous, row.foreign) == (20, 40, 10)
-    regions = spark.createDataFrame([("s", 1, 4), ("s", 15, 18), ("s", 77, 80)], "seqid string, start1 int, end1 int")
-    assert {(r.start1, r.seq) for r in readers.fetch(genome, regions, 16, 8).collect()} == {(1, "ACGT"), (15, "RXAC"), (77, "NNRX")}
-    with pytest.raises(Exception, match="outside"):
-        readers.fetch(genome, spark.createDataFrame([("s", 79, 82)], regions.schema), 16, 8).collect()
 
 
 def test_annotation_audits(spark):
