@@ -33,31 +33,72 @@ CLASSES = ("P1_canonical_geometry", "P2_near_canonical_geometry", "P3_uncertain"
 PROVISIONAL = ("provisional_type3_like_geometry", "provisional_uncertain_geometry")
 
 
-def pair_class(profile: Profile = LEGACY) -> Column:
-    """0 strict, 1 relaxed, 2 other, by use_mm, tata_mm, tata_start and edge."""
+def _pair(x: Column, y: Column, profile: Profile) -> Column:
+    """A first and a second motif (start, mm) as a pair, in the order of preference: class (0 strict, 1 relaxed, 2 other),
+    mismatches, distance from the ideal geometry, then the leftmost."""
     u, t, low, high, e1, e2 = profile.strict
     mm, r1, r2 = profile.relaxed
-    c = F.col
-    strict = (c("use_mm") <= u) & (c("tata_mm") <= t) & c("tata_start").between(low, high) & c("edge").between(e1, e2)
-    return F.when(strict, 0).when((c("use_mm") <= mm) & (c("tata_mm") <= mm) & c("edge").between(r1, r2), 1).otherwise(2)
+    edge = y["start"] - x["start"] - len(USE) + 1
+    strict = (x["mm"] <= u) & (y["mm"] <= t) & y["start"].between(low, high) & edge.between(e1, e2)
+    rank = F.when(strict, 0).when((x["mm"] <= mm) & (y["mm"] <= mm) & edge.between(r1, r2), 1).otherwise(2)
+    return F.struct(rank.alias("rank"), (x["mm"] + y["mm"]).alias("sum"), F.abs(edge - 24.5).alias("d1"), (F.abs(x["start"] + 65.5) + F.abs(y["start"] + 31)).alias("d2"), x["start"].alias("use_start"), y["start"].alias("tata_start"), x["mm"].alias("use_mm"), y["mm"].alias("tata_mm"))
 
 
-def motif_pairs(windows: DataFrame, profile: Profile = LEGACY, most: int = 3) -> DataFrame:
+def _later(x: Column, seconds: Column) -> Column:
+    return F.filter(seconds, lambda y: y["start"] > x["start"] + len(USE) - 1)
+
+
+def _product(firsts: Column, seconds: Column, profile: Profile) -> Column:
+    return F.flatten(F.transform(firsts, lambda x: F.transform(_later(x, seconds), lambda y: _pair(x, y, profile))))
+
+
+def motif_pairs(windows: DataFrame, profile: Profile = LEGACY, most: int = MOST) -> DataFrame:
     """id and every pair of a USE and a later TATA within the profile's windows, with at most ``most`` mismatches each.
     windows: id and seq, the bases before +1. The pairs of a window are bounded by the profile, not by the data."""
     first = -F.length("seq")
     found = windows.select("id", motif_hits(F.col("seq"), first, USE, *profile.use_window, most).alias("use"), motif_hits(F.col("seq"), first, TATA, *profile.tata_window, most).alias("tata"))
-    each = found.select("id", "tata", F.explode("use").alias("u")).select("id", "u", F.explode("tata").alias("t"))
-    pairs = each.select("id", F.col("u.start").alias("use_start"), F.col("u.mm").alias("use_mm"), F.col("t.start").alias("tata_start"), F.col("t.mm").alias("tata_mm"))
-    pairs = pairs.withColumn("edge", F.col("tata_start") - (F.col("use_start") + len(USE) - 1)).where("edge > 0")
-    return pairs.withColumn("pair_class", pair_class(profile)).withColumn("separation", F.col("tata_start") - F.col("use_start"))
+    p = found.select("id", F.explode(_product(F.col("use"), F.col("tata"), profile)).alias("p"))
+    return p.select("id", "p.use_start", "p.use_mm", "p.tata_start", "p.tata_mm", (F.col("p.tata_start") - F.col("p.use_start") - len(USE) + 1).alias("edge"), F.col("p.rank").alias("pair_class"), (F.col("p.tata_start") - F.col("p.use_start")).alias("separation"))
+
+
+def _chosen(windows: DataFrame, profile: Profile, most: int) -> DataFrame:
+    """windows (seq: upper case, not null) with use, tata and msp (all their places), n_pairs and _best, the preferred pair
+    of at most ``most`` mismatches each.
 
+    Few pairs are made. Classes 0 and 1 need few mismatches in both motifs, so their pairs are among few hits. All others
+    go by their mismatches first: where some hits of the fewest mismatches of either motif stand in order, none else can
+    be preferred; only where they do not are all pairs made."""
+    first = -F.length("seq")
+    # The hits are bounded by the profile's windows, whatever the length of the sequence.
+    each = F.struct(motif_hits(F.col("seq"), first, USE, *profile.use_window, len(USE)).alias("use"), motif_hits(F.col("seq"), first, TATA, *profile.tata_window, len(TATA)).alias("tata"), motif_hits(F.col("seq"), first, MSP, -(1 << 30), -1, 0).alias("msp"))
+
+    def at_most(hits: Column, n) -> Column:
+        return F.filter(hits, lambda h: h["mm"] <= n)
+
+    def judged(x: Column) -> Column:
+        return let(F.struct(at_most(x["use"], most).alias("use"), at_most(x["tata"], most).alias("tata")), lambda some: told(x, some))
 
-def best_pair(pairs: DataFrame) -> DataFrame:
-    """The best pair of each window: class, mismatches, distance from the ideal geometry, then the leftmost."""
-    c = F.col
-    key = F.struct(c("pair_class"), (c("use_mm") + c("tata_mm")).alias("mm"), F.abs(c("edge") - 24.5).alias("d1"), (F.abs(c("use_start") + 65.5) + F.abs(c("tata_start") + 31)).alias("d2"), c("use_start"), c("tata_start"))
-    return pairs.groupBy("id").agg(F.min_by(F.struct("use_mm", "tata_mm", "edge"), key).alias("b"), F.min(key).alias("k")).select("id", "k.use_start", "k.tata_start", "k.pair_class", "b.*")
+    def told(all_: Column, x: Column) -> Column:
+        close = max(profile.strict[0], profile.strict[1], profile.relaxed[0])
+        fewest = lambda hits: let(F.array_min(F.transform(hits, lambda h: h["mm"])), lambda n: at_most(hits, n))
+        sides = F.struct(fewest(x["use"]).alias("u"), fewest(x["tata"]).alias("t"))
+        good = F.filter(_product(at_most(x["use"], close), at_most(x["tata"], close), profile), lambda p: p["rank"] < 2)
+
+        def others(f: Column) -> Column:
+            ordered = F.array_max(F.transform(f["t"], lambda h: h["start"])) > F.array_min(F.transform(f["u"], lambda h: h["start"])) + len(USE) - 1
+            return F.when(F.coalesce(ordered, F.lit(False)), F.array_min(_product(f["u"], f["t"], profile))).otherwise(F.array_min(_product(x["use"], x["tata"], profile)))
+
+        best = let(F.array_min(good), lambda p: F.when(p.isNotNull(), p).otherwise(let(sides, others)))
+        reported = let(at_most(x["tata"], MOST), lambda t: F.aggregate(at_most(x["use"], MOST), F.lit(0), lambda n, u: n + F.size(_later(u, t))))
+        return F.struct(all_["use"].alias("use"), all_["tata"].alias("tata"), all_["msp"].alias("msp"), best.alias("_best"), reported.alias("n_pairs"))
+
+    return windows.select("*", F.inline(F.transform(F.array(each), judged)))
+
+
+def best_pair(windows: DataFrame, profile: Profile = LEGACY, most: int = MOST) -> DataFrame:
+    """The preferred pair of each window (id, seq) that has one of at most ``most`` mismatches each."""
+    found = _chosen(windows.where("seq is not null").select("id", F.upper("seq").alias("seq")), profile, most).where("_best is not null").select("id", "_best.*")
+    return found.select("id", "use_start", "tata_start", F.col("rank").alias("pair_class"), "use_mm", "tata_mm", (F.col("tata_start") - F.col("use_start") - len(USE) + 1).alias("edge"))
 
 
 def scan(windows: DataFrame, profile: Profile = LEGACY) -> DataFrame:
@@ -69,23 +110,9 @@ def scan(windows: DataFrame, profile: Profile = LEGACY) -> DataFrame:
     first = -F.length("seq")
     most = MOST if not profile.legacy else max(len(USE), len(TATA))
     text = windows.withColumn("seq", F.coalesce(F.upper("seq"), F.lit("")))
-    # The hits are bounded by the profile's windows, whatever the length of the sequence.
-    hits = text.select("*", F.inline(F.array(F.struct(motif_hits(F.col("seq"), first, USE, *profile.use_window, len(USE)).alias("use"), motif_hits(F.col("seq"), first, TATA, *profile.tata_window, len(TATA)).alias("tata"), motif_hits(F.col("seq"), first, MSP, -(1 << 30), -1, 0).alias("msp")))))
-
-    u, t, low, high, e1, e2 = profile.strict
     mm, r1, r2 = profile.relaxed
-
-    def pair(x: Column, y: Column) -> Column:
-        edge = y["start"] - x["start"] - len(USE) + 1
-        strict = (x["mm"] <= u) & (y["mm"] <= t) & y["start"].between(low, high) & edge.between(e1, e2)
-        rank = F.when(strict, 0).when((x["mm"] <= mm) & (y["mm"] <= mm) & edge.between(r1, r2), 1).otherwise(2)
-        return F.struct(rank.alias("rank"), (x["mm"] + y["mm"]).alias("sum"), F.abs(edge - 24.5).alias("d1"), (F.abs(x["start"] + 65.5) + F.abs(y["start"] + 31)).alias("d2"), x["start"].alias("use_start"), y["start"].alias("tata_start"), x["mm"].alias("use_mm"), y["mm"].alias("tata_mm"))
-
-    later = lambda x: F.filter("tata", lambda y: (y["start"] > x["start"] + len(USE) - 1) & (y["mm"] <= most))
-    pairs = F.flatten(F.transform(F.filter("use", lambda x: x["mm"] <= most), lambda x: F.transform(later(x), lambda y: pair(x, y))))
     at = lambda start, n: F.substring(F.col("seq"), start - first + 1, F.lit(n))
-    reported = F.size(F.filter("_pairs", lambda p: (p["use_mm"] <= MOST) & (p["tata_mm"] <= MOST)))
-    found = hits.select("*", F.inline(F.array(F.struct(pairs.alias("_pairs"))))).withColumns({"_best": F.array_min("_pairs"), "n_pairs": reported})
+    found = _chosen(text, profile, most)
     b = F.col("_best")
     found = found.withColumns({"use_sequence": F.when(b.isNotNull(), at(b["use_start"], len(USE))), "tata_sequence": F.when(b.isNotNull(), at(b["tata_start"], len(TATA)))})
     both = F.concat("use_sequence", "tata_sequence")

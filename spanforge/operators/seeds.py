@@ -1,10 +1,18 @@
-"""Words that sequences share: the seeds of a search, by pair."""
+"""Searches by seeds: words that sequences share, and hits extended from them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.functions.sequence import reverse_complement
+
 #: Letters of text from which words are taken at once.
 PIECE = 4096
 
@@ -29,3 +37,121 @@ def shared_words(subjects: DataFrame, queries: DataFrame, size: int) -> DataFram
     of = words(queries, size).groupBy("word").agg(F.collect_set("item_id").alias("items"))
     met = words(subjects, size).select("id", "word").distinct().join(of, "word")
     return met.select("id", F.explode("items").alias("item_id")).groupBy("id", "item_id").agg(F.count("*").alias("n_words"))
+
+
+@dataclass(frozen=True)
+class Scoring:
+    """Scores of a nucleotide search (fixed values): a gap of n letters costs gap_open + n * gap_extend; lambda_ and k turn
+    scores into bits. drop ends an ungapped extension, band is the gaps' reach about a diagonal, least the score of a hit."""
+
+    match: int = 1
+    mismatch: int = -3
+    gap_open: int = 5
+    gap_extend: int = 2
+    lambda_: float = 1.374
+    k: float = 0.711
+    drop: int = 10
+    band: int = 8
+    least: int = 18
+
+
+def seed_runs(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
+    """id, item_id, diagonal (place in the subject less place in the query), q_from and q_to of every maximal run of
+    seeds, words of ``size`` bases that both have on the diagonal. A run is bounded by its query; queries meet packed by
+    word, and a word of very many subjects is split by Spark's skew join."""
+    of = words(queries, size).groupBy("word").agg(F.collect_list(F.struct("item_id", F.col("at").alias("q_at"))).alias("places"))
+    met = words(subjects, size).join(of, "word").select("id", "at", F.explode("places").alias("p"))
+    by = met.groupBy("id", F.col("p.item_id").alias("item_id"), (F.col("at") - F.col("p.q_at")).cast("int").alias("diagonal")).agg(F.array_sort(F.collect_set("p.q_at")).alias("starts"))
+    # A run opens where the word before is no neighbour, and ends where the word after is none.
+    opens = F.filter("starts", lambda x, i: (i == 0) | (x - F.coalesce(F.get("starts", i - 1), x) > 1))
+    ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.coalesce(F.get("starts", i + 1), x) - x > 1))
+    runs = F.transform(F.arrays_zip(opens.alias("a"), ends.alias("b")), lambda r: F.struct(r["a"].cast("int").alias("q_from"), (r["b"] + size - 1).cast("int").alias("q_to")))
+    return by.select("id", "item_id", "diagonal", F.inline(runs))
+
+
+def _reach(query: Column, window: Column, shift: Column, at: Column, step: int, scoring: Scoring) -> Column:
+    """The best score of an ungapped extension from ``at`` (not counted) in a direction, ended where it has dropped too far."""
+    room = F.greatest(F.lit(0), F.least(F.length(query) - at, F.length(window) - at - shift) if step > 0 else F.least(at - 1, at + shift - 1))
+    places = F.when(room > 0, F.sequence(F.lit(1), room)).otherwise(F.array().cast("array<int>"))
+
+    def follow(acc: Column, n: Column) -> Column:
+        p = at + n * step
+        same = (F.substring(query, p, 1) == F.substring(window, p + shift, 1)) & (F.substring(query, p, 1) != "N")
+        now = acc["now"] + F.when(same, scoring.match).otherwise(scoring.mismatch)
+        live = acc["live"] & (now >= acc["best"] - scoring.drop)
+        return F.struct(F.when(live, now).otherwise(acc["now"]).cast("int").alias("now"), F.when(live, F.greatest(now, acc["best"])).otherwise(acc["best"]).cast("int").alias("best"), live.alias("live"))
+
+    return F.aggregate(places, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(True).alias("live")), follow, lambda acc: acc["best"])
+
+
+def banded(query: str, window: str, shift: int, scoring: Scoring) -> tuple[int, int, int, str, str] | None:
+    """The best local alignment with affine gaps within the band: score, first letters (from 1) in query and window, and the
+    aligned strings; the first end in order of query and window wins among equal scores."""
+    worst, band, cost = -(1 << 30), scoring.band, scoring.gap_open + scoring.gap_extend
+    before_h, before_f, trace, best = {}, {}, {}, (0, 0, 0)
+    for i, a in enumerate(query, 1):
+        h, f, e = {}, {}, worst
+        for j in range(max(1, i + shift - band), min(len(window), i + shift + band) + 1):
+            left, up = h.get(j - 1, worst), before_h.get(j, worst)
+            e_open, e = left - cost >= e - scoring.gap_extend, max(left - cost, e - scoring.gap_extend)
+            f_open, f[j] = up - cost >= before_f.get(j, worst) - scoring.gap_extend, max(up - cost, before_f.get(j, worst) - scoring.gap_extend)
+            diagonal = max(0, before_h.get(j - 1, 0)) + (scoring.match if a == window[j - 1] and a != "N" else scoring.mismatch)
+            value = max(0, diagonal, e, f[j])
+            h[j] = value
+            trace[i, j] = (0 if not value else 1 if value == diagonal else 2 if value == e else 3, e_open, f_open)
+            if value > best[0]:
+                best = (value, i, j)
+        before_h, before_f = h, f
+    score, i, j = best
+    if not score:
+        return None
+    q, s, state = [], [], 0
+    while True:
+        kind, e_open, f_open = trace.get((i, j), (0, True, True))
+        kind = state or kind
+        if not kind:
+            break
+        q.append("-" if kind == 2 else query[i - 1])
+        s.append("-" if kind == 3 else window[j - 1])
+        state = 0 if kind == 1 or (e_open if kind == 2 else f_open) else kind
+        i, j = i - (kind != 2), j - (kind != 3)
+    return score, i + 1, j + 1, "".join(reversed(q)), "".join(reversed(s))
+
+
+HIT = "query string, seqid string, pident double, alignment_length int, mismatch int, gapopen int, qstart int, qend int, start1 int, end1 int, strand string, score int, bitscore double, qlen int, subject_length int, qcov_exact double, qseq string, sseq string"
+
+
+def extended_hits(subjects: DataFrame, queries: DataFrame, size: int = 11, scoring: Scoring = Scoring()) -> DataFrame:
+    """Hits of queries (item_id, seq) on both strands of subjects (id, seq): seeds chained by diagonal, extended without gaps
+    until they drop, and, if they reach ``scoring.least``, aligned with gaps in a band about their diagonal. One row for
+    each alignment found, with the columns of tabular hits; it holds the best of its band, so a pair has as many hits as
+    bands with seeds. Minus hits are of the reversed query; their aligned strings run along the subject."""
+    both = queries.select(F.concat(F.lit("+"), F.col("item_id").cast("string")).alias("item_id"), "seq").unionByName(queries.select(F.concat(F.lit("-"), F.col("item_id").cast("string")).alias("item_id"), reverse_complement(F.col("seq")).alias("seq")))
+    named = subjects.select(F.col("id").cast("string").alias("id"), "seq")
+    runs = seed_runs(named, both, size).groupBy("id", "item_id", "diagonal").agg(F.collect_list(F.struct("q_from", "q_to")).alias("runs"))
+    asked = runs.join(both.select("item_id", F.col("seq").alias("q")), "item_id").join(named, "id")
+    low = F.greatest(F.lit(1), F.col("diagonal") + 1 - scoring.band)
+    cut = asked.select("id", "item_id", "q", F.length("seq").alias("slen"), low.alias("low"), F.substring(F.col("seq"), low, F.length("q") + 2 * scoring.band).alias("w"), (F.col("diagonal") - low + 1).alias("shift"), F.explode("runs").alias("r"))
+    exact = (F.col("r.q_to") - F.col("r.q_from") + 1) * scoring.match
+    total = exact + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_to"), 1, scoring) + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_from"), -1, scoring)
+    good = cut.where(total >= scoring.least).select("id", "item_id", "q", "slen", "low", "w", "shift").distinct()
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(x.split()[0], {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}[x.split()[1]]) for x in HIT.split(", ")])
+        for batch in batches:
+            rows = []
+            for x in batch.to_pylist():
+                found = banded(x["q"], x["w"], x["shift"], scoring)
+                if found is None or found[0] < scoring.least:
+                    continue
+                score, i, j, q, s = found
+                letters, gaps, n = len(q) - q.count("-"), q.count("-") + s.count("-"), len(x["q"])
+                same = sum(a == b for a, b in zip(q, s, strict=True))
+                opened = sum(len([g for g in re.split("[^-]+", t) if g]) for t in (q, s))
+                first, plus = (i, x["item_id"][0] == "+")
+                qstart = first if plus else n - (first + letters - 1) + 1
+                start = x["low"] + j - 1
+                rows.append((x["item_id"][1:], x["id"], 100 * same / len(q), len(q), len(q) - same - gaps, opened, qstart, qstart + letters - 1, start, start + len(s) - s.count("-") - 1, x["item_id"][0], score, (scoring.lambda_ * score - math.log(scoring.k)) / math.log(2), n, x["slen"], 100 * letters / n, q, s))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * len(schema), schema, strict=True)], schema=schema)
+
+    return good.mapInArrow(align, HIT).distinct()

@@ -112,7 +112,7 @@ def q15_motif_hits(spark, d: str) -> DataFrame:
 
 
 def q16_best_pairs(spark, d: str) -> DataFrame:
-    return motifs.best_pair(motifs.motif_pairs(_promoters(spark, d), motifs.GENERIC))
+    return motifs.best_pair(_promoters(spark, d), motifs.GENERIC)
 
 
 def q17_exact_motif(spark, d: str) -> DataFrame:
@@ -321,6 +321,19 @@ def q48_declared_regions(spark, d: str) -> DataFrame:
     return audits.declared_coverage(features.withColumn("_n", F.col("n")), declared, lengths, "_n")
 
 
+def q49_extended_hits(spark, d: str) -> DataFrame:
+    """Hits of all benchmark items on all sequences, with their alignments."""
+    items = P.table(spark, d, P.sequences_sql(True, "benchmark", "item_id"), "benchmark").select(F.col("id").alias("item_id"), "seq")
+    return seeds.extended_hits(P.sequences(spark, d).select("id", "seq"), items)
+
+
+def q50_metrics_by_model(spark, d: str) -> DataFrame:
+    """Alignments of two models at once, whose columns and pairs are data."""
+    models = spark.createDataFrame([(name, *lines) for name, lines in P.MODELS.items()], "model string, rf string, structure string")
+    rows = P.table(spark, d, P.BY_MODEL.replace("{blocks}", P.blocks_sql(True)), "documents").where("aligned is not null")
+    return integrity.metrics_by_model(rows, models).select("id", "model", "aligned_length", "rf_columns", "occupied", "gap5", "gap3", "interior_gaps", "longest_interior_gap", "inserted", "ambiguous", "paired_positions", "paired_observed", "paired_evaluable", "paired_compatible")
+
+
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
 

@@ -206,6 +206,36 @@ _INTEGRITY = f"""WITH {_METRICS}, body AS (SELECT *, translate(upper(seq), 'U',
   SELECT id, concat_ws(';', w, CASE WHEN w IS NULL AND r1 THEN 'substantial_internal_model_column_deletion' END, CASE WHEN w IS NULL AND r2 THEN 'terminal_model_columns_missing_in_submitted_body' END, CASE WHEN w IS NULL AND r3 THEN 'RF_match_column_occupancy_below_0.90' END,
     CASE WHEN w IS NULL AND r4 THEN 'length_outside_pilot_80_130nt_review_window' END, CASE WHEN w IS NULL AND r5 THEN 'low_canonical_wobble_pair_compatibility' END, CASE WHEN pseudogene THEN 'annotated_pseudogene_requires_review' END) AS reasons,
   CASE WHEN w IS NOT NULL THEN 'unresolved' WHEN r1 THEN 'structural_deletion_risk' WHEN r2 THEN 'terminally_incomplete_submitted_body' WHEN r3 OR r4 OR r5 THEN 'atypical_alignment_requires_review' ELSE 'alignment_near_complete_not_functionally_validated' END AS status FROM why"""
+_IS_GAP = "a IN ('.', '-', '_', '~')"
+
+
+def _stems(structure: str) -> list[tuple[int, int]]:
+    """Pairs of a structure line, by one stack a symbol."""
+    stacks, out = {}, []
+    for k, x in enumerate(structure, 1):
+        if x in "<([{" or x.isupper():
+            stacks.setdefault(x, []).append(k)
+        elif x in ">)]}" or x.islower():
+            out.append((stacks[x.upper() if x.islower() else "<([{"[">)]}".index(x)]].pop(), k))
+    return out
+
+
+def _by_model() -> str:
+    columns = ", ".join(f"('{name}', {k}, {str(x not in '.-_~').lower()})" for name, (rf, _) in P.MODELS.items() for k, x in enumerate(rf, 1))
+    stems = ", ".join(f"('{name}', {i}, {j})" for name, (rf, structure) in P.MODELS.items() for i, j in (_stems(structure) if structure else []) if rf[i - 1] not in ".-_~" and rf[j - 1] not in ".-_~")
+    base = "translate(upper(substr(aligned, {0}, 1)), 'T.-_~', 'U----')"
+    return f"""WITH rows_ AS MATERIALIZED (SELECT * FROM ({P.BY_MODEL.replace("{blocks}", P.blocks_sql(False))}) WHERE aligned IS NOT NULL), columns_(model, k, hit) AS (VALUES {columns}), stems(model, i, j) AS (VALUES {stems}),
+letters AS (SELECT id, r.model, k, hit, substr(aligned, k, 1) AS a FROM rows_ r JOIN columns_ USING (model)),
+flat AS (SELECT id, model, string_agg(CASE WHEN {_IS_GAP} THEN '-' ELSE 'x' END, '' ORDER BY k) FILTER (hit) AS m, count(*) FILTER (NOT hit AND NOT {_IS_GAP}) AS inserted, count(*) FILTER (NOT {_IS_GAP}) AS aligned_length,
+  count(*) FILTER (NOT {_IS_GAP} AND upper(a) NOT IN ('A', 'C', 'G', 'T', 'U')) AS ambiguous, count(*) FILTER (hit) AS rf_columns, count(*) FILTER (hit AND NOT {_IS_GAP}) AS occupied FROM letters GROUP BY id, model),
+met AS (SELECT id, {base.format("i")} || {base.format("j")} AS p FROM rows_ JOIN stems USING (model)),
+told AS (SELECT id, count(*) AS paired_positions, count(*) FILTER (NOT contains(p, '-')) AS paired_observed, count(*) FILTER (regexp_full_match(p, '[ACGU]{{2}}')) AS paired_evaluable, count(*) FILTER (p IN ('AU', 'UA', 'GC', 'CG', 'GU', 'UG')) AS paired_compatible FROM met GROUP BY id)
+SELECT f.id, model, aligned_length, rf_columns, occupied, CASE WHEN occupied = 0 THEN rf_columns ELSE strpos(m, 'x') - 1 END AS gap5, CASE WHEN occupied = 0 THEN 0 ELSE strpos(reverse(m), 'x') - 1 END AS gap3,
+  CASE WHEN occupied = 0 THEN 0 ELSE length(trim(m, '-')) - occupied END AS interior_gaps, CASE WHEN occupied = 0 THEN 0 ELSE list_max(list_transform(string_split(trim(m, '-'), 'x'), lambda g: length(g))) END AS longest_interior_gap, inserted, ambiguous,
+  coalesce(paired_positions, 0) AS paired_positions, coalesce(paired_observed, 0) AS paired_observed, coalesce(paired_evaluable, 0) AS paired_evaluable, coalesce(paired_compatible, 0) AS paired_compatible FROM flat f LEFT JOIN told t ON t.id = f.id"""
+
+
+_BY_MODEL = _by_model()
 #: The best local hit of each locus, from the reference's rules in coordinates of the sequence: hits of query N that share
 #: half of the shorter with the body, cut to its window of 60 bases on either side; position 1 must be in the window.
 _BOUNDED = f"""win AS MATERIALIZED (SELECT *, greatest(1, body_start1 - 60) AS low, least({P.TOTAL}, body_end1 + 60) AS high FROM loci),
@@ -319,4 +349,5 @@ SQL: dict[str, str] = {
   f AS (SELECT seqid, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM runs u WHERE u.seqid = x.seqid AND u.s <= x.start1 AND x.end1 <= u.e)) AS n_outside FROM features x GROUP BY seqid)
   SELECT l.seqid, l.length, coalesce(d.n, 0) AS n_declared, coalesce(n_runs, 0) AS n_runs, l.length - coalesce(covered, 0) AS uncovered, coalesce(covered, 0) = l.length AS covered_whole, coalesce(f.n, 0) AS n_features, coalesce(n_outside, 0) AS n_outside
   FROM lengths l LEFT JOIN r USING (seqid) LEFT JOIN d USING (seqid) LEFT JOIN f USING (seqid)""",
+    "q50_metrics_by_model": _BY_MODEL,
 }

@@ -64,6 +64,10 @@ def sequences_sql(spark: bool, source: str = "documents", key: str = "doc_id") -
 RF = "".join("." if k % 11 == 0 else "x" for k in range(1, 111))
 STRUCTURE = "<" * 8 + "." * 4 + ">" * 8 + "." * 5 + "((((((.AAAA..))))))" + "." * 7 + "aaaa" + "." * 55
 
+#: Models by name, with their reference line and structure: the one above, and one with other inserts and no structure.
+MODELS = {"m1": (RF, STRUCTURE), "m2": ("".join("~" if k % 7 == 0 else "x" for k in range(1, 111)), None)}
+BY_MODEL = "SELECT id, aligned, CASE WHEN CAST(split_part(id, '.', 2) AS INT) % 2 = 0 THEN 'm1' ELSE 'm2' END AS model FROM ({blocks})"
+
 
 def blocks_sql(spark: bool) -> str:
     """All of every sequence in consecutive rows of 110 columns (block, from 0), with gaps put in by rule, and the body that

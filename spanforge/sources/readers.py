@@ -156,7 +156,7 @@ HASHED = 1 << 22
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes, sha256, md5 of every file under a folder, in order. A task streams its files in pieces of HASHED
+    """path, bytes, lines, sha256, md5 of every file under a folder, in order. A task streams its files in pieces of HASHED
     bytes, so that a file may be of any size. An empty file raises."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").orderBy("path")
 
@@ -165,16 +165,17 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
             rows = []
             for path_, size in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True):
                 system, place = fs.FileSystem.from_uri(path_) if "://" in path_ else (fs.LocalFileSystem(), unquote(path_.removeprefix("file:")))
-                sha, md = hashlib.sha256(), hashlib.md5(usedforsecurity=False)
+                sha, md, lines, last = hashlib.sha256(), hashlib.md5(usedforsecurity=False), 0, b"\n"
                 with system.open_input_stream(place) as stream:
                     while piece := stream.read(HASHED):
                         sha.update(piece)
                         md.update(piece)
-                rows.append((path_, size, sha.hexdigest(), md.hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True) if rows else ((),) * 4, (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], ["path", "bytes", "sha256", "md5"])
+                        lines, last = lines + piece.count(b"\n"), piece[-1:]
+                rows.append((path_, size, lines + (last != b"\n"), sha.hexdigest(), md.hexdigest()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True) if rows else ((),) * 5, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], ["path", "bytes", "lines", "sha256", "md5"])
 
-    out = files.mapInArrow(digest, "path string, bytes long, sha256 string, md5 string")
-    return out.select("path", checked(F.col("bytes"), F.col("bytes") > 0, "empty file").alias("bytes"), "sha256", "md5")
+    out = files.mapInArrow(digest, "path string, bytes long, lines long, sha256 string, md5 string")
+    return out.select("path", checked(F.col("bytes"), F.col("bytes") > 0, "empty file").alias("bytes"), "lines", "sha256", "md5")
 
 
 def preserved(before: DataFrame, after: DataFrame) -> DataFrame:
