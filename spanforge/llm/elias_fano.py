@@ -11,7 +11,7 @@ _PAIRS, _FOURS, _BYTES, _EACH, _TOPS = (np.uint64(x * (2**64 - 1) // 255) for x
 #: Place of the k-th one in a byte, by byte and k (8: it has fewer).
 _BIT = np.array([[*(i for i in range(8) if byte >> i & 1), *[8] * 8][:8] for byte in range(256)], np.int64)
 #: A position is kept for every so many ones, and zeros, of the upper bits, and their count before every so many words.
-SAMPLE, WORDS = 256, 4
+SAMPLE, WORDS = 64, 1
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -38,7 +38,7 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
         "upper": upper,
         "ones": np.append(at[::SAMPLE], n + last).astype(np.int64),
         "zeros": np.append(zeros + np.searchsorted(highs, zeros, "right"), n + last).astype(np.int64),
-        "before": np.concatenate([[0], np.cumsum(np.bitwise_count(upper), dtype=np.int64)])[::WORDS],
+        "before": np.concatenate([[0], np.cumsum(np.bitwise_count(upper), dtype=np.int64)])[::WORDS].astype(np.int32 if n < 1 << 31 else np.int64),
     }
 
 

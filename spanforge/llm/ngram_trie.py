@@ -75,7 +75,7 @@ def _mapped(path: str) -> dict:
             while block := source.read(1 << 22):
                 out.write(block)
         local = own
-    arrays = unpack(np.memmap(local, np.uint8, "r"))
+    arrays = unpack(np.memmap(local, np.uint8, "r").view(np.ndarray))
     names = {x.partition(".")[0] for x in arrays if "." in x}
     return arrays | {name: monotone(name, arrays) for name in names}
 
@@ -122,8 +122,11 @@ def find_followers(trie: Trie, level: int, context: np.ndarray, relative: np.nda
     n = len(context)
     out = Found(np.full(n, -1, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64))
     by = np.flatnonzero(context >= 0)
-    by = by[np.argsort(context[by])]
-    new = np.flatnonzero(np.append(True, np.diff(context[by]) != 0)) if len(by) else by
+    steps = np.diff(context[by])
+    if (steps < 0).any():
+        by = by[np.argsort(context[by], kind="stable")]
+        steps = np.diff(context[by])
+    new = np.flatnonzero(np.append(True, steps != 0)) if len(by) else by
     distinct, ends = context[by[new]], np.append(new, len(by))
     for shard, own_at in _routed(trie.levels[level - 1], distinct):
         file, first, last = _mapped(shard.path), int(own_at[0]), int(own_at[-1]) + 1
