@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from conftest import DATA
 
 from spanforge.llm import factorisation, features, hilbert_shards, soft_mixing
@@ -24,15 +25,27 @@ def test_op1_scores_are_the_sum_over_all_pairs():
         assert abs(got[k] - wanted) < 1e-4 * max(1, abs(wanted))
 
 
-def test_op10_rates_meet_the_targets_and_stay_nonnegative(spark):
+@pytest.mark.parametrize("stored", [3, 1000])
+def test_op10_rates_meet_the_targets_and_stay_nonnegative(spark, monkeypatch, stored):
+    """Also where rates are stored on the way, which changes none of them."""
+    monkeypatch.setattr(soft_mixing, "STORED", stored)
     draw = np.random.default_rng(7)
     posterior = draw.dirichlet([2, 1, 0.5], 300)
     tokens = draw.integers(1, 500, 300)
-    table = spark.createDataFrame([(int(t), p.tolist()) for t, p in zip(tokens, posterior, strict=True)], "n_tokens long, posterior array<double>")
-    steps, targets, totals = soft_mixing.fit_rates(table, (0.6, 0.3, 0.1))
-    rates = soft_mixing.rates(posterior, steps, 0.0)
+    table = spark.createDataFrame([(k, int(t), p.tolist()) for k, (t, p) in enumerate(zip(tokens, posterior, strict=True))], "k int, n_tokens long, posterior array<double>")
+    fit = soft_mixing.fit_rates(table, (0.6, 0.3, 0.1))
+    assert fit.reached and len(fit.steps) <= stored and ("_start" in fit.table.columns) == (stored == 3)
+    out = soft_mixing.rated(fit.table, fit.steps)
+    assert out.columns == ["k", "n_tokens", "posterior", "rate"]
+    rates = np.array([r.rate for r in out.orderBy("k").collect()])
     assert (rates >= 0).all()
-    assert np.allclose((tokens * rates) @ posterior, totals) and np.abs(totals - targets).max() <= 2 * soft_mixing.TOLERANCE * targets.sum()
+    assert np.allclose((tokens * rates) @ posterior, fit.totals) and np.abs(fit.totals - fit.targets).max() <= 2 * soft_mixing.TOLERANCE * fit.targets.sum()
+
+
+def test_op10_tells_what_is_out_of_reach(spark):
+    """A domain that no row can be without."""
+    table = spark.createDataFrame([(10, [0.9, 0.1]), (20, [0.8, 0.2])], "n_tokens long, posterior array<double>")
+    assert not soft_mixing.fit_rates(table, (0.05, 0.95), 30.0).reached
 
 
 def test_op4_slots_follow_the_curve_and_files_are_pruned(spark, tmp_path):
