@@ -42,7 +42,8 @@ def shared_words(subjects: DataFrame, queries: DataFrame, size: int) -> DataFram
 @dataclass(frozen=True)
 class Scoring:
     """Scores of a nucleotide search (fixed values): a gap of n letters costs gap_open + n * gap_extend; lambda_ and k turn
-    scores into bits. drop ends an ungapped extension, band is the gaps' reach about a diagonal, least the score of a hit."""
+    scores into bits. drop ends an ungapped extension, opens is the ungapped score that calls for gaps, band the gaps' reach
+    about a diagonal, least the score of a hit."""
 
     match: int = 1
     mismatch: int = -3
@@ -51,6 +52,7 @@ class Scoring:
     lambda_: float = 1.374
     k: float = 0.711
     drop: int = 10
+    opens: int = 14
     band: int = 8
     least: int = 18
 
@@ -123,7 +125,7 @@ HIT = "query string, seqid string, pident double, alignment_length int, mismatch
 
 def extended_hits(subjects: DataFrame, queries: DataFrame, size: int = 11, scoring: Scoring = Scoring()) -> DataFrame:
     """Hits of queries (item_id, seq) on both strands of subjects (id, seq): seeds chained by diagonal, extended without gaps
-    until they drop, and, if they reach ``scoring.least``, aligned with gaps in a band about their diagonal. One row for
+    until they drop, and, if they reach ``scoring.opens``, aligned with gaps in a band about their diagonal. One row for
     each alignment found, with the columns of tabular hits; it holds the best of its band, so a pair has as many hits as
     bands with seeds. Minus hits are of the reversed query; their aligned strings run along the subject."""
     both = queries.select(F.concat(F.lit("+"), F.col("item_id").cast("string")).alias("item_id"), "seq").unionByName(queries.select(F.concat(F.lit("-"), F.col("item_id").cast("string")).alias("item_id"), reverse_complement(F.col("seq")).alias("seq")))
@@ -134,7 +136,7 @@ def extended_hits(subjects: DataFrame, queries: DataFrame, size: int = 11, scori
     cut = asked.select("id", "item_id", "q", F.length("seq").alias("slen"), low.alias("low"), F.substring(F.col("seq"), low, F.length("q") + 2 * scoring.band).alias("w"), (F.col("diagonal") - low + 1).alias("shift"), F.explode("runs").alias("r"))
     exact = (F.col("r.q_to") - F.col("r.q_from") + 1) * scoring.match
     total = exact + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_to"), 1, scoring) + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_from"), -1, scoring)
-    good = cut.where(total >= scoring.least).select("id", "item_id", "q", "slen", "low", "w", "shift").distinct()
+    good = cut.where(total >= scoring.opens).select("id", "item_id", "q", "slen", "low", "w", "shift").distinct()
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(x.split()[0], {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}[x.split()[1]]) for x in HIT.split(", ")])

@@ -101,4 +101,4 @@ def test_manifests_stream_files(spark, tmp_path, monkeypatch):
     assert (row.bytes, row.sha256, row.md5) == (len(raw), hashlib.sha256(raw).hexdigest(), hashlib.md5(raw).hexdigest())
     (tmp_path / "in" / "empty").write_bytes(b"")
     with pytest.raises(Exception, match="empty file"):
-        readers.file_manifest(spark, str(tmp_path / "in")).collect()
+        readers.file_manifest(spark, str(tmp_path / "in"))
