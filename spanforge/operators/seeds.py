@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from spanforge.functions.sequence import reverse_complement
 
-#: Letters of text from which words are taken at once.
-PIECE = 4096
+#: Letters of text from which words are taken at once: few, as a substring at a place walks there from the start.
+PIECE = 256
 
 
 def words(sequences: DataFrame, size: int) -> DataFrame:
