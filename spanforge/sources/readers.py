@@ -155,12 +155,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 HASHED = 1 << 22
 
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
+def file_manifest(spark: SparkSession, path: str, allow_empty: bool = False) -> DataFrame:
     """path, bytes, lines, sha256, md5 of every file under a folder, in order. A task streams its files in pieces of HASHED
-    bytes, so that a file may be of any size. An empty file raises, but for names that begin with a dot or underscore."""
+    bytes, so that a file may be of any size. An empty file raises, but for names that begin with a dot or
+    underscore; with ``allow_empty`` it is left out, as Spark's writers make empty parts."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(where, True)
-    while listed.hasNext():  # Spark lists no empty files
+    while not allow_empty and listed.hasNext():  # Spark's readers list no empty files
         found = listed.next()
         if found.getLen() == 0 and found.getPath().getName()[0] not in "._":
             raise ValueError(f"empty file: {found.getPath()}")

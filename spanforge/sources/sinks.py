@@ -57,7 +57,7 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Dat
     try:
         write(staged)
         relative = F.regexp_replace("path", f"^.*{stage.getName()}/", "")
-        file_manifest(spark, staged).withColumn("path", relative).where(~F.col("path").rlike(r"(^|/)[._]")).coalesce(1).sortWithinPartitions("path").write.json(f"{staged}/manifest")
+        file_manifest(spark, staged, allow_empty=True).withColumn("path", relative).where(~F.col("path").rlike(r"(^|/)[._]")).coalesce(1).sortWithinPartitions("path").write.json(f"{staged}/manifest")
         refuse()
         if not system.rename(stage, target):
             raise OSError(f"cannot publish {path}")

@@ -231,4 +231,4 @@ def test_sinks_round_trip(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "bed")).first()[0] == "s\t4\t9\tl\t0\t+"
     sinks.write_tsv(spark.createDataFrame([(1, None, False), (None, "x", True)], "a int, b string, c boolean"), str(tmp_path / "tsv"), "c", ("b",))
     assert {r.value for r in spark.read.text(str(tmp_path / "tsv")).collect()} >= {"a\tb\tc", "1\t\tfalse", "NA\tx\ttrue"}
-    assert readers.file_manifest(spark, str(tmp_path / "bed")).count() >= 1
+    assert readers.file_manifest(spark, str(tmp_path / "bed"), allow_empty=True).count() == 1
