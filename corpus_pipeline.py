@@ -13,7 +13,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, without the lines that fail; n_chars follows the text."""
+    """Documents that the rules keep, without the lines that fail; n_chars follows the text. Null and empty texts, which
+    have too few words, go; rows without an id are judged like any other, and repeated rows stay repeated."""
     # A projection that depends on the partition keeps the filter above it, so that the rules run once.
     judged = line_cleaning.clean_lines(docs.select(*COLUMNS)).withColumn("kept", F.col("kept") & (F.spark_partition_id() >= 0))
     kept = judged.where("kept")
@@ -21,13 +22,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group at 0.8 or more of five-word shingles: that of least id, rows without an id last."""
+    """One row of each group at 0.8 or more of five-word shingles: that of least id, rows without an id last. Texts without
+    a word are like no other and stay, repeated or not; of other repeated rows one stays."""
     small_batches(spark)
     return jaccard_join.least_rows(with_key(docs.select(*COLUMNS), *COLUMNS)).select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item, with an id or without; null and empty texts overlap none and stay."""
     small_batches(spark)
     return spaced_seeds.decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -49,7 +51,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, and where each document is in them, read back from the files."""
+    """Token files of the documents, and where each document is in them, read back from the files. A null or empty text is
+    its end id alone; rows without an id and repeated rows are encoded each once a row."""
     small_batches(spark)
     manifest = arrow_tokens.write_arrow(docs, shared_folder(spark, "arrow-tokens"), public_tokenizers.path("word_bpe_49k.json"))
     return arrow_tokens.read_arrow(manifest)
