@@ -294,8 +294,8 @@ SQL: dict[str, str] = {
   SELECT s.id, CASE WHEN n > 0 THEN 'yes' WHEN length(seq) >= high AND translate(substr(seq, low, greatest(0, seen - low + 1)), 'ACGT', '') = '' THEN 'no' ELSE 'not_fully_assessable' END AS state, best.s AS terminator_start, best.e AS terminator_end,
   CASE WHEN length(seq) >= high THEN 'complete_window' WHEN seen >= low THEN 'partial_window' ELSE 'unavailable_window' END AS scan_status, low || '..' || high AS requested_window, length(translate(substr(seq, low, greatest(0, seen - low + 1)), 'ACGT', '')) AS ambiguous,
   coalesce(lexpected, '') AS expected, coalesce(linternal, '') AS internal, coalesce(lbody, '') AS body_overlapping, coalesce(lwindow_, '') AS window_overlapping, coalesce(n_runs, 0) AS n_runs, coalesce(censored, false) AS right_censored FROM spans s LEFT JOIN sums USING (id)""",
-    "q20_position_map": f"""WITH s AS (SELECT id, translate(seq, 'A', '-') AS q, translate(seq, 'C', '-') AS s, CAST(floor(length(replace(translate(seq, 'A', '-'), '-', '')) / 2) AS INT) AS mid FROM ({_SEQ})), p AS (SELECT id, q, s, mid, unnest(range(1, length(q) + 1)) AS k FROM s),
-  c AS (SELECT id, mid, substr(q, k, 1) <> '-' AS a, substr(s, k, 1) <> '-' AS b, sum(CAST(substr(q, k, 1) <> '-' AS INT)) OVER w AS qn, sum(CAST(substr(s, k, 1) <> '-' AS INT)) OVER w AS sn FROM p WINDOW w AS (PARTITION BY id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+    "q20_position_map": f"""WITH s AS (SELECT id, translate(seq, 'A', '-') AS q, translate(seq, 'C', '-') AS s, CAST(floor(length(replace(translate(seq, 'A', '-'), '-', '')) / 2) AS INT) AS mid FROM ({_SEQ})), p AS (SELECT id, mid, unnest(range(1, length(q) + 1)) AS k, unnest(string_split(q, '')) <> '-' AS a, unnest(string_split(s, '')) <> '-' AS b FROM s),
+  c AS (SELECT id, mid, a, b, sum(CAST(a AS INT)) OVER w AS qn, sum(CAST(b AS INT)) OVER w AS sn FROM p WINDOW w AS (PARTITION BY id ORDER BY k ROWS UNBOUNDED PRECEDING)),
   f AS (SELECT id, max(sn) FILTER (a AND b AND qn = 20) AS position, max(sn) FILTER (a AND b AND qn = mid) AS middle FROM c GROUP BY id) SELECT s.id, position, middle FROM s LEFT JOIN f USING (id)""",
     "q21_ancestors": f"WITH RECURSIVE {_CLOSURE} SELECT id, count(*) AS n_ancestors, min(ancestor) AS first_ancestor, max(ancestor) AS last_ancestor FROM closure GROUP BY id",
     "q22_inherited": f"""WITH RECURSIVE {_CLOSURE}, own AS (SELECT 'c' || c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS value FROM customer UNION ALL SELECT 'o' || o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END FROM orders),
