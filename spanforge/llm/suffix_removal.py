@@ -6,7 +6,8 @@ Every window has an anchor, the least hash among its GRAM-word grams (equal wind
 two documents or more are kept, and the stretch of windows around each occurrence of one is a segment. Segments of equal
 words are merged, a task takes a range of anchors in ascending order of the smallest document id, builds the suffix
 automaton of the segments so far and streams each segment through it: its matching statistics tell, window by window,
-the first document that has it. A shard's automaton is let go once SHARD words are in it and its anchor ends.
+the first document that has it. A shard's automaton is let go once SHARD words are in it and its anchor ends. An anchor
+of more than HOT segments would be one task's work: its segments are cut into single windows, which go by their own hash.
 
 Words are compared as they are, white space being ignored. Defined cases: null and empty texts have no words; a null id
 is neither smaller than another nor gets words removed; rows that share an id never remove each other's words, and each
@@ -29,6 +30,8 @@ WINDOW, GRAM, SHARD = 13, 5, 20_000
 #: Shared anchors that are sent to every task; beyond this the segments are joined to them by shuffle.
 ANCHOR_ROWS = 4_000_000
 SPAN_ROWS = 500_000
+#: Segments (merged within tasks) of an anchor beyond which its windows go apart.
+HOT = 20_000
 HELD = 100_000
 
 
@@ -215,12 +218,27 @@ def matched(found: DataFrame, window: int) -> DataFrame:
     return ordered.mapInArrow(stream, "anchor long, segment_key long, firsts array<long>")
 
 
-def removed_spans(docs: DataFrame, window: int) -> DataFrame:
+def spread(found: DataFrame, window: int, hot: int) -> DataFrame:
+    """found, with the segments of anchors of more than ``hot`` of them cut into single windows, each under a key of its
+    own. Equal windows have equal anchors, so that all of a window's occurrences are cut alike and meet under its key."""
+    heavy = written(found.groupBy("anchor").count().where(F.col("count") > hot).select("anchor", F.lit(True).alias("heavy")), "heavy")
+    if heavy.isEmpty():
+        return found
+    words = F.split("segment", " ")
+    places = F.when(F.col("heavy"), F.sequence(F.lit(0), F.size(words) - window)).otherwise(F.array(F.lit(-1)))
+    each = join_checked(found, heavy, "anchor", "left").select("anchor", "segment", "low", "rows", F.explode(places).alias("i"))
+    cut, piece = F.col("i") >= 0, F.array_join(F.slice(words, F.col("i") + 1, window), " ")
+    moved = F.transform("rows", lambda x: F.struct(x["doc_id"].alias("doc_id"), x["text_key"].alias("text_key"), (x["at"] + F.col("i")).alias("at")))
+    pick = lambda new, old: F.when(cut, new).otherwise(F.col(old)).alias(old)
+    return each.select(pick(F.xxhash64("anchor", piece), "anchor"), pick(piece, "segment"), "low", pick(moved, "rows"))
+
+
+def removed_spans(docs: DataFrame, window: int, hot: int = HOT) -> DataFrame:
     """doc_id, text_key and spans (flat word ranges, begin and end) that go, of rows that lose a word."""
     anchors = written(shared_anchors(docs, window), "anchors")
     fits = anchors.count() <= ANCHOR_ROWS
     found = segments(docs, window, np.sort(anchors.toArrow().column("anchor").to_numpy()) if fits else None)
-    found = written(found if fits else found.join(anchors, "anchor", "left_semi"), "segments")
+    found = spread(written(found if fits else found.join(anchors, "anchor", "left_semi"), "segments"), window, hot)
     firsts = matched(found, window)
     rows = found.select("anchor", F.xxhash64("segment").alias("segment_key"), "rows").join(firsts, ["anchor", "segment_key"])
     each = rows.select("firsts", F.explode("rows").alias("row")).select("row.*", "firsts")
@@ -241,10 +259,10 @@ def removed_spans(docs: DataFrame, window: int) -> DataFrame:
     return written(ranges.mapInArrow(merge, "doc_id long, text_key long, spans array<int>"), "spans")
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (the words left, joined by one space) of every row."""
     keyed = docs.select("doc_id", "text").withColumn("text_key", F.crc32(F.col("text")))
-    spans = removed_spans(keyed.where("doc_id is not null and text is not null"), window)
+    spans = removed_spans(keyed.where("doc_id is not null and text is not null"), window, hot)
     joined = join_checked(keyed, spans, ["doc_id", "text_key"], "left", SPAN_ROWS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,10 +101,10 @@ def test_awkward_rows(spark, awkward, empty, tmp_path):
     assert line_cleaning.clean_lines(docs).count() == n
     assert hilbert_shards.hilbert_shards(docs, hilbert_shards.document_levels()).count() == n
     model = factorisation.train(docs, labels)
-    assert {round(r.score, 1) for r in factorisation.score(docs.drop("score"), model, ["doc_id"]).collect()} <= {0.5}
-    assert ngram_trie.score(docs.drop("score"), ngram_trie.train(docs), ["doc_id"]).count() == n
+    assert {round(r.score, 1) for r in factorisation.score(docs, model, ["doc_id"]).collect()} <= {0.5}
+    assert ngram_trie.score(docs, ngram_trie.train(docs), ["doc_id"]).count() == n
     assert arrow_tokens.read_arrow(arrow_tokens.write_arrow(docs, f"file://{tmp_path}/t", public_tokenizers.path("word_bpe_49k.json"))).count() == n
-    assert {r.lang_pred for r in hyperdimensional.identify(docs.drop("score"), *hyperdimensional.prototypes(docs), ["doc_id"]).collect()} <= {"und"}
+    assert {r.lang_pred for r in hyperdimensional.identify(docs, *hyperdimensional.prototypes(docs), ["doc_id"]).collect()} <= {"und"}
     assert spaced_seeds.contaminated(docs, spark.createDataFrame([(1, None), (2, "")], "item_id long, text string")).count() == 0
     groups = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 90, 100).collect()}
     cut = {(r.doc_id, r.n_words, r.n_removed) for r in suffix_removal.remove_repeats(docs).collect()}
