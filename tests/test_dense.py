@@ -5,7 +5,8 @@ import random
 import pytest
 from test_greedy import clustered, hits_of, plain_clusters, plain_suppression, suppressed
 
-from spanforge.operators import greedy
+from spanforge.operators import greedy, loci
+from spanforge.plans import projections as P
 
 
 def dense(seed, n=400, places=3000):
@@ -30,3 +31,9 @@ def test_an_island_of_many_hits_is_written_once(spark, monkeypatch):
     hits = hits_of(spark, rows).persist()
     assert suppressed(hits) == plain_suppression(rows) and clustered(hits) == plain_clusters(rows)
     assert len(made) == 4  # the counts of bins and the hits, for each of the two
+
+
+def test_loci_shuffle_their_members_once(spark):
+    members = P.hits(spark, "/root/testdata/sf0.001").selectExpr("*", "id AS anchor_id", "0 AS n_compatible")
+    plan = loci.loci(members, members=members)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
