@@ -5,7 +5,7 @@ import random
 import pytest
 from test_greedy import clustered, hits_of, plain_clusters, plain_suppression, suppressed
 
-from spanforge.operators import greedy, loci
+from spanforge.operators import annotation, greedy, loci
 from spanforge.plans import projections as P
 
 
@@ -37,3 +37,12 @@ def test_loci_shuffle_their_members_once(spark):
     members = P.hits(spark, "/root/testdata/sf0.001").selectExpr("*", "id AS anchor_id", "0 AS n_compatible")
     plan = loci.loci(members, members=members)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_names_of_many_features_meet_no_pairs(spark):
+    kind = "seqid string, declared_id string, attrs map<string,array<string>>"
+    rows = [("s", f"f{k}", {"Name": ["RNA"]}) for k in range(50)] + [("t", "g", {"Name": ["RNA"]}), ("s", "u", {"Name": ["own"]}), ("s", "u", {"Name": ["own"]}), ("s", "own2", {})]
+    wanted = spark.createDataFrame([("1", "s", "RNA"), ("2", "t", "RNA"), ("3", "s", "own"), ("4", "s", "own2"), ("5", "t", "own"), ("6", "s", None)], "id string, seqid string, self_id string")
+    out = annotation.resolve_ids(wanted, spark.createDataFrame(rows, kind))
+    assert {r.id: r.resolved for r in out.collect()} == {"1": None, "2": "g", "3": "u", "4": "own2", "5": None, "6": None}
+    assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
