@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from spanforge.operators.intervals import complement, union, within
 
 
-def declared_coverage(features: DataFrame, declared: DataFrame, lengths: DataFrame, key: str) -> DataFrame:
+def declared_coverage(features: DataFrame, declared: DataFrame, lengths: DataFrame) -> DataFrame:
     """One row for each record of lengths: n_declared regions, n_runs (of their union), uncovered positions, covered_whole,
-    n_features and n_outside (features that no run holds whole). key: a column of features with no value twice."""
+    n_features and n_outside (features that no run holds whole). Features are told apart by nothing but their place, so
+    their numbers may repeat."""
     runs = union(declared)
-    held = features.join(within(features, runs, key), key, "left_semi")
+    placed = features.groupBy("seqid", "start1", "end1").agg(F.count("*").alias("_n")).withColumn("_place", F.struct("seqid", "start1", "end1"))
+    held = placed.join(within(placed, runs, "_place"), "_place", "left_semi")
     count = lambda df, name: df.groupBy("seqid").agg(F.count("*").alias(name))
     gaps = complement(runs, lengths).groupBy("seqid").agg(F.sum(F.col("end1") - F.col("start1") + 1).alias("uncovered"))
     out = lengths.select("seqid", "length")
-    for part in (count(declared, "n_declared"), count(runs, "n_runs"), gaps, count(features, "n_features"), count(held, "_held")):
+    for part in (count(declared, "n_declared"), count(runs, "n_runs"), gaps, count(features, "n_features"), held.groupBy("seqid").agg(F.sum("_n").alias("_held"))):
         out = out.join(part, "seqid", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return out.select("seqid", "length", *[zero(c).alias(c) for c in ("n_declared", "n_runs", "uncovered")], (zero("uncovered") == 0).alias("covered_whole"), zero("n_features").alias("n_features"), (zero("n_features") - zero("_held")).alias("n_outside"))

@@ -7,6 +7,7 @@ from test_greedy import clustered, hits_of, plain_clusters, plain_suppression, s
 
 from spanforge.operators import annotation, greedy, loci
 from spanforge.plans import projections as P
+from spanforge.sources import audits
 
 
 def dense(seed, n=400, places=3000):
@@ -46,3 +47,12 @@ def test_names_of_many_features_meet_no_pairs(spark):
     out = annotation.resolve_ids(wanted, spark.createDataFrame(rows, kind))
     assert {r.id: r.resolved for r in out.collect()} == {"1": None, "2": "g", "3": "u", "4": "own2", "5": None, "6": None}
     assert "collect_set" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_declared_coverage_of_features_whose_numbers_repeat(spark):
+    place = "n long, seqid string, start1 int, end1 int"
+    features = spark.createDataFrame([(1, "s", 5, 9), (1, "s", 50, 60), (2, "s", 5, 9), (2, "t", 5, 9)], place).withColumn("_n", P.F.col("n"))
+    declared = spark.createDataFrame([("s", 1, 20)], "seqid string, start1 int, end1 int")
+    lengths = spark.createDataFrame([("s", 100), ("t", 10)], "seqid string, length int")
+    got = {r.seqid: (r.n_features, r.n_outside, r.uncovered) for r in audits.declared_coverage(features, declared, lengths).collect()}
+    assert got == {"s": (3, 1, 80), "t": (1, 1, 10)}
