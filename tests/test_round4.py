@@ -1,5 +1,7 @@
 """Annotation audits, closures and overlap joins whose work follows their input."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from spanforge.operators import annotation
@@ -34,3 +36,43 @@ def test_pairs_are_not_shuffled_once_they_have_met(spark):
     assert {(r.id, r.n, r.is_self, r.shared_with_self) for r in pairs.collect()} == {("r1", 1, True, False), ("r1", 2, True, True), ("r1", 3, True, True), ("r1", 4, True, True), ("r1", 5, False, False), ("r2", 6, False, False), ("r2", 7, False, False), ("r2", 8, False, False)}
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" not in plan
+
+
+def _closure(edges):
+    up, known = {}, set()
+    for a, b in edges:
+        if b is not None and a != b:
+            up.setdefault(a, set()).add(b)
+    for a in up:
+        stack = list(up[a])
+        while stack:
+            if (b := stack.pop()) != a and (a, b) not in known:
+                known.add((a, b))
+                stack += up.get(b, ())
+    return known
+
+
+def test_leaves_join_the_closure_of_their_parents_once(spark, monkeypatch):
+    """Two layers of leaves over a chain with a cycle; ids of the layers take no part in the doubling."""
+    draw = random.Random(7)
+    edges = [(f"x{k}", f"x{k + 1}") for k in range(12)] + [("x9", "x3"), ("x2", "x2"), ("z", None)]
+    edges += [(f"m{k}", f"x{draw.randrange(12)}") for k in range(60)] + [(f"l{k}", f"m{draw.randrange(60)}") for k in range(400)] + [(f"l{k}", f"m{draw.randrange(60)}") for k in range(100)]
+    sizes, cut = [], annotation.cut
+
+    def seen(df):
+        out = cut(df)
+        sizes.append({r.id[0] for r in out.select("id").collect()})
+        return out
+
+    monkeypatch.setattr(annotation, "cut", seen)
+    got = [tuple(r) for r in annotation.ancestors(spark.createDataFrame(edges, "id string, parent string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == _closure(edges)
+    assert sum("l" in x for x in sizes) == 3  # the edges, marked, and with all that is found
+
+
+def test_values_of_ancestors_of_very_many_ids(spark):
+    closure = spark.createDataFrame([(f"a{k}", "top") for k in range(20)] + [("a1", "b"), ("a2", "b"), ("a3", "none")], "id string, ancestor string")
+    values = spark.createDataFrame([(f"a{k}", "own" if k == 5 else None) for k in range(20)] + [("top", "t"), ("top", "s"), ("b", "u"), ("b", None)], "id string, value string")
+    wanted = {f"a{k}": "s,t" for k in range(20)} | {"a1": "s,t,u", "a2": "s,t,u", "a5": "own", "top": "s,t", "b": "u"}
+    for hot in (1, 5, 100):
+        assert {r.id: r.value for r in annotation.inherited(values, closure, hot).collect()} == wanted
