@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from spanforge.operators import annotation
+from spanforge.functions import sequence
+from spanforge.operators import annotation, intervals
 
 FEATURE = "n long, seqid string, kind string, start1 int, end1 int, strand string, declared_id string, parents array<string>, attrs map<string,array<string>>"
 
@@ -76,3 +77,46 @@ def test_values_of_ancestors_of_very_many_ids(spark):
     wanted = {f"a{k}": "s,t" for k in range(20)} | {"a1": "s,t,u", "a2": "s,t,u", "a5": "own", "top": "s,t", "b": "u"}
     for hot in (1, 5, 100):
         assert {r.id: r.value for r in annotation.inherited(values, closure, hot).collect()} == wanted
+
+
+def test_intervals_of_one_level_come_to_a_bin_once_on_each_side(spark):
+    a = spark.createDataFrame([("s", 10 * k, 10 * k + 50) for k in range(1, 90)], "seqid string, s int, e int")
+    b = a.toDF("seqid", "s2", "e2")
+    long = b.unionByName(spark.createDataFrame([("s", 1, 5000), ("s", 300, 1500)], b.schema))
+    for other in (b, long):
+        rows = [tuple(r)[1:] for r in other.collect()]
+        got = sorted((r.s, r.e, r.s2, r.e2) for r in intervals.overlap_join(a, other, ["seqid"], ("s", "e", "s2", "e2")).collect())
+        assert got == sorted((s, e, x, y) for s, e in (tuple(r)[1:] for r in a.collect()) for x, y in rows if s <= y and x <= e)
+        assert sorted(got) == sorted((r.s, r.e, r.s2, r.e2) for r in intervals.overlap_join(other, a, ["seqid"], ("s2", "e2", "s", "e")).collect())
+
+
+def test_position_map_of_any_gaps_and_without_a_step_a_letter(spark):
+    draw = random.Random(5)
+    rows = [("".join(draw.choice("AC-") for _ in range(n)), "".join(draw.choice("GT-") for _ in range(max(0, n - cut))), at) for n in (0, 1, 2, 3, 7, 40, 129) for at in (-1, 0, 1, 2, 5, 20, 90, None) for cut in (0, 1, 5)]
+
+    def plain(q, s, at):
+        x = y = 0
+        for a, b in zip(q, s):
+            x, y = x + (a != "-"), y + (b != "-")
+            if a != "-" and b != "-" and x == at:
+                return y
+
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, q string, s string, at int").withColumn("got", sequence.position_map(F.col("q"), F.col("s"), F.col("at")))
+    assert {r.k: r.got for r in df.collect()} == {k: plain(*r) for k, r in enumerate(rows)}
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_metrics_take_runs_of_columns_and_map_a_row_once(spark):
+    """Both ways give the same, with a knot, inserts at edges and all gap letters; no letter is mapped by itself."""
+    from spanforge.operators import integrity
+
+    rf, structure = ".xx.xxxxxx~", "<<A.>..>.a."
+    pairs = [tuple(r) for r in integrity.bracket_pairs(spark.createDataFrame([("m", structure)], "id string, structure string")).select("left", "right").collect()]
+    draw = random.Random(3)
+    rows = spark.createDataFrame([(str(k), "m", "".join(draw.choice("ACGTUN.-_~acgu") for _ in rf)) for k in range(60)] + [("gaps", "m", "-" * len(rf)), ("null", "m", None)], "id string, model string, aligned string")
+    one = integrity.alignment_metrics(rows, rf, pairs)
+    many = integrity.metrics_by_model(rows, spark.createDataFrame([("m", rf, structure)], "model string, rf string, structure string"))
+    told = lambda df: {r.id: r.asDict() for r in df.collect()}
+    assert told(one) == told(many)
+    for df in (one, many):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("T.-_~") == 1
