@@ -120,3 +120,33 @@ def test_metrics_take_runs_of_columns_and_map_a_row_once(spark):
     assert told(one) == told(many)
     for df in (one, many):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("T.-_~") == 1
+
+
+def test_overlaps_are_counted_without_pairs(spark):
+    """Bins of few positions, equal rows, rows without place, and bins that are asked only."""
+    draw = random.Random(11)
+    rows = lambda n, long: [(draw.choice("st"), draw.choice(["+", "-", ".", None]), x := draw.randrange(1, 400), x + draw.randrange(long)) for _ in range(n)]
+    a, b = rows(150, 40) + [("s", "+", 900, 910)], rows(80, 300) + [("s", "+", 700, 720), ("u", "+", 1, 9)]
+    kind = "seqid string, strand string, start1 int, end1 int"
+    left = spark.createDataFrame([*a, *a[:20], (None, "+", 1, 9), ("s", "+", None, None)], kind)
+    right = spark.createDataFrame([(f"f{k % 30}", *r) for k, r in enumerate(b)], "key string, seqid string, f_strand string, s int, e int")
+    wanted = {}
+    for k, (seqid, _, s, e) in enumerate(b):
+        met = [r for r in [*a, *a[:20]] if r[0] == seqid and r[2] <= e and s <= r[3]]
+        old = wanted.get(f"f{k % 30}", (0, 0))
+        wanted[f"f{k % 30}"] = (old[0] + sum(r[1] == "+" for r in met), old[1] + len(met))
+    for width in (16, 65_536):
+        out = intervals.overlap_counts(left, right, ["seqid"], ("start1", "end1", "s", "e"), {"plus": F.col("strand") == "+", "every": F.lit(True)}, ["key"], width)
+        assert {r.key: (r.plus, r.every) for r in out.collect()} == wanted
+    for df in (out, annotation.relation_counts(left, left.withColumn("kind", F.lit("x")))):
+        assert "start1" not in "".join(x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x)
+
+
+def test_contexts_and_relations_of_all_strands(spark):
+    kind = "seqid string, strand string, start1 int, end1 int"
+    regions = spark.createDataFrame([("s", x, 10, 20) for x in ("+", "-", ".", None)] + [("t", "+", 1, 5)], kind).withColumn("id", F.concat("seqid", F.coalesce("strand", F.lit("n"))))
+    features = spark.createDataFrame([("s", x, 20, 30) for x in ("+", "+", "-", ".", None)] + [("s", "+", 21, 30)], kind).withColumn("kind", F.lit("exon"))
+    got = {(r.id, r.kind): tuple(r)[2:] for r in annotation.context_counts(regions, features, ["exon", "CDS"]).collect()}
+    none = (None,) * 4
+    assert got == {("s+", "exon"): (5, 2, 1, 2), ("s-", "exon"): (5, 1, 2, 2), ("s.", "exon"): (5, 0, 0, 5), ("sn", "exon"): (5, 0, 0, 5), ("t+", "exon"): none} | {(r, "CDS"): none for r in ("s+", "s-", "s.", "sn", "t+")}
+    assert {tuple(r) for r in annotation.relation_counts(regions, features).collect()} == {("exon", "same", 3), ("exon", "opposite", 3), ("exon", "unknown", 14)}
