@@ -83,6 +83,8 @@ def test_intervals_of_one_level_come_to_a_bin_once_on_each_side(spark):
     a = spark.createDataFrame([("s", 10 * k, 10 * k + 50) for k in range(1, 90)], "seqid string, s int, e int")
     b = a.toDF("seqid", "s2", "e2")
     long = b.unionByName(spark.createDataFrame([("s", 1, 5000), ("s", 300, 1500)], b.schema))
+    rows = intervals.overlap_join(a, b, ["seqid"], ("s", "e", "s2", "e2"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_least" in rows  # what no shorter interval comes to has no row under that role
     for other in (b, long):
         rows = [tuple(r)[1:] for r in other.collect()]
         got = sorted((r.s, r.e, r.s2, r.e2) for r in intervals.overlap_join(a, other, ["seqid"], ("s", "e", "s2", "e2")).collect())
