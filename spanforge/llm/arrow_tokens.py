@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,38 +26,112 @@ from spanforge.llm.shared import filesystem, publish, shared_folder, small_batch
 
 END_ID = 1
 #: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words in a generation of a worker's store.
-LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 150_000
+LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 100_000
+#: Marks that may follow a word's letters; words in a text that the tokenizer is given.
+MARKS, TOGETHER = b".,;:!?#$%&*", 256
 
 
 class WordCoder:
     """Ids of texts, word by word. In a vocabulary that drops white space and never joins over it, a text's ids are its
     words' ids in order, so a worker codes a word once while it meets it. The store has two generations: when the young
-    one is full it becomes the old one, which gives back the words still in use and is then let go."""
+    one is full it becomes the old one, which gives back the words still in use and is then let go.
+
+    Arrow tells a chunk's words apart, so that Python meets each of them once a chunk. Where the vocabulary marks the ends
+    of words, words of letters alone are coded many to a text: if its ids have as many ends as words, each has its own."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.kind, self.young, self.old = np.dtype(kind), {}, {}
+        self.kind, self.young, self.old, self.tails = np.dtype(kind), {}, {}, {b"": b""}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values(), default=0) + 1, bool)
+        self.ends[[n for word, n in known.items() if suffix and word.endswith(suffix)]] = True
+        self.marked = bool(self.ends.any())
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _tail(self, tail: bytes) -> bytes | None:
+        """The ids of marks after a word, None where they are not the word's ids and then theirs."""
+        if tail not in self.tails:
+            text = tail.decode()
+            head, alone, joined = self._ids(["a", text, "a" + text])
+            self.tails[tail] = alone.tobytes() if np.array_equal(np.concatenate([head, alone]), joined) else None
+        return self.tails[tail]
+
+    def _letters(self, words: list[bytes]) -> None:
+        """Codes words of letters alone, many to a text."""
+        for k in range(0, len(words), TOGETHER):
+            part = words[k : k + TOGETHER]
+            (ids,) = self._ids([b" ".join(part).decode()])
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part) and stops[-1] == len(ids):
+                raw, at = ids.tobytes(), [0, *(stops * self.kind.itemsize).tolist()]
+                for n, word in enumerate(part):
+                    self.young[word] = raw[at[n] : at[n + 1]]
+            elif len(part) == 1:
+                self._plain(part)
+            else:  # a few words have more ends, as their letters are mapped to more than letters
+                self._letters(part[: len(part) // 2])
+                self._letters(part[len(part) // 2 :])
+
+    def _plain(self, words: list[bytes]) -> None:
+        for k in range(0, len(words), 2048):
+            part = words[k : k + 2048]
+            for word, ids in zip(part, self._ids([x.decode() for x in part]), strict=True):
+                self.young[word] = ids.tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Puts the words' ids into the young generation."""
+        young, old, letters, rest = self.young, self.old, [], []
+        for word in words - young.keys():
+            ids = old.get(word)
+            if ids is not None:
+                young[word] = ids
+            elif self.marked and word.decode().isalpha():
+                letters.append(word)
+            else:
+                rest.append(word)
+        self._letters(letters)
+        self._plain(rest)
+
+    def _coded(self, words: list[bytes]) -> list[bytes]:
+        """The words' ids. Letters that marks follow are kept without these."""
+        keys, tailed = list(words), []
+        for n, word in enumerate(words):
+            if word and word[-1] in MARKS and self.marked:
+                head = word.rstrip(MARKS)
+                tail = word[len(head) :]
+                if self._tail(tail) is not None and head.decode().isalpha():
+                    keys[n] = head
+                    tailed.append((n, tail))
+        self._learn(set(keys))
+        out = list(map(self.young.__getitem__, keys))
+        odd = []
+        for n, tail in tailed:
+            # Some letters are mapped to more than letters, which marks may join.
+            if len(out[n]) == self.kind.itemsize or np.count_nonzero(self.ends[np.frombuffer(out[n], self.kind)]) == 1:
+                out[n] += self.tails[tail]
+            else:
+                odd.append(n)
+        self._learn({words[n] for n in odd})
+        for n in odd:
+            out[n] = self.young[words[n]]
+        return out
 
-    def code(self, texts: list[bytes]) -> list[bytes]:
-        words = [x.split() for x in texts]
+    def code(self, texts: pa.Array) -> list[memoryview]:
         if len(self.young) > STORE_WORDS:
             self.young, self.old = {}, self.young
-        fresh = []
-        for word in set().union(*words) - self.young.keys():
-            ids = self.old.get(word)
-            if ids is None:
-                fresh.append(word)
-            else:
-                self.young[word] = ids
-        for k in range(0, len(fresh), 2048):
-            part = fresh[k : k + 2048]
-            coded = self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)
-            for word, ids in zip(part, coded, strict=True):
-                self.young[word] = np.array(ids.ids, self.kind).tobytes()
-        take = self.young.__getitem__
-        return [b"".join(map(take, x)) for x in words]
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        met = split.flatten().dictionary_encode()
+        coded = pa.array(self._coded(met.dictionary.cast(pa.binary()).to_pylist()), pa.large_binary()).take(met.indices)
+        # The words' ids lie one after the other; a text's are those between its first word and the next text's.
+        places = np.frombuffer(coded.buffers()[1], np.int64)[: len(coded) + 1]
+        at = places[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist() if len(coded) else [0] * (len(texts) + 1)
+        raw = memoryview(coded.buffers()[2] or b"")
+        return [raw[x:y] for x, y in zip(at, at[1:], strict=False)]
 
 
 @lru_cache(1)
@@ -66,19 +141,15 @@ def _coder(vocabulary: str, kind: str) -> WordCoder:
     return WordCoder(vocabulary, kind)
 
 
-def _by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[bytes]]]:
-    ids, texts, size = [], [], 0
+def _by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, pa.Array]]:
+    """Keys and texts, in parts of about ``limit`` bytes; a longer text is a part of its own."""
     for batch in batches:
-        for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-            ids.append(key)
-            texts.append(raw)
-            size += len(raw)
-            if size >= limit:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+        text = batch.column("text")
+        past = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(past)) + 1).tolist(), len(text)]
+        for x, y in zip(cuts, cuts[1:], strict=False):
+            if y > x:
+                yield batch.column("doc_id").slice(x, y - x).to_pylist(), text.slice(x, y - x)
 
 
 def _sequences(ids: np.ndarray, mask: np.ndarray, length: int) -> pa.RecordBatch:
