@@ -6,15 +6,22 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spanforge.functions.sequence import reverse_complement
 
 #: Letters of text from which words are taken at once: few, as a substring at a place walks there from the start.
 PIECE = 256
+#: Bases as numbers, other letters below 0; rows in a batch of pairs.
+BASES = np.full(256, -1, np.int64)
+BASES[list(b"ACGT")] = range(4)
+ROWS = 50_000
 
 
 def words(sequences: DataFrame, size: int) -> DataFrame:
@@ -29,14 +36,91 @@ def words(sequences: DataFrame, size: int) -> DataFrame:
     return placed.select(*rest, F.col("w.word").alias("word"), (F.col("first") + F.col("w.k")).alias("at")).where(F.length(F.translate("word", "ACGT", "")) == 0)
 
 
+def codes(seq: bytes, size: int) -> np.ndarray:
+    """The distinct words of ``size`` bases without ambiguous letters, as numbers (as bytes where these are too long)."""
+    base = BASES[np.frombuffer(seq, np.uint8)]
+    if len(base) < size:
+        return np.zeros(0, np.int64 if size <= 31 else f"S{size}")
+    bad = np.concatenate([[0], np.cumsum(base < 0)])
+    good = bad[size:] == bad[:-size]
+    if size > 31:
+        return np.unique(np.lib.stride_tricks.sliding_window_view(np.frombuffer(seq, "S1"), size)[good].view(f"S{size}").ravel())
+    code = np.zeros(len(good), np.int64)
+    for k in range(size):
+        code = code * 4 + base[k : k + len(good)]
+    if size > 8:
+        return np.unique(code[good])
+    seen = np.zeros(4**size, bool)
+    seen[code[good]] = True
+    return np.flatnonzero(seen)
+
+
+class _Index:
+    """The queries of every word, one list after the other."""
+
+    def __init__(self, own: dict) -> None:
+        self.names = list(own)
+        words = [np.unique(np.concatenate(x)) for x in own.values()]
+        each, item = np.concatenate(words), np.repeat(np.arange(len(words)), list(map(len, words)))
+        order = np.argsort(each, kind="stable")
+        self.known, first = np.unique(each[order], return_index=True)
+        self.first, self.item = np.append(first, len(each)), item[order]
+
+    def counts(self, found: np.ndarray) -> np.ndarray:
+        """By query, the words that are among these distinct ones."""
+        at = np.searchsorted(self.known, found)
+        found, at = found[at < len(self.known)], at[at < len(self.known)]
+        at = at[self.known[at] == found]
+        many = self.first[at + 1] - self.first[at]
+        place = np.repeat(self.first[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.bincount(self.item[place], minlength=len(self.names))
+
+
 def shared_words(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
     """id, item_id and n_words, the distinct words that a subject (id, seq) and a query (item_id, seq) share.
 
-    Each side's words are distinct and packed: a word has one row with all its queries, which are few beside the subjects,
-    so the join is by word alone and a word of all subjects makes one row a subject until the pairs are counted."""
-    of = words(queries, size).groupBy("word").agg(F.collect_set("item_id").alias("items"))
-    met = words(subjects, size).select("id", "word").distinct().join(of, "word")
-    return met.select("id", F.explode("items").alias("item_id")).groupBy("id", "item_id").agg(F.count("*").alias("n_words"))
+    Subjects are dealt by id over the shuffle's partitions, and the queries, which are few beside them, come to each of these
+    first. A task holds the queries' words and counts a subject at a time, so that neither words nor met words are rows."""
+    n = int(subjects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids, items = subjects.schema["id"].dataType, queries.schema["item_id"].dataType
+    every = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"), F.lit(0).alias("side"), F.lit(None).cast(ids).alias("id"), "item_id", "seq")
+    dealt = subjects.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"), F.lit(1).alias("side"), "id", F.lit(None).cast(items).alias("item_id"), "seq")
+    met = every.unionByName(dealt).where("seq is not null").repartitionById(n, "part").sortWithinPartitions("side", "id").select("side", "id", "item_id", "seq")
+    schema = StructType([StructField("id", ids), StructField("item_id", items), StructField("n_words", LongType())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                kinds.update(id=batch.schema.field("id").type, item_id=batch.schema.field("item_id").type)
+                for side, key, item, seq in zip(*[batch.column(c).to_pylist() for c in ("side", "id", "item_id")], batch.column("seq"), strict=True):
+                    yield (side, key), item, codes(seq.as_buffer(), size)
+
+        def packed() -> pa.RecordBatch:
+            key = pa.array(keys, kinds["id"]).take(pa.array(np.repeat(np.arange(len(keys)), list(map(len, found)))))
+            item = pa.array(index.names, kinds["item_id"]).take(pa.array(np.concatenate(found)))
+            return pa.record_batch({"id": key, "item_id": item, "n_words": pa.array(np.concatenate(shared))})
+
+        kinds, index, keys, found, shared, held = {}, None, [], [], [], 0
+        for (side, key), group in groupby(rows(), lambda x: x[0]):
+            if side == 0:
+                own: dict = {}
+                for _, item, words_of in group:
+                    own.setdefault(item, []).append(words_of)
+                index = _Index(own)
+            elif index:
+                each = [x[2] for x in group]
+                counts = index.counts(each[0] if len(each) == 1 else np.unique(np.concatenate(each)))
+                keys.append(key)
+                found.append(np.flatnonzero(counts))
+                shared.append(counts[found[-1]])
+                held += len(found[-1])
+                if held >= ROWS:
+                    yield packed()
+                    keys, found, shared, held = [], [], [], 0
+        if held:
+            yield packed()
+
+    return met.mapInArrow(count, schema)
 
 
 @dataclass(frozen=True)
