@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from spanforge.functions.sequence import reverse_complement
 
@@ -36,22 +36,31 @@ def words(sequences: DataFrame, size: int) -> DataFrame:
     return placed.select(*rest, F.col("w.word").alias("word"), (F.col("first") + F.col("w.k")).alias("at")).where(F.length(F.translate("word", "ACGT", "")) == 0)
 
 
-def codes(seq: bytes, size: int) -> np.ndarray:
-    """The distinct words of ``size`` bases without ambiguous letters, as numbers (as bytes where these are too long)."""
-    base = BASES[np.frombuffer(seq, np.uint8)]
+def placed(seq: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of ``size`` bases without ambiguous letters, as numbers (as bytes where these are too long), and their places
+    from 1."""
+    raw = np.frombuffer(seq, np.uint8)
+    raw = raw[raw & 0xC0 != 0x80]  # a letter of several bytes is one place
+    base = BASES[raw]
     if len(base) < size:
-        return np.zeros(0, np.int64 if size <= 31 else f"S{size}")
+        return np.zeros(0, np.int64 if size <= 31 else f"S{size}"), np.zeros(0, np.int64)
     bad = np.concatenate([[0], np.cumsum(base < 0)])
     good = bad[size:] == bad[:-size]
     if size > 31:
-        return np.unique(np.lib.stride_tricks.sliding_window_view(np.frombuffer(seq, "S1"), size)[good].view(f"S{size}").ravel())
+        return np.lib.stride_tricks.sliding_window_view(raw.view("S1"), size)[good].view(f"S{size}").ravel(), np.flatnonzero(good) + 1
     code = np.zeros(len(good), np.int64)
     for k in range(size):
         code = code * 4 + base[k : k + len(good)]
+    return code[good], np.flatnonzero(good) + 1
+
+
+def codes(seq: bytes, size: int) -> np.ndarray:
+    """The distinct words."""
+    code, _ = placed(seq, size)
     if size > 8:
-        return np.unique(code[good])
+        return np.unique(code)
     seen = np.zeros(4**size, bool)
-    seen[code[good]] = True
+    seen[code] = True
     return np.flatnonzero(seen)
 
 
@@ -76,16 +85,22 @@ class _Index:
         return np.bincount(self.item[place], minlength=len(self.names))
 
 
+def _dealt(subjects: DataFrame, queries: DataFrame) -> DataFrame:
+    """side, id, item_id and seq: subjects (side 1) by id in the shuffle's partitions, all queries (side 0) before them in each."""
+    n = int(subjects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids, items = subjects.schema["id"].dataType, queries.schema["item_id"].dataType
+    every = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"), F.lit(0).alias("side"), F.lit(None).cast(ids).alias("id"), "item_id", "seq")
+    dealt = subjects.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"), F.lit(1).alias("side"), "id", F.lit(None).cast(items).alias("item_id"), "seq")
+    return every.unionByName(dealt).where("seq is not null").repartitionById(n, "part").sortWithinPartitions("side", "id").select("side", "id", "item_id", "seq")
+
+
 def shared_words(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
     """id, item_id and n_words, the distinct words that a subject (id, seq) and a query (item_id, seq) share.
 
     Subjects are dealt by id over the shuffle's partitions, and the queries, which are few beside them, come to each of these
     first. A task holds the queries' words and counts a subject at a time, so that neither words nor met words are rows."""
-    n = int(subjects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids, items = subjects.schema["id"].dataType, queries.schema["item_id"].dataType
-    every = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("part"), F.lit(0).alias("side"), F.lit(None).cast(ids).alias("id"), "item_id", "seq")
-    dealt = subjects.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("part"), F.lit(1).alias("side"), "id", F.lit(None).cast(items).alias("item_id"), "seq")
-    met = every.unionByName(dealt).where("seq is not null").repartitionById(n, "part").sortWithinPartitions("side", "id").select("side", "id", "item_id", "seq")
+    met = _dealt(subjects, queries)
     schema = StructType([StructField("id", ids), StructField("item_id", items), StructField("n_words", LongType())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +156,52 @@ class Scoring:
     least: int = 18
 
 
+def seed_places(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
+    """id, item_id, diagonal (place in the subject less place in the query) and q_at of every seed, a word of ``size`` bases
+    that both have. Tasks hold the queries' words, so that of a subject's words only seeds are rows."""
+    ids, items = subjects.schema["id"].dataType, queries.schema["item_id"].dataType
+    schema = StructType([StructField("id", ids), StructField("item_id", items), StructField("diagonal", IntegerType()), StructField("q_at", IntegerType())])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, own, index = [], [], None
+        for batch in batches:
+            keys, named = batch.column("id"), batch.column("item_id")
+            for k, (side, seq) in enumerate(zip(batch.column("side").to_pylist(), batch.column("seq"), strict=True)):
+                code, at = placed(seq.as_buffer(), size)
+                if side == 0:
+                    names.append(named[k].as_py())
+                    own.append((code, at))
+                    continue
+                if not own:
+                    return
+                if index is None:
+                    each = np.concatenate([x for x, _ in own])
+                    order = np.argsort(each, kind="stable")
+                    known, first = np.unique(each[order], return_index=True)
+                    item, q_at = np.repeat(np.arange(len(own)), [len(x) for x, _ in own])[order], np.concatenate([x for _, x in own])[order]
+                    index = known, np.append(first, len(each)), item, q_at
+                known, first, item, q_at = index
+                where = np.searchsorted(known, code)
+                inside = where < len(known)
+                code, at, where = code[inside], at[inside], where[inside]
+                met = known[where] == code
+                at, where = at[met], where[met]
+                many = first[where + 1] - first[where]
+                # Texts of one repeated word have very many seeds: they are given in parts.
+                cuts = np.unique([0, *(np.flatnonzero(np.diff(np.cumsum(many) // ROWS)) + 1), len(at)])
+                for x, y in zip(cuts, cuts[1:], strict=False):
+                    n = many[x:y]
+                    place = np.repeat(first[where[x:y]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    found = pa.array(names, named.type).take(pa.array(item[place]))
+                    diagonal = pa.array(np.repeat(at[x:y], n) - q_at[place], pa.int64()).cast(pa.int32())
+                    yield pa.record_batch({"id": keys.take(pa.array(np.full(len(place), k))), "item_id": found, "diagonal": diagonal, "q_at": pa.array(q_at[place], pa.int64()).cast(pa.int32())})
+
+    return _dealt(subjects, queries).mapInArrow(meet, schema)
+
+
 def seed_runs(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
-    """id, item_id, diagonal (place in the subject less place in the query), q_from and q_to of every maximal run of
-    seeds, words of ``size`` bases that both have on the diagonal. A run is bounded by its query; queries meet packed by
-    word, and a word of very many subjects is split by Spark's skew join."""
-    of = words(queries, size).groupBy("word").agg(F.collect_list(F.struct("item_id", F.col("at").alias("q_at"))).alias("places"))
-    met = words(subjects, size).join(of, "word").select("id", "at", F.explode("places").alias("p"))
-    by = met.groupBy("id", F.col("p.item_id").alias("item_id"), (F.col("at") - F.col("p.q_at")).cast("int").alias("diagonal")).agg(F.array_sort(F.collect_set("p.q_at")).alias("starts"))
+    """id, item_id, diagonal, q_from and q_to of every maximal run of seeds on a diagonal. A run is bounded by its query."""
+    by = seed_places(subjects, queries, size).groupBy("id", "item_id", "diagonal").agg(F.array_sort(F.collect_set("q_at")).alias("starts"))
     # A run opens where the word before is no neighbour, and ends where the word after is none.
     opens = F.filter("starts", lambda x, i: (i == 0) | (x - F.coalesce(F.get("starts", i - 1), x) > 1))
     ends = F.filter("starts", lambda x, i: (i == F.size("starts") - 1) | (F.coalesce(F.get("starts", i + 1), x) - x > 1))
