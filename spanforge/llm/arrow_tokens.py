@@ -25,30 +25,41 @@ from pyspark.sql import functions as F
 from spanforge.llm.shared import filesystem, publish, shared_folder, small_batches, written
 
 END_ID = 1
-#: Ids in a sequence; sequences in a record batch; bytes of text tokenised at once; words in a generation of a worker's store.
-LENGTH, BATCH, TEXT_BYTES, STORE_WORDS = 1024, 512, 1 << 20, 100_000
-#: Marks that may follow a word's letters; words in a text that the tokenizer is given.
-MARKS, TOGETHER = b".,;:!?#$%&*", 256
+#: Ids in a sequence; sequences in a record batch; bytes tokenised at once, those of a row beside its text; words in a worker's store.
+LENGTH, BATCH, TEXT_BYTES, ROW_BYTES, STORE_WORDS = 1024, 512, 8 << 20, 64, 400_000
+#: Marks that may follow a word's letters, the most of them coded apart; words in a text that the tokenizer is given.
+MARKS, MOST_MARKS, TOGETHER = b".,;:!?#$%&*", 8, 256
+
+
+def _binary(ids: list[np.ndarray], sizes: list[np.ndarray], kind: np.dtype) -> pa.Array:
+    """Ids that lie one after the other, by word."""
+    values = np.concatenate([np.zeros(0, kind), *ids])
+    places = np.cumsum(np.concatenate([[0], *sizes]), dtype=np.int64) * kind.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(values)])
 
 
 class WordCoder:
     """Ids of texts, word by word. In a vocabulary that drops white space and never joins over it, a text's ids are its
-    words' ids in order, so a worker codes a word once while it meets it. The store has two generations: when the young
-    one is full it becomes the old one, which gives back the words still in use and is then let go.
+    words' ids in order, so a worker codes a word once while it meets it. The store holds words and ids in Arrow arrays;
+    when it is full, the half that the fewest chunks had is let go.
 
-    Arrow tells a chunk's words apart, so that Python meets each of them once a chunk. Where the vocabulary marks the ends
-    of words, words of letters alone are coded many to a text: if its ids have as many ends as words, each has its own."""
+    Arrow tells a chunk's words apart and finds them in the store, so that only new words come to Python. Where the
+    vocabulary marks the ends of words, marks after letters are coded apart, and words of letters alone are coded many to
+    a text: if its ids have as many ends as words, each has its own."""
 
     def __init__(self, vocabulary: str, kind: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.kind, self.young, self.old, self.tails = np.dtype(kind), {}, {}, {b"": b""}
+        self.kind, self.tails = np.dtype(kind), {b"": b""}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         known = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(known.values(), default=0) + 1, bool)
         self.ends[[n for word, n in known.items() if suffix and word.endswith(suffix)]] = True
         self.marked = bool(self.ends.any())
+        #: By word: its ids, whether these are one piece's, and how many chunks had it.
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.single, self.uses = np.zeros(0, bool), np.zeros(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -61,75 +72,100 @@ class WordCoder:
             self.tails[tail] = alone.tobytes() if np.array_equal(np.concatenate([head, alone]), joined) else None
         return self.tails[tail]
 
-    def _letters(self, words: list[bytes]) -> None:
+    def _letters(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
         """Codes words of letters alone, many to a text."""
         for k in range(0, len(words), TOGETHER):
             part = words[k : k + TOGETHER]
-            (ids,) = self._ids([b" ".join(part).decode()])
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and stops[-1] == len(ids):
-                raw, at = ids.tobytes(), [0, *(stops * self.kind.itemsize).tolist()]
-                for n, word in enumerate(part):
-                    self.young[word] = raw[at[n] : at[n + 1]]
+            (found,) = self._ids([" ".join(part)])
+            stops = np.flatnonzero(self.ends[found]) + 1
+            if len(stops) == len(part) and stops[-1] == len(found):
+                ids.append(found)
+                sizes.append(np.diff(stops, prepend=0))
             elif len(part) == 1:
-                self._plain(part)
+                self._plain(part, ids, sizes)
             else:  # a few words have more ends, as their letters are mapped to more than letters
-                self._letters(part[: len(part) // 2])
-                self._letters(part[len(part) // 2 :])
+                self._letters(part[: len(part) // 2], ids, sizes)
+                self._letters(part[len(part) // 2 :], ids, sizes)
 
-    def _plain(self, words: list[bytes]) -> None:
+    def _plain(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
         for k in range(0, len(words), 2048):
-            part = words[k : k + 2048]
-            for word, ids in zip(part, self._ids([x.decode() for x in part]), strict=True):
-                self.young[word] = ids.tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Puts the words' ids into the young generation."""
-        young, old, letters, rest = self.young, self.old, [], []
-        for word in words - young.keys():
-            ids = old.get(word)
-            if ids is not None:
-                young[word] = ids
-            elif self.marked and word.decode().isalpha():
-                letters.append(word)
-            else:
-                rest.append(word)
-        self._letters(letters)
-        self._plain(rest)
-
-    def _coded(self, words: list[bytes]) -> list[bytes]:
-        """The words' ids. Letters that marks follow are kept without these."""
-        keys, tailed = list(words), []
-        for n, word in enumerate(words):
-            if word and word[-1] in MARKS and self.marked:
-                head = word.rstrip(MARKS)
-                tail = word[len(head) :]
-                if self._tail(tail) is not None and head.decode().isalpha():
-                    keys[n] = head
-                    tailed.append((n, tail))
-        self._learn(set(keys))
-        out = list(map(self.young.__getitem__, keys))
-        odd = []
-        for n, tail in tailed:
-            # Some letters are mapped to more than letters, which marks may join.
-            if len(out[n]) == self.kind.itemsize or np.count_nonzero(self.ends[np.frombuffer(out[n], self.kind)]) == 1:
-                out[n] += self.tails[tail]
-            else:
-                odd.append(n)
-        self._learn({words[n] for n in odd})
-        for n in odd:
-            out[n] = self.young[words[n]]
-        return out
+            found = self._ids(words[k : k + 2048])
+            ids += found
+            sizes.append(np.array([len(x) for x in found], np.int64))
+
+    def _learn(self, words: pa.Array) -> None:
+        """Codes new words and puts them into the store."""
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False) & self.marked
+        ids, sizes = [], []
+        self._letters(words.filter(pa.array(letters)).to_pylist(), ids, sizes)
+        self._plain(words.filter(pa.array(~letters)).to_pylist(), ids, sizes)
+        order = np.argsort(np.argsort(~letters, kind="stable"), kind="stable")
+        coded = _binary(ids, sizes, self.kind).take(pa.array(order))
+        places = np.frombuffer(coded.buffers()[1], np.int64)[: len(coded) + 1] // self.kind.itemsize
+        values = np.frombuffer(coded.buffers()[2] or b"", self.kind)
+        ends = np.diff(np.concatenate([[0], np.cumsum(self.ends[values])])[places])
+        self.ids = pa.concat_arrays([self.ids, coded])
+        self.single = np.concatenate([self.single, (np.diff(places) == 1) | (ends == 1)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(coded), np.int64)])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The words' places in the store, into which new ones come."""
+        both = pa.chunked_array([self.words, words]).dictionary_encode()
+        met = both.chunk(both.num_chunks - 1)
+        if len(met.dictionary) > len(self.words):
+            self._learn(met.dictionary.slice(len(self.words)))
+            self.words = met.dictionary
+        at = met.indices.to_numpy()
+        self.uses[at] += 1
+        return at
+
+    def _forget(self) -> None:
+        if len(self.words) > STORE_WORDS:
+            keep = np.sort(np.argpartition(-self.uses, STORE_WORDS // 2)[: STORE_WORDS // 2])
+            self.words, self.ids = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep))
+            self.single, self.uses = self.single[keep], self.uses[keep] // 2
+        if len(self.tails) > STORE_WORDS:
+            self.tails = {b"": b""}
+
+    def _coded(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words. Letters that marks follow are kept without these."""
+        if not self.marked:
+            return self.ids.take(pa.array(self._places(words)))
+        heads = pc.ascii_rtrim(words, characters=MARKS.decode())
+        marks = pc.subtract(pc.binary_length(words), pc.binary_length(heads)).to_numpy()
+        tailed = np.flatnonzero((marks > 0) & (marks <= MOST_MARKS) & pc.utf8_is_alpha(heads).to_numpy(zero_copy_only=False))
+        # The marks as bytes of a number, so that the few that differ are found without a step a word.
+        stops = np.frombuffer(words.buffers()[1], np.int64)[words.offset + 1 :][tailed]
+        data, keys = np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(len(tailed), np.uint64)
+        for k in range(MOST_MARKS):
+            more = np.flatnonzero(marks[tailed] > k)
+            keys[more] |= data[stops[more] - 1 - k].astype(np.uint64) << np.uint64(8 * k)
+        keys, number = np.unique(keys, return_inverse=True)
+        tails = [self._tail(int(x).to_bytes(MOST_MARKS, "big").lstrip(b"\0")) for x in keys]
+        fits = np.array([x is not None for x in tails], bool)[number]
+        tailed, number = tailed[fits], number[fits]
+        apart = np.zeros(len(words), bool)
+        apart[tailed] = True
+        at = self._places(pc.if_else(pa.array(apart), heads, words)).astype(np.int64)
+        # Some letters are mapped to more than letters, which marks may join.
+        odd = ~self.single[at[tailed]]
+        if odd.any():
+            at[tailed[odd]] = self._places(words.take(pa.array(tailed[odd])))
+        after = np.zeros(len(words), np.int64)
+        after[tailed[~odd]] = number[~odd] + 1
+        marked = pa.array([b"", *(x or b"" for x in tails)], pa.large_binary()).take(pa.array(after))
+        return pc.binary_join_element_wise(self.ids.take(pa.array(at)), marked, pa.scalar(b"", pa.large_binary()))
 
     def code(self, texts: pa.Array) -> list[memoryview]:
-        if len(self.young) > STORE_WORDS:
-            self.young, self.old = {}, self.young
+        if not len(texts):
+            return []
+        self._forget()
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         met = split.flatten().dictionary_encode()
-        coded = pa.array(self._coded(met.dictionary.cast(pa.binary()).to_pylist()), pa.large_binary()).take(met.indices)
+        coded = self._coded(met.dictionary.cast(pa.large_string())).take(met.indices)
         # The words' ids lie one after the other; a text's are those between its first word and the next text's.
         places = np.frombuffer(coded.buffers()[1], np.int64)[: len(coded) + 1]
-        at = places[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist() if len(coded) else [0] * (len(texts) + 1)
+        at = places[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
         raw = memoryview(coded.buffers()[2] or b"")
         return [raw[x:y] for x, y in zip(at, at[1:], strict=False)]
 
@@ -142,14 +178,27 @@ def _coder(vocabulary: str, kind: str) -> WordCoder:
 
 
 def _by_bytes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, pa.Array]]:
-    """Keys and texts, in parts of about ``limit`` bytes; a longer text is a part of its own."""
+    """Keys and texts, in parts of about ``limit`` bytes, over batches; a longer text is a part of its own."""
+    keys, texts, total, long, last = [], [], 0, 0, 0
     for batch in batches:
-        text = batch.column("text")
-        past = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(past)) + 1).tolist(), len(text)]
-        for x, y in zip(cuts, cuts[1:], strict=False):
-            if y > x:
-                yield batch.column("doc_id").slice(x, y - x).to_pylist(), text.slice(x, y - x)
+        key, text, at = batch.column("doc_id"), batch.column("text"), 0
+        # A row counts for its key too, so that parts of empty texts end as well.
+        sizes = pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES
+        ends, longs = total + np.cumsum(sizes), long + np.cumsum(sizes > limit)
+        number = ends // limit + longs - (sizes > limit)
+        for cut in [*np.flatnonzero(np.diff(number, prepend=last)).tolist(), None]:
+            stop = len(text) if cut is None else cut
+            if stop > at:
+                keys += key.slice(at, stop - at).to_pylist()
+                texts.append(text.slice(at, stop - at))
+                at = stop
+            if cut is not None and keys:
+                yield keys, pa.concat_arrays(texts)
+                keys, texts = [], []
+        if len(text):
+            total, long, last = int(ends[-1]), int(longs[-1]), int(number[-1])
+    if keys:
+        yield keys, pa.concat_arrays(texts)
 
 
 def _sequences(ids: np.ndarray, mask: np.ndarray, length: int) -> pa.RecordBatch:
