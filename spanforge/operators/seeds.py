@@ -6,7 +6,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,11 @@ from spanforge.functions.sequence import reverse_complement
 
 #: Letters of text from which words are taken at once: few, as a substring at a place walks there from the start.
 PIECE = 256
-#: Bases as numbers, other letters below 0; rows in a batch of pairs.
+#: Bases as numbers, other letters below 0; rows in a batch of pairs; pairs that are aligned at once, and letters of their queries,
+#: or of subjects whose seeds are extended at once.
 BASES = np.full(256, -1, np.int64)
 BASES[list(b"ACGT")] = range(4)
-ROWS = 50_000
+ROWS, PAIRS, LETTERS = 50_000, 1024, 500_000
 
 
 def words(sequences: DataFrame, size: int) -> DataFrame:
@@ -156,6 +157,40 @@ class Scoring:
     least: int = 18
 
 
+def _seeds(batches: Iterator[pa.RecordBatch], size: int, most: int) -> Iterator[tuple]:
+    """By subject of a task of `_dealt`: its batch and row, the queries (item_id and seq), and of its seeds the query's place among
+    these, the diagonal and q_at. Texts of one repeated word have very many seeds: they are given in parts of about ``most``."""
+    queries, own, index = [], [], None
+    for batch in batches:
+        named = batch.column("item_id")
+        for k, (side, seq) in enumerate(zip(batch.column("side").to_pylist(), batch.column("seq"), strict=True)):
+            code, at = placed(seq.as_buffer(), size)
+            if side == 0:
+                queries.append((named[k].as_py(), seq.as_py()))
+                own.append((code, at))
+                continue
+            if not own:
+                return
+            if index is None:
+                each = np.concatenate([x for x, _ in own])
+                order = np.argsort(each, kind="stable")
+                known, first = np.unique(each[order], return_index=True)
+                item, q_at = np.repeat(np.arange(len(own)), [len(x) for x, _ in own])[order], np.concatenate([x for _, x in own])[order]
+                index = known, np.append(first, len(each)), item, q_at
+            known, first, item, q_at = index
+            where = np.searchsorted(known, code)
+            inside = where < len(known)
+            code, at, where = code[inside], at[inside], where[inside]
+            met = known[where] == code
+            at, where = at[met], where[met]
+            many = first[where + 1] - first[where]
+            cuts = np.unique([0, *(np.flatnonzero(np.diff(np.cumsum(many) // most)) + 1), len(at)])
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                n = many[x:y]
+                place = np.repeat(first[where[x:y]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                yield batch, k, queries, item[place], np.repeat(at[x:y], n) - q_at[place], q_at[place]
+
+
 def seed_places(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
     """id, item_id, diagonal (place in the subject less place in the query) and q_at of every seed, a word of ``size`` bases
     that both have. Tasks hold the queries' words, so that of a subject's words only seeds are rows."""
@@ -163,38 +198,9 @@ def seed_places(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame
     schema = StructType([StructField("id", ids), StructField("item_id", items), StructField("diagonal", IntegerType()), StructField("q_at", IntegerType())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, own, index = [], [], None
-        for batch in batches:
-            keys, named = batch.column("id"), batch.column("item_id")
-            for k, (side, seq) in enumerate(zip(batch.column("side").to_pylist(), batch.column("seq"), strict=True)):
-                code, at = placed(seq.as_buffer(), size)
-                if side == 0:
-                    names.append(named[k].as_py())
-                    own.append((code, at))
-                    continue
-                if not own:
-                    return
-                if index is None:
-                    each = np.concatenate([x for x, _ in own])
-                    order = np.argsort(each, kind="stable")
-                    known, first = np.unique(each[order], return_index=True)
-                    item, q_at = np.repeat(np.arange(len(own)), [len(x) for x, _ in own])[order], np.concatenate([x for _, x in own])[order]
-                    index = known, np.append(first, len(each)), item, q_at
-                known, first, item, q_at = index
-                where = np.searchsorted(known, code)
-                inside = where < len(known)
-                code, at, where = code[inside], at[inside], where[inside]
-                met = known[where] == code
-                at, where = at[met], where[met]
-                many = first[where + 1] - first[where]
-                # Texts of one repeated word have very many seeds: they are given in parts.
-                cuts = np.unique([0, *(np.flatnonzero(np.diff(np.cumsum(many) // ROWS)) + 1), len(at)])
-                for x, y in zip(cuts, cuts[1:], strict=False):
-                    n = many[x:y]
-                    place = np.repeat(first[where[x:y]] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                    found = pa.array(names, named.type).take(pa.array(item[place]))
-                    diagonal = pa.array(np.repeat(at[x:y], n) - q_at[place], pa.int64()).cast(pa.int32())
-                    yield pa.record_batch({"id": keys.take(pa.array(np.full(len(place), k))), "item_id": found, "diagonal": diagonal, "q_at": pa.array(q_at[place], pa.int64()).cast(pa.int32())})
+        for batch, k, named, item, diagonal, q_at in _seeds(batches, size, ROWS):
+            found = pa.array([x for x, _ in named], batch.schema.field("item_id").type).take(pa.array(item))
+            yield pa.record_batch({"id": batch.column("id").take(pa.array(np.full(len(item), k))), "item_id": found, "diagonal": pa.array(diagonal, pa.int64()).cast(pa.int32()), "q_at": pa.array(q_at, pa.int64()).cast(pa.int32())})
 
     return _dealt(subjects, queries).mapInArrow(meet, schema)
 
@@ -209,89 +215,157 @@ def seed_runs(subjects: DataFrame, queries: DataFrame, size: int) -> DataFrame:
     return by.select("id", "item_id", "diagonal", F.inline(runs))
 
 
-def _reach(query: Column, window: Column, shift: Column, at: Column, step: int, scoring: Scoring) -> Column:
-    """The best score of an ungapped extension from ``at`` (not counted) in a direction, ended where it has dropped too far."""
-    room = F.greatest(F.lit(0), F.least(F.length(query) - at, F.length(window) - at - shift) if step > 0 else F.least(at - 1, at + shift - 1))
-    places = F.when(room > 0, F.sequence(F.lit(1), room)).otherwise(F.array().cast("array<int>"))
-
-    def follow(acc: Column, n: Column) -> Column:
-        p = at + n * step
-        same = (F.substring(query, p, 1) == F.substring(window, p + shift, 1)) & (F.substring(query, p, 1) != "N")
-        now = acc["now"] + F.when(same, scoring.match).otherwise(scoring.mismatch)
-        live = acc["live"] & (now >= acc["best"] - scoring.drop)
-        return F.struct(F.when(live, now).otherwise(acc["now"]).cast("int").alias("now"), F.when(live, F.greatest(now, acc["best"])).otherwise(acc["best"]).cast("int").alias("best"), live.alias("live"))
-
-    return F.aggregate(places, F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(True).alias("live")), follow, lambda acc: acc["best"])
-
-
-def banded(query: str, window: str, shift: int, scoring: Scoring) -> tuple[int, int, int, str, str] | None:
-    """The best local alignment with affine gaps within the band: score, first letters (from 1) in query and window, and the
-    aligned strings; the first end in order of query and window wins among equal scores."""
-    worst, band, cost = -(1 << 30), scoring.band, scoring.gap_open + scoring.gap_extend
-    before_h, before_f, trace, best = {}, {}, {}, (0, 0, 0)
-    for i, a in enumerate(query, 1):
-        h, f, e = {}, {}, worst
-        for j in range(max(1, i + shift - band), min(len(window), i + shift + band) + 1):
-            left, up = h.get(j - 1, worst), before_h.get(j, worst)
-            e_open, e = left - cost >= e - scoring.gap_extend, max(left - cost, e - scoring.gap_extend)
-            f_open, f[j] = up - cost >= before_f.get(j, worst) - scoring.gap_extend, max(up - cost, before_f.get(j, worst) - scoring.gap_extend)
-            diagonal = max(0, before_h.get(j - 1, 0)) + (scoring.match if a == window[j - 1] and a != "N" else scoring.mismatch)
-            value = max(0, diagonal, e, f[j])
-            h[j] = value
-            trace[i, j] = (0 if not value else 1 if value == diagonal else 2 if value == e else 3, e_open, f_open)
-            if value > best[0]:
-                best = (value, i, j)
-        before_h, before_f = h, f
-    score, i, j = best
-    if not score:
-        return None
-    q, s, state = [], [], 0
+def _letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All letters, one text after the other, as numbers above 0, with the first place and the length of each text."""
+    sizes = np.array(list(map(len, texts)), np.int64)
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32) + 1, np.cumsum(sizes) - sizes, sizes
+
+
+AMBIGUOUS = ord("N") + 1
+
+
+def _reach(q: np.ndarray, s: np.ndarray, q_at: np.ndarray, s_at: np.ndarray, room: np.ndarray, step: int, scoring: Scoring) -> np.ndarray:
+    """The best scores of ungapped extensions from places (not counted) in a direction, ended where they have dropped too far."""
+    best, now = np.zeros(len(room), np.int64), np.zeros(len(room), np.int64)
+    live, n = np.flatnonzero(room > 0), 0
+    while len(live):
+        n += 1
+        a = q[q_at[live] + n * step]
+        now[live] += np.where((a == s[s_at[live] + n * step]) & (a != AMBIGUOUS), scoring.match, scoring.mismatch)
+        live = live[now[live] >= best[live] - scoring.drop]
+        best[live] = np.maximum(best[live], now[live])
+        live = live[room[live] > n]
+    return best
+
+
+def banded(q: np.ndarray, s: np.ndarray, scoring: Scoring) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The best local alignments with affine gaps within the band, of many pairs at once, a row of all their bands a step. q: queries, a
+    row each, filled up with 0; s: the letters about their diagonals, where a query's letter i has those of i to i + 2 * band
+    (0: outside). Scores, ends (row from 0 and place in the band) and steps; the first end in order of query and subject wins
+    among equal scores. A step is 0 (none), 1 (both), 2 (a gap in q) or 3 (in s), with 4 and 8 where a gap in q or s opens."""
+    worst, width, cost = -(1 << 29), 2 * scoring.band + 1, scoring.gap_open + scoring.gap_extend
+    many, ramp = len(q), (np.arange(width) * scoring.gap_extend).astype(np.int32)
+    # One place more than the band, outside.
+    h, f = np.full((many, width + 1), worst, np.int32), np.full((many, width + 1), worst, np.int32)
+    e = np.empty((many, width), np.int32)
+    steps = np.empty((q.shape[1], many, width), np.uint8)
+    score, row, place = np.zeros(many, np.int32), np.zeros(many, np.int64), np.zeros(many, np.int64)
+    for i in range(q.shape[1]):
+        a, b = q[:, i : i + 1], s[:, i : i + width]
+        there = (a > 0) & (b > 0)
+        up, further = h[:, 1:] - cost, f[:, 1:] - scoring.gap_extend
+        f_open, gap = up >= further, np.maximum(up, further)
+        both = np.maximum(h[:, :-1], 0) + np.where((a == b) & (a != AMBIGUOUS), scoring.match, scoring.mismatch).astype(np.int32)
+        value = np.where(there, np.maximum(np.maximum(both, gap), 0), worst)
+        # A gap in q opens at the best of all places before: one that opens where another ends is none better.
+        e[:, 0] = worst
+        e[:, 1:] = (np.maximum.accumulate(value + ramp, axis=1) - ramp - cost)[:, :-1]
+        value = np.where(there, np.maximum(value, e), worst)
+        e_open = np.ones((many, width), bool)
+        e_open[:, 1:] = value[:, :-1] - cost >= e[:, :-1] - scoring.gap_extend
+        kind = np.where(value <= 0, 0, np.where(value == both, 1, np.where(value == e, 2, 3)))
+        steps[i] = np.where(there, kind + 4 * e_open + 8 * f_open, 12)
+        h[:, :-1], f[:, :-1] = value, np.where(there, gap, worst)
+        first = value.argmax(axis=1)
+        top = value[np.arange(many), first]
+        better = top > score
+        score[better], row[better], place[better] = top[better], i, first[better]
+    return score, row, place, steps
+
+
+def traced(q: str, s: str, row: int, at: int, place: int, steps: np.ndarray) -> tuple[int, int, str, str]:
+    """First letters (from 0) and aligned strings of the alignment of q and s that ends in letter ``row`` of q, ``at`` of s."""
+    width, known, state, x, y = steps.shape[1], steps.tobytes(), 0, [], []
     while True:
-        kind, e_open, f_open = trace.get((i, j), (0, True, True))
-        kind = state or kind
+        step = known[row * width + place] if row >= 0 and 0 <= place < width else 12
+        kind = state or step & 3
         if not kind:
-            break
-        q.append("-" if kind == 2 else query[i - 1])
-        s.append("-" if kind == 3 else window[j - 1])
-        state = 0 if kind == 1 or (e_open if kind == 2 else f_open) else kind
-        i, j = i - (kind != 2), j - (kind != 3)
-    return score, i + 1, j + 1, "".join(reversed(q)), "".join(reversed(s))
+            return row + 1, at + 1, "".join(reversed(x)), "".join(reversed(y))
+        x.append("-" if kind == 2 else q[row])
+        y.append("-" if kind == 3 else s[at])
+        state = 0 if kind == 1 or step & (4 if kind == 2 else 8) else kind
+        row, at, place = row - (kind != 2), at - (kind != 3), place + (kind == 3) - (kind == 2)
 
 
 HIT = "query string, seqid string, pident double, alignment_length int, mismatch int, gapopen int, qstart int, qend int, start1 int, end1 int, strand string, score int, bitscore double, qlen int, subject_length int, qcov_exact double, qseq string, sseq string"
 
 
+def _extended(held: list[tuple], q: np.ndarray, q_first: np.ndarray, q_size: np.ndarray, size: int, scoring: Scoring, pairs: int, letters: int) -> Iterator[tuple]:
+    """Place in held and among queries, score, ends and steps of the alignments that seeds call for. held: text, query, diagonal and
+    q_at of the seeds of subjects. q: letters of the queries. pairs: aligned at once; letters: of their queries."""
+    s, s_first, s_size = _letters([x[0] for x in held])
+    sub = np.repeat(np.arange(len(held)), [len(x[1]) for x in held])
+    item, diagonal, q_at = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
+    order = np.lexsort((q_at, diagonal, item, sub))
+    sub, item, diagonal, q_at = sub[order], item[order], diagonal[order], q_at[order]
+    # A run opens where the word before is no neighbour. One that is cut between parts is as good: what it lacks is extended.
+    same = np.append(False, (sub[1:] == sub[:-1]) & (item[1:] == item[:-1]) & (diagonal[1:] == diagonal[:-1]))
+    opens = np.flatnonzero(~(same & np.append(False, np.diff(q_at) == 1)))
+    start, end = q_at[opens], q_at[np.append(opens[1:], len(q_at)) - 1] + size - 1
+    sub, item, diagonal = sub[opens], item[opens], diagonal[opens]
+    place = lambda p: (q_first[item] + p - 1, s_first[sub] + p + diagonal - 1)
+    right = _reach(q, s, *place(end), np.minimum(q_size[item], s_size[sub] - diagonal) - end, 1, scoring)
+    left = _reach(q, s, *place(start), np.minimum(start, start + diagonal) - 1, -1, scoring)
+    good = (end - start + 1) * scoring.match + right + left >= scoring.opens
+    found = np.unique(np.stack([q_size[item], item, sub, diagonal])[:, good], axis=1)[1:]
+    # Queries of like length come together; what is held of their bands is bounded.
+    at, band = 0, scoring.band
+    while at < found.shape[1]:
+        many = 1
+        while many < pairs and at + many < found.shape[1] and (many + 1) * q_size[found[0, at + many]] <= letters:
+            many += 1
+        item, sub, diagonal = found[:, at : at + many]
+        at += many
+        longest = q_size[item].max()
+        i, j = np.arange(longest), np.arange(longest + 2 * band) + (diagonal - band)[:, None]
+        queries = np.where(i < q_size[item][:, None], q[np.minimum(q_first[item][:, None] + i, len(q) - 1)], 0)
+        about = np.where((j >= 0) & (j < s_size[sub][:, None]), s[np.clip(s_first[sub][:, None] + j, 0, len(s) - 1)], 0)
+        score, row, end, steps = banded(queries, about, scoring)
+        for k in np.flatnonzero(score >= scoring.least):
+            yield int(sub[k]), int(item[k]), int(score[k]), int(row[k]), int(row[k] + end[k] + diagonal[k] - band), int(end[k]), steps[:, k]
+
+
 def extended_hits(subjects: DataFrame, queries: DataFrame, size: int = 11, scoring: Scoring = Scoring()) -> DataFrame:
     """Hits of queries (item_id, seq) on both strands of subjects (id, seq): seeds chained by diagonal, extended without gaps
     until they drop, and, if they reach ``scoring.opens``, aligned with gaps in a band about their diagonal. One row for
     each alignment found, with the columns of tabular hits; it holds the best of its band, so a pair has as many hits as
-    bands with seeds. Minus hits are of the reversed query; their aligned strings run along the subject."""
+    bands with seeds. Minus hits are of the reversed query; their aligned strings run along the subject.
+
+    The task that finds a subject's seeds has its text and the queries': seeds are extended and aligned there, many at once, and
+    neither they nor texts are shuffled again."""
     both = queries.select(F.concat(F.lit("+"), F.col("item_id").cast("string")).alias("item_id"), "seq").unionByName(queries.select(F.concat(F.lit("-"), F.col("item_id").cast("string")).alias("item_id"), reverse_complement(F.col("seq")).alias("seq")))
     named = subjects.select(F.col("id").cast("string").alias("id"), "seq")
-    runs = seed_runs(named, both, size).groupBy("id", "item_id", "diagonal").agg(F.collect_list(F.struct("q_from", "q_to")).alias("runs"))
-    asked = runs.join(both.select("item_id", F.col("seq").alias("q")), "item_id").join(named, "id")
-    low = F.greatest(F.lit(1), F.col("diagonal") + 1 - scoring.band)
-    cut = asked.select("id", "item_id", "q", F.length("seq").alias("slen"), low.alias("low"), F.substring(F.col("seq"), low, F.length("q") + 2 * scoring.band).alias("w"), (F.col("diagonal") - low + 1).alias("shift"), F.explode("runs").alias("r"))
-    exact = (F.col("r.q_to") - F.col("r.q_from") + 1) * scoring.match
-    total = exact + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_to"), 1, scoring) + _reach(F.col("q"), F.col("w"), F.col("shift"), F.col("r.q_from"), -1, scoring)
-    good = cut.where(total >= scoring.opens).select("id", "item_id", "q", "slen", "low", "w", "shift").distinct()
+    schema = pa.schema([(x.split()[0], {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}[x.split()[1]]) for x in HIT.split(", ")])
+
+    def told(found: list[tuple], held: list[tuple], names: list[str], queries: list[tuple]) -> pa.RecordBatch:
+        rows = []
+        for sub, item, score, row, at, place, steps in found:
+            (key, query), (text, *_) = queries[item], held[sub]
+            first, start, q, s = traced(query, text, row, at, place, steps)
+            letters, gaps, n = len(q) - q.count("-"), q.count("-") + s.count("-"), len(query)
+            same = sum(a == b for a, b in zip(q, s, strict=True))
+            opened = sum(len([g for g in re.split("[^-]+", t) if g]) for t in (q, s))
+            qstart = first + 1 if key[0] == "+" else n - (first + letters) + 1
+            rows.append((key[1:], names[sub], 100 * same / len(q), len(q), len(q) - same - gaps, opened, qstart, qstart + letters - 1, start + 1, start + len(s) - s.count("-"), key[0], score, (scoring.lambda_ * score - math.log(scoring.k)) / math.log(2), n, len(text), 100 * letters / n, q, s))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(x.split()[0], {"string": pa.string(), "double": pa.float64(), "int": pa.int32()}[x.split()[1]]) for x in HIT.split(", ")])
-        for batch in batches:
-            rows = []
-            for x in batch.to_pylist():
-                found = banded(x["q"], x["w"], x["shift"], scoring)
-                if found is None or found[0] < scoring.least:
-                    continue
-                score, i, j, q, s = found
-                letters, gaps, n = len(q) - q.count("-"), q.count("-") + s.count("-"), len(x["q"])
-                same = sum(a == b for a, b in zip(q, s, strict=True))
-                opened = sum(len([g for g in re.split("[^-]+", t) if g]) for t in (q, s))
-                first, plus = (i, x["item_id"][0] == "+")
-                qstart = first if plus else n - (first + letters - 1) + 1
-                start = x["low"] + j - 1
-                rows.append((x["item_id"][1:], x["id"], 100 * same / len(q), len(q), len(q) - same - gaps, opened, qstart, qstart + letters - 1, start, start + len(s) - s.count("-") - 1, x["item_id"][0], score, (scoring.lambda_ * score - math.log(scoring.k)) / math.log(2), n, x["slen"], 100 * letters / n, q, s))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [()] * len(schema), schema, strict=True)], schema=schema)
-
-    return good.mapInArrow(align, HIT).distinct()
+        known, held, names, n_seeds, n_letters = None, [], [], 0, 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            extended = _extended(held, *known, size, scoring, PAIRS, LETTERS)
+            while part := list(islice(extended, PAIRS)):
+                yield told(part, held, names, queries)
+
+        for batch, k, queries, item, diagonal, q_at in _seeds(batches, size, ROWS):
+            known = known or _letters([x for _, x in queries])
+            held.append((batch.column("seq")[k].as_py(), item, diagonal, q_at))
+            names.append(batch.column("id")[k].as_py())
+            n_seeds, n_letters = n_seeds + len(item), n_letters + len(held[-1][0])
+            if n_seeds >= ROWS or n_letters >= LETTERS:
+                yield from done()
+                held, names, n_seeds, n_letters = [], [], 0, 0
+        if held:
+            yield from done()
+
+    return _dealt(named.where("id is not null"), both.where("item_id is not null")).mapInArrow(align, HIT).distinct()
