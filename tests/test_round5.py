@@ -5,8 +5,9 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from spanforge.operators import integrity, seeds
+from spanforge.operators import integrity, loci, seeds, support
 
 
 def _plan(df):
@@ -123,3 +124,30 @@ def _ungapped(query, text, d, size, s):
             total += best
         out = max(out, total)
     return out
+
+
+def test_best_hits_of_windows_are_found_without_a_sort_of_all_hits(spark, monkeypatch):
+    draw = random.Random(6)
+    bodies = [(f"b{k}", "s", draw.choice("+-"), x := draw.randrange(100, 400), x + 60, x - 30, x + 90) for k in range(30)]
+    windows = spark.createDataFrame(bodies, "id string, seqid string, strand string, start1 int, end1 int, low int, high int")
+    hits = [(k, x := draw.randrange(1, 100), x + draw.randrange(20, 60), draw.choice([True, False, None]), draw.choice([50.0, 51.0, 52.0, None, float("nan")]), draw.choice([80.0, 90.0])) for k in range(25)]
+    given = spark.createDataFrame(hits, "n int, sstart int, send int, strong boolean, bits double, qcov double")
+    search = lambda w: w.crossJoin(given).where("(n * 7 + start1) % 3 > 0").drop("seqid").select("*", F.lit(1).alias("qstart"), F.col("sstart").alias("position"), F.concat(F.lit("o"), "n").alias("ordinal")).drop("n")
+    seen, cut = [], support.cut
+    monkeypatch.setattr(support, "cut", lambda df: seen.append(_plan(df)) or cut(df))
+    told = lambda df: sorted(map(str, df.select("id", "strong", "bits", "qcov", "ordinal", "g_position").collect()))
+    assert told(support.best_searched(windows, search)) == told(support.best_local(support.placed_hits(search(windows))))
+    assert "HashAggregate" in seen[0] and "SortAggregate" not in seen[0] and "SortAggregate" in seen[1]
+
+
+def test_loci_are_made_once_before_they_are_numbered(spark):
+    rows = spark.createDataFrame([(f"l{k}", "s", "+", 7 * k % 50 + 1, 60) for k in range(40)], "id string, seqid string, strand string, body_start1 int, body_end1 int")
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    out = loci.numbered(rows.mapInArrow(counted, rows.schema), width=10).collect()
+    assert [r.id for r in sorted(out, key=lambda r: r.number)] == [r.id for r in sorted(out, key=lambda r: (r.body_start1, r.id))] and made.value == 40
