@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanforge.operators import integrity, loci, seeds, support
+from spanforge.operators import annotation, integrity, loci, seeds, support
 
 
 def _plan(df):
@@ -151,3 +151,35 @@ def test_loci_are_made_once_before_they_are_numbered(spark):
 
     out = loci.numbered(rows.mapInArrow(counted, rows.schema), width=10).collect()
     assert [r.id for r in sorted(out, key=lambda r: r.number)] == [r.id for r in sorted(out, key=lambda r: (r.body_start1, r.id))] and made.value == 40
+
+
+def test_audit_counts_make_no_pairs(spark):
+    """Counts are those of the pairs but a region's own, by kind and relation; also of own rows beside the region."""
+    from test_round4 import _audit
+
+    regions, features = _audit(spark)
+    assessed = regions.unionByName(spark.createDataFrame([("r4", "s", ".", 100, 400), ("r5", "s", "-", 150, 160)], regions.schema)).withColumn("status", F.when(F.col("id") == "r5", "context_not_assessed").otherwise("assessed"))
+    trusted = spark.createDataFrame([("r1", "g"), ("r1", "a"), ("r1", "b"), ("r2", "d"), ("r2", "c"), ("r4", "a")], "id string, feature_id string")
+    own = annotation.self_features(features, trusted)
+    want = {}
+    for r in annotation.audit_overlaps(assessed, features, own, trusted).where("not is_self").collect():
+        for kind in r.categories.split("|"):
+            n = want.setdefault((r.id, kind), {"same": 0, "opposite": 0, "unknown": 0})
+            n[r.relation] += 1
+    there = {kind for r in features.collect() for kind in r.own_categories}
+    out = annotation.audit_counts(assessed, features, own)
+    for r in out.collect():
+        n = want.get((r.id, r.kind))
+        known = r.id not in ("r3", "r5") and (n or r.kind in there)
+        assert (r.n, r.n_same, r.n_opposite, r.n_unknown) == ((sum(n.values()), *n.values()) if n else (0,) * 4 if known else (None,) * 4)
+    assert out.count() == 5 * len(annotation.CATEGORIES) and {r.id for r in own.collect()} == {"r1", "r2", "r4"}
+    assert "_role" not in out._jdf.queryExecution().optimizedPlan().toString()  # of overlap_join
+
+
+def test_own_ids_of_regions_resolve_to_themselves(spark):
+    from test_round4 import _audit
+
+    regions, features = _audit(spark)
+    ids = annotation.supporting_ids(regions, features)
+    resolved = annotation.resolve_ids(ids.join(regions.select("id", "seqid"), "id"), features).collect()
+    assert len(resolved) == ids.count() and all(r.resolved == r.self_id for r in resolved)
