@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanforge.operators import annotation, integrity, loci, seeds, support
+from spanforge.operators import annotation, curation, integrity, loci, seeds, support
 
 
 def _plan(df):
@@ -183,3 +183,14 @@ def test_own_ids_of_regions_resolve_to_themselves(spark):
     ids = annotation.supporting_ids(regions, features)
     resolved = annotation.resolve_ids(ids.join(regions.select("id", "seqid"), "id"), features).collect()
     assert len(resolved) == ids.count() and all(r.resolved == r.self_id for r in resolved)
+
+
+def test_regions_keep_their_rows_when_features_are_counted(spark):
+    kind = "id string, region string, hypothesis string, seqid string, strand string, start1 int, end1 int"
+    placed = spark.createDataFrame([("a", "body", None, "s", "+", 10, 20), ("a", "core", "h", "s", "+", 30, 31), ("b", "body", None, "s", "-", None, None), ("c", "body", None, "t", "+", 1, 9), ("d", "body", None, None, "+", 1, 9)], kind)
+    features = spark.createDataFrame([("s", "+", 5, 12, "exon"), ("s", "-", 20, 40, "exon"), ("s", ".", 1, 9, "CDS"), ("s", "+", 1, 2, None)], "seqid string, strand string, start1 int, end1 int, kind string")
+    out = curation.region_counts(placed, features, ["CDS", "exon", "repeat"])
+    none = dict.fromkeys(("CDS", "exon", "repeat"))
+    assert {(r.id, r.region): r.counts for r in out.collect()} == {("a", "body"): none | {"CDS": 0, "exon": 2}, ("a", "core"): none | {"CDS": 0, "exon": 1}, ("b", "body"): None, ("c", "body"): none, ("d", "body"): none}
+    # Counts come to the rows in one join by key, and are not gathered again.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 0
